@@ -33,6 +33,18 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
-    """At most ``limit`` rows, the first in the order of a keyed hash: the same rows on every run."""
-    return rows.orderBy(F.xxhash64(F.lit("sample"), F.col(key)), F.col(key)).limit(limit)
+def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, limit: int, by_class: bool = False) -> DataFrame:
+    """docs(doc_id, text) with the 0/1 label ``name``, for at most ``limit`` labelled rows.
+
+    The rows are the first in the order of a keyed hash, so the same ones on every run; with
+    ``by_class`` each class has half of the limit.  Only their ids and labels (16 bytes a row, so
+    bounded by ``limit``) are broadcast; the texts are filtered where they lie.
+    """
+    rows = labels.where(F.col(name).isin(0, 1)).select("doc_id", F.col(name).cast("int").alias(name)).dropDuplicates(["doc_id"])
+    first = lambda part, n: part.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(n)
+    if by_class:
+        picked = first(rows.where(F.col(name) == 1), limit // 2).unionByName(first(rows.where(F.col(name) == 0), limit // 2))
+    else:
+        picked = first(rows, limit)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.join(F.broadcast(picked), "doc_id")

@@ -5,9 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat_tools import ToolSchemas, format_chat
+from .common import fold
 from .exact_dedup import exact_dedup
+from .html_wrapper import extract_main_text
+from .language_id import fit_language_model, predict_language
 from .ngram_join import ngram_jaccard_groups
+from .packing import pack_documents
+from .piece_codec import decode_pieces, encode_pieces
+from .quality import fit_quality_model, score_quality
+from .toxicity import fit_toxicity_model, score_toxicity
+from .vector_topk import exact_topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,16 +29,111 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").where(fold(F.col("doc_id"), 5) != 0)
+    scored = score_toxicity(docs, fit_toxicity_model(docs, labels))
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"), F.get(F.col("spans.start"), F.lit(0)).alias("first_span_start"),
+    )
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit_language_model(docs.where(fold(F.col("doc_id"), 4) != 2))
+    scored = predict_language(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = docs.withColumn("ids", encode_pieces("text", "doc_id", seed=1, dropout=0.1))
+    decoded = coded.withColumn("back", decode_pieces("ids"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), (F.col("back") == F.col("text")).alias("lossless")
+    )
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").where(fold(F.col("doc_id"), 3) != 1)
+    scored = score_quality(docs, fit_quality_model(docs, labels))
+    return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+TOOLS: ToolSchemas = {
+    "search": {"query": ("string", True), "limit": ("integer", True)},
+    "lookup": {"key": ("string", True), "exact": ("boolean", False)},
+    "rank": {"items": ("integer", True), "weight": ("number", False)},
+}
+
+
+def derived_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tool calls and results for every assistant turn, by integer rules: the table itself has no tool traffic.
+
+    Among them are tools without a schema, missing and ill-typed arguments, calls without a
+    result, results without a call, and chains in which a turn uses the call two turns before.
+    """
+    said = conversations.where("role = 'assistant'").select("conv_id", "turn", "text").distinct()
+    k, call_id = F.col("conv_id") + F.col("turn"), F.format_string("call_%d_%d", "conv_id", "turn")
+    name = F.element_at(F.array(*[F.lit(x) for x in ("search", "lookup", "rank", "fetch")]), (k % 4 + 1).cast("int"))
+    text = F.coalesce("text", F.lit(""))
+    arguments = F.map_from_arrays(
+        F.array(F.when(k % 4 == 0, "query").when(k % 4 == 1, "key").otherwise("items"), F.when(k % 4 == 0, "limit").when(k % 4 == 1, "exact").otherwise("weight")),
+        F.array(F.when(k % 4 == 2, F.length(text).cast("string")).otherwise(text), F.when(k % 6 == 0, "many").when(k % 4 == 1, "true").when(k % 4 == 0, F.length(text).cast("string")).otherwise("0.5")),
+    )
+    arguments = F.when(k % 9 == 0, F.map_filter(arguments, lambda key, _: key != "limit")).otherwise(arguments)
+    uses = F.when(k % 3 != 0, F.array(F.format_string("call_%d_%d", F.col("conv_id"), F.col("turn") - 2))).otherwise(F.array().cast("array<string>"))
+    calls = said.select("conv_id", "turn", call_id.alias("call_id"), name.alias("name"), arguments.alias("arguments"), uses.alias("uses"))
+    answered = said.where(k % 5 != 0).select("conv_id", call_id.alias("call_id"), text.alias("content"))
+    lost = said.where(k % 7 == 0).select("conv_id", F.concat(F.lit("lost_"), call_id).alias("call_id"), F.lit("late").alias("content"))
+    return calls, answered.unionByName(lost)
+
+
+def op10_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    calls, results = derived_calls(conversations)
+    return format_chat(conversations, calls, results, TOOLS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_exact_topk": op2_exact_topk,
+    "op3_toxicity": op3_toxicity,
+    "op4_language_id": op4_language_id,
+    "op5_piece_codec": op5_piece_codec,
+    "op6_html_extraction": op6_html_extraction,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality": op8_quality,
+    "op9_packing": op9_packing,
+    "op10_chat_tools": op10_chat_tools,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_exact_topk": """
+        WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                   FROM embeddings WHERE embedding IS NOT NULL),
+        s AS (SELECT q.vec_id AS query_id, e.vec_id, list_sum(list_transform(range(1, len(e.v) + 1), i -> q.v[i] * e.v[i])) AS score
+              FROM e AS q JOIN e ON q.vec_id <> e.vec_id AND len(q.v) = len(e.v) WHERE q.vec_id % 100 = 0),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM s)
+        SELECT * FROM r WHERE rank <= 10""",
     "op7_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
         g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)

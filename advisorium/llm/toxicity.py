@@ -26,6 +26,7 @@ TOKEN = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
 SAMPLE_ROWS = 20_000  # labelled documents that the model is fitted on, at most
 LEXICON = 4_000
+EVIDENCE = 20.0  # about one chance entry in 100,000 candidates
 WINDOW = 16
 MAX_WINDOWS = 40_000
 
@@ -60,12 +61,14 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """Entries with a large odds ratio, at least 1 % of the toxic documents behind them, most telling first."""
+    """Entries far more frequent in toxic documents: odds over e**3 and a log-likelihood ratio over ``EVIDENCE``, most telling first."""
     texts = sample.dropDuplicates(["text"])
     sums = texts.mapInPandas(_word_counts, "mark string, clean long, toxic long").groupBy("mark").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    odds = F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n_clean + 1))
-    kept = sums.where(F.col("t") >= max(3, round(0.01 * n_toxic))).withColumn("odds", odds).where("odds > 3")
-    return [r.mark for r in kept.orderBy(F.desc(F.col("odds") * F.sqrt("t")), "mark").limit(LEXICON).collect()]
+    t, c, share = F.col("t"), F.col("c"), n_toxic / max(1, n_toxic + n_clean)
+    odds = F.log((t + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))
+    ratio = 2 * (t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0))
+    kept = sums.where("t >= 3").withColumn("odds", odds).withColumn("ratio", ratio).where(f"odds > 3 and ratio > {EVIDENCE}")
+    return [r.mark for r in kept.orderBy(F.desc("ratio"), "mark").limit(LEXICON).collect()]
 
 
 def _windows(batches: Iterator[pd.DataFrame], lexicon: dict[str, int]) -> Iterator[pd.DataFrame]:
@@ -128,7 +131,7 @@ def fit_toxicity_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SA
     """docs(doc_id, text), labels(doc_id, toxic): fitted on at most ``sample_rows`` rows, half of them toxic where there are as many."""
     sample = written(labelled_sample(docs, labels, "toxic", sample_rows, by_class=True), "tox-sample")
     by = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    lexicon = {m: i + 1 for i, m in enumerate(_lexicon(sample, by.get(1, 0), by.get(0, 0)))}
+    lexicon = {m: i + 1 for i, m in enumerate(_lexicon(sample, by.get(1, 0), by.get(0, 0)))} if by.get(1) and by.get(0) else {}
     windows = sample.mapInPandas(lambda it: _windows(it, lexicon), "x array<int>, toxic int")
     got = windows.orderBy(F.xxhash64("x", "toxic")).limit(MAX_WINDOWS).toPandas()
     if not len(got) or not lexicon:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from .plans import queries_scalar, queries_sources  # noqa: F401  they register their queries
+from .plans.registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
+FLAGSHIP = "severity_normalize"
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-FLAGSHIP = "agg_provider_severity"
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]

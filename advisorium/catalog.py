@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import queries_scalar, queries_sources  # noqa: F401  they register their queries
+from .plans import queries_documents, queries_nested, queries_progress, queries_scalar, queries_sources  # noqa: F401  they register their queries
 from .plans.registry import ORACLE_SQL, QUERIES
 
-FLAGSHIP = "severity_normalize"
+FLAGSHIP = "agg_window_severity"
 
 __all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]

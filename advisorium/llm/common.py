@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIRS: dict[str, str] = {}
+BROADCAST_IDS = 1_000_000  # 8 MB of ids
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,6 +31,30 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of finished steps only once the driver's JVM has collected their handles: ask it to.
+
+    Twice, as the first round only lets go of the handles that Python held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
+def small_batches(rows: int = 1000) -> None:
+    """Texts are long: hand them to Python in batches of at most ``rows``, so that a worker holds little."""
+    spark, name = SparkSession.getActiveSession(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark is not None and not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
+def by_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join with a written table of doc_ids: broadcast where it was counted to have at most BROADCAST_IDS rows, else by shuffle."""
+    ids = ids.select("doc_id")
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", how)
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 
 BROADCAST_BYTES = 4_000_000
 FOLDS = 32
@@ -214,7 +214,9 @@ def content_paths(wrapper: Node) -> list[str]:
     blocks = [p for p in weight if not p or p[-1].split(".")[0] not in INLINE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li"}]
     total = weight[()]
     root = max((p for p in blocks if weight[p] >= 0.6 * total), key=len, default=())
-    return sorted({"/".join(p) for p, _ in free if p[: len(root)] == root})
+    block = lambda p: p[: max((k + 1 for k, x in enumerate(p) if x.split(".")[0] not in INLINE), default=0)]
+    varied = {block(p) for p, _ in free}  # a constant phrase inside a block with free text belongs to it
+    return sorted({"/".join(p) for p, _ in slots if p[: len(root)] == root and block(p) in varied})
 
 
 def main_text(page: str | None, paths: frozenset[str]) -> str:
@@ -283,6 +285,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     wrapper table is broadcast only if it was measured to be under BROADCAST_BYTES, else joined by
     shuffle (a hot host is then split by AQE).
     """
+    small_batches()
     pages = pages.select("page_id", "url", "html")
     wrappers = written(infer_wrappers(pages), "wrappers").select("host", "paths")
     size = wrappers.agg(F.sum(F.length("host") + F.length(F.array_join("paths", ""))).alias("n")).first().n or 0

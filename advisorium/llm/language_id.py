@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 SYMBOLS = 64  # 0 is the word gap, 1 to 26 are a to z, the rest shares the other letters
 DIMENSIONS = 512
 KNOWN_GRAMS = 16_384  # trigram vectors kept ready in a task; all others are bound when met
@@ -85,6 +87,7 @@ def fit_language_model(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int
     What reaches the driver is bounded: at most SYMBOLS**3 counts a language become one prototype
     vector on the executors, and KNOWN_GRAMS trigram numbers.
     """
+    small_batches()
     rows = docs.where("lang is not null and text is not null").select("text", "lang")
     counts = rows.mapInPandas(_gram_counts, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
 
@@ -128,6 +131,8 @@ def language_of(text: Column | str, model: LanguageModel) -> Column:
     learned.  Ties go to the language that sorts first.  Equal texts are scored alike.
     """
 
+    small_batches()
+
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vectors = bind(model.known, model.dimensions, model.seed)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WINDOW = 1024
@@ -188,6 +188,7 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, window: int =
     rows are packed each for itself; an empty table gives an empty result; other columns are not
     read.  ``window`` is a power of two.
     """
+    small_batches()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     cut = written(rows.mapInPandas(lambda it: _cut(it, vocabulary, window), CUT_SCHEMA), "cut")
     counts = cut.groupBy("tail", "part").agg(F.count("*").alias("rows"))

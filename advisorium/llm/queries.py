@@ -128,9 +128,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": """
-        WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
                    FROM embeddings WHERE embedding IS NOT NULL),
-        s AS (SELECT q.vec_id AS query_id, e.vec_id, list_sum(list_transform(range(1, len(e.v) + 1), i -> q.v[i] * e.v[i])) AS score
+        s AS (SELECT q.vec_id AS query_id, e.vec_id, list_sum(list_transform(range(1, len(e.v) + 1), lambda i: q.v[i] * e.v[i])) AS score
               FROM e AS q JOIN e ON q.vec_id <> e.vec_id AND len(q.v) = len(e.v) WHERE q.vec_id % 100 = 0),
         r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM s)
         SELECT * FROM r WHERE rank <= 10""",

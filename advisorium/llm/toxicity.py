@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, written
+from .common import labelled_sample, small_batches, written
 
 TOKEN = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
@@ -129,6 +129,7 @@ def _fit_chain(x: np.ndarray, toxic: np.ndarray, size: int, rounds: int = 80) ->
 
 def fit_toxicity_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5) -> ToxicityModel:
     """docs(doc_id, text), labels(doc_id, toxic): fitted on at most ``sample_rows`` rows, half of them toxic where there are as many."""
+    small_batches()
     sample = written(labelled_sample(docs, labels, "toxic", sample_rows, by_class=True), "tox-sample")
     by = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     lexicon = {m: i + 1 for i, m in enumerate(_lexicon(sample, by.get(1, 0), by.get(0, 0)))} if by.get(1) and by.get(0) else {}
@@ -203,6 +204,8 @@ def toxicity_of(text: Column | str, model: ToxicityModel) -> Column:
     spans, and so does every text if there was nothing to learn from.  Equal texts score alike.
     """
 
+    small_batches()
+
     @F.pandas_udf("score double, spans array<struct<start:int,end:int,marginal:double>>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         words = {m for m in model.lexicon if not m.endswith("*")}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from advisorium.llm.common import fold, written
+from advisorium.llm.common import by_ids, fold, written
 from advisorium.llm.exact_dedup import exact_dedup
 from advisorium.llm.language_id import fit_language_model, language_of
 from advisorium.llm.ngram_join import ngram_jaccard_groups
@@ -36,15 +36,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
-    kept = exact_dedup(docs, keep="max").where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    dropped = written(exact_dedup(docs, keep="max").where("not kept").select("doc_id"), "dropped")
+    return by_ids(docs, dropped, "left_anti").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word n-grams at 0.8 or more the smallest doc_id stays."""
     groups = ngram_jaccard_groups(docs, words=5, threshold=(80, 100))
-    first = groups.where("doc_id = component_id").select("doc_id")
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    dropped = written(groups.where("doc_id <> component_id").select("doc_id"), "dropped")
+    return by_ids(docs, dropped, "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

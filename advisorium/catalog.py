@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .plans import queries_documents, queries_html, queries_nested, queries_progress, queries_scalar, queries_sources, queries_stream  # noqa: F401  they register their queries
+from .plans import (  # noqa: F401  they register their queries
+    queries_documents, queries_extension, queries_html, queries_nested, queries_progress, queries_scalar, queries_sources, queries_stream,
+)
 from .plans.registry import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "agg_window_severity"

@@ -278,3 +278,17 @@ def listing_cards(pages: DataFrame, base: str) -> DataFrame:
     count = pages.select("page_id", F.greatest(total, linked, F.lit(1)).alias("pages"))
     code = F.regexp_extract("href", r"/([^/]+)$", 1)
     return links.select("page_id", code.alias("code"), F.col("text").alias("title")).where("code <> ''").join(count, "page_id")
+
+
+def register_html_cells(spark) -> None:
+    """The SQL face of the table grid: ``SELECT * FROM html_cells('<table>...')`` or a lateral join over pages."""
+
+    @F.udtf(returnType="table_no int, row_no int, col_no int, value string")
+    class HtmlCells:
+        def eval(self, html: str):
+            for t, rows in enumerate(_parse(html).tables):
+                for r, row in enumerate(_grid(rows)):
+                    for c, value in enumerate(row):
+                        yield t, r, c, value
+
+    spark.udtf.register("html_cells", HtmlCells)

@@ -27,6 +27,8 @@ PREFIXES = (4, 5, 6)
 SAMPLE_ROWS = 20_000  # labelled documents that the model is fitted on, at most
 LEXICON = 4_000
 EVIDENCE = 20.0  # about one chance entry in 100,000 candidates
+SURE = 36.0
+ODDS = 3.7  # about 40 times more frequent in toxic documents
 WINDOW = 16
 MAX_WINDOWS = 40_000
 
@@ -60,15 +62,51 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"mark": marks, "clean": [counts[0][m] for m in marks], "toxic": [counts[1][m] for m in marks]})
 
 
+def _ratio(t: np.ndarray, c: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
+    """Log-likelihood ratio of entries found in t toxic and c clean documents."""
+    share = n_toxic / max(1.0, n_toxic + n_clean)
+    part = lambda x, p: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / np.maximum((t + c) * p, 1e-9)), 0.0)
+    return np.where(t / max(n_toxic, 1) > c / max(n_clean, 1), 2 * (part(t, share) + part(c, 1 - share)), 0.0)
+
+
+def cover(toxic_docs: list[np.ndarray], clean: np.ndarray, n_clean: int) -> list[int]:
+    """Entries that are certain by themselves, then entries that explain documents in which none of those occurs.
+
+    Each round takes the entry with the most evidence among the documents that nothing chosen
+    explains, so rare words that only ride along with chosen ones are left out.
+    """
+    size = len(clean)
+    counts = lambda docs: np.bincount(np.concatenate([np.empty(0, int), *docs]), minlength=size)
+    chosen = np.flatnonzero(_ratio(counts(toxic_docs), clean, len(toxic_docs), n_clean) > SURE).tolist()
+    left = [d for d in toxic_docs if not np.isin(d, chosen).any()]
+    while left and size and len(chosen) < LEXICON:
+        ratio = _ratio(counts(left), clean, len(left), n_clean)
+        best = int(ratio.argmax())
+        if ratio[best] < EVIDENCE:
+            break
+        chosen.append(best)
+        left = [d for d in left if best not in d]
+    return chosen
+
+
 def _lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
-    """Entries far more frequent in toxic documents: odds over e**3 and a log-likelihood ratio over ``EVIDENCE``, most telling first."""
-    texts = sample.dropDuplicates(["text"])
+    """Candidates that are clearly more frequent in toxic documents, then those of them that explain the documents."""
+    texts = written(sample.dropDuplicates(["text"]), "tox-distinct")
     sums = texts.mapInPandas(_word_counts, "mark string, clean long, toxic long").groupBy("mark").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     t, c, share = F.col("t"), F.col("c"), n_toxic / max(1, n_toxic + n_clean)
     odds = F.log((t + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))
     ratio = 2 * (t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0))
-    kept = sums.where("t >= 3").withColumn("odds", odds).withColumn("ratio", ratio).where(f"odds > 3 and ratio > {EVIDENCE}")
-    return [r.mark for r in kept.orderBy(F.desc("ratio"), "mark").limit(LEXICON).collect()]
+    kept = sums.where("t >= 3").withColumn("odds", odds).withColumn("ratio", ratio).where(f"odds > {ODDS} and ratio > {EVIDENCE / 2}")
+    rows = kept.orderBy(F.desc("ratio"), "mark").limit(LEXICON).collect()
+    marks, number = [r.mark for r in rows], {r.mark: k for k, r in enumerate(rows)}
+
+    def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [sorted({number[m] for w in set(TOKEN.findall(x.lower())) for m in _marks(w) if m in number}) for x in pdf["text"]]
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "hits": found})
+
+    docs = texts.where("toxic = 1").mapInPandas(hits, "doc_id long, hits array<int>").orderBy("doc_id").toPandas()  # bounded by the sample
+    return [marks[k] for k in cover([np.asarray(h, int) for h in docs["hits"]], np.array([r.c for r in rows], float), n_clean)]
 
 
 def _windows(batches: Iterator[pd.DataFrame], lexicon: dict[str, int]) -> Iterator[pd.DataFrame]:

@@ -135,7 +135,7 @@ def zip_manifest(files: DataFrame, depth: int = 2) -> DataFrame:
             yield pd.DataFrame([x for blob in pdf["content"] for x in members(bytes(blob), depth)], columns=["year", "number"])
 
     found = files.select("content").mapInPandas(read, "year long, number long").distinct()
-    return found.select(F.concat(F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("number").cast("string"), 4, "0")).alias("code"), "year", "number")
+    return found.select(F.concat(F.col("year").cast("string"), F.lit("-"), F.when(F.col("number") < 1000, F.lpad(F.col("number").cast("string"), 4, "0")).otherwise(F.col("number").cast("string"))).alias("code"), "year", "number")
 
 
 def manifest_pages(manifest: DataFrame, size: int = 100) -> DataFrame:

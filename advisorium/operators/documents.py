@@ -13,39 +13,36 @@ from ..functions import times as D
 # Per provider the detail fields by role, in order of priority.
 ROLES = ("identity", "title", "cve", "severity", "published", "updated", "source", "volatile")
 PROVIDER_RULES: dict[str, dict[str, list[str]]] = {
-    name: dict(zip(ROLES, [field.split() for field in row.split(";")]))
-    for name, row in {
-        "avd": ";;cve_id;danger_level;attack_metrics.disclosure_date;;;",
-        "cisco": "advisory_id;title;cve_id cve_ids;sir;first_published;last_updated;publication_url;",
-        "cnnvd": "cnnvdId;vulName;cveId cveCode;vulLevel hazardLevel;publishDate publishTime;updateTime;;",
-        "cnvd": "cnvd_id;title;cve_ids;severity;published_date;updated_date;;click_count comment_count follow_count clickCount commentCount followCount",
-        "cve": "cve_id;title;cve_id;;published;last_modified;;vuln_status affected_products",
-        "fortiguard": "advisory_id;title;cve_ids;severity;published_date;updated_date;csaf_url cvrf_url;",
-        "github_advisory": "ghsa_id;;cve_id cve_ids;severity;published_at;updated_at;html_url api_url;",
-        "govcert": "alert_code;;cve_ids;severity;published_date;;;",
-        "hikvision": "advisory_id;title;cve_ids;severity;initial_release_date published_date;updated_date;;",
-        "hkcert": ";;vulnerability_identifiers;risk_level;release_date;last_update_date;;views",
-        "hpe": "doc_id;title;cve_ids;severity;release_date published_date;last_updated;;",
-        "huawei_sa": "sasnNo sasnId;title;cve_ids;severity;publishDate;;;",
-        "infosec": "alert_code;;cve_ids;;published_date;;;",
-        "juniper": "article_id;title;cve_ids;;published_date;updated_date;;",
-        "msrc": "cve_id document_id;title;cve_id;;initial_release_date;current_release_date;;",
-        "nvd": "cve_id;title;cve_id;severity;published_at published_date;updated_at last_modified;detail_url;vuln_status",
-        "paloalto": "advisory_id;title;cve_ids;severity;published_date;updated_date;;",
-        "qianxin": "article_id;title;cve_ids;level;published_at published_date;updated_at updated_date;;read_num prev_article next_article",
-        "ransomwarelive": ";victim;;;attackdate;discovered;;",
-        "splunk": "advisory_id;title;cve_id cve_ids;severity;published_date;last_modified;;",
-        "wiz": "feed_guid;title;cve_ids;;published_at;updated_at;article_url;",
-        "zeroday": ";;cve_id;;disclosed_date;patched_date;;",
-        "zimbra": "version;title;;;release_date;;reference_links;",
-    }.items()
-}
+    "avd": {"cve": ["cve_id"], "severity": ["danger_level"], "published": ["attack_metrics.disclosure_date"]},
+    "cisco": {"identity": ["advisory_id"], "title": ["title"], "cve": ["cve_id", "cve_ids"], "severity": ["sir"], "published": ["first_published"], "updated": ["last_updated"], "source": ["publication_url"]},
+    "cnnvd": {"identity": ["cnnvdId"], "title": ["vulName"], "cve": ["cveId", "cveCode"], "severity": ["vulLevel", "hazardLevel"], "published": ["publishDate", "publishTime"], "updated": ["updateTime"]},
+    "cnvd": {"identity": ["cnvd_id"], "title": ["title"], "cve": ["cve_ids"], "severity": ["severity"], "published": ["published_date"], "updated": ["updated_date"], "volatile": ["click_count", "comment_count", "follow_count", "clickCount", "commentCount", "followCount"]},
+    "cve": {"identity": ["cve_id"], "title": ["title"], "cve": ["cve_id"], "published": ["published"], "updated": ["last_modified"], "volatile": ["vuln_status", "affected_products"]},
+    "fortiguard": {"identity": ["advisory_id"], "title": ["title"], "cve": ["cve_ids"], "severity": ["severity"], "published": ["published_date"], "updated": ["updated_date"], "source": ["csaf_url", "cvrf_url"]},
+    "github_advisory": {"identity": ["ghsa_id"], "cve": ["cve_id", "cve_ids"], "severity": ["severity"], "published": ["published_at"], "updated": ["updated_at"], "source": ["html_url", "api_url"]},
+    "govcert": {"identity": ["alert_code"], "cve": ["cve_ids"], "severity": ["severity"], "published": ["published_date"]},
+    "hikvision": {"identity": ["advisory_id"], "title": ["title"], "cve": ["cve_ids"], "severity": ["severity"], "published": ["initial_release_date", "published_date"], "updated": ["updated_date"]},
+    "hkcert": {"cve": ["vulnerability_identifiers"], "severity": ["risk_level"], "published": ["release_date"], "updated": ["last_update_date"], "volatile": ["views"]},
+    "hpe": {"identity": ["doc_id"], "title": ["title"], "cve": ["cve_ids"], "severity": ["severity"], "published": ["release_date", "published_date"], "updated": ["last_updated"]},
+    "huawei_sa": {"identity": ["sasnNo", "sasnId"], "title": ["title"], "cve": ["cve_ids"], "severity": ["severity"], "published": ["publishDate"]},
+    "infosec": {"identity": ["alert_code"], "cve": ["cve_ids"], "published": ["published_date"]},
+    "juniper": {"identity": ["article_id"], "title": ["title"], "cve": ["cve_ids"], "published": ["published_date"], "updated": ["updated_date"]},
+    "msrc": {"identity": ["cve_id", "document_id"], "title": ["title"], "cve": ["cve_id"], "published": ["initial_release_date"], "updated": ["current_release_date"]},
+    "nvd": {"identity": ["cve_id"], "title": ["title"], "cve": ["cve_id"], "severity": ["severity"], "published": ["published_at", "published_date"], "updated": ["updated_at", "last_modified"], "source": ["detail_url"], "volatile": ["vuln_status"]},
+    "paloalto": {"identity": ["advisory_id"], "title": ["title"], "cve": ["cve_ids"], "severity": ["severity"], "published": ["published_date"], "updated": ["updated_date"]},
+    "qianxin": {"identity": ["article_id"], "title": ["title"], "cve": ["cve_ids"], "severity": ["level"], "published": ["published_at", "published_date"], "updated": ["updated_at", "updated_date"], "volatile": ["read_num", "prev_article", "next_article"]},
+    "ransomwarelive": {"title": ["victim"], "published": ["attackdate"], "updated": ["discovered"]},
+    "splunk": {"identity": ["advisory_id"], "title": ["title"], "cve": ["cve_id", "cve_ids"], "severity": ["severity"], "published": ["published_date"], "updated": ["last_modified"]},
+    "wiz": {"identity": ["feed_guid"], "title": ["title"], "cve": ["cve_ids"], "published": ["published_at"], "updated": ["updated_at"], "source": ["article_url"]},
+    "zeroday": {"cve": ["cve_id"], "published": ["disclosed_date"], "updated": ["patched_date"]},
+    "zimbra": {"identity": ["version"], "title": ["title"], "published": ["release_date"], "source": ["reference_links"]},
+}
 REGISTERED = sorted(PROVIDER_RULES)
 
 
 def role_fields(provider: Column, role: str) -> Column:
     """array<string> of the detail fields with a role: a constant map, so the look-up folds into the plan."""
-    pairs = [x for name, rules in PROVIDER_RULES.items() for x in (F.lit(name), F.array(*[F.lit(f) for f in rules[role]]).cast("array<string>"))]
+    pairs = [x for name, rules in PROVIDER_RULES.items() for x in (F.lit(name), F.array(*[F.lit(f) for f in rules.get(role, [])]).cast("array<string>"))]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), provider), F.array().cast("array<string>"))
 
 

@@ -5,8 +5,9 @@ node is required, optional ``( )?`` or repeated ``( )+``, and every text is a co
 It starts as the first page; each further page is aligned with it level by level: equal elements
 pair off in order, what only one side has becomes optional, equal neighbours fold into a repeated
 group, and texts that differ become slots.  Tasks fold their own pages, partial wrappers are aligned
-in two more steps, so a host with a third of all pages is spread like any other.  The wrapper then
-tells which text slots are the article; pages are read with those paths.
+in two more steps, so a host with a third of all pages is spread like any other.  Pages of a host
+with article, with main, with both and with neither are templates of their own, each with its
+wrapper.  The wrapper then tells which text slots are the article; pages are read with those paths.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,9 @@ FURNITURE_WORDS = frozenset(
     "replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
 ROOT_TAGS = ("article", "main")
+ROOT_SHARE = 0.5  # an element is the article if it holds this share of the free text outside links
+CONSTANT_PAGES = 3  # pages from which a text that never differs is part of the template
+LONG_TEXT = 200  # longer constants are held as digests
 P_ENDERS = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
@@ -106,7 +111,7 @@ class Node:
 
     def __str__(self) -> str:
         if self.label == "#":
-            body = "#TEXT" if self.text is None else self.text
+            body = "#TEXT" if self.text is None or self.text[:1] == "\0" else self.text
         else:
             body = f"<{self.label}>{''.join(map(str, self.children))}</>"
         return f"({body})+" if self.repeated else f"({body})?" if self.optional else body
@@ -126,7 +131,7 @@ def page_tree(page: str) -> Node:
             done.children = fold_neighbours(done.children)
         elif not value.isspace():
             value = " ".join(value.split())
-            path[-1].children.append(Node("#", text=value if len(value) <= 200 else None, chars=len(value)))
+            path[-1].children.append(Node("#", text=value if len(value) <= LONG_TEXT else "\0" + xxhash.xxh3_128_hexdigest(value.encode("utf-8", "surrogatepass")), chars=len(value)))
     root.children = fold_neighbours(root.children)
     return root
 
@@ -187,8 +192,13 @@ def _is_furniture(label: str, in_root: bool) -> bool:
     return any(w in FURNITURE_WORDS for mark in marks for w in re.split(r"[^a-z]+", mark))
 
 
-def content_paths(wrapper: Node) -> list[str]:
-    """The paths of the text slots that are the article: those under article or main, else under the element that holds most of the free text."""
+def path_choices(wrapper: Node) -> list[list[str]]:
+    """Sets of paths of the text slots that are the article, the likeliest first; a page is read with the first one that gives it a text.
+
+    That is what lies under article, else under main, where they hold most of the free text, else
+    under the element that does; then the same without that condition.  Free are slots and what
+    too few pages show to call it constant.  A constant counts only inside a block with free text.
+    """
     slots: list[tuple[tuple[str, ...], Node]] = []
 
     def walk(node: Node, path: tuple[str, ...], in_root: bool) -> None:
@@ -199,24 +209,33 @@ def content_paths(wrapper: Node) -> list[str]:
                 walk(c, (*path, c.label), in_root or c.label.split(".")[0] in ROOT_TAGS)
 
     walk(wrapper, (), False)
-    for tag in ROOT_TAGS:
-        inside = {p for p, _ in slots if any(x.split(".")[0] == tag for x in p)}
-        if inside:
-            return sorted("/".join(p) for p in inside)
-    free = [(p, s) for p, s in slots if s.text is None or s.pages < 3]
+    tags = lambda p: {x.split(".")[0] for x in p}
+    free = [(p, s) for p, s in slots if s.text is None or s.pages < CONSTANT_PAGES] or slots  # pages that are copies of one page have no template to tell
     weight: dict[tuple[str, ...], int] = {}
+    under = dict.fromkeys(ROOT_TAGS, 0)
     for p, s in free:
-        if not any(x.split(".")[0] == "a" for x in p):
+        if "a" not in tags(p):
             for k in range(len(p) + 1):
                 weight[p[:k]] = weight.get(p[:k], 0) + s.chars
-    if not weight:
-        return []
-    blocks = [p for p in weight if not p or p[-1].split(".")[0] not in INLINE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li"}]
-    total = weight[()]
-    root = max((p for p in blocks if weight[p] >= 0.6 * total), key=len, default=())
+            for tag in tags(p) & under.keys():
+                under[tag] += s.chars
     block = lambda p: p[: max((k + 1 for k, x in enumerate(p) if x.split(".")[0] not in INLINE), default=0)]
-    varied = {block(p) for p, _ in free}  # a constant phrase inside a block with free text belongs to it
-    return sorted({"/".join(p) for p, _ in slots if p[: len(root)] == root and block(p) in varied})
+    varied = {block(p) for p, _ in free}
+    inside = lambda ok: sorted({"/".join(p) for p, _ in slots if ok(p) and block(p) in varied})
+    total = weight.get((), 0)
+    found = {tag: inside(lambda p, tag=tag: tag in tags(p)) for tag in ROOT_TAGS}
+    choices = [found[tag] for tag in ROOT_TAGS if under[tag] >= ROOT_SHARE * total]
+    if weight:
+        blocks = [p for p in weight if not p or p[-1].split(".")[0] not in INLINE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li"}]
+        root = max((p for p in blocks if weight[p] >= 0.6 * total), key=len, default=())
+        choices.append(inside(lambda p: p[: len(root)] == root))
+    choices += found.values()
+    return [c for k, c in enumerate(choices) if c and c not in choices[:k]]
+
+
+def content_paths(wrapper: Node) -> list[str]:
+    """The likeliest paths of the article's text slots."""
+    return next(iter(path_choices(wrapper)), [])
 
 
 def main_text(page: str | None, paths: frozenset[str]) -> str:
@@ -242,34 +261,41 @@ def main_text(page: str | None, paths: frozenset[str]) -> str:
 
 
 def _fold_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    found: dict[str, Node] = {}
+    found: dict[tuple[str, str], Node] = {}
     for pdf in batches:
-        for host, page in zip(pdf["host"], pdf["html"]):
-            tree = page_tree(page)
-            found[host] = align(found[host], tree) if host in found else tree
+        for host, variant, page in zip(pdf["host"], pdf["variant"], pdf["html"]):
+            tree, key = page_tree(page), (host, variant)
+            found[key] = align(found[key], tree) if key in found else tree
     if found:
-        yield pd.DataFrame({"host": list(found), "wrapper": [json.dumps(n.dump(), ensure_ascii=False) for n in found.values()]})
+        yield pd.DataFrame({"host": [h for h, _ in found], "variant": [v for _, v in found], "wrapper": [json.dumps(n.dump(), ensure_ascii=False) for n in found.values()]})
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """pages(url, html) -> host, wrapper (text of the expression), paths (of the article's text slots); from every page."""
+    """pages(url, html) -> host, variant, wrapper (text of the expression), paths (of the article's text slots), others (less likely ones); from every page."""
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         nodes = [Node.load(json.loads(w)) for w in sorted(pdf["wrapper"])]
         total = nodes[0]
         for n in nodes[1:]:
             total = align(total, n)
-        return pd.DataFrame({"host": pdf["host"].iloc[:1], "wrapper": [json.dumps(total.dump(), ensure_ascii=False)]})
+        return pd.DataFrame({"host": pdf["host"].iloc[:1], "variant": pdf["variant"].iloc[:1], "wrapper": [json.dumps(total.dump(), ensure_ascii=False)]})
 
     def final(pdf: pd.DataFrame) -> pd.DataFrame:
         one = merge(pdf)
         node = Node.load(json.loads(one["wrapper"].iloc[0]))
-        return pd.DataFrame({"host": one["host"], "wrapper": [str(node)], "paths": [content_paths(node)]})
+        choices = path_choices(node) or [[]]
+        return pd.DataFrame({"host": one["host"], "variant": one["variant"], "wrapper": [str(node)], "paths": [choices[0]], "others": [choices[1:]]})
+
+    schema = "host string, variant string, wrapper string"
+    rows = pages.where("html is not null").select(host_of("url").alias("host"), variant_of("html").alias("variant"), "html")
+    parts = rows.mapInPandas(_fold_pages, schema)
+    parts = parts.groupBy("host", "variant", F.pmod(F.xxhash64("wrapper"), F.lit(FOLDS)).alias("part")).applyInPandas(lambda key, pdf: merge(pdf), schema)
+    return parts.groupBy("host", "variant").applyInPandas(final, schema + ", paths array<string>, others array<array<string>>")
+
 
-    rows = pages.where("html is not null").select(host_of("url").alias("host"), "html")
-    parts = rows.mapInPandas(_fold_pages, "host string, wrapper string")
-    parts = parts.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(FOLDS)).alias("part")).applyInPandas(lambda key, pdf: merge(pdf), "host string, wrapper string")
-    return parts.groupBy("host").applyInPandas(final, "host string, wrapper string, paths array<string>")
+def variant_of(html: str):
+    """Which of the root elements a page has, as text."""
+    return F.concat_ws("+", *[F.when(F.col(html).rlike(rf"(?i)<{tag}[\s/>]"), tag) for tag in ROOT_TAGS])
 
 
 def host_of(url: str):
@@ -283,18 +309,19 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Null or empty html gives an empty text; pages without a host share the host ''.  Repeated rows
     come back repeated; an empty table gives an empty result; other columns are not read.  The
     wrapper table is broadcast only if it was measured to be under BROADCAST_BYTES, else joined by
-    shuffle (a hot host is then split by AQE).
+    shuffle (a hot host is then split by AQE).  A page on which the likeliest slots hold no text is
+    read with the next likely ones.
     """
     small_batches()
     pages = pages.select("page_id", "url", "html")
-    wrappers = written(infer_wrappers(pages), "wrappers").select("host", "paths")
-    size = wrappers.agg(F.sum(F.length("host") + F.length(F.array_join("paths", ""))).alias("n")).first().n or 0
-    keyed = pages.withColumn("host", host_of("url"))
-    joined = keyed.join(F.broadcast(wrappers) if size < BROADCAST_BYTES else wrappers, "host", "left")
+    wrappers = written(infer_wrappers(pages), "wrappers").select("host", "variant", F.concat(F.array("paths"), "others").alias("choices"))
+    size = wrappers.agg(F.sum(F.length("host") + F.length(F.array_join(F.flatten("choices"), ""))).alias("n")).first().n or 0
+    keyed = pages.withColumn("host", host_of("url")).withColumn("variant", variant_of("html"))
+    joined = keyed.join(F.broadcast(wrappers) if size < BROADCAST_BYTES else wrappers, ["host", "variant"], "left")
 
     @F.pandas_udf("string")
     def extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for page, paths in batches:
-            yield pd.Series([main_text(h, frozenset(p) if p is not None else frozenset()) for h, p in zip(page, paths)], dtype=object)
+        for page, choices in batches:
+            yield pd.Series([next(filter(None, (main_text(h, frozenset(p)) for p in c)), "") if c is not None else "" for h, c in zip(page, choices)], dtype=object)
 
-    return joined.select("page_id", "url", extract("html", "paths").alias("text"))
+    return joined.select("page_id", "url", extract("html", "choices").alias("text"))

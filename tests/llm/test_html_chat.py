@@ -43,6 +43,25 @@ def test_optional_and_cut_pages():
     assert main_text("<article><h1>y</h1><p>cut <b>of", paths | {"article/p/b"}) == "y cut of"
 
 
+def texts_of(spark, bodies, host="https://mix.example.org/"):
+    df = spark.createDataFrame([(i, host, f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)], "page_id long, url string, html string").repartition(3)
+    return [r.text for r in sorted(extract_main_text(df).collect())]
+
+
+def test_host_with_several_templates(spark):
+    words = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(16)]
+    teaser = "".join(f"<article><a href=/>more {k}</a></article>" for k in range(3))
+    shapes = ["<article><p>{}</p></article>", "<main><p>{}</p></main>", "<div><p>{}</p></div>", "<article></article><div><p>{}</p></div>"]
+    assert texts_of(spark, [shapes[i % 4].format(w) for i, w in enumerate(words)]) == words
+    assert texts_of(spark, [f"{teaser}<main><p>{w}</p></main>" for w in words]) == words
+
+
+def test_constants_inside_the_article_are_template(spark):
+    body = "<article><h1>T{0}</h1><div>Read our terms.</div><p>text {0} <i>by</i> a{0}</p>{1}</article>"
+    assert texts_of(spark, [body.format(i, "<section>Only here</section>" * (i % 2)) for i in range(8)]) == [f"T{i} text {i} by a{i}" for i in range(8)]
+    assert texts_of(spark, ["<article><h1>Same</h1><p>" + "copied " * 60 + "</p></article>"] * 4) == ["Same " + ("copied " * 60).strip()] * 4
+
+
 TOOLS = {"add": {"a": ("integer", True), "b": ("integer", True)}, "say": {"text": ("string", True), "loud": ("boolean", False)}}
 
 

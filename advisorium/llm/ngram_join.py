@@ -14,6 +14,8 @@ size of a set, so that a fragment of a document holds a few n-grams.
   still in different components afterwards is compared in blocks of bounded size, through the
   length bound and a parity sketch whose Hamming distance never exceeds the true difference.
 * Candidates are verified exactly: overlaps are counted per fragment and summed per pair.
+* All links of a set lie inside its component.  They are counted there, every two members once,
+  in blocks of bounded size and as one number per member: no pair leaves a task.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from .components import connected_components
 SKETCH_WORDS = 16  # 1024 parity bits for each set
 VERIFY_BITS = 2  # verification counts overlaps in 4 fragments
 BLOCK = 8192  # members of a key that one task compares with as many others
+LINK_BLOCK = 4096  # members of a component whose links one task counts with as many others
+LINK_GRAMS = 4_000_000  # n-grams of those members, at most
 CACHE_WORDS = 300_000
 _U = np.uint64
 
@@ -215,12 +219,70 @@ def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int)
     return summed.where(f"{den} * common >= {num} * (total - common)").select("a", "b")
 
 
-def ngram_jaccard_groups(docs: DataFrame, words: int = 3, threshold: tuple[int, int] = (90, 100)) -> DataFrame:
+def _count_links(table: pa.Table, num: int, den: int) -> pa.Table:
+    """The members of two blocks of a component (or of one): id, documents that it links to in the other block."""
+    ids, block, docs = (table[x].to_numpy() for x in ("id", "block", "docs"))
+    grams = table["grams"].combine_chunks()
+    n = np.diff(grams.offsets.to_numpy()).astype(np.int32)
+    row = np.repeat(np.arange(len(n)), n)
+    _, col, count = np.unique(grams.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shared = count[col] > 1  # what one member alone has is common to no pair
+    row, col = row[shared], (np.cumsum(count > 1) - 1)[col[shared]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    bi, bj = table["bi"][0].as_py(), table["bj"][0].as_py()
+    left, right = np.flatnonzero(block == bi), np.flatnonzero(block == bj)
+    common = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, LINK_BLOCK):
+        at = slice(*np.searchsorted(col, [lo, lo + LINK_BLOCK]))
+        has = np.zeros((len(n), LINK_BLOCK), np.float32)
+        has[row[at], col[at] - lo] = 1
+        common += has[left] @ has[right].T
+    total = np.zeros(len(n), np.int64)
+    for lo in range(0, len(left), 256):
+        part = left[lo : lo + 256]
+        both = common[lo : lo + 256].astype(np.int64)
+        linked = (den + num) * both >= num * (n[part, None] + n[None, right].astype(np.int64))
+        if bi == bj:
+            linked[np.arange(len(part)), np.arange(lo, lo + len(part))] = False
+        else:
+            total[right] += docs[part] @ linked
+        total[part] += linked @ docs[right]
+    return pa.table({"id": ids, "n": total})
+
+
+def _links(comp: DataFrame, links: DataFrame, classes: DataFrame, sizes: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """id, n_links of the classes that are linked with other ones: how many documents of other classes they link to."""
+    named = comp.join(classes.select(F.col("cls").alias("id"), "docs"), "id").join(sizes, "id")
+    edges = links.select(F.col("a").alias("id")).join(comp, "id").groupBy("component").agg(F.count("*").alias("edges"))
+    groups = named.groupBy("component").agg(F.count("*").alias("size"), F.sum("docs").alias("all"), F.sum("n").alias("grams"))
+    groups = written(groups.join(edges, "component"), "groups")
+    named = written(named.join(groups, "component"), "named")
+    whole = named.where("edges * 2 = size * (size - 1)").select("id", (F.col("all") - F.col("docs")).alias("n_links"))
+    blocks = F.greatest(F.ceil(F.col("size") / LINK_BLOCK), F.ceil(F.col("grams") / LINK_GRAMS)).cast("int")
+    rest = written(named.where("edges * 2 < size * (size - 1)").select("id", "component", "docs", blocks.alias("blocks")), "rest")
+    texts = by_ids(docs, rest.select(F.col("id").alias("doc_id")), "left_semi").dropDuplicates(["doc_id"])
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"id": pdf["doc_id"], "grams": [shingle_hashes(t, words).view(np.int64) for t in pdf["text"]]})
+
+    rows = texts.mapInPandas(sets, "id long, grams array<long>").join(rest, "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = (
+        rows.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("component", F.least("block", "to").alias("bi"), F.greatest("block", "to").alias("bj"), "block", "id", "docs", "grams")
+    )
+    counted = rows.groupBy("component", "bi", "bj").applyInArrow(lambda t: _count_links(t, num, den), "id long, n long")
+    return whole.unionByName(counted.groupBy("id").agg(F.sum("n").alias("n_links")))
+
+
+def ngram_jaccard_groups(docs: DataFrame, words: int = 3, threshold: tuple[int, int] = (90, 100), count_links: bool = True) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, class_id, component_id, n_links.
 
     ``class_id`` is the smallest doc_id with the same n-gram set, ``component_id`` the smallest
-    doc_id that links reach.  ``n_links`` counts the verified links of the class that the
-    component was built from.  Null, empty and blank texts have no n-grams and link with nothing;
+    doc_id that links reach.  ``n_links`` is the number of other documents that the document is
+    linked with, those with the same n-grams included; without ``count_links`` the column is left
+    out.  Null, empty and blank texts have no n-grams and link with nothing;
     a text with fewer words than ``words`` is one n-gram.  Repeated rows come back repeated; rows
     that share a doc_id count as one document.  An empty table gives an empty result; columns
     other than doc_id and text are ignored.
@@ -233,8 +295,8 @@ def ngram_jaccard_groups(docs: DataFrame, words: int = 3, threshold: tuple[int,
         docs.mapInPandas(lambda it: _sets(it, words, plan), "doc_id long, n long, sig binary, keys array<long>, sketch array<long>, wide array<long>"), "sets"
     )
     filled = sets.where("n > 0")
-    classes = written(filled.groupBy("sig").agg(F.min("doc_id").alias("cls"), F.count("*").alias("rows")), "classes")
-    copies = filled.select("sig", "doc_id").join(classes.where("rows > 1"), "sig").where("doc_id <> cls").select("doc_id").distinct()
+    classes = written(filled.select("sig", "doc_id").distinct().groupBy("sig").agg(F.min("doc_id").alias("cls"), F.count("*").alias("docs")), "classes")
+    copies = filled.select("sig", "doc_id").join(classes.where("docs > 1"), "sig").where("doc_id <> cls").select("doc_id").distinct()
     one = by_ids(filled.where(F.size("keys") > 0), written(copies, "copies"), "left_anti")
     one = one.select(F.col("doc_id").alias("id"), "n", "keys", "sketch", "wide")
     keys = one.select("id", F.explode("keys").alias("key"))
@@ -274,9 +336,13 @@ def ngram_jaccard_groups(docs: DataFrame, words: int = 3, threshold: tuple[int,
         links = links.unionByName(more)
         comp = written(connected_components(links), "labels")
 
-    degree = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("n_links"))
-    where = classes.join(comp.withColumnRenamed("id", "cls"), "cls", "left").join(degree.withColumnRenamed("id", "cls"), "cls", "left")
-    where = where.select("sig", "cls", F.coalesce("component", "cls").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    hit = filled.select("doc_id", "n", "sig").join(where, "sig").select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), "component_id", "n_links")
+    where = classes.join(comp.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component_id", F.coalesce("component", "cls"))
+    if count_links:
+        degree = written(_links(comp, links, classes, facts.select("id", "n").distinct(), docs, words, num, den), "degrees")
+        free_shuffles(docs.sparkSession)
+        where = where.join(degree.withColumnRenamed("id", "cls"), "cls", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("docs") - 1)
+    extra = ["n_links"] * count_links
+    where = where.select("sig", "cls", "component_id", *extra)
+    hit = filled.select("doc_id", "n", "sig").join(where, "sig").select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), "component_id", *extra)
     none = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    return hit.unionByName(none)
+    return hit.unionByName(none.select(hit.columns))

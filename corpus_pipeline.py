@@ -42,7 +42,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word n-grams at 0.8 or more the smallest doc_id stays."""
-    groups = ngram_jaccard_groups(docs, words=5, threshold=(80, 100))
+    groups = ngram_jaccard_groups(docs, words=5, threshold=(80, 100), count_links=False)
     dropped = written(groups.where("doc_id <> component_id").select("doc_id"), "dropped")
     return by_ids(docs, dropped, "left_anti").select(*docs.columns)
 

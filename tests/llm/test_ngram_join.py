@@ -75,3 +75,31 @@ def test_empty_table(spark):
 def test_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "a b c d")], "doc_id long, text string")
     assert sorted((r.doc_id, r.component_id) for r in ngram_jaccard_groups(docs).collect()) == [(1, 1), (1, 1), (2, 1)]
+
+
+def degrees(rows, words, num, den):
+    """Links of each document by brute force."""
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
+    linked = lambda a, b: a and b and den * len(a & b) >= num * len(a | b)
+    return {i: sum(1 for j in sets if j != i and linked(sets[i], sets[j])) for i in sets}
+
+
+@pytest.mark.parametrize("words,limit,seed", [(3, (90, 100), 1), (3, (80, 100), 3)])
+def test_links_of_each_document_equal_brute_force(spark, monkeypatch, words, limit, seed):
+    import advisorium.llm.ngram_join as m
+
+    rows = corpus(seed)
+    rows += [(1000 + k, rows[k % 7][1]) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (4096, 5):
+        monkeypatch.setattr(m, "LINK_BLOCK", block)
+        assert {r.doc_id: r.n_links for r in ngram_jaccard_groups(docs, words, limit).collect()} == degrees(rows, words, *limit)
+
+
+def test_every_member_of_a_group_that_all_links_counts_all(spark):
+    base = " ".join(f"b{k}" for k in range(200))
+    docs = spark.createDataFrame([(i, f"{base} own{i}") for i in range(60)], "doc_id long, text string")
+    assert {r.n_links for r in ngram_jaccard_groups(docs).collect()} == {59}

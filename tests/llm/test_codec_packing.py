@@ -15,6 +15,7 @@ from advisorium.llm.packing import VOCABULARY, _encoder, combinations, make_plan
 
 HF = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 HF.encode_special_tokens = True
+DEFAULT = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 SP = sentencepiece.SentencePieceProcessor(model_file=pc.MODEL)
 TEXTS = st.text(alphabet=st.one_of(st.sampled_from("ab éß日🎉  \n\t'.,1２▁"), st.characters(codec="utf-8", exclude_categories=["Cs"])), max_size=80)
 
@@ -119,3 +120,13 @@ def test_plan_never_uses_more_than_there_is(counts):
 def test_repeated_rows_are_packed_each(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a b")], "doc_id long, text string")
     assert pack_documents(df).agg(F.sum("length")).first()[0] == 2 * len(_encoder(VOCABULARY)("a b") + [0])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(TEXTS, st.sampled_from(["<|endoftext|>", " <|endoftext|> ", "<|endoftext", "|>"])), max_size=8).map("".join))
+def test_ids_equal_the_tokenizers_library_at_its_defaults(text):
+    assert _encoder(VOCABULARY)(text) == DEFAULT.encode(text, add_special_tokens=False).ids
+
+
+def test_added_token_is_one_id():
+    assert _encoder(VOCABULARY)("a <|endoftext|> b") == [64, 220, 50256, 275]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,14 +100,16 @@ def cvrf_explode(documents: DataFrame) -> DataFrame:
     return out.where("cve is not null")
 
 
-def product_tree(nodes: DataFrame, max_depth: int = 16) -> DataFrame:
-    """nodes(id, parent, name) -> id, name, depth: level by level from the roots, as deep as the tree goes."""
+def product_tree(nodes: DataFrame) -> DataFrame:
+    """nodes(id, parent, name) -> id, name, depth: level by level from the roots, as deep as the tree goes; a circle is an error."""
     roots = nodes.where("parent is null").select("id", "name", F.lit(1).alias("depth"))
-    level, out = roots, roots
-    for depth in range(2, max_depth + 1):
+    level, out, most = roots, roots, nodes.select("id").distinct().count()
+    for depth in itertools.count(2):
         level = nodes.join(level.select(F.col("id").alias("parent")), "parent", "left_semi").select("id", "name", F.lit(depth).alias("depth"))
         if level.isEmpty():
             break
+        if depth > most:
+            raise ValueError("the nodes form a circle")
         out = out.unionByName(level)
     return out
 

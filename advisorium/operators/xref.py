@@ -53,20 +53,28 @@ def not_committed(page: DataFrame, ledger: DataFrame) -> DataFrame:
     return page.join(latest, "identity", "left").where("_committed is null or _committed < observed_at").drop("_committed")
 
 
-def text_matches(texts: DataFrame, terms: DataFrame, words: int = 3) -> DataFrame:
-    """texts(id, text), terms(term) -> id, term, pos: dictionary terms of up to ``words`` words that occur as whole words.
+def _plain(text: str) -> Column:
+    """Lower-case letters and digits of any script and #, all else a space."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}#]+", " "))
 
-    Word n-grams meet terms in an equi-join; nothing compares every term with every text.
+
+def text_matches(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """texts(id, text), terms(term) -> id, term, pos: dictionary terms that occur as whole words.
+
+    Texts and terms are made plain alike.  Word n-grams of every word count that a term has meet
+    terms in an equi-join; nothing compares every term with every text.
     """
-    split = F.split(F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9#]+", " ")), " ")
-    t = texts.select("id", split.alias("w"))
+    t = texts.select("id", F.split(_plain("text"), " ").alias("w"))
+    wanted = terms.select("term", _plain("term").alias("plain")).where("plain <> ''").distinct()
+    counts = sorted(r.n for r in wanted.select(F.size(F.split("plain", " ")).alias("n")).distinct().collect())
 
     def grams_of(n: int) -> Column:
-        return F.transform("w", lambda _, i: F.struct(i.alias("pos"), F.array_join(F.slice("w", i + 1, F.lit(n)), " ").alias("term")))
+        return F.transform("w", lambda _, i: F.struct(i.alias("pos"), F.array_join(F.slice("w", i + 1, F.lit(n)), " ").alias("plain")))
 
-    grams = [grams_of(n) for n in range(1, words + 1)]
-    flat = t.select("id", F.explode(F.flatten(F.array(*grams))).alias("g")).select("id", "g.pos", "g.term")
-    return flat.groupBy("id", "term").agg(F.min("pos").alias("pos")).join(terms.select("term").distinct(), "term")
+    grams = [grams_of(n) for n in counts or [1]]
+    flat = t.select("id", F.explode(F.flatten(F.array(*grams))).alias("g")).select("id", "g.pos", "g.plain")
+    first = flat.groupBy("id", "plain").agg(F.min("pos").alias("pos"))
+    return first.join(wanted, "plain").select("term", "id", "pos")
 
 
 def nearest(queries: DataFrame, dictionary: DataFrame, threshold: float) -> DataFrame:

@@ -139,3 +139,23 @@ def test_registry_warns_and_skips(caplog):
     assert r["nvd"].rules.title == ("title",) and r.keys() == ["nvd"]
     with pytest.raises(ValueError):
         r.register("nvd", lambda df: df)
+
+
+def test_dictionary_terms_of_any_length_and_script(spark):
+    from advisorium.operators.xref import text_matches
+
+    texts = spark.createDataFrame([(1, "Flaw in Log4j-Core and ASP.NET"), (2, "the big red apache web server is Größe 4")], "id long, text string")
+    terms = spark.createDataFrame([("log4j-core",), ("asp.net",), ("big red apache web server",), ("größe",), ("gr",), ("",)], "term string")
+    assert {(r.id, r.term, r.pos) for r in text_matches(texts, terms).collect()} == {(1, "log4j-core", 2), (1, "asp.net", 5), (2, "big red apache web server", 1), (2, "größe", 7)}
+
+
+def test_product_tree_is_followed_to_its_end(spark):
+    import pytest
+
+    from advisorium.operators.documents import product_tree
+
+    chain = spark.createDataFrame([(f"n{k}", f"n{k - 1}" if k else None, "x") for k in range(18)], "id string, parent string, name string").coalesce(1)
+    assert product_tree(chain).count() == 18
+    circle = spark.createDataFrame([("r", None, "x"), ("a", "r", "x"), ("b", "a", "x"), ("a", "b", "x")], "id string, parent string, name string")
+    with pytest.raises(ValueError):
+        product_tree(circle)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +10,7 @@ from pyspark.sql import functions as F
 
 _OWN_DIRS: dict[str, str] = {}
 BROADCAST_IDS = 1_000_000  # 8 MB of ids
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,22 +23,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors.
+
+    Spark is asked to delete the shuffle files of this one write when it is done, as nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before) if before is not None else spark.conf.unset(SHUFFLE_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Spark deletes the shuffle files of finished steps only once the driver's JVM has collected their handles: ask it to.
-
-    Twice, as the first round only lets go of the handles that Python held.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that the table does not have yet, in upper or lower case."""
+    there = {c.lower() for c in df.columns}
+    while base.lower() in there:
+        base += "_"
+    return base
 
 
 def small_batches(rows: int = 1000) -> None:
@@ -63,11 +67,12 @@ def fold(doc_id: Column, folds: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, name: str, limit: int, by_class: bool = False) -> DataFrame:
     """docs(doc_id, text) with the 0/1 label ``name``, for at most ``limit`` labelled rows.
 
-    The rows are the first in the order of a keyed hash, so the same ones on every run; with
+    Of several labels of a document the larger one counts.  The rows are the first in the order of a
+    keyed hash, so the same ones on every run; with
     ``by_class`` each class has half of the limit.  Only their ids and labels (16 bytes a row, so
     bounded by ``limit``) are broadcast; the texts are filtered where they lie.
     """
-    rows = labels.where(F.col(name).isin(0, 1)).select("doc_id", F.col(name).cast("int").alias(name)).dropDuplicates(["doc_id"])
+    rows = labels.where(F.col(name).isin(0, 1)).groupBy("doc_id").agg(F.max(F.col(name).cast("int")).alias(name))
     first = lambda part, n: part.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(n)
     if by_class:
         picked = first(rows.where(F.col(name) == 1), limit // 2).unionByName(first(rows.where(F.col(name) == 0), limit // 2))

@@ -9,10 +9,15 @@ size of a set, so that a fragment of a document holds a few n-grams.
   least one is therefore the same in every partner: (q, fragment, digest of the fragment) are the
   join keys.  A set near the limit of its size class also gives the keys of the next class.
   A set with fewer than D+1 filled fragments also gives its n-gram prefix as keys.
-* Sets that are equal collapse into one class first, whatever the number of copies.
-* Within a key, members are first compared with the smallest class only (a star).  What is
-  still in different components afterwards is compared in blocks of bounded size, through the
-  length bound and a parity sketch whose Hamming distance never exceeds the true difference.
+* Sets that are equal collapse into one class first, whatever the number of copies.  A class is
+  named by the 64-bit digest of its set, so repeated or missing document ids cannot mix classes.
+* Within a key, members are first compared with the smallest class only (a star).  What is still in
+  different components afterwards is compared in blocks of bounded size, through the length bound
+  and parity sketches whose Hamming distance never exceeds the true difference.  A block hands out
+  at most ``PER_MEMBER`` pairs a member, the nearest of each two components first; where it had
+  more, it is looked at again with wide sketches once those links have joined components, and what
+  is left then is verified in place, where only links that join two components leave the task.  So
+  no key, however hot, gives more rows than a constant times its members, and no pair is skipped.
 * Candidates are verified exactly: overlaps are counted per fragment and summed per pair.
 * All links of a set lie inside its component.  They are counted there, every two members once,
   in blocks of bounded size and as one number per member: no pair leaves a task.
@@ -21,7 +26,7 @@ size of a set, so that a fragment of a document holds a few n-grams.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from fractions import Fraction
 
 import numpy as np
@@ -31,12 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_ids, free_shuffles, small_batches, written
+from .common import by_ids, small_batches, written
 from .components import connected_components
 
 SKETCH_WORDS = 16  # 1024 parity bits for each set
 VERIFY_BITS = 2  # verification counts overlaps in 4 fragments
 BLOCK = 8192  # members of a key that one task compares with as many others
+BLOCK_GRAMS = 4_000_000  # n-grams of those members, about
+PER_MEMBER = 4  # pairs that a block hands out for each member before they are verified in place
 LINK_BLOCK = 4096  # members of a component whose links one task counts with as many others
 LINK_GRAMS = 4_000_000  # n-grams of those members, at most
 CACHE_WORDS = 300_000
@@ -129,66 +136,174 @@ def _sketches(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _sets(batches: Iterator[pd.DataFrame], words: int, plan: _Plan) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+        for doc_id, text in zip(pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None), pdf["text"]):
             s = shingle_hashes(text, words)
-            rows.append((doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), plan.keys(s), *_sketches(s)))
+            rows.append((doc_id, len(s), _name(s), plan.keys(s), *_sketches(s)))
         yield pd.DataFrame(rows, columns=["doc_id", "n", "sig", "keys", "sketch", "wide"])
 
 
-def _fragments(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
+def _name(s: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63
+
+
+def _grams_of(texts: DataFrame, words: int) -> DataFrame:
+    """texts(doc_id, text) -> id (name of the set), grams."""
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [shingle_hashes(t, words) for t in pdf["text"]]
+            yield pd.DataFrame({"id": [_name(s) for s in found], "grams": [s.view(np.int64) for s in found]})
+
+    return texts.mapInPandas(sets, "id long, grams array<long>")
+
+
+def _fragments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-            s = shingle_hashes(text, words)
+        for name, grams in zip(pdf["id"], pdf["grams"]):
+            s = np.asarray(grams, np.int64).view(_U)
             cuts = np.searchsorted(s >> _U(64 - VERIFY_BITS), np.arange(1, 2**VERIFY_BITS, dtype=_U))
-            rows += [(doc_id, i, part.view(np.int64)) for i, part in enumerate(np.split(s, cuts))]
+            rows += [(name, i, part.view(np.int64)) for i, part in enumerate(np.split(s, cuts))]
         yield pd.DataFrame(rows, columns=["id", "fragment", "grams"])
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, bi, bj): the pairs of each block that length, component and sketch allow."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    names = ["key", "bi", "bj", "block", "id", "n", "comp"]
-
-    def pairs(c: dict[str, np.ndarray], sk: np.ndarray) -> pa.RecordBatch:
-        change = (np.diff(c["key"]) != 0) | (np.diff(c["bi"]) != 0) | (np.diff(c["bj"]) != 0)
-        edges = np.concatenate([[0], np.flatnonzero(change) + 1, [len(c["key"])]])
-        left, right = [], []
-        for lo, hi in zip(edges[:-1], edges[1:]):
-            if hi - lo < 2:
-                continue
-            order = lo + np.argsort(c["n"][lo:hi], kind="stable")
-            n, comp, ids, block, bits = c["n"][order], c["comp"][order], c["id"][order], c["block"][order], sk[order]
-            ends = np.searchsorted(n, n * den // num, side="right")  # a partner has at most n / t n-grams
-            apart = c["bi"][lo] != c["bj"][lo]
-            for x, end in enumerate(ends):
-                keep = comp[x + 1 : end] != comp[x]
-                if apart:
-                    keep &= block[x + 1 : end] != block[x]
-                y = x + 1 + np.flatnonzero(keep)
-                for words in (slice(0, 4), slice(0, SKETCH_WORDS)):  # a quarter of the sketch drops most
-                    if len(y):
-                        y = y[np.bitwise_count(bits[y, words] ^ bits[x, words]).sum(axis=1, dtype=np.int64) <= (n[x] + n[y]) * (den - num) // (den + num)]
-                if len(y):
-                    left.append(np.minimum(ids[x], ids[y]))
-                    right.append(np.maximum(ids[x], ids[y]))
-        cat = lambda xs: np.concatenate(xs) if xs else np.empty(0, np.int64)
-        return pa.record_batch([pa.array(cat(left)), pa.array(cat(right))], schema=schema)
+class _Roots:
+    """Union-find over the components that meet in a block."""
+
+    def __init__(self, comp: np.ndarray):
+        _, self.of = np.unique(comp, return_inverse=True)
+
+    def join(self, a: int, b: int) -> None:
+        self.of[self.of == self.of[b]] = self.of[a]
+
+
+def _folded(lists: pa.ListArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each sketch length: where the rows of that length or more are in a matrix of sketches folded to it."""
+    ends, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(_U)
+    size, found = np.diff(ends), {}
+    for length in np.unique(size).tolist():
+        rows = np.flatnonzero((size == length) | (size == 2 * length))
+        out = np.empty((len(rows), length), _U)
+        for k, i in enumerate(rows.tolist()):
+            part = flat[ends[i] : ends[i + 1]]
+            out[k] = part if len(part) == length else part[:length] ^ part[length:]
+        at = np.full(len(size), -1)
+        at[rows] = np.arange(len(rows))
+        found[length] = (at, out)
+    return found
+
+
+def _candidates(table: pa.Table, num: int, den: int, sketch: str, roots: _Roots) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, partners, distances) of one block for every row, smaller sets first: what length, component and sketch allow.
+
+    Components are looked up when a row's turn comes, so that links found meanwhile count.
+    """
+    n, block = table["n"].to_numpy(), table["block"].to_numpy()
+    apart = table["bi"][0].as_py() != table["bj"][0].as_py()
+    lists = table[sketch].combine_chunks()
+    length, folded = np.diff(lists.offsets.to_numpy()), _folded(lists)
+    order = np.argsort(n, kind="stable")
+    ends = np.searchsorted(n[order], n[order] * den // num, side="right")  # a partner has at most n / t n-grams
+    for k, end in enumerate(ends.tolist()):
+        x, y = order[k], order[k + 1 : end]
+        y = y[roots.of[y] != roots.of[x]]
+        if apart:
+            y = y[block[y] != block[x]]
+        at, bits = folded[int(length[x])]
+        y = y[at[y] >= 0]
+        allowed, distance = (n[x] + n[y]) * (den - num) // (den + num), np.zeros(len(y), np.int64)
+        for lo, hi in ((0, 4), (4, 16), (16, bits.shape[1])):  # the first words drop most
+            if hi > lo and lo < bits.shape[1] and len(y):
+                distance += np.bitwise_count(bits[at[y], lo:hi] ^ bits[at[x], lo:hi]).sum(axis=1, dtype=np.int64)
+                keep = distance <= allowed
+                y, distance, allowed = y[keep], distance[keep], allowed[keep]
+        if len(y):
+            yield x, y, distance
+
+
+NEAREST = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("bi", pa.int32()), ("bj", pa.int32())])
+
+
+def _nearest(table: pa.Table, num: int, den: int, sketch: str) -> pa.RecordBatch:
+    """Candidate pairs (a, b) of one block, PER_MEMBER for each row at most; and the block itself (key, bi, bj) if it had more."""
+    ids, roots = table["id"].to_numpy(), _Roots(table["comp"].to_numpy())
+    best: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    more, room = False, PER_MEMBER * len(table)
+    seen = 0
+    for x, y, distance in _candidates(table, num, den, sketch, roots):
+        seen += len(y)
+        order = np.argsort(distance, kind="stable")
+        y, distance = y[order], distance[order]
+        _, first = np.unique(roots.of[y], return_index=True)  # the nearest of each component
+        picked = np.sort(first)[:PER_MEMBER] if seen > room else np.arange(len(y))
+        more |= len(picked) < len(y)
+        for j in picked.tolist():
+            ends = tuple(sorted((int(roots.of[x]), int(roots.of[y[j]]))))
+            best.setdefault(ends, []).append((int(distance[j]), int(x), int(y[j])))
+    left, right = [], []
+    if seen > room:  # of each two components the nearest pair; its links may make the others needless
+        more |= any(len(v) > 1 for v in best.values())
+        best = {k: [min(v)] for k, v in best.items()}
+    for pairs in best.values():
+        for _, x, y in pairs:
+            left.append(min(ids[x], ids[y]))
+            right.append(max(ids[x], ids[y]))
+    mark = [table[c][0].as_py() for c in ("key", "bi", "bj")] if more else None
+    void = [None] * len(left)
+    columns = [left + [None] * more, right + [None] * more] + [void + ([mark[i]] if more else []) for i in range(3)]
+    return pa.record_batch([pa.array(c, t.type) for c, t in zip(columns, NEAREST)], schema=NEAREST)
+
+
+def _uniting(table: pa.Table, num: int, den: int) -> pa.RecordBatch:
+    """Links (a, b) of one block that join two components, verified in place against the n-grams of its members."""
+    ids, n, roots = table["id"].to_numpy(), table["n"].to_numpy(), _Roots(table["comp"].to_numpy())
+    grams = table["grams"].combine_chunks()
+    ends = grams.offsets.to_numpy()
+    _, code = np.unique(grams.flatten().to_numpy(), return_inverse=True)
+    mark, left, right = np.zeros(int(code.max()) + 1 if len(code) else 1, bool), [], []
+    for x, y, distance in _candidates(table, num, den, "wide", roots):
+        y = y[np.argsort(distance, kind="stable")]
+        mark[code[ends[x] : ends[x + 1]]] = True
+        while len(y):
+            part, y = y[:64], y[64:]
+            for j in part.tolist():
+                if roots.of[j] != roots.of[x]:
+                    common = int(mark[code[ends[j] : ends[j + 1]]].sum())
+                    if den * common >= num * (int(n[x]) + int(n[j]) - common):
+                        roots.join(x, j)
+                        left.append(ids[x])
+                        right.append(ids[j])
+            y = y[roots.of[y] != roots.of[x]]
+        mark[code[ends[x] : ends[x + 1]]] = False
+    return pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], search: Callable[[pa.Table], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, bi, bj): ``search`` sees each block of two rows or more whole."""
+
+    def of(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        table = table.combine_chunks()
+        change = np.zeros(len(table) - 1, bool)
+        for c in ("key", "bi", "bj"):
+            change |= np.diff(table[c].to_numpy()) != 0
+        edges = np.concatenate([[0], np.flatnonzero(change) + 1, [len(table)]]).tolist()
+        found = [search(table.slice(lo, hi - lo)) for lo, hi in zip(edges[:-1], edges[1:]) if hi - lo > 1]
+        yield from pa.Table.from_batches(found).combine_chunks().to_batches() if found else ()
 
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         held = pa.concat_tables([held, table]) if held is not None else table
+        if not len(held):
+            continue
         key = np.stack([held[x].to_numpy() for x in ("key", "bi", "bj")])
         last = np.flatnonzero((key != key[:, -1:]).any(axis=0))
-        cut = int(last[-1]) + 1 if len(last) else 0  # the last block may go on in the next batch
-        if cut:
-            part = held.slice(0, cut).combine_chunks()
-            yield pairs({x: part[x].to_numpy() for x in names}, part["sketch"].combine_chunks().flatten().to_numpy().view(_U).reshape(cut, -1))
+        if len(last):  # the last block may go on in the next batch
+            cut = int(last[-1]) + 1
+            yield from of(held.slice(0, cut))
             held = held.slice(cut)
     if held is not None and len(held):
-        part = held.combine_chunks()
-        yield pairs({x: part[x].to_numpy() for x in names}, part["sketch"].combine_chunks().flatten().to_numpy().view(_U).reshape(len(part), -1))
+        yield from of(held)
 
 
 def _apart(x: str, y: str) -> str:
@@ -198,17 +313,25 @@ def _apart(x: str, y: str) -> str:
 
 
 def _close(pairs: DataFrame, facts: DataFrame, sketch: str, num: int, den: int) -> DataFrame:
-    """pairs(a, b) whose sizes and sketches allow the similarity; neither bound ever drops a link."""
+    """The distinct pairs(a, b) whose sizes and sketches allow the similarity; neither bound ever drops a link.
+
+    ``facts`` has one row for each id, so pairs stay distinct and no step behind the joins keeps a hot id from being split.
+    """
     side = lambda k: facts.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col(sketch).alias(f"s{k}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").where(f"abs(na - nb) * {den + num} <= (na + nb) * {den - num}")
-    return both.where(f"{_apart('sa', 'sb')} * {den + num} <= (na + nb) * {den - num}").select("a", "b").distinct()
+    return both.where(f"{_apart('sa', 'sb')} * {den + num} <= (na + nb) * {den - num}").select("a", "b")
+
 
+def _texts(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of the documents that stand for the given classes, and of those without an id."""
+    wanted = written(classes.join(ids, classes["sig"] == ids["id"], "left_semi").select(F.col("cls").alias("doc_id")).where("doc_id is not null"), "wanted")
+    return by_ids(docs, wanted, "left_semi").unionByName(docs.where("doc_id is null"))
 
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """pairs(a, b) that are linked: partial overlaps per fragment, summed per pair."""
-    wanted = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
-    texts = by_ids(docs, wanted, "left_semi")
-    parts = written(texts.mapInPandas(lambda it: _fragments(it, words), "id long, fragment int, grams array<long>"), "fragments")
+    texts = _texts(docs, classes, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    parts = written(_grams_of(texts, words).mapInPandas(_fragments, "id long, fragment int, grams array<long>"), "fragments")
     left = parts.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
     right = parts.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
     partial = (
@@ -253,7 +376,7 @@ def _count_links(table: pa.Table, num: int, den: int) -> pa.Table:
 
 def _links(comp: DataFrame, links: DataFrame, classes: DataFrame, sizes: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """id, n_links of the classes that are linked with other ones: how many documents of other classes they link to."""
-    named = comp.join(classes.select(F.col("cls").alias("id"), "docs"), "id").join(sizes, "id")
+    named = comp.join(classes.select(F.col("sig").alias("id"), "docs"), "id").join(sizes, "id")
     edges = links.select(F.col("a").alias("id")).join(comp, "id").groupBy("component").agg(F.count("*").alias("edges"))
     groups = named.groupBy("component").agg(F.count("*").alias("size"), F.sum("docs").alias("all"), F.sum("n").alias("grams"))
     groups = written(groups.join(edges, "component"), "groups")
@@ -261,13 +384,8 @@ def _links(comp: DataFrame, links: DataFrame, classes: DataFrame, sizes: DataFra
     whole = named.where("edges * 2 = size * (size - 1)").select("id", (F.col("all") - F.col("docs")).alias("n_links"))
     blocks = F.greatest(F.ceil(F.col("size") / LINK_BLOCK), F.ceil(F.col("grams") / LINK_GRAMS)).cast("int")
     rest = written(named.where("edges * 2 < size * (size - 1)").select("id", "component", "docs", blocks.alias("blocks")), "rest")
-    texts = by_ids(docs, rest.select(F.col("id").alias("doc_id")), "left_semi").dropDuplicates(["doc_id"])
-
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["doc_id"], "grams": [shingle_hashes(t, words).view(np.int64) for t in pdf["text"]]})
-
-    rows = texts.mapInPandas(sets, "id long, grams array<long>").join(rest, "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    grams = _grams_of(_texts(docs, classes, rest.select("id")), words).join(rest, "id").dropDuplicates(["id"])
+    rows = grams.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     rows = (
         rows.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("component", F.least("block", "to").alias("bi"), F.greatest("block", "to").alias("bj"), "block", "id", "docs", "grams")
@@ -276,6 +394,52 @@ def _links(comp: DataFrame, links: DataFrame, classes: DataFrame, sizes: DataFra
     return whole.unionByName(counted.groupBy("id").agg(F.sum("n").alias("n_links")))
 
 
+def _across(members: DataFrame, links: DataFrame, one: DataFrame, docs: DataFrame, classes: DataFrame, words: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """links and components after every two members of a key in different components were compared, in three passes of ever fewer blocks."""
+    comp = written(connected_components(links), "labels")
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+
+    named = labelled(members).join(one.select("id", "n"), "id")
+    mixed = (
+        named.groupBy("key")
+        .agg(F.count("*").alias("size"), F.sum("n").alias("grams"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("who"))
+        .where("lo < hi and size > 2")
+        .groupBy("who", "size").agg(F.min("key").alias("key"), F.max("grams").alias("grams"))  # keys with the same members are one
+        .select("key", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    )
+    rows = members.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = written(
+        rows.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", F.least("block", "to").cast("int").alias("bi"), F.greatest("block", "to").cast("int").alias("bj"), "block", "id"),
+        "blocks",
+    )
+    if rows.isEmpty():
+        return links, comp
+    ordered = lambda df: df.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+    schema = "a long, b long, key long, bi int, bj int"
+    for sketch in ("sketch", "wide"):
+        full = ordered(labelled(rows).join(one.select("id", "n", sketch), "id"))
+        found = written(full.mapInArrow(lambda it, s=sketch: _by_block(it, lambda t: _nearest(t, num, den, s)), schema), "nearest")
+        close = written(_close(found.where("a is not null").select("a", "b").distinct(), one, "wide", num, den), "close")
+        if not close.isEmpty() and not (more := written(_verified(close, docs, classes, words, num, den), "more-links")).isEmpty():
+            links = links.unionByName(more)
+            comp = written(connected_components(links), "labels")
+        left = found.where("a is null").select("key", "bi", "bj")
+        if left.isEmpty():
+            return links, comp
+        rows = written(rows.join(left, ["key", "bi", "bj"], "left_semi"), "blocks")
+    texts = _texts(docs, classes, rows.select("id").distinct())
+    facts = _grams_of(texts, words).join(one.select("id", "n", "wide"), "id").dropDuplicates(["id"])
+    full = ordered(labelled(rows).join(facts, "id"))
+    uniting = written(full.mapInArrow(lambda it: _by_block(it, lambda t: _uniting(t, num, den)), "a long, b long"), "uniting")
+    if not uniting.isEmpty():
+        links = links.unionByName(uniting.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        comp = written(connected_components(links), "labels")
+    return links, comp
+
+
 def ngram_jaccard_groups(docs: DataFrame, words: int = 3, threshold: tuple[int, int] = (90, 100), count_links: bool = True) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_shingles, class_id, component_id, n_links.
 
@@ -283,64 +447,41 @@ def ngram_jaccard_groups(docs: DataFrame, words: int = 3, threshold: tuple[int,
     doc_id that links reach.  ``n_links`` is the number of other documents that the document is
     linked with, those with the same n-grams included; without ``count_links`` the column is left
     out.  Null, empty and blank texts have no n-grams and link with nothing;
-    a text with fewer words than ``words`` is one n-gram.  Repeated rows come back repeated; rows
-    that share a doc_id count as one document.  An empty table gives an empty result; columns
-    other than doc_id and text are ignored.
+    a text with fewer words than ``words`` is one n-gram.  Repeated rows come back repeated and count
+    as one document; rows that share a doc_id but not the n-grams are compared each for itself.
+    Rows without a doc_id take part too; a group of nothing but such rows has null as its ids.  An
+    empty table gives an empty result; columns other than doc_id and text are ignored.
     """
     small_batches()
     num, den = threshold
     plan = _Plan(Fraction(num, den))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = written(
-        docs.mapInPandas(lambda it: _sets(it, words, plan), "doc_id long, n long, sig binary, keys array<long>, sketch array<long>, wide array<long>"), "sets"
+        docs.mapInPandas(lambda it: _sets(it, words, plan), "doc_id long, n long, sig long, keys array<long>, sketch array<long>, wide array<long>"), "sets"
     )
     filled = sets.where("n > 0")
     classes = written(filled.select("sig", "doc_id").distinct().groupBy("sig").agg(F.min("doc_id").alias("cls"), F.count("*").alias("docs")), "classes")
     copies = filled.select("sig", "doc_id").join(classes.where("docs > 1"), "sig").where("doc_id <> cls").select("doc_id").distinct()
-    one = by_ids(filled.where(F.size("keys") > 0), written(copies, "copies"), "left_anti")
-    one = one.select(F.col("doc_id").alias("id"), "n", "keys", "sketch", "wide")
+    one = by_ids(filled, written(copies, "copies"), "left_anti")
+    one = one.select(F.col("sig").alias("id"), "n", "keys", "sketch", "wide")
+    if one.count() > classes.count():  # rows repeat, or ids are missing or shared
+        one = written(filled.select(F.col("sig").alias("id"), "n", "keys", "sketch", "wide").dropDuplicates(["id"]), "one")
+    one = one.where(F.size("keys") > 0)
     keys = one.select("id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("rep < top").select("key", "rep")
     members = written(keys.join(shared, "key"), "members")
-    free_shuffles(docs.sparkSession)
 
-    facts = one.select("id", "n", "sketch")
     star = members.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
-    wide = one.select("id", "n", "wide")
-    near = written(_close(written(_close(star, facts, "sketch", num, den), "star"), wide, "wide", num, den), "near")
-    free_shuffles(docs.sparkSession)
-    links = written(_verified(near, docs, words, num, den), "links")
-    free_shuffles(docs.sparkSession)
-    comp = written(connected_components(links), "labels")
-
-    named = members.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-    mixed = (
-        named.groupBy("key")
-        .agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("who"))
-        .where("lo < hi and size > 2")
-        .groupBy("who", "size").agg(F.min("key").alias("key"))
-        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    )
-    rows = named.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int")).join(facts, "id")
-    rows = (
-        rows.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("block", "to").alias("bi"), F.greatest("block", "to").alias("bj"), "block", "id", "n", "comp", "sketch")
-        .repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    )
-    rest = written(rows.mapInArrow(lambda it: _cross_pairs(it, num, den), "a long, b long").distinct(), "cross")
-    free_shuffles(docs.sparkSession)
-    rest = written(_close(rest, wide, "wide", num, den), "close")
-    more = written(_verified(rest, docs, words, num, den), "more-links")
-    free_shuffles(docs.sparkSession)
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        comp = written(connected_components(links), "labels")
+    near = written(_close(written(_close(star, one, "sketch", num, den), "star"), one, "wide", num, den), "near")
+    links = written(_verified(near, docs, classes, words, num, den), "links")
+    links, comp = _across(members.select("key", "id"), links, one, docs, classes, words, num, den)
 
-    where = classes.join(comp.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component_id", F.coalesce("component", "cls"))
+    least = comp.join(classes.select(F.col("sig").alias("id"), "cls"), "id").groupBy("component").agg(F.min("cls").alias("component_id"))
+    where = classes.join(comp.join(least, "component").select(F.col("id").alias("sig"), "component_id"), "sig", "left")
+    where = where.withColumn("component_id", F.coalesce("component_id", "cls"))
     if count_links:
-        degree = written(_links(comp, links, classes, facts.select("id", "n").distinct(), docs, words, num, den), "degrees")
-        free_shuffles(docs.sparkSession)
-        where = where.join(degree.withColumnRenamed("id", "cls"), "cls", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("docs") - 1)
+        degree = written(_links(comp, links, classes, one.select("id", "n"), docs, words, num, den), "degrees")
+        where = where.join(degree.withColumnRenamed("id", "sig"), "sig", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("docs") - 1)
     extra = ["n_links"] * count_links
     where = where.select("sig", "cls", "component_id", *extra)
     hit = filled.select("doc_id", "n", "sig").join(where, "sig").select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), "component_id", *extra)

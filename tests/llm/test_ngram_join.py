@@ -103,3 +103,79 @@ def test_every_member_of_a_group_that_all_links_counts_all(spark):
     base = " ".join(f"b{k}" for k in range(200))
     docs = spark.createDataFrame([(i, f"{base} own{i}") for i in range(60)], "doc_id long, text string")
     assert {r.n_links for r in ngram_jaccard_groups(docs).collect()} == {59}
+
+
+def unlinked_with_one_key(n, seed, change=14, size=120):
+    """Texts that share a passage, hence keys, and lie just under the limit from each other; some groups of near copies among them."""
+    r = random.Random(seed)
+    base = [f"p{k}" for k in range(size)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for at in r.sample(range(0, size, 3), change):
+            w[at] = f"u{i}x{at}"
+        rows.append((i, " ".join(w)))
+        if i % 9 == 0:
+            w[r.randrange(size)] = f"n{i}"
+            rows.append((n + i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("change", [2, 3, 14])
+def test_one_key_with_many_unlinked_texts_gives_few_rows(spark, monkeypatch, change):
+    import advisorium.llm.ngram_join as m
+
+    rows = unlinked_with_one_key(250, change, change)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    made = {}
+    keep = m.written
+
+    def counted(df, label, **options):
+        out = keep(df, label, **options)
+        made[label] = max(made.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(m, "written", counted)
+    for block in (8192, 60):
+        monkeypatch.setattr(m, "BLOCK", block)
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_jaccard_groups(docs, 3, (90, 100), count_links=False).collect()}
+        assert got == brute(rows, 3, 90, 100)
+    assert made["nearest"] <= (m.PER_MEMBER + 1) * made["blocks"] and made.get("uniting", 0) <= made["blocks"]
+
+
+def test_in_place_verification_equals_all_pairs():
+    """A block whose pairs all pass the sketches: exactly the components that brute force finds."""
+    import numpy as np
+    import pyarrow as pa
+
+    import advisorium.llm.ngram_join as m
+
+    rows = unlinked_with_one_key(90, 4, 3)
+    sets = [m.shingle_hashes(t, 3) for _, t in rows]
+    table = pa.table({
+        "key": [1] * len(rows), "bi": [0] * len(rows), "bj": [0] * len(rows), "block": [0] * len(rows), "id": [i for i, _ in rows], "comp": [i for i, _ in rows],
+        "n": [len(s) for s in sets], "wide": [m._sketches(s)[1] for s in sets], "grams": [s.view(np.int64) for s in sets],
+    })
+    edges = m._uniting(table, 90, 100).to_pylist()
+    want = {i: c for i, (_, c) in brute(rows, 3, 90, 100).items()}
+    parent = {i: i for i in want}
+    for e in edges:
+        lo, hi = sorted((parent[e["a"]], parent[e["b"]]))
+        assert lo != hi  # every edge joins two components
+        parent = {i: lo if p == hi else p for i, p in parent.items()}
+    assert parent == want
+
+
+def test_missing_and_shared_ids(spark):
+    base = " ".join(f"b{k}" for k in range(200))
+    rows = [(1, f"{base} x1"), (1, "another text of words"), (2, f"{base} x2"), (None, f"{base} x3"), (None, "alone with words here"), (3, "another text of words")]
+    got = ngram_jaccard_groups(spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, n long")).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id, r.n_links) for r in got) == [(0, 2, None, 0), (0, 199, 1, 2), (1, 2, 1, 1), (1, 199, 1, 2), (2, 199, 1, 2), (3, 2, 1, 1)]
+
+
+def test_very_long_text(spark):
+    r = random.Random(3)
+    w = [f"w{r.randrange(10**6)}" for _ in range(60_000)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[:-900])), (3, " ".join(w[:30_000]))]
+    got = {x.doc_id: x.component_id for x in ngram_jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}

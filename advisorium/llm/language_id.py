@@ -19,20 +19,22 @@ from pyspark.sql import functions as F
 
 from .common import small_batches
 
-SYMBOLS = 64  # 0 is the word gap, 1 to 26 are a to z, the rest shares the other letters
+GAP = 0  # the symbol between words; every other symbol is the code point of a lower-case letter
 DIMENSIONS = 512
 KNOWN_GRAMS = 16_384  # trigram vectors kept ready in a task; all others are bound when met
+KNOWN_LETTERS = 50_000
 SEED = 20_240
+REJECT_QUANTILE, REJECT_SHARE = 0.001, 0.75
+_BITS = 21  # of a code point
 
 
 @lru_cache(maxsize=1)
 def _codes() -> np.ndarray:
-    """The symbol of each code point; upper and lower case share one."""
-    out = np.zeros(0x110000, np.uint8)
+    """The symbol of each code point: of letters the lower-case letter, of all else the gap."""
+    out = np.zeros(0x110000, np.int64)
     for cp in range(0x110000):
         if (ch := chr(cp)).isalpha():
-            low = ord(ch.lower()[0])
-            out[cp] = low - 96 if 97 <= low <= 122 else 27 + (low * 2654435761 % 2**32 >> 16) % (SYMBOLS - 27)
+            out[cp] = ord(ch.lower()[0])
     return out
 
 
@@ -41,21 +43,33 @@ def trigrams(text: str | None) -> np.ndarray:
     points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
     code = _codes()[points]
     if not code.any():
-        return np.empty(0, np.int32)
-    code = np.concatenate([np.zeros(1, np.uint8), code, np.zeros(1, np.uint8)])
-    code = code[np.concatenate([[True], (code[1:] != 0) | (code[:-1] != 0)])].astype(np.int32)
-    return (code[:-2] * SYMBOLS + code[1:-1]) * SYMBOLS + code[2:]
+        return np.empty(0, np.int64)
+    code = np.concatenate([[GAP], code, [GAP]])
+    code = code[np.concatenate([[True], (code[1:] != GAP) | (code[:-1] != GAP)])]
+    return code[:-2] << 2 * _BITS | code[1:-1] << _BITS | code[2:]
 
 
-@lru_cache(maxsize=4)
-def _letters(dimensions: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    base = np.random.default_rng(seed).integers(0, 2, (SYMBOLS, dimensions)).astype(np.float32) * 2 - 1
-    return np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base
+_LETTERS: dict[tuple[int, int, int], np.ndarray] = {}
+
+
+def letter_vector(symbol: int, dimensions: int, seed: int) -> np.ndarray:
+    """The random vector of one letter, the same on every machine."""
+    key = (symbol, dimensions, seed)
+    if key not in _LETTERS:
+        if len(_LETTERS) >= KNOWN_LETTERS:
+            _LETTERS.clear()
+        _LETTERS[key] = np.random.default_rng([seed, symbol]).integers(0, 2, dimensions, np.int8) * 2 - 1
+    return _LETTERS[key]
 
 
 def bind(grams: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
-    first, second, third = _letters(dimensions, seed)
-    return first[grams // SYMBOLS**2] * second[grams // SYMBOLS % SYMBOLS] * third[grams % SYMBOLS]
+    """A vector for each trigram: the product of its letters' vectors, the first permuted twice, the second once."""
+    out = np.ones((len(grams), dimensions), np.int8)
+    for turn, shift in ((2, 2 * _BITS), (1, _BITS), (0, 0)):
+        symbols, at = np.unique(grams >> shift & (1 << _BITS) - 1, return_inverse=True)
+        if len(symbols):
+            out *= np.roll(np.stack([letter_vector(s, dimensions, seed) for s in symbols.tolist()]), turn, axis=1)[at]
+    return out.astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -68,28 +82,22 @@ class LanguageModel:
 
 
 def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One count table for each language and task, so the shuffle carries counts and not texts."""
-    totals: dict[str, np.ndarray] = {}
+    """One count table for each language and batch, so the shuffle carries counts and not texts, and a task holds no more than a batch."""
     for pdf in batches:
-        for text, lang in zip(pdf["text"], pdf["lang"]):
-            grams = trigrams(text)
-            if len(grams):
-                total = totals.setdefault(lang, np.zeros(SYMBOLS**3, np.int64))
-                np.add.at(total, grams, 1) if len(grams) < 2000 else total.__iadd__(np.bincount(grams, minlength=SYMBOLS**3))
-    for lang, total in totals.items():
-        gram = np.flatnonzero(total)
-        yield pd.DataFrame({"lang": lang, "gram": gram.astype(np.int32), "n": total[gram]})
+        for lang, texts in pdf.groupby("lang")["text"]:
+            gram, n = np.unique(np.concatenate([np.empty(0, np.int64), *map(trigrams, texts)]), return_counts=True)
+            yield pd.DataFrame({"lang": lang, "gram": gram, "n": n})
 
 
 def fit_language_model(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED) -> LanguageModel:
     """Learn from every row of docs(text, lang) with a lang and at least one letter.
 
-    What reaches the driver is bounded: at most SYMBOLS**3 counts a language become one prototype
-    vector on the executors, and KNOWN_GRAMS trigram numbers.
+    What reaches the driver is one prototype vector a language, summed on the executors from a
+    count of each trigram, and KNOWN_GRAMS trigram numbers.
     """
     small_batches()
     rows = docs.where("lang is not null and text is not null").select("text", "lang")
-    counts = rows.mapInPandas(_gram_counts, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
+    counts = rows.mapInPandas(_gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
 
     def bundle(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(dimensions)
@@ -102,20 +110,21 @@ def fit_language_model(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int
     top = counts.groupBy("gram").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "gram").limit(KNOWN_GRAMS).collect()
     counts.unpersist()
     vectors = np.array([r.vector for r in found], np.float32).reshape(len(found), dimensions)
-    return LanguageModel([r.lang for r in found], vectors, np.array(sorted(r.gram for r in top), np.int32), dimensions, seed)
+    return LanguageModel([r.lang for r in found], vectors, np.array(sorted(r.gram for r in top), np.int64), dimensions, seed)
 
 
-def _predict(texts: pd.Series, model: LanguageModel, vectors: np.ndarray, slot: np.ndarray) -> pd.DataFrame:
+def _predict(texts: pd.Series, model: LanguageModel, vectors: np.ndarray) -> pd.DataFrame:
     langs, scores = [], []
     for text in texts:
         grams, n = np.unique(trigrams(text), return_counts=True)
         lang, score = "und", 0.0
         if len(grams) and model.langs:
-            at = slot[grams]
+            at = np.minimum(np.searchsorted(model.known, grams), len(model.known) - 1)
+            there = model.known[at] == grams
             n = n.astype(np.float32)
-            total = n[at >= 0] @ vectors[at[at >= 0]]
-            if (at < 0).any():
-                total = total + n[at < 0] @ bind(grams[at < 0], model.dimensions, model.seed)
+            total = n[there] @ vectors[at[there]]
+            if not there.all():
+                total = total + n[~there] @ bind(grams[~there], model.dimensions, model.seed)
             cosine = model.prototypes @ total / max(float(np.linalg.norm(total)), 1e-12)
             best = int(np.argmax(cosine))
             lang, score = model.langs[best], float(min(1.0, max(0.0, cosine[best])))
@@ -136,10 +145,8 @@ def language_of(text: Column | str, model: LanguageModel) -> Column:
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vectors = bind(model.known, model.dimensions, model.seed)
-        slot = np.full(SYMBOLS**3, -1, np.int32)
-        slot[model.known] = np.arange(len(model.known))
         for texts in batches:
-            yield _predict(texts, model, vectors, slot)
+            yield _predict(texts, model, vectors)
 
     return predict(text)
 
@@ -147,3 +154,28 @@ def language_of(text: Column | str, model: LanguageModel) -> Column:
 def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """docs(doc_id, text) -> doc_id, lang_pred, score; an empty table gives an empty result, other columns are not read."""
     return docs.select("doc_id", language_of("text", model).alias("p")).select("doc_id", "p.lang_pred", "p.score")
+
+
+def length_class(text: Column | str) -> Column:
+    """Texts of 2**k to 2**(k+1) - 1 characters are class k; empty ones are class 0."""
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)))).cast("int")
+
+
+def similarity_floors(docs: DataFrame, model: LanguageModel, quantile: float = REJECT_QUANTILE, share: float = REJECT_SHARE) -> dict[int, float]:
+    """For each length class the similarity below which a text resembles no learned language.
+
+    That is ``share`` of a low quantile of the similarity of all learned texts of that length, so
+    hardly a text of a learned language falls below it.  Short texts are less like their language
+    than long ones, hence a floor for each length.  At most 32 numbers reach the driver.
+    """
+    learned = docs.where("lang is not null and text is not null").select(length_class("text").alias("k"), language_of("text", model).alias("p"))
+    rows = learned.where("p.lang_pred <> 'und'").groupBy("k").agg(F.percentile_approx("p.score", quantile, 10_000).alias("low")).collect()
+    return {r.k: share * r.low for r in rows}
+
+
+def resembles_a_language(text: Column | str, prediction: Column, floors: dict[int, float]) -> Column:
+    """True where the predicted language is a learned one and the score reaches the floor of the text's length; lengths never learned take the nearest one's."""
+    if not floors:
+        return prediction["lang_pred"] != "und"
+    table = F.array(*[F.lit(floors[min(floors, key=lambda f, k=k: (abs(f - k), f))]) for k in range(32)])
+    return (prediction["lang_pred"] != "und") & (prediction["score"] >= F.element_at(table, length_class(text) + 1))

@@ -1,11 +1,12 @@
 """Toxic spans with a linear-chain conditional random field.
 
 Only whole documents carry labels, so tokens are labelled first: words and word beginnings that
-are far more frequent in toxic than in clean documents make a bounded lexicon, and a token of a
-toxic document that is in it is labelled toxic.  A two-label chain (clean, toxic) is then fitted on
-windows of these token sequences.  Tokens outside the lexicon all have the same potentials, so a
-run of them is one power of a 2 x 2 matrix: the forward and backward passes over a whole text, of
-any length, step from lexicon token to lexicon token and stay exact.
+are far more frequent in toxic than in clean documents make a lexicon, and a token of a toxic
+document that is in it is labelled toxic.  A two-label chain (clean, toxic) is then fitted on these
+token sequences.  Tokens outside the lexicon are never labelled toxic, and the chain knows that:
+they are clean with certainty.  It therefore falls apart into runs of lexicon tokens between clean
+ones, in fitting as in scoring, and the forward and backward passes over a whole text, of any
+length, step through those runs alone and stay exact.
 """
 
 from __future__ import annotations
@@ -25,30 +26,42 @@ from .common import labelled_sample, small_batches, written
 TOKEN = re.compile(r"\w+")
 PREFIXES = (4, 5, 6)
 SAMPLE_ROWS = 20_000  # labelled documents that the model is fitted on, at most
-LEXICON = 4_000
 EVIDENCE = 20.0  # about one chance entry in 100,000 candidates
 SURE = 36.0
 ODDS = 3.7  # about 40 times more frequent in toxic documents
-WINDOW = 16
-MAX_WINDOWS = 40_000
+CACHED_RUNS = 50_000  # of a task
+RUN = 64  # lexicon tokens in a row; longer runs are cut there for fitting, not for scoring
 
 
 def _marks(word: str) -> list[str]:
-    return [word] + [word[:k] + "*" for k in PREFIXES if len(word) > k]
+    """The word and its beginnings, the longest first."""
+    return [word] + [word[:k] + "*" for k in reversed(PREFIXES) if len(word) > k]
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
     lexicon: dict[str, int]  # a word, or a beginning with a star
-    emission: np.ndarray  # log weight of "toxic" for the neutral token (0) and each entry
-    transition: np.ndarray  # 2 x 2 log weights
-    start: np.ndarray
+    emission: np.ndarray  # log weight of "toxic" for each entry, 0 is not used
+    transition: np.ndarray  # 2 x 2 log weights, clean to clean is 0
+    start: np.ndarray  # log weights of the first token's labels, clean is 0
     threshold: float  # marginal from which a token belongs to a span
 
-    def feature(self, word: str) -> int:
-        """The strongest entry that covers the word; 0 if none does."""
-        found = [self.lexicon[m] for m in _marks(word) if m in self.lexicon]
-        return max(found, key=lambda k: self.emission[k], default=0)
+
+def feature_of(lexicon: dict[str, int], word: str) -> int:
+    """The longest entry that covers the word; 0 if none does.  One rule for fitting and for scoring."""
+    return next((lexicon[m] for m in _marks(word) if m in lexicon), 0)
+
+
+def runs_of(features: list[int]) -> list[tuple[int, int]]:
+    """(start, end) of the runs of lexicon tokens."""
+    out: list[tuple[int, int]] = []
+    for i, f in enumerate(features):
+        if f:
+            if out and out[-1][1] == i:
+                out[-1] = (out[-1][0], i + 1)
+            else:
+                out.append((i, i + 1))
+    return out
 
 
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -79,7 +92,7 @@ def cover(toxic_docs: list[np.ndarray], clean: np.ndarray, n_clean: int) -> list
     counts = lambda docs: np.bincount(np.concatenate([np.empty(0, int), *docs]), minlength=size)
     chosen = np.flatnonzero(_ratio(counts(toxic_docs), clean, len(toxic_docs), n_clean) > SURE).tolist()
     left = [d for d in toxic_docs if not np.isin(d, chosen).any()]
-    while left and size and len(chosen) < LEXICON:
+    while left and size:
         ratio = _ratio(counts(left), clean, len(left), n_clean)
         best = int(ratio.argmax())
         if ratio[best] < EVIDENCE:
@@ -91,13 +104,13 @@ def cover(toxic_docs: list[np.ndarray], clean: np.ndarray, n_clean: int) -> list
 
 def _lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     """Candidates that are clearly more frequent in toxic documents, then those of them that explain the documents."""
-    texts = written(sample.dropDuplicates(["text"]), "tox-distinct")
+    texts = written(sample.groupBy("text").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id")), "tox-distinct")
     sums = texts.mapInPandas(_word_counts, "mark string, clean long, toxic long").groupBy("mark").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
     t, c, share = F.col("t"), F.col("c"), n_toxic / max(1, n_toxic + n_clean)
     odds = F.log((t + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))
     ratio = 2 * (t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0.0))
     kept = sums.where("t >= 3").withColumn("odds", odds).withColumn("ratio", ratio).where(f"odds > {ODDS} and ratio > {EVIDENCE / 2}")
-    rows = kept.orderBy(F.desc("ratio"), "mark").limit(LEXICON).collect()
+    rows = kept.orderBy(F.desc("ratio"), "mark").collect()  # bounded by the sample
     marks, number = [r.mark for r in rows], {r.mark: k for k, r in enumerate(rows)}
 
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,59 +122,66 @@ def _lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     return [marks[k] for k in cover([np.asarray(h, int) for h in docs["hits"]], np.array([r.c for r in rows], float), n_clean)]
 
 
-def _windows(batches: Iterator[pd.DataFrame], lexicon: dict[str, int]) -> Iterator[pd.DataFrame]:
-    """Windows around lexicon tokens, and the first window of each text: feature numbers, -1 behind the end."""
+def _runs(batches: Iterator[pd.DataFrame], lexicon: dict[str, int]) -> Iterator[pd.DataFrame]:
+    """Every run of lexicon tokens of every text: feature numbers, and whether it begins and ends the text."""
     for pdf in batches:
         rows = []
         for text, toxic in zip(pdf["text"], pdf["toxic"]):
-            x = []
-            for w in TOKEN.findall(text.lower()):
-                x.append(next((lexicon[m] for m in _marks(w) if m in lexicon), 0))
-            hits = [i for i, f in enumerate(x) if f]
-            for at in sorted({0, *(max(0, i - WINDOW // 2) for i in hits[:4])}):
-                part = x[at : at + WINDOW]
-                if part:
-                    rows.append((part + [-1] * (WINDOW - len(part)), int(toxic)))
-        yield pd.DataFrame(rows, columns=["x", "toxic"])
-
-
-def _fit_chain(x: np.ndarray, toxic: np.ndarray, size: int, rounds: int = 80) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Gradient ascent on the conditional log-likelihood: observed minus expected feature counts."""
-    y = ((x > 0) & (toxic[:, None] == 1)).astype(int)
-    real = x >= 0
+            x = [feature_of(lexicon, w) for w in TOKEN.findall(text.lower())]
+            for lo, hi in runs_of(x):
+                for at in range(lo, hi, RUN):
+                    end = min(hi, at + RUN)
+                    rows.append((x[at:end], at == 0, end == len(x), int(toxic)))
+        yield pd.DataFrame(rows, columns=["x", "first", "last", "toxic"])
+
+
+def _fit_chain(runs: pd.DataFrame, size: int, rounds: int = 80) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradient ascent on the conditional log-likelihood of all runs: observed minus expected feature counts.
+
+    ``runs`` has x, first, last, toxic and n, the number of times that the run occurs.  Before a run
+    that does not begin its text and behind one that does not end it stands a clean token.
+    """
     emission, transition, start = np.zeros(size + 1), np.zeros((2, 2)), np.zeros(2)
-    grads = [np.zeros_like(emission), np.zeros_like(transition), np.zeros_like(start)]
-    m, w = x.shape
-    for step in range(rounds):
-        score = np.zeros((m, w, 2))
-        score[:, :, 1] = np.where(real, emission[np.maximum(x, 0)], 0)
-        p, t = np.exp(score - score.max(axis=2, keepdims=True)), np.exp(transition - transition.max())
-        f = np.zeros((m, w, 2))
-        f[:, 0] = np.exp(start) * p[:, 0]
-        f[:, 0] /= f[:, 0].sum(axis=1, keepdims=True)
-        for i in range(1, w):
-            nxt = f[:, i - 1] @ t * p[:, i]
-            f[:, i] = np.where(real[:, i, None], nxt / nxt.sum(axis=1, keepdims=True), f[:, i - 1])
-        b = np.ones((m, w, 2))
-        pair = np.zeros((2, 2))
-        for i in range(w - 2, -1, -1):
-            nxt = p[:, i + 1] * b[:, i + 1]
-            joint = f[:, i, :, None] * t * nxt[:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
-            pair += joint[real[:, i + 1]].sum(axis=0)
-            back = nxt @ t.T
-            b[:, i] = np.where(real[:, i + 1, None], back / back.sum(axis=1, keepdims=True), 1.0)
-        marg = f * b
-        marg /= marg.sum(axis=2, keepdims=True)
-        want, have = np.bincount(x[real], y[real], size + 1), np.bincount(x[real], marg[:, :, 1][real], size + 1)
-        seen = real[:, 1:]
-        pairs = np.bincount((y[:, :-1] * 2 + y[:, 1:])[seen], minlength=4).reshape(2, 2)
-        first = np.bincount(y[:, 0], minlength=2)
-        use = np.bincount(x[real], minlength=size + 1) + 1.0
-        for k, (value, slope, scale) in enumerate(((emission, want - have, np.sqrt(use)), (transition, pairs - pair, np.sqrt(m * w)), (start, first - marg[:, 0].sum(axis=0), np.sqrt(m)))):
-            slope = slope - 0.02 * value
-            grads[k] = grads[k] + (slope / scale) ** 2 if step else (slope / scale) ** 2 + 1e-9
-            value += 0.5 * slope / scale / np.sqrt(grads[k] + 1e-9)
+    grads: list = [None] * 3
+    groups = []
+    for width, part in runs.groupby(runs["x"].map(len)):
+        groups.append((width, np.stack(part["x"].to_numpy()), *(part[c].to_numpy() for c in ("first", "last")), part["toxic"].to_numpy().astype(int), part["n"].to_numpy(float)))
+    use = np.ones(size + 1)
+    for _, x, _, _, _, n in groups:
+        use += np.bincount(x.ravel(), np.repeat(n, x.shape[1]), size + 1)
+    for _ in range(rounds):
+        slope_e, slope_t, slope_s = np.zeros(size + 1), np.zeros((2, 2)), np.zeros(2)
+        t, s = np.exp(transition), np.exp(start)
+        for w, x, first, last, y, n in groups:
+            p = np.stack([np.ones(x.shape), np.exp(emission[x])], axis=2)
+            enter, leave = np.where(first[:, None], s, t[0]), np.where(last[:, None], 1.0, t[:, 0])
+            f, b = np.empty(p.shape), np.empty(p.shape)
+            f[:, 0] = enter * p[:, 0]
+            f[:, 0] /= f[:, 0].sum(axis=1, keepdims=True)
+            for i in range(1, w):
+                f[:, i] = f[:, i - 1] @ t * p[:, i]
+                f[:, i] /= f[:, i].sum(axis=1, keepdims=True)
+            b[:, -1] = leave
+            for i in range(w - 2, -1, -1):
+                joint = f[:, i, :, None] * t * (p[:, i + 1] * b[:, i + 1])[:, None, :]
+                slope_t -= (joint / joint.sum(axis=(1, 2), keepdims=True) * n[:, None, None]).sum(axis=0)
+                b[:, i] = (p[:, i + 1] * b[:, i + 1]) @ t.T
+                b[:, i] /= b[:, i].sum(axis=1, keepdims=True)
+            marg = f * b
+            marg = marg / marg.sum(axis=2, keepdims=True)
+            slope_e += np.bincount(x.ravel(), ((y[:, None] - marg[:, :, 1]) * n[:, None]).ravel(), size + 1)
+            slope_t[1, 1] += (n * y).sum() * (w - 1)
+            slope_t[0, 0] += (n * (1 - y)).sum() * (w - 1)
+            seen = np.stack([1 - y, y], axis=1)
+            slope_s += ((seen - marg[:, 0]) * (n * first)[:, None]).sum(axis=0)
+            slope_t[0] += ((seen - marg[:, 0]) * (n * ~first)[:, None]).sum(axis=0)
+            slope_t[:, 0] += ((seen - marg[:, -1]) * (n * ~last)[:, None]).sum(axis=0)
+        slope_t[0, 0] = slope_s[0] = 0.0  # only differences count, so these two stay 0
+        total = max(1.0, sum(g[5].sum() for g in groups))
+        for k, (value, slope, scale) in enumerate(((emission, slope_e, np.sqrt(use)), (transition, slope_t, np.sqrt(total)), (start, slope_s, np.sqrt(total)))):
+            slope = (slope - 0.02 * value) / scale
+            grads[k] = slope**2 + (1e-9 if grads[k] is None else grads[k])
+            value += 0.5 * slope / np.sqrt(grads[k] + 1e-9)
     return emission, transition, start
 
 
@@ -171,48 +191,53 @@ def fit_toxicity_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SA
     sample = written(labelled_sample(docs, labels, "toxic", sample_rows, by_class=True), "tox-sample")
     by = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     lexicon = {m: i + 1 for i, m in enumerate(_lexicon(sample, by.get(1, 0), by.get(0, 0)))} if by.get(1) and by.get(0) else {}
-    windows = sample.mapInPandas(lambda it: _windows(it, lexicon), "x array<int>, toxic int")
-    got = windows.orderBy(F.xxhash64("x", "toxic")).limit(MAX_WINDOWS).toPandas()
+    runs = sample.mapInPandas(lambda it: _runs(it, lexicon), "x array<int>, first boolean, last boolean, toxic int")
+    got = runs.groupBy("x", "first", "last", "toxic").agg(F.count("*").alias("n")).orderBy("x", "first", "last", "toxic").toPandas()  # bounded by the sample
     if not len(got) or not lexicon:
-        return ToxicityModel({}, np.array([-4.0]), np.zeros((2, 2)), np.zeros(2), threshold)
-    emission, transition, start = _fit_chain(np.stack(got["x"].to_numpy()), got["toxic"].to_numpy(), len(lexicon))
+        return ToxicityModel({}, np.zeros(1), np.zeros((2, 2)), np.zeros(2), threshold)
+    emission, transition, start = _fit_chain(got, len(lexicon))
     return ToxicityModel(lexicon, emission, transition, start, threshold)
 
 
-def chain_marginals(model: ToxicityModel, at: list[int], features: list[int], length: int) -> np.ndarray:
-    """The toxic marginal of each lexicon token of a text with ``length`` tokens, by forward-backward."""
-    t = np.exp(model.transition - model.transition.max())
-    neutral = t * np.exp([0.0, model.emission[0]])
-    values, vectors = np.linalg.eig(neutral)
-    values, inverse = values / np.abs(values).max(), np.linalg.inv(vectors)
-
-    def run(n: int) -> np.ndarray:
-        return np.real(vectors * values**n @ inverse)
-
-    emit = [np.exp([0.0, model.emission[f]]) for f in features]
-    forward, state = [], np.exp(model.start)
-    before = -1
-    for i, e in zip(at, emit):
-        gap = i - before - 1
-        if before < 0 and gap:  # the first token has no transition into it
-            state = state * np.exp([0.0, model.emission[0]]) @ run(gap - 1)
-            state = state @ t * e
-        else:
-            state = (state if before < 0 else state @ run(gap) @ t) * e
+def run_marginals(model: ToxicityModel, features: list[int], first: bool, last: bool) -> tuple[np.ndarray, float]:
+    """The toxic marginal of each token of a run, by forward-backward, and the log of Z over the weight of all tokens being clean."""
+    t, emit = np.exp(model.transition - model.transition[0, 0]), np.exp(np.stack([np.zeros(len(features)), model.emission[features]], axis=1))
+    state = (np.exp(model.start - model.start[0]) if first else t[0]) * emit[0]
+    forward, log = [], 0.0
+    for k in range(len(features)):
+        if k:
+            state = state @ t * emit[k]
+        log += float(np.log(state.sum()))
         state = state / state.sum()
         forward.append(state)
-        before = i
-    backward, state = [], run(length - 1 - at[-1]) @ np.ones(2)
-    for k in range(len(at) - 1, -1, -1):
-        backward.append(state / state.sum())
-        if k:
-            state = run(at[k] - at[k - 1] - 1) @ (t @ (emit[k] * state))
-            state = state / state.sum()
+    back = np.ones(2) if last else t[:, 0]
+    log += float(np.log(state @ back))
+    backward = [back]
+    for k in range(len(features) - 1, 0, -1):
+        back = t @ (emit[k] * back)
+        back = back / back.sum()
+        backward.append(back)
     both = np.array(forward) * np.array(backward[::-1])
-    return both[:, 1] / both.sum(axis=1)
-
-
-def _score(texts: pd.Series, model: ToxicityModel, words: set[str], heads: list[tuple[int, set[str]]], cache: dict[str, int]) -> pd.DataFrame:
+    return both[:, 1] / both.sum(axis=1), log
+
+
+def chain_marginals(model: ToxicityModel, at: list[int], features: list[int], length: int, known: dict | None = None) -> tuple[np.ndarray, float]:
+    """The toxic marginal of each lexicon token of a text with ``length`` tokens, and the chance that any token is toxic: 1 - Z(all clean) / Z."""
+    known, marginals, log, k = {} if known is None else known, [], 0.0, 0
+    while k < len(at):
+        end = k + 1
+        while end < len(at) and at[end] == at[end - 1] + 1:
+            end += 1
+        key = (tuple(features[k:end]), at[k] == 0, at[end - 1] == length - 1)
+        if key not in known:
+            known[key] = run_marginals(model, list(key[0]), *key[1:])
+        marginals.append(known[key][0])
+        log += known[key][1]
+        k = end
+    return np.concatenate(marginals) if marginals else np.empty(0), float(-np.expm1(-log))
+
+
+def _score(texts: pd.Series, model: ToxicityModel, words: set[str], heads: list[tuple[int, set[str]]], cache: dict[str, int], known: dict) -> pd.DataFrame:
     scores, found = [], []
     for text in texts:
         text = text or ""
@@ -221,10 +246,12 @@ def _score(texts: pd.Series, model: ToxicityModel, words: set[str], heads: list[
         score, spans = 0.0, []
         if hits:
             for w in hits - cache.keys():
-                cache[w] = model.feature(w)
+                cache[w] = feature_of(model.lexicon, w)
             at = [i for i, w in enumerate(tokens) if w in hits]
-            marg = chain_marginals(model, at, [cache[tokens[i]] for i in at], len(tokens))
-            score = min(1.0, max(0.0, float(1 - np.prod(1 - np.clip(marg, 0, 1)))))
+            if len(known) > CACHED_RUNS:
+                known.clear()
+            marg, score = chain_marginals(model, at, [cache[tokens[i]] for i in at], len(tokens), known)
+            score = min(1.0, max(0.0, score))
             if (marg >= model.threshold).any():
                 places = [m.span() for m in TOKEN.finditer(text)]
                 if len(places) == len(tokens):  # lower-casing kept the tokens apart in the same way
@@ -237,7 +264,7 @@ def _score(texts: pd.Series, model: ToxicityModel, words: set[str], heads: list[
 def toxicity_of(text: Column | str, model: ToxicityModel) -> Column:
     """The struct (score, spans(start, end, marginal)) of a text column.
 
-    ``score`` is the chance that at least one token is toxic, from the token marginals; spans are
+    ``score`` is the chance that at least one token is toxic, 1 - Z(all clean) / Z; spans are
     character offsets of the tokens over the threshold.  Null and empty texts score 0 without
     spans, and so does every text if there was nothing to learn from.  Equal texts score alike.
     """
@@ -249,8 +276,9 @@ def toxicity_of(text: Column | str, model: ToxicityModel) -> Column:
         words = {m for m in model.lexicon if not m.endswith("*")}
         heads = [(k, {m[:-1] for m in model.lexicon if m.endswith("*") and len(m) == k + 1}) for k in PREFIXES]
         cache: dict[str, int] = {}
+        known: dict = {}
         for texts in batches:
-            yield _score(texts, model, words, [(k, s) for k, s in heads if s], cache)
+            yield _score(texts, model, words, [(k, s) for k, s in heads if s], cache, known)
 
     return score(text)
 

@@ -72,20 +72,119 @@ def test_toxicity_held_out_and_spans(spark, toxic):
     assert scores[1] == scores[2] == 0 and scores[3] > 0.5 and scores[4] > 0.5
 
 
-def test_marginals_equal_plain_forward_backward(toxic):
+@pytest.mark.parametrize("x", [[0, 0, 3, 0, 1, 2, 0], [1, 2, 0, 3], [0, 2, 1], [3, 3, 1], [2]])
+def test_marginals_and_score_equal_enumeration(toxic, x):
     docs, labels = toxic
     model = fit_toxicity_model(docs, labels)
-    x = [0, 0, 3, 0, 1, 2, 0]
     t = np.exp(model.transition)
-    e = [np.exp([0.0, model.emission[f]]) for f in x]
-    total, toxic_at = 0.0, np.zeros(len(x))
+    e = [np.exp([0.0, model.emission[f]]) if f else np.array([1.0, 0.0]) for f in x]  # other tokens are clean with certainty
+    total, clean, toxic_at = 0.0, 0.0, np.zeros(len(x))
     for code in range(2 ** len(x)):
         y = [code >> i & 1 for i in range(len(x))]
         p = np.exp(model.start[y[0]]) * np.prod([e[i][y[i]] for i in range(len(x))]) * np.prod([t[a, b] for a, b in zip(y, y[1:])])
         total += p
+        clean += p if not code else 0
         toxic_at += p * np.array(y)
     at = [i for i, f in enumerate(x) if f]
-    assert np.allclose(chain_marginals(model, at, [x[i] for i in at], len(x)), (toxic_at / total)[at])
+    marginals, score = chain_marginals(model, at, [x[i] for i in at], len(x))
+    assert np.allclose(marginals, (toxic_at / total)[at]) and np.isclose(score, 1 - clean / total)
+
+
+def test_fit_climbs_the_likelihood_of_every_run():
+    """The gradient that the fit uses leads to a point where enumeration finds no better neighbour."""
+    import pandas as pd
+
+    from advisorium.llm.toxicity import ToxicityModel, _fit_chain, run_marginals
+
+    runs = pd.DataFrame({"x": [[1], [1, 2], [2], [2, 2, 1], [1]], "first": [False, True, False, False, True], "last": [False, False, True, False, False], "toxic": [1, 1, 0, 1, 0], "n": [9, 4, 7, 3, 2]})
+
+    def likelihood(e, t, s):
+        m, out = ToxicityModel({}, e, t - t[0, 0], s - s[0], 0.5), 0.0
+        for r in runs.itertuples():
+            log = run_marginals(m, r.x, r.first, r.last)[1]
+            own = (m.start[1] if r.first else m.transition[0, 1]) + m.emission[r.x].sum() + m.transition[1, 1] * (len(r.x) - 1) + (0 if r.last else m.transition[1, 0])
+            out += r.n * ((own if r.toxic else 0.0) - log)
+        penalty = (e**2).sum() + (t**2).sum() + (s**2).sum()
+        return out - 0.01 * penalty
+
+    e, t, s = _fit_chain(runs, 2, rounds=4000)
+    best = likelihood(e, t, s)
+    for k in range(1, 3):
+        for step in (-0.3, 0.3):
+            moved = e.copy()
+            moved[k] += step
+            assert likelihood(moved, t, s) < best + 1e-6
+    for at in ((0, 1), (1, 0), (1, 1)):
+        for step in (-0.3, 0.3):
+            moved = t.copy()
+            moved[at] += step
+            assert likelihood(e, moved, s) < best + 1e-6
+
+
+def test_repeated_rows_and_clashing_names(spark, toxic):
+    docs, labels = toxic
+    wide = docs.union(docs.limit(3)).selectExpr("*", "1 as score", "'x' as toxic", "2 as label", "array(1) as spans")
+    both = labels.unionByName(labels.selectExpr("doc_id", "1 - toxic as toxic").where("doc_id = 1"))  # two labels: the larger counts
+    one, two = fit_toxicity_model(docs, labels.where("doc_id <> 1").union(labels.where("doc_id = 1").selectExpr("doc_id", "1"))), fit_toxicity_model(docs, both)
+    assert one.lexicon == two.lexicon and np.allclose(one.emission, two.emission)
+    got = score_toxicity(wide, one)
+    assert got.columns == ["doc_id", "score", "spans"] and got.count() == docs.count() + 3
+    assert got.groupBy("doc_id").agg({"score": "min"}).join(got.groupBy("doc_id").agg({"score": "max"}), "doc_id").where("`min(score)` <> `max(score)`").count() == 0
+    quality = fit_quality_model(docs, labels.withColumnRenamed("toxic", "quality"))
+    scored = score_quality(wide, quality)
+    assert scored.columns == ["doc_id", "score"] and scored.count() == docs.count() + 3
+
+
+def test_language_equals_brute_force(spark):
+    """Every prediction and score against letter vectors bound and bundled one trigram at a time."""
+    from advisorium.llm.language_id import letter_vector
+
+    r = random.Random(5)
+    letters = {"aa": "abcdé", "bb": "dефгж", "cc": "日本語文字"}
+    rows = [(i, words(r, letters[lang], 12), lang) for i, lang in enumerate(list(letters) * 6)]
+    rows += rows[:3] + [(90, "", "aa"), (91, None, "bb"), (92, "...", "cc")]
+    d, seed = 256, 7
+    model = fit_language_model(spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, lang string, score long"), d, seed)
+
+    def vector(text):
+        symbols, total = [0], np.zeros(d)
+        for ch in text or "":
+            symbol = ord(ch.lower()) if ch.isalpha() else 0
+            if symbol or symbols[-1]:
+                symbols.append(symbol)
+        if symbols[-1]:
+            symbols.append(0)
+        for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+            total += np.roll(letter_vector(a, d, seed), 2) * np.roll(letter_vector(b, d, seed), 1) * letter_vector(c, d, seed).astype(int)
+        return total
+
+    own = {lang: sum(vector(t) for _, t, g in rows if g == lang) for lang in letters}
+    test = [(i, words(r, letters[lang], 3)) for i, lang in enumerate(list(letters) * 4)] + [(50, "ab日本 zz"), (51, "B"), (51, "B"), (52, None), (53, "12")]
+    for got in predict_language(spark.createDataFrame(test, "doc_id long, text string"), model).collect():
+        v = vector(dict(test)[got.doc_id])
+        if not v.any():
+            assert (got.lang_pred, got.score) == ("und", 0.0)
+            continue
+        cosine = {lang: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for lang, p in own.items()}
+        best = max(sorted(cosine), key=cosine.get)
+        assert got.lang_pred == best and abs(got.score - max(0.0, cosine[best])) < 1e-5
+
+
+def test_floors_keep_learned_languages_and_reject_noise(spark):
+    from pyspark.sql import functions as F
+
+    from advisorium.llm.language_id import language_of, resembles_a_language, similarity_floors
+
+    r = random.Random(6)
+    rows = [(i, words(r, LETTERS[lang], r.choice([5, 20, 80])), lang) for i, lang in enumerate(list(LETTERS) * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_language_model(docs)
+    floors = similarity_floors(docs, model)
+    test = [(i, words(r, LETTERS[lang], r.choice([5, 20, 80])), 1) for i, lang in enumerate(list(LETTERS) * 20)]
+    test += [(100 + i, words(r, letters, 60), 0) for i, letters in enumerate(["αβγδεζη", "уфхцчшщъ", "日本語文字化け"])] + [(200, None, 0), (201, "", 0), (202, "1 2", 0)]
+    p = F.col("p")
+    got = spark.createDataFrame(test, "doc_id long, text string, want int").withColumn("p", language_of("text", model)).select("want", resembles_a_language("text", p, floors).alias("ok"))
+    assert {(x.want, x.ok) for x in got.collect()} == {(1, True), (0, False)}
 
 
 def test_quality_held_out_and_edges(spark):

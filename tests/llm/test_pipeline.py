@@ -37,6 +37,7 @@ def tables(spark, tmp_path_factory):
             w[r.randrange(len(w))] = "changed"  # near copies
         rows.append((i, " ".join(w), rows[i - 190][2]))
     rows += [(300, None, None), (301, "", "aa"), (302, "123 456", None)]
+    rows += [(310, "".join(r.choice("αβγδεζηθ ") for _ in range(300)), None)]  # a script that was never learned
     path = str(tmp_path_factory.mktemp("sf"))
     docs = spark.createDataFrame([(i, t, g, "s", len(t or "")) for i, t, g in rows], "doc_id long, text string, lang string, source string, n_chars long")
     docs.repartition(3).write.parquet(f"{path}/documents.parquet")
@@ -54,7 +55,7 @@ def test_stages_equal_brute_force(spark, tables):
         kept.append({r.doc_id for r in out.select("doc_id").collect()})
         docs = out
     lang, clean, single, final = kept
-    assert lang == {i for i, t in texts.items() if t and any(c.isalpha() for c in t)}
+    assert lang == {i for i, t in texts.items() if t and any(c.isalpha() for c in t) and i != 310}
     assert clean == {i for i in lang if "zz" not in texts[i]}
     assert single == {i for i in clean if not any(j > i and texts[j] == texts[i] for j in clean)}
     parent = {i: i for i in single}
@@ -80,3 +81,20 @@ def test_names_and_empty_input(spark, tables):
     docs = spark.read.parquet(f"{path}/documents.parquet").limit(0)
     for _, stage in cp.STAGES:
         assert stage(spark, docs, path).collect() == []
+
+
+def test_rows_are_dropped_as_rows(spark, tables):
+    """Shared, missing and repeated ids, and columns named as the stages' own, lose no text."""
+    path, _ = tables
+    long = " ".join(f"word{k}" for k in range(60))
+    rows = [(1, "a b"), (1, "c d"), (2, "a b"), (2, "a b"), (None, "a b"), (None, "e f"), (None, "e f"), (3, long), (3, long + " one"), (None, long + " two"), (4, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, None, "s", 1, 2) for i, t in rows], "doc_id long, text string, lang string, _row string, _language int, _toxicity int")
+    exact = cp.drop_exact_copies(spark, docs, path)
+    assert exact.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "") for r in exact.collect())
+    assert got == sorted([(1, "c d"), (2, "a b"), (0, "e f"), (3, long), (3, long + " one"), (0, long + " two"), (5, "")])
+    near = cp.drop_near_copies(spark, cp.written(exact, "exact"), path)
+    assert near.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in near.collect()]
+    assert len(left) == 5 and {t for _, t in left if t and len(t) < 9} == {"a b", "c d", "e f"} and sum(i == 3 for i, _ in left) == 1
+    assert cp.keep_known_language(spark, docs, path).columns == docs.columns and cp.drop_toxic(spark, docs, path).columns == docs.columns and cp.pack(spark, docs, path).count() == len(rows)

@@ -27,6 +27,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import small_batches, written
 
@@ -34,6 +35,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WINDOW = 1024
 END_ID = 0
 SWEEPS = 60
+LONG_RUN = 1000  # white-space characters in a row from which a text goes through the tokenizers library itself
 
 
 @lru_cache(maxsize=2)
@@ -45,9 +47,12 @@ def _encoder(path: str):
     added = {t["content"]: t["id"] for t in json.loads(listed.read_text("utf-8"))["added_tokens"]} if listed.exists() else {}
     full = tiktoken.Encoding("full", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
     plain = tiktoken.Encoding("plain", pat_str=pattern.replace(r"|\s+(?!\S)", ""), mergeable_ranks=ranks, special_tokens={})
-    pair = re.compile(r"\s\s")
+    pair, run = re.compile(r"\s\s"), re.compile(rf"\s{{{LONG_RUN}}}")
+    whole = Tokenizer.from_file(str(listed)) if listed.exists() else None
 
     def encode(text: str) -> list[int]:
+        if whole is not None and run.search(text):  # the look-ahead of the split pattern overflows the stack on very long runs
+            return whole.encode(text, add_special_tokens=False).ids
         if any(t in text for t in added):
             return full.encode(text, allowed_special="all")
         return (full if pair.search(text) else plain).encode_ordinary(text)

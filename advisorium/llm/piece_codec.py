@@ -2,17 +2,25 @@
 
 Byte-pair merging as in a merge-type SentencePiece model: of all adjacent pieces whose join is a
 piece, the pair with the best score merges first, the leftmost on ties.  With dropout every
-candidate merge is skipped with chance p by a keyed hash of (seed, variant, word, its three
-borders), so a segmentation depends on nothing but those and can be repeated anywhere.  White
-space keeps its place as a word start, unknown characters become byte pieces, nothing is
-normalised: decoding gives back every text exactly.
+candidate merge is skipped with chance p by a keyed hash of (seed, document key, number of the word
+in its document, the candidate's three borders), so a segmentation depends on nothing but those and
+can be repeated anywhere, and each occurrence of a word has its own.  White space keeps its place as
+a word start, unknown characters become byte pieces, nothing is normalised: decoding gives back
+every text exactly.
+
+Speed comes from what does not depend on the key.  The candidates of a word, at most 64 here, are
+listed once; a segmentation is a function of the word and of the skipped candidates that would have
+been chosen, and that function is kept per task.  An occurrence first takes the segmentation without
+skips; if one of the merges in it is skipped by its own hash, that candidate is added to the skipped
+ones and the next segmentation looked up, until no chosen merge is skipped: the agenda would have
+chosen the same merges.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -27,196 +35,389 @@ from .common import small_batches
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-VARIANTS = 4  # documents are dealt over this many dropout keys, by their own key
-CACHE_WORDS = 120_000  # for each variant
-LONG_WORD = 48  # longer runs are merged one by one with a heap, so that no array grows with their square
-NONE = np.int32(2**31 - 1)
-_WORD = re.compile(r" *[^ ]+| +")
+CACHE_WORDS, CACHE_SEGMENTATIONS = 200_000, 350_000
+LONG_WORD = 48  # longer runs, and words with more than 64 candidates, are merged one by one with a heap
+CHUNK_WORDS = 200_000
+AGENDA, LATER = -1, -2  # in place of a word's segmentation without skips: none is kept, or it is merged when the word comes twice
 _U = np.uint64
+_MASK = 2**64 - 1
+_BASE = 0x5851F42D4C957F2D
+_BORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 class Pieces:
-    """The vocabulary of a model as arrays: characters, joins of two pieces, and the bytes of each piece."""
+    """The vocabulary of a model: names, their order of merging, and the bytes of each piece."""
 
-    def __init__(self, path: str):
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = model.vocab_size()
-        names = [model.id_to_piece(i) for i in range(size)]
-        self.byte_ids = np.zeros(256, np.int32)
+    def __init__(self, names: Sequence[str], scores: Sequence[float], byte_values: dict[int, int], silent: set[int]):
+        """``byte_values`` has the byte of each byte piece, ``silent`` the control and unknown pieces."""
+        self.byte_ids = [0] * 256
         self.text: list[bytes] = []
-        ids: dict[str, int] = {}
+        self.ids: dict[str, int] = {}
         for i, name in enumerate(names):
-            if model.is_byte(i):
-                value = int(name[3:5], 16)
-                self.byte_ids[value] = i
-                self.text.append(bytes([value]))
-            elif model.is_control(i) or model.is_unknown(i):
+            if i in byte_values:
+                self.byte_ids[byte_values[i]] = i
+                self.text.append(bytes([byte_values[i]]))
+            elif i in silent:
                 self.text.append(b"")
             else:
-                ids[name] = i
-                self.text.append(name.replace(SPACE, " ").encode())
-        self.chars = {(" " if n == SPACE else n): i for n, i in ids.items() if len(n) == 1}
-        order = np.argsort([-model.get_score(i) for i in range(size)], kind="stable")
-        rank = np.empty(size, np.int32)
-        rank[order] = np.arange(size)
-        joins = sorted({(ids[n[:k]] * size + ids[n[k:]], rank[i], i) for n, i in ids.items() for k in range(1, len(n)) if n[:k] in ids and n[k:] in ids})
-        self.size = size
-        self.pairs = np.array([j[0] for j in joins], np.int64)
-        self.ranks = np.array([j[1] for j in joins], np.int32)
-        self.merged = np.empty(size, np.int32)
-        self.merged[self.ranks] = [j[2] for j in joins]
-
-    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The rank of the join of two pieces, NONE where they don't join."""
-        key = left.astype(np.int64) * self.size + right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where((left >= 0) & (right >= 0) & (self.pairs[at] == key), self.ranks[at], NONE)
-
-    def symbols(self, word: str) -> list[int]:
-        """A piece for each character; a character without one is -1 - its code point."""
-        return [self.chars.get(c, -1 - ord(c)) if c != SPACE else -1 - ord(c) for c in word]
-
-    def spelled(self, symbols: np.ndarray) -> np.ndarray:
-        """Pieces with unknown characters as their bytes."""
-        if (symbols >= 0).all():
-            return symbols.astype("<u2")
-        out: list[int] = []
-        for s in symbols.tolist():
-            out += [s] if s >= 0 else self.byte_ids[list(chr(-1 - s).encode("utf-8", "surrogatepass"))].tolist()
-        return np.array(out, "<u2")
+                name = name.replace(SPACE, " ")
+                self.ids[name] = i
+                self.text.append(name.encode())
+        order = sorted(range(len(names)), key=lambda i: (-scores[i], i))
+        self.order = np.empty(len(names), np.int64)  # the place of each piece in the order of merging
+        self.order[order] = np.arange(len(names))
+        self.rank = {name: int(self.order[i]) for name, i in self.ids.items()}
+        self.longest = max(map(len, self.ids), default=1)
+        hashes = np.array([_hash_of(name) for name in self.ids], _U)
+        at = np.argsort(hashes)
+        self.hashes, self.hash_ids = hashes[at], np.array([*self.ids.values()], np.int64)[at]
+        if (self.hashes[1:] == self.hashes[:-1]).any():
+            raise ValueError("two pieces share a hash")
+        self.maybe = np.zeros(1 << 19, bool)  # a quick test before the search
+        self.maybe[hashes >> _U(45)] = True
+        self.beside = np.zeros(1 << 20, bool)  # neighbours in some piece; others may be among them, which only means fewer cuts
+        pairs = np.array(sorted({(ord(a), ord(b)) for name in self.ids for a, b in zip(name, name[1:])}), np.uint32).reshape(-1, 2)
+        self.beside[_pair_hash(pairs[:, 0], pairs[:, 1])] = True
+
+    def spelled(self, text: str) -> list[int]:
+        """The piece of a text, or the bytes of a character that has none."""
+        i = self.ids.get(text)
+        return [i] if i is not None else [self.byte_ids[b] for b in text.encode("utf-8", "surrogatepass")]
 
 
 @lru_cache(maxsize=2)
 def pieces_of(path: str) -> Pieces:
-    return Pieces(path)
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    size = range(model.vocab_size())
+    names = [model.id_to_piece(i) for i in size]
+    return Pieces(
+        names, [model.get_score(i) for i in size], {i: int(names[i][3:5], 16) for i in size if model.is_byte(i)}, {i for i in size if model.is_control(i) or model.is_unknown(i)}
+    )
 
 
-def _skipped(key: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
-    x = key ^ (start.astype(_U) * _U(0x9E3779B97F4A7C15) + mid.astype(_U) * _U(0xC2B2AE3D27D4EB4F) + end.astype(_U) * _U(0x165667B19E3779F9))
+def _border_hash(start: int, mid: int, end: int) -> int:
+    return (start * _BORDERS[0] + mid * _BORDERS[1] + end * _BORDERS[2]) & _MASK
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(33))) * _U(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
-    return (x >> _U(11)).astype(np.float64) / 2.0**53 < dropout
-
-
-def _merge_many(p: Pieces, words: list[str], keys: np.ndarray, dropout: float) -> list[np.ndarray]:
-    """All words at once: each step merges the best candidate of every word that has one left."""
-    n, width = len(words), max(map(len, words))
-    sym = np.full((n, width + 2), -(2**31), np.int64)
-    for i, w in enumerate(words):
-        sym[i, : len(w)] = p.symbols(w)
-    size = np.array([len(w) for w in words])
-    cols = np.arange(width + 2)
-    start = np.minimum(cols, size[:, None])
-
-    def rank(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
-        r = p.rank_of(sym[rows, at], sym[rows, at + 1])
-        if dropout > 0 and (live := np.flatnonzero(r != NONE)).size:
-            rows, at = rows[live], at[live]
-            r[live[_skipped(keys[rows], start[rows, at], start[rows, at + 1], start[rows, at + 2], dropout)]] = NONE
-        return r
-
-    rows, at = np.nonzero(cols[None, :width] < (size - 1)[:, None])
-    ranks = np.full((n, width + 2), NONE, np.int32)
-    ranks[rows, at] = rank(rows, at)
-    live = np.arange(n)
-    while len(live):
-        best = ranks[live].argmin(axis=1)
-        value = ranks[live, best]
-        live, best, value = (x[value != NONE] for x in (live, best, value))
-        if not len(live):
-            break
-        take = np.minimum(cols + (cols > best[:, None]), width + 1)
-        for table in (sym, start):
-            table[live] = np.take_along_axis(table[live], take, axis=1)
-        moved = np.minimum(cols + (cols >= best[:, None]), width + 1)
-        ranks[live] = np.take_along_axis(ranks[live], moved, axis=1)
-        sym[live, best] = p.merged[value]
-        size[live] -= 1
-        for shift in (0, -1):
-            at = best + shift
-            ok = (at >= 0) & (at < size[live] - 1)
-            ranks[live[ok], at[ok]] = rank(live[ok], at[ok])
-            ranks[live[~ok & (at >= 0)], at[~ok & (at >= 0)]] = NONE
-    return [p.spelled(sym[i, : size[i]]) for i in range(n)]
-
-
-def _merge_long(p: Pieces, word: str, key: np.uint64, dropout: float) -> np.ndarray:
-    """One long run with a heap as agenda."""
-    sym = p.symbols(word)
-    n = len(sym)
-    prev, nxt, alive = list(range(-1, n - 1)), [*range(1, n), -1], [True] * n
+    return x ^ (x >> _U(33))
+
+
+def _limit(dropout: float) -> int:
+    """A candidate is skipped where the upper 53 bits of its hash lie below this."""
+    return int(np.ceil(dropout * 2**53))
+
+
+def skipped(key: int, start: int, mid: int, end: int, dropout: float) -> bool:
+    """Whether the join of [start, mid) and [mid, end) is skipped in the word with this key."""
+    return int(_mixed(np.array([key ^ _border_hash(start, mid, end)], _U))[0]) >> 11 < _limit(dropout)
+
+
+def word_keys(seed: int, owner: object, count: int) -> np.ndarray:
+    """The keys of the words of a document, by their number."""
+    document = xxhash.xxh64_intdigest(str(owner).encode("utf-8", "surrogatepass"), seed=seed % 2**64)
+    return _mixed(_U(document) + np.arange(1, count + 1, dtype=_U) * _U(_BORDERS[0]))
+
+
+def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)) >> np.uint32(12)
+
+
+def _hash_of(text: str) -> int:
+    h = 0
+    for c in text:
+        h = (h * _BASE + ord(c) + 1) & _MASK
+    return h
+
+
+def _pieces_in(p: Pieces, words: list[str]) -> np.ndarray:
+    """table[word, start, length]: the piece that stands there, -1 where none does."""
+    size, width = np.array([len(w) for w in words]), max(map(len, words))
+    codes = np.zeros((len(words), width), _U)
+    codes[np.arange(width) < size[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    prefix = np.zeros((len(words), width + 1), _U)
+    for k in range(width):
+        prefix[:, k + 1] = prefix[:, k] * _U(_BASE) + codes[:, k] + _U(1)
+    deep = min(width, p.longest)
+    table = np.full((len(words), width + 1, deep + 1), -1, np.int32)
+    for d in range(1, deep + 1):
+        h = prefix[:, d:] - prefix[:, :-d] * _U(pow(_BASE, d, 2**64))
+        w, i = np.nonzero(p.maybe[h >> _U(45)] & (np.arange(width + 1 - d) <= (size - d)[:, None]))
+        h = h[w, i]
+        at = np.minimum(np.searchsorted(p.hashes, h), len(p.hashes) - 1)
+        hit = p.hashes[at] == h
+        table[w[hit], i[hit], d] = p.hash_ids[at[hit]]
+    return table
+
+
+def _borders_of(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return (spans >> 12).astype(_U), (spans >> 6 & 63).astype(_U), (spans & 63).astype(_U)
+
+
+class Segmentations:
+    """The candidates of each word met, and the segmentation of each word and set of skipped candidates that was asked for."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.empty()
+
+    def empty(self) -> None:
+        self.number: dict[str, int] = {}  # of a word
+        self.found: dict[int, int] = {}  # word number << 64 | skipped candidates -> segmentation number
+        self.ids: list[bytes] = []  # of a segmentation
+        self.chosen = array("Q")  # of a segmentation: the candidates that were merged
+        self.base = array("q")  # of a word: the segmentation without skips, AGENDA or LATER
+        self.first, self.first_char = array("q", [0]), array("q", [0])  # of a word: where its candidates and characters begin
+        self.spans, self.result = array("i"), array("i")  # of a candidate: its three borders, and the piece that it gives
+        self.chars = array("i")  # of a word: the number of each character
+        self.char_number: dict[str, int] = {}
+        self.char_ids: list[list[int]] = []
+
+    def add(self, words: list[str]) -> None:
+        """New words: all joins of two pieces to a piece, the best first, the leftmost on ties."""
+        words = sorted(words, key=len)
+        short = [w for w in words if len(w) <= LONG_WORD]
+        for lo in range(0, len(short), 4096):
+            self._add(short[lo : lo + 4096])
+        self._append(words[len(short) :], np.zeros(len(words) - len(short), np.int64), np.empty(0, np.int32), np.zeros(len(words) - len(short), np.int64))
+
+    def _append(self, words: list[str], candidates: np.ndarray, chars: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers for words with so many candidates and characters each, which stand in the columns already or in ``chars``."""
+        number = np.arange(len(self.base), len(self.base) + len(words))
+        self.number.update(zip(words, number.tolist()))
+        self.base.frombytes(np.full(len(words), AGENDA, np.int64).tobytes())
+        self.first.frombytes((self.first[-1] + np.cumsum(candidates)).tobytes())
+        self.chars.frombytes(chars.tobytes())
+        self.first_char.frombytes((self.first_char[-1] + np.cumsum(lengths)).tobytes())
+        return number
+
+    def _add(self, words: list[str]) -> None:
+        p, table = self.pieces, _pieces_in(self.pieces, words)
+        deep, flat = table.shape[2], table.ravel()
+        spot = np.flatnonzero(flat >= 0)  # where a piece stands: word, start and length in one number
+        spot = spot[spot % deep > 1]
+        length, parts = spot % deep, []
+        for a in range(1, deep - 1):
+            spot, length = (x[length > a] for x in (spot, length))
+            left, right = spot - length + a, spot + a * deep - a
+            ok = (flat[left] >= 0) & (flat[right] >= 0)
+            parts.append(np.stack([spot[ok], np.full(int(ok.sum()), a)]))
+        spot, a = np.concatenate(parts, axis=1) if parts else np.empty((2, 0), np.int64)
+        result, d, start = flat[spot].astype(np.int64), spot % deep, spot // deep
+        w, i = np.divmod(start, table.shape[1])
+        order = np.argsort(w << 40 | p.order[result] << 16 | i << 8 | a)
+        w, i, a, d, result = (x[order] for x in (w, i, a, d, result))
+        count = np.bincount(w, minlength=len(words))
+        if (count > 64).any():
+            keep = np.flatnonzero(count <= 64)
+            self._append([words[k] for k in np.flatnonzero(count > 64)], np.zeros(len(words) - len(keep), np.int64), np.empty(0, np.int32), np.zeros(len(words) - len(keep), np.int64))
+            if len(keep):
+                self._add([words[k] for k in keep])
+            return
+        self.spans.frombytes((i << 12 | i + a << 6 | i + d).astype(np.int32).tobytes())
+        self.result.frombytes(result.astype(np.int32).tobytes())
+        codes, at = np.unique(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
+        chars = np.array([self._char(chr(c)) for c in codes.tolist()], np.int32)[at]
+        number = self._append(words, count, chars, np.array([len(x) for x in words]))
+        np.frombuffer(self.base, np.int64)[number[0] :] = LATER
+
+    def _char(self, c: str) -> int:
+        n = self.char_number.get(c)
+        if n is None:
+            n = self.char_number[c] = len(self.char_ids)
+            self.char_ids.append(self.pieces.spelled(c))
+        return n
+
+    def _lists(self, first: array, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, place in its list, place in the column) of all entries of the given words."""
+        first = np.frombuffer(first, np.int64)
+        many = first[number + 1] - first[number]
+        row = np.repeat(np.arange(len(number)), many)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        return row, place, first[number][row] + place
+
+    def masks(self, number: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
+        """The candidates that each word skips under its key, as bits."""
+        row, place, at = self._lists(self.first, number)
+        start, mid, end = _borders_of(np.frombuffer(self.spans, np.int32)[at])
+        hashes = start * _U(_BORDERS[0]) + mid * _U(_BORDERS[1]) + end * _U(_BORDERS[2])
+        hit = np.flatnonzero(_mixed(keys[row] ^ hashes) >> _U(11) < _U(_limit(dropout)))
+        out = np.zeros(len(number), _U)
+        np.bitwise_or.at(out, row[hit], _U(1) << place[hit].astype(_U))
+        return out
+
+    def merge(self, number: np.ndarray, skip: np.ndarray) -> list[int]:
+        """New segmentations of words, the given candidates skipped.  In each step every word merges the first candidate of its list that is there."""
+        if not len(number):
+            return []
+        row, place, at = self._lists(self.first, number)
+        i, m, j = _borders_of(np.frombuffer(self.spans, np.int32)[at])
+        one = _U(1)
+        mid, window = one << m, (_U(2) << j) - (one << i)
+        pattern = one << i | mid | one << j
+        bit = _U(1) << place.astype(_U)
+        lengths = np.frombuffer(self.first_char, np.int64)
+        size = (lengths[number + 1] - lengths[number]).astype(_U)
+        borders, chosen = (_U(2) << size) - _U(1), np.zeros(len(number), _U)
+        merged = []
+        live = np.flatnonzero(skip[row] & bit == 0)
+        while len(live):
+            held = borders[row[live]]
+            there = live[held & window[live] == pattern[live]]
+            owner = row[there]
+            best = there[np.concatenate([[True], owner[1:] != owner[:-1]])] if len(there) else there
+            if not len(best):
+                break
+            merged.append(best)
+            borders[row[best]] ^= mid[best]
+            chosen[row[best]] |= bit[best]
+            live = live[borders[row[live]] & pattern[live] == pattern[live]]  # a border never comes back
+        best = np.concatenate(merged) if merged else np.empty(0, np.int64)
+        ends = pattern[best] ^ mid[best]
+        best = best[borders[row[best]] & window[best] == ends]
+        r1, c1, id1 = row[best], i[best].astype(np.int64), np.frombuffer(self.result, np.int32)[at[best]]
+        r2, c2, at2 = self._lists(self.first_char, number)
+        pair = _U(3) << c2.astype(_U)
+        single = np.flatnonzero(borders[r2] & pair == pair)
+        r2, c2, chars = r2[single], c2[single], np.frombuffer(self.chars, np.int32)[at2[single]]
+        many = np.array([len(x) for x in self.char_ids], np.int64)
+        flat = np.array([x for ids in self.char_ids for x in ids], np.int64)
+        start = (np.cumsum(many) - many)[chars] if len(many) else chars
+        count = many[chars] if len(many) else chars
+        again = np.repeat(np.arange(len(chars)), count)
+        inside = np.arange(len(again)) - np.repeat(np.cumsum(count) - count, count)
+        rows, cols, ids = np.concatenate([r1, r2[again]]), np.concatenate([c1 * 8, c2[again] * 8 + inside]), np.concatenate([id1, flat[start[again] + inside]])
+        order = np.argsort(rows * 1024 + cols)
+        data = ids[order].astype("<i4").tobytes()
+        ends = (np.cumsum(np.bincount(rows, minlength=len(number))) * 4).tolist()
+        numbers, lo = list(range(len(self.ids), len(self.ids) + len(number))), 0
+        for hi in ends:
+            self.ids.append(data[lo:hi])
+            lo = hi
+        self.chosen.frombytes(chosen.tobytes())
+        for key, n in zip(zip(number.tolist(), skip.tolist()), numbers):
+            self.found[key[0] << 64 | key[1]] = n
+        return numbers
+
+
+@lru_cache(maxsize=2)
+def segmentations_of(path: str) -> Segmentations:
+    return Segmentations(pieces_of(path))
+
+
+def merge_by_agenda(p: Pieces, word: str, key: int, dropout: float) -> list[int]:
+    """One word with a heap as agenda and each skip hashed when a candidate turns up; no array grows with the square of its length."""
+    n, limit = len(word), _limit(dropout)
+    ends, prev, nxt, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [*range(1, n), -1], [True] * n
     agenda: list[tuple[int, int, int, int, int]] = []
 
-    def offer(at: np.ndarray) -> None:
-        at = np.array([i for i in at if i >= 0 and nxt[i] >= 0], np.int64)
-        if not len(at):
-            return
-        right = np.array([nxt[i] for i in at])
-        end = np.array([nxt[j] if nxt[j] >= 0 else n for j in right])
-        left_sym, right_sym = np.array([sym[i] for i in at]), np.array([sym[j] for j in right])
-        r = p.rank_of(left_sym, right_sym)
-        if dropout > 0:
-            r[_skipped(np.full(len(at), key, _U), at, right, end, dropout)] = NONE
-        for item in zip(r.tolist(), at.tolist(), right.tolist(), left_sym.tolist(), right_sym.tolist()):
-            if item[0] != NONE:
-                heapq.heappush(agenda, item)
-
-    offer(np.arange(n))
+    def offer(at: list[int]) -> None:
+        there = [(i, nxt[i]) for i in at if i >= 0 and nxt[i] >= 0]
+        there = [(p.rank.get(word[i : ends[j]]), i, j) for i, j in there if word[i : ends[i]] in p.ids and word[j : ends[j]] in p.ids]
+        there = [x for x in there if x[0] is not None]
+        if dropout > 0 and there:
+            hashes = np.array([key ^ _border_hash(i, j, ends[j]) for _, i, j in there], _U)
+            there = [x for x, h in zip(there, (_mixed(hashes) >> _U(11)).tolist()) if h >= limit]
+        for r, i, j in there:
+            heapq.heappush(agenda, (r, i, j, ends[i], ends[j]))
+
+    offer(list(range(n)))
     while agenda:
-        rank, i, j, a, b = heapq.heappop(agenda)
-        if not alive[i] or nxt[i] != j or sym[i] != a or sym[j] != b:
-            continue
-        sym[i], alive[j], nxt[i] = int(p.merged[rank]), False, nxt[j]
-        if nxt[j] >= 0:
-            prev[nxt[j]] = i
-        offer(np.array([prev[i], i]))
-    return p.spelled(np.array([s for s, there in zip(sym, alive) if there], np.int64))
-
-
-def encode_words(p: Pieces, words: list[str], salt: int, dropout: float) -> list[np.ndarray]:
-    keys = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), seed=salt) for w in words], _U)
-    out: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    short = [i for i in order if len(words[i]) <= LONG_WORD]
-    for lo in range(0, len(short), 8192):
-        part = short[lo : lo + 8192]
-        for i, ids in zip(part, _merge_many(p, [words[i] for i in part], keys[part], dropout)):
-            out[i] = ids
-    for i in order[len(short) :]:
-        out[i] = _merge_long(p, words[i], keys[i], dropout)
+        _, i, j, mid, end = heapq.heappop(agenda)
+        if alive[i] and alive[j] and nxt[i] == j and ends[i] == mid and ends[j] == end:
+            ends[i], alive[j], nxt[i] = end, False, nxt[j]
+            if nxt[j] >= 0:
+                prev[nxt[j]] = i
+            offer([prev[i], i])
+    return [x for i in range(n) if alive[i] for x in p.spelled(word[i : ends[i]])]
+
+
+def segment_words(s: Segmentations, words: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
+    """The ids of each word, as bytes, under its key."""
+    if len(s.base) > CACHE_WORDS or len(s.ids) > CACHE_SEGMENTATIONS:
+        s.empty()
+    s.add([w for w in dict.fromkeys(words) if w not in s.number])
+    number = np.fromiter(map(s.number.__getitem__, words), np.int64, len(words))
+    base = np.frombuffer(s.base, np.int64)
+    mask, skip = s.masks(number, keys, dropout) if dropout > 0 else np.zeros(len(words), _U), np.zeros(len(words), _U)
+    later = np.flatnonzero(base[number] == LATER)
+    fresh, first, times = np.unique(number[later], return_index=True, return_counts=True)
+    again = fresh[times > 1]
+    base[again] = s.merge(again, np.zeros(len(again), _U))
+    found = base[number]
+    once = later[first[times == 1]]
+    found[once] = s.merge(number[once], mask[once])
+    if dropout > 0:
+        skip[once] = mask[once]
+        live = np.flatnonzero((mask != skip) & (found >= 0))
+        while len(live):
+            clash = mask[live] & np.frombuffer(s.chosen, _U)[found[live]]
+            live, clash = live[clash != 0], clash[clash != 0]
+            skip[live] |= clash
+            asked = [w << 64 | k for w, k in zip(number[live].tolist(), skip[live].tolist())]
+            if fresh := [k for k in dict.fromkeys(asked) if k not in s.found]:
+                s.merge(np.array([k >> 64 for k in fresh], np.int64), np.array([k & _MASK for k in fresh], _U))
+            found[live] = list(map(s.found.__getitem__, asked))
+    coded = list(map(s.ids.__getitem__, found.tolist()))
+    for i in np.flatnonzero(found < 0).tolist():
+        coded[i] = np.array(merge_by_agenda(s.pieces, words[i], int(keys[i]), dropout), "<i4").tobytes()
+    return coded
+
+
+def encode_texts(s: Segmentations, texts: Sequence[str | None], owners: Sequence[object], seed: int, dropout: float) -> list[np.ndarray | None]:
+    """The piece ids of each text."""
+    out: list[np.ndarray | None] = []
+    held: list[list[str] | None] = []
+    keys: list[np.ndarray] = []
+
+    def flush() -> None:
+        words = [w for d in held if d for w in d]
+        coded = segment_words(s, words, np.concatenate([np.empty(0, _U), *keys]), dropout)
+        at = 0
+        for d in held:
+            out.append(None if d is None else np.frombuffer(b"".join(coded[at : at + len(d)]), "<i4"))
+            at += len(d or ())
+        held.clear()
+        keys.clear()
+
+    for text, owner in zip(texts, owners):
+        words = None if text is None else split_words(s.pieces, text)
+        held.append(words)
+        keys.append(word_keys(seed, owner, len(words or ())))
+        if sum(map(len, keys)) > CHUNK_WORDS:
+            flush()
+    flush()
     return out
 
 
-def split_words(text: str) -> list[str]:
-    """Runs of spaces with the run behind them; joins never reach from one into the next.  One space is put before the text."""
-    return _WORD.findall(" " + text) if text else []
+def split_words(p: Pieces, text: str) -> list[str]:
+    """The text, with a space before it, cut where a run of spaces begins and where no piece has the two characters beside each other: no join reaches across."""
+    if not text:
+        return []
+    text = " " + text
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    left, right = points[:-1], points[1:]
+    cuts = (np.flatnonzero(~p.beside[_pair_hash(left, right)] | ((right == 32) & (left != 32))) + 1).tolist()
+    return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])]
 
 
 def encode_pieces(text: Column | str, key: Column | str, seed: int = 0, dropout: float = 0.1, model: str = MODEL) -> Column:
-    """array<int> of pieces of a text column.  ``key`` (a document id) picks the dropout variant.
+    """array<int> of pieces of a text column.  ``key`` (a document id) is part of every skip hash.
 
     Null gives null, an empty text an empty array.  Equal texts with equal keys are segmented
-    alike, on any machine; ``dropout`` 0 gives the model's own segmentation.
+    alike, on any machine, and so are repeated rows; equal texts with different keys are not; a null
+    key is a key like any other; ``dropout`` 0 gives the model's own segmentation.
     """
 
     small_batches()
 
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        p = pieces_of(model)
-        caches: list[dict[str, bytes]] = [{} for _ in range(VARIANTS)]
+        s = segmentations_of(model)
         for texts, owners in batches:
-            out: list[np.ndarray | None] = []
-            for lo in range(0, len(texts), 256):
-                docs = [(None if t is None else split_words(t), xxhash.xxh64_intdigest(str(o), seed=seed) % VARIANTS) for t, o in zip(texts[lo : lo + 256], owners[lo : lo + 256])]
-                for v, cache in enumerate(caches):
-                    want = set().union(*(d for d, w in docs if w == v and d))
-                    if len(cache) > CACHE_WORDS:
-                        cache.clear()
-                    fresh = sorted(want - cache.keys())
-                    cache.update(zip(fresh, (x.tobytes() for x in encode_words(p, fresh, seed * VARIANTS + v, dropout))))
-                out += [None if d is None else np.frombuffer(b"".join(map(caches[v].__getitem__, d)), "<u2").astype(np.int32) for d, v in docs]
-            yield pd.Series(out, dtype=object)
+            yield pd.Series(encode_texts(s, texts.tolist(), owners.tolist(), seed, dropout), dtype=object)
 
     return encode(text, key)
 

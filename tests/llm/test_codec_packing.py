@@ -14,16 +14,15 @@ from advisorium.llm import piece_codec as pc
 from advisorium.llm.packing import VOCABULARY, _encoder, combinations, make_plan, pack_documents, solve_counts
 
 HF = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-HF.encode_special_tokens = True
-DEFAULT = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 SP = sentencepiece.SentencePieceProcessor(model_file=pc.MODEL)
 TEXTS = st.text(alphabet=st.one_of(st.sampled_from("ab éß日🎉  \n\t'.,1２▁"), st.characters(codec="utf-8", exclude_categories=["Cs"])), max_size=80)
 
 
-def encode(text, salt=0, dropout=0.0):
-    words = pc.split_words(text)
-    table = dict(zip(sorted(set(words)), pc.encode_words(pc.pieces_of(pc.MODEL), sorted(set(words)), salt, dropout)))
-    return [i for w in words for i in table[w].tolist()]
+CODEC = pc.segmentations_of(pc.MODEL)
+
+
+def encode(text, owner=0, seed=0, dropout=0.0):
+    return pc.encode_texts(CODEC, [text], [owner], seed, dropout)[0].tolist()
 
 
 @settings(max_examples=150, deadline=None)
@@ -38,14 +37,52 @@ def test_pieces_without_dropout_equal_the_library(text):
     assert encode(text) == SP.encode(text)
 
 
-def test_heap_equals_vector_form():
+def agenda(text, owner, seed, dropout):
+    """Every word by the plain agenda with its own key, one hash at a time."""
+    words = pc.split_words(CODEC.pieces, text)
+    keys = pc.word_keys(seed, owner, len(words))
+    return [i for w, k in zip(words, keys.tolist()) for i in pc.merge_by_agenda(CODEC.pieces, w, k, dropout)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS, st.integers(0, 5), st.integers(0, 2**63), st.sampled_from([0.05, 0.3, 0.9, 1.0]))
+def test_kept_segmentations_equal_the_agenda(text, owner, seed, dropout):
+    got = encode(text, owner, seed, dropout)
+    assert got == agenda(text, owner, seed, dropout)
+    assert b"".join(CODEC.pieces.text[i] for i in got)[1:].decode("utf-8", "surrogatepass") == text
+
+
+def test_words_of_every_length_equal_the_agenda():
     r = random.Random(1)
-    p = pc.pieces_of(pc.MODEL)
-    words = ["".join(r.choice("abeénrt ßch") for _ in range(r.randrange(1, 40))) or "a" for _ in range(200)]
-    keys = np.array([pc.xxhash.xxh64_intdigest(w.encode(), seed=9) for w in words], np.uint64)
-    for dropout in (0.0, 0.3):
-        many = pc._merge_many(p, words, keys, dropout)
-        assert all(a.tolist() == pc._merge_long(p, w, k, dropout).tolist() for a, w, k in zip(many, words, keys))
+    text = " ".join("".join(r.choice("abeénrtßchingtheou日🎉\n") for _ in range(r.randrange(1, 90))) for _ in range(600))
+    for dropout in (0.0, 0.1, 0.4):
+        assert encode(text, 7, 3, dropout) == agenda(text, 7, 3, dropout)
+
+
+def test_a_word_varies_by_document_and_place():
+    text = "understanding " * 400
+    one, two = encode(text, "a", 1, 0.1), encode(text, "b", 1, 0.1)
+    assert one != two and one == encode(text, "a", 1, 0.1) and one != encode(text, "a", 2, 0.1)
+    words = pc.split_words(CODEC.pieces, text)
+    coded = pc.segment_words(CODEC, words, pc.word_keys(1, "a", len(words)), 0.1)
+    assert len({c for c, w in zip(coded, words) if w == " understanding"}) > 8
+
+
+def test_model_with_more_than_65536_pieces():
+    letters = [chr(0x4E00 + k) for k in range(400)]
+    names = ["<unk>"] + [f"<0x{b:02X}>" for b in range(256)] + [" ", *letters] + [a + b for a in letters for b in letters][:80_000]
+    p = pc.Pieces(names, [-float(i) for i in range(len(names))], {i + 1: i for i in range(256)}, {0})
+    text = "".join(letters[i] for i in (199, 399, 3, 5, 198, 377)) + " é"
+    ids = pc.encode_texts(pc.Segmentations(p), [text], [1], 0, 0.0)[0].tolist()
+    assert max(ids) > 65_536 and b"".join(p.text[i] for i in ids)[1:].decode() == text
+
+
+def test_full_caches_are_emptied(monkeypatch):
+    text = " ".join(f"word{k}ing" for k in range(500))
+    want = encode(text, 1, 1, 0.2)
+    monkeypatch.setattr(pc, "CHUNK_WORDS", 60)
+    monkeypatch.setattr(pc, "CACHE_WORDS", 40)
+    assert pc.encode_texts(CODEC, [text[:900], text, None, ""], [0, 1, 2, 3], 1, 0.2)[1].tolist() == want
 
 
 def test_round_trip_and_dropout(spark):
@@ -124,9 +161,25 @@ def test_repeated_rows_are_packed_each(spark):
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(TEXTS, st.sampled_from(["<|endoftext|>", " <|endoftext|> ", "<|endoftext", "|>"])), max_size=8).map("".join))
-def test_ids_equal_the_tokenizers_library_at_its_defaults(text):
-    assert _encoder(VOCABULARY)(text) == DEFAULT.encode(text, add_special_tokens=False).ids
+def test_ids_equal_the_library_with_added_tokens(text):
+    assert _encoder(VOCABULARY)(text) == HF.encode(text, add_special_tokens=False).ids
 
 
 def test_added_token_is_one_id():
     assert _encoder(VOCABULARY)("a <|endoftext|> b") == [64, 220, 50256, 275]
+
+
+def test_very_long_runs_of_white_space(spark):
+    for run in (" " * 10**6, "\n" * 10**6, " \n\t" * 10**5):
+        text = f"a {run} <|endoftext|> b"
+        assert _encoder(VOCABULARY)(text) == HF.encode(text, add_special_tokens=False).ids
+    texts = {1: "a" + " " * 10**6, 2: " " * 999 + "b", 3: "\n" * 1001}
+    df = spark.createDataFrame([(i, t, 0, 0) for i, t in texts.items()], "doc_id long, text string, part int, rank int")
+    assert check_pieces(pack_documents(df).collect(), texts, 1024) == 0
+
+
+def test_codec_with_repeated_rows_clashing_names_and_no_rows(spark):
+    df = spark.createDataFrame([(1, "under standing " * 9, 5), (1, "under standing " * 9, 5), (None, "x", 6), (None, None, 7)], "doc_id long, text string, ids int")
+    rows = df.select("doc_id", "text", pc.encode_pieces("text", "doc_id", 1, 0.3).alias("coded")).collect()
+    assert rows[0] == rows[1] and rows[2].coded and rows[3].coded is None
+    assert df.limit(0).select(pc.encode_pieces("text", "doc_id")).collect() == []

@@ -15,8 +15,8 @@ size of a set, so that a fragment of a document holds a few n-grams.
   different components afterwards is compared in blocks of bounded size, through the length bound
   and parity sketches whose Hamming distance never exceeds the true difference.  A block hands out
   at most ``PER_MEMBER`` pairs a member, the nearest of each two components first; where it had
-  more, it is looked at again with wide sketches once those links have joined components, and what
-  is left then is verified in place, where only links that join two components leave the task.  So
+  more, it is looked at again once those links have joined components, and what is left then is
+  verified in place, where only links that join two components leave the task.  So
   no key, however hot, gives more rows than a constant times its members, and no pair is skipped.
 * Candidates are verified exactly: overlaps are counted per fragment and summed per pair.
 * All links of a set lie inside its component.  They are counted there, every two members once,
@@ -40,6 +40,7 @@ from .common import by_ids, small_batches, written
 from .components import connected_components
 
 SKETCH_WORDS = 16  # 1024 parity bits for each set
+WIDE_WORDS = 256  # a second sketch has two bits for each n-gram, up to so many words; of larger sets it only bounds less tightly
 VERIFY_BITS = 2  # verification counts overlaps in 4 fragments
 BLOCK = 8192  # members of a key that one task compares with as many others
 BLOCK_GRAMS = 4_000_000  # n-grams of those members, about
@@ -124,9 +125,8 @@ def _parity(s: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _sketches(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A sketch of fixed size, and one with at least two bits for each n-gram."""
-    least = 64 * SKETCH_WORDS
-    wide = _parity(s, max(least, 1 << (2 * len(s) - 1).bit_length()))
+    """A sketch of fixed size, and one with at least two bits for each n-gram where WIDE_WORDS allow it."""
+    wide = _parity(s, min(64 * WIDE_WORDS, max(64 * SKETCH_WORDS, 1 << (2 * len(s) - 1).bit_length())))
     narrow = wide
     while len(narrow) > SKETCH_WORDS:
         narrow = narrow[: len(narrow) // 2] ^ narrow[len(narrow) // 2 :]
@@ -157,13 +157,13 @@ def _grams_of(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInPandas(sets, "id long, grams array<long>")
 
 
-def _fragments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fragments(batches: Iterator[pd.DataFrame], words: int) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for name, grams in zip(pdf["id"], pdf["grams"]):
-            s = np.asarray(grams, np.int64).view(_U)
+        for text in pdf["text"]:
+            s = shingle_hashes(text, words)
             cuts = np.searchsorted(s >> _U(64 - VERIFY_BITS), np.arange(1, 2**VERIFY_BITS, dtype=_U))
-            rows += [(name, i, part.view(np.int64)) for i, part in enumerate(np.split(s, cuts))]
+            rows += [(_name(s), i, part.view(np.int64)) for i, part in enumerate(np.split(s, cuts))]
         yield pd.DataFrame(rows, columns=["id", "fragment", "grams"])
 
 
@@ -193,14 +193,14 @@ def _folded(lists: pa.ListArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return found
 
 
-def _candidates(table: pa.Table, num: int, den: int, sketch: str, roots: _Roots) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _candidates(table: pa.Table, num: int, den: int, roots: _Roots) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(row, partners, distances) of one block for every row, smaller sets first: what length, component and sketch allow.
 
     Components are looked up when a row's turn comes, so that links found meanwhile count.
     """
     n, block = table["n"].to_numpy(), table["block"].to_numpy()
     apart = table["bi"][0].as_py() != table["bj"][0].as_py()
-    lists = table[sketch].combine_chunks()
+    lists = table["wide"].combine_chunks()
     length, folded = np.diff(lists.offsets.to_numpy()), _folded(lists)
     order = np.argsort(n, kind="stable")
     ends = np.searchsorted(n[order], n[order] * den // num, side="right")  # a partner has at most n / t n-grams
@@ -224,13 +224,13 @@ def _candidates(table: pa.Table, num: int, den: int, sketch: str, roots: _Roots)
 NEAREST = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("bi", pa.int32()), ("bj", pa.int32())])
 
 
-def _nearest(table: pa.Table, num: int, den: int, sketch: str) -> pa.RecordBatch:
+def _nearest(table: pa.Table, num: int, den: int) -> pa.RecordBatch:
     """Candidate pairs (a, b) of one block, PER_MEMBER for each row at most; and the block itself (key, bi, bj) if it had more."""
     ids, roots = table["id"].to_numpy(), _Roots(table["comp"].to_numpy())
     best: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
     more, room = False, PER_MEMBER * len(table)
     seen = 0
-    for x, y, distance in _candidates(table, num, den, sketch, roots):
+    for x, y, distance in _candidates(table, num, den, roots):
         seen += len(y)
         order = np.argsort(distance, kind="stable")
         y, distance = y[order], distance[order]
@@ -261,7 +261,7 @@ def _uniting(table: pa.Table, num: int, den: int) -> pa.RecordBatch:
     ends = grams.offsets.to_numpy()
     _, code = np.unique(grams.flatten().to_numpy(), return_inverse=True)
     mark, left, right = np.zeros(int(code.max()) + 1 if len(code) else 1, bool), [], []
-    for x, y, distance in _candidates(table, num, den, "wide", roots):
+    for x, y, distance in _candidates(table, num, den, roots):
         y = y[np.argsort(distance, kind="stable")]
         mark[code[ends[x] : ends[x + 1]]] = True
         while len(y):
@@ -331,7 +331,7 @@ def _texts(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """pairs(a, b) that are linked: partial overlaps per fragment, summed per pair."""
     texts = _texts(docs, classes, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    parts = written(_grams_of(texts, words).mapInPandas(_fragments, "id long, fragment int, grams array<long>"), "fragments")
+    parts = written(texts.mapInPandas(lambda it: _fragments(it, words), "id long, fragment int, grams array<long>"), "fragments")
     left = parts.select(F.col("id").alias("a"), "fragment", F.col("grams").alias("x"))
     right = parts.select(F.col("id").alias("b"), "fragment", F.col("grams").alias("y"))
     partial = (
@@ -419,10 +419,10 @@ def _across(members: DataFrame, links: DataFrame, one: DataFrame, docs: DataFram
         return links, comp
     ordered = lambda df: df.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
     schema = "a long, b long, key long, bi int, bj int"
-    for sketch in ("sketch", "wide"):
-        full = ordered(labelled(rows).join(one.select("id", "n", sketch), "id"))
-        found = written(full.mapInArrow(lambda it, s=sketch: _by_block(it, lambda t: _nearest(t, num, den, s)), schema), "nearest")
-        close = written(_close(found.where("a is not null").select("a", "b").distinct(), one, "wide", num, den), "close")
+    for _ in range(2):  # the second time only where a block had more, with the links of the first time in the components
+        full = ordered(labelled(rows).join(one.select("id", "n", "wide"), "id"))
+        found = written(full.mapInArrow(lambda it: _by_block(it, lambda t: _nearest(t, num, den)), schema), "nearest")
+        close = written(found.where("a is not null").select("a", "b").distinct(), "close")
         if not close.isEmpty() and not (more := written(_verified(close, docs, classes, words, num, den), "more-links")).isEmpty():
             links = links.unionByName(more)
             comp = written(connected_components(links), "labels")

@@ -23,6 +23,7 @@ GAP = 0  # the symbol between words; every other symbol is the code point of a l
 DIMENSIONS = 512
 KNOWN_GRAMS = 16_384  # trigram vectors kept ready in a task; all others are bound when met
 KNOWN_LETTERS = 50_000
+COUNTED_CHARS = 500_000  # of texts whose trigrams are counted together
 SEED = 20_240
 REJECT_QUANTILE, REJECT_SHARE = 0.001, 0.75
 _BITS = 21  # of a code point
@@ -31,7 +32,7 @@ _BITS = 21  # of a code point
 @lru_cache(maxsize=1)
 def _codes() -> np.ndarray:
     """The symbol of each code point: of letters the lower-case letter, of all else the gap."""
-    out = np.zeros(0x110000, np.int64)
+    out = np.zeros(0x110000, np.uint32)
     for cp in range(0x110000):
         if (ch := chr(cp)).isalpha():
             out[cp] = ord(ch.lower()[0])
@@ -44,8 +45,8 @@ def trigrams(text: str | None) -> np.ndarray:
     code = _codes()[points]
     if not code.any():
         return np.empty(0, np.int64)
-    code = np.concatenate([[GAP], code, [GAP]])
-    code = code[np.concatenate([[True], (code[1:] != GAP) | (code[:-1] != GAP)])]
+    code = np.concatenate([np.zeros(1, np.uint32), code, np.zeros(1, np.uint32)])
+    code = code[np.concatenate([[True], (code[1:] != GAP) | (code[:-1] != GAP)])].astype(np.int64)
     return code[:-2] << 2 * _BITS | code[1:-1] << _BITS | code[2:]
 
 
@@ -82,11 +83,13 @@ class LanguageModel:
 
 
 def _gram_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One count table for each language and batch, so the shuffle carries counts and not texts, and a task holds no more than a batch."""
+    """A count table for each language and a few texts, so the shuffle carries counts and not texts, and a task holds little."""
     for pdf in batches:
         for lang, texts in pdf.groupby("lang")["text"]:
-            gram, n = np.unique(np.concatenate([np.empty(0, np.int64), *map(trigrams, texts)]), return_counts=True)
-            yield pd.DataFrame({"lang": lang, "gram": gram, "n": n})
+            size = texts.str.len().cumsum() // COUNTED_CHARS
+            for _, part in texts.groupby(size):
+                gram, n = np.unique(np.concatenate([np.empty(0, np.int64), *map(trigrams, part)]), return_counts=True)
+                yield pd.DataFrame({"lang": lang, "gram": gram, "n": n})
 
 
 def fit_language_model(docs: DataFrame, dimensions: int = DIMENSIONS, seed: int = SEED) -> LanguageModel:

@@ -62,6 +62,32 @@ def path_get(doc: Column, path: str) -> Column:
     return F.nullif(F.trim(F.get_json_object(doc, "$." + path)), F.lit(""))
 
 
+def path_delete(doc: Column, *paths: str) -> Column:
+    """JSON text without the values at dotted paths; where a path leads through something else than an object nothing changes."""
+    import json
+
+    def without(text: str | None) -> str | None:
+        try:
+            value = json.loads(text) if text is not None else None
+        except ValueError:
+            return text
+        for path in paths:
+            *way, last = path.split(".")
+            node = value
+            for key in way:
+                node = node.get(key) if isinstance(node, dict) else None
+            if isinstance(node, dict):
+                node.pop(last, None)
+        return None if value is None else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(without)
+
+    return run(doc)
+
+
 def path_first(doc: Column, paths: list[str]) -> Column:
     return F.coalesce(*[path_get(doc, p) for p in paths]) if paths else F.lit(None).cast("string")
 

@@ -16,7 +16,12 @@ URL = r"(https?://[^\s\"'<>]+)"
 CVSS_SCORE = r"(?i)(?:CVSS|score)[^0-9]{0,12}(\d{1,2}(?:\.\d)?)"
 CVSS_VECTOR = r"(CVSS:\d\.\d/[A-Za-z:/]+[A-Za-z])"
 TRANSIENT_STATUS = (429, 500, 502, 503, 504, 521)
-BLOCK_MARKERS = ("captcha", "访问验证", "access denied", "just a moment")
+# Marks of firewall challenge pages and of their response header.
+FIREWALL_MARKS = [
+    "_waf_", 'id="renderdata"', "id='renderdata'", "sigchl", "punish-type", "__jsl_clearance", "jsl_clearance", "x-via-jsl", "jiasule", "yunaq", "eo-bot-js-token",
+    "eojschallengesdk", "gcaptcha.eo.gtimg.com", "tencent cloud edgeone",
+]
+PUNISH_HEADERS = ["Punish-Type", "punish-type"]
 
 
 def blank_to_null(c: Column) -> Column:
@@ -164,13 +169,20 @@ def uri_redact(c: Column) -> Column:
     return F.regexp_replace(c, r"([a-z][a-z0-9+.-]*://[^:/@\s]+):[^@\s]*@", "$1:***@")
 
 
-def page_blocked(html: Column) -> Column:
-    """True for captcha gates and firewall pages; a page with a table is never one."""
+def captcha_gate(html: Column) -> Column:
+    """True for pages that show an inline picture and ask for what it says."""
     low = F.lower(html)
-    hit = F.lit(False)
-    for marker in BLOCK_MARKERS:
-        hit = hit | low.contains(marker)
-    return hit & ~low.contains("<table")
+    return F.coalesce(low.contains("data:image") & low.rlike("验证码|type=(\"text\"|'text')"), F.lit(False))
+
+
+def page_blocked(html: Column, headers: Column | None = None) -> Column:
+    """True for firewall challenges: by a header of ``headers`` (a map), else by a mark in a page without a table; a captcha gate is none."""
+    low = F.lower(html)
+    marked = F.coalesce(low.rlike("|".join(m.replace(".", "[.]") for m in FIREWALL_MARKS)) & ~low.contains("<table"), F.lit(False))
+    if headers is not None:
+        punished = [F.coalesce(F.try_element_at(headers, F.lit(h)), F.lit("")) != "" for h in PUNISH_HEADERS]
+        marked = F.coalesce(punished[0] | punished[1], F.lit(False)) | marked
+    return ~captcha_gate(html) & marked
 
 
 def failure_transient(status: Column, error: Column) -> Column:

@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted patterns in the order in which they are tried.
-ZONED = [f"yyyy-M-d'T'H:m:s{fraction}{zone}" for fraction in (".SSSSSS", "") for zone in ("xx", "xxx", "XXX")]
-NAIVE = ["yyyy-M-d'T'H:m:s.SSSSSS", "yyyy-M-d'T'H:m:s", "yyyy-M-d H:m:s", "yyyy-M-d H:m", "yyyy/M/d H:m:s", "yyyy/M/d H:m"]
+# Accepted patterns of dates without a time.
 DATES = ["yyyy-M-d", "yyyy/M/d", "yyyy.M.d", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy"]
 HOUR = 3_600_000_000
 HONG_KONG = 8
@@ -30,16 +28,41 @@ def _clean(c: Column) -> Column:
     return F.regexp_replace(F.trim(c), r"\s+", " ")
 
 
+def _read(t: Column, naive: int) -> Column:
+    """The instant of a cleaned text: its shape says which pattern can fit, so one or two are tried and not all.  ``naive`` hours are taken off where no zone is given."""
+    to = lambda p: F.try_to_timestamp(t, F.lit(p)).cast("timestamp_ntz")
+    local = lambda p: to(p) - hours(naive) if naive else to(p)
+    has = lambda pattern: t.rlike(pattern)
+    fraction, seconds = t.contains("."), has(r":\d+:")
+
+    def zoned(part: str) -> Column:
+        body = f"yyyy-M-d'T'H:m:s{part}"
+        return F.when(t.endswith("Z"), to(body + "XXX")).when(has(r"[+-]\d\d:\d\d$"), to(body + "xxx")).when(has(r"[+-]\d{4}$"), to(body + "xx")).otherwise(local(body))
+
+    english = has(r"[A-Za-z]{4,} |[A-Za-z]{4,}$")  # May is both a short and a full name
+    return (
+        F.when(has(r"^\d+-\d+-\d+T"), F.when(fraction, zoned(".SSSSSS")).otherwise(zoned("")))
+        .when(has(r"^\d+-\d+-\d+ "), F.when(seconds, local("yyyy-M-d H:m:s")).otherwise(local("yyyy-M-d H:m")))
+        .when(has(r"^\d+/\d+/\d+ "), F.when(seconds, local("yyyy/M/d H:m:s")).otherwise(local("yyyy/M/d H:m")))
+        .when(has(r"^\d+-"), local("yyyy-M-d")).when(has(r"^\d+/"), local("yyyy/M/d")).when(has(r"^\d+\."), local("yyyy.M.d"))
+        .when(has(r"^\d+ [A-Za-z]"), F.when(english, local("d MMMM yyyy")).otherwise(local("d MMM yyyy")))
+        .when(has(r"^[A-Za-z]"), F.when(english, local("MMMM d, yyyy")).otherwise(local("MMM d, yyyy")))
+    )
+
+
+def _parsed(c: Column, naive: int) -> Column:
+    """``_read`` of the cleaned text, which is bound once as the only element of an array."""
+    return F.get(F.transform(F.array(_clean(c)), lambda t: _read(t, naive)), F.lit(0))
+
+
 def parse_hk(c: Column) -> Column:
     """First accepted pattern; without a zone it is Hong Kong time, a date alone is its midnight there; else null."""
-    text = _clean(c)
-    return F.coalesce(_try(text, ZONED), _try(text, NAIVE) - hours(HONG_KONG), _try(text, DATES) - hours(HONG_KONG))
+    return _parsed(c, HONG_KONG)
 
 
 def parse_utc(c: Column) -> Column:
     """As ``parse_hk``, but text without a zone is UTC."""
-    text = _clean(c)
-    return F.coalesce(_try(text, ZONED), _try(text, NAIVE), _try(text, DATES))
+    return _parsed(c, 0)
 
 
 def parse_rfc822(c: Column) -> Column:

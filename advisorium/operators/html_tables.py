@@ -19,6 +19,7 @@ SKIPPED = frozenset("script style nav template noscript".split())
 BLOCKS = frozenset("address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main ol p pre section table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 LABEL_CHARS = 16
+MOST_COLUMNS = 1000  # the HTML standard's limit of a column span
 
 PAIRS = "array<struct<label:string,value:string>>"
 GRID = "array<array<array<string>>>"
@@ -120,12 +121,13 @@ def _parse(html: str | None) -> _Page:
 
 
 def _grid(rows: list[list[tuple[str, int, int, bool]]]) -> list[list[str]]:
-    """Spans filled in, short rows padded; a row span of 0 reaches the end."""
+    """Spans filled in, short rows padded; a row span of 0 reaches the end, a cell goes to the first place where all of its columns are free."""
     cells: dict[tuple[int, int], str] = {}
     for r, row in enumerate(rows):
         c = 0
         for text, cols, down, _ in row:
-            while (r, c) in cells:
+            cols = min(cols, MOST_COLUMNS)
+            while any((r, c + x) in cells for x in range(cols)):
                 c += 1
             for y in range(r, len(rows) if down == 0 else min(len(rows), r + down)):
                 for x in range(c, c + cols):

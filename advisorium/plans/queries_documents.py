@@ -261,6 +261,9 @@ def _broken(spark, d):
     rows = table(spark, d, "customer").select(
         k, provider.alias("provider"), F.concat(F.when(k % 7 == 0, "wiz").otherwise(provider), F.lit(":1")).alias("_id"), F.when(k % 13 == 0, 1).otherwise(2).alias("schema_version"), F.when(k % 17 > 0, F.lit("2024-01-01").cast("timestamp_ntz")).alias("observed_at"),
         F.lit("{}").alias("details"), F.when(k % 6 == 1, "x").alias("classification"), cves.alias("cve_ids"), F.when(k % 19 == 0, "Unknown").otherwise("High").alias("severity"),
+        F.when(k % 23 == 0, "").otherwise("c").alias("code"), F.when(k % 29 > 0, "t").alias("title"), F.when(k % 31 == 0, "gone").when(k % 31 == 1, "new").alias("change_type"),
+        F.struct(F.when(k % 8 == 0, "who").otherwise("nvd").alias("provider"), F.when(k % 16 == 0, "").otherwise("u").alias("url"), F.lit(None).cast("string").alias("detail_url")).alias("source"),
+        F.when(k % 18 == 1, "error").when(k % 18 == 7, "failed").otherwise("queued").alias("classification_status"), F.when(k % 21 == 0, "soon").when(k % 21 == 1, "2024-01-02").alias("published_at"),
     )
     return rows.withColumn("violations", M.violations(C("provider"), {c: C(c) for c in rows.columns}))
 
@@ -269,6 +272,7 @@ _P = "CASE WHEN c_custkey % 11 = 0 THEN 'nobody' WHEN c_custkey % 2 = 0 THEN 'cv
 _RULES = [
     ("provider_unknown", "c_custkey % 11 = 0"), ("provider_mismatch", "c_custkey % 7 = 0"), ("version", "c_custkey % 13 = 0"), ("no_observation", "c_custkey % 17 = 0"), ("classification_off_cve", f"c_custkey % 6 = 1 AND ({_P}) <> 'cve'"),
     ("cve_ids_repeat", "c_custkey % 2 = 1 AND c_custkey % 9 = 0"), ("cve_ids_form", "c_custkey % 2 = 1 AND c_custkey % 9 > 0 AND c_custkey % 5 = 0"), ("severity", "c_custkey % 19 = 0"),
+    ("no_code", "c_custkey % 23 = 0"), ("no_title", "c_custkey % 29 = 0"), ("change_type", "c_custkey % 31 = 0"), ("source_provider", "c_custkey % 8 = 0"), ("source_address", "c_custkey % 16 = 0"), ("classification_status", "c_custkey % 18 = 1"), ("published_at_date", "c_custkey % 21 = 0"),
 ]
 
 
@@ -408,10 +412,10 @@ def _(spark, d):
     return table(spark, d, "orders").join(known, "o_custkey", "left_anti").select("o_orderkey")
 
 
-@query("join_cve_xref", f"WITH {NEWS} SELECT any_cve AS cve, _id FROM news WHERE k % 26 = 12")
+@query("join_cve_xref", f"WITH {NEWS} SELECT DISTINCT any_cve AS cve, _id FROM news WHERE any_cve IS NOT NULL")
 def _(spark, d):
     n = _plain(news(spark, d))
-    wanted = A.adv(spark, d).where("k % 26 = 12").select(F.concat(F.lit("CVE-"), F.regexp_replace("cve_raw", "(?i)^cve-", "")).alias("cve"))
+    wanted = A.adv(spark, d).select(F.concat(F.lit("CVE-"), F.regexp_replace("cve_raw", "(?i)^cve-", "")).alias("cve")).distinct()
     return H.cve_xref(n, wanted).select("cve", "_id")
 
 
@@ -445,10 +449,10 @@ def _(spark, d):
     return H.covering_windows(table(spark, d, "events").withColumn("win", C("user_id") % 24), w, "win", "ts").select("event_id", "win")
 
 
-@query("join_ledger_asof", f"WITH {A.OBSERVATIONS}, l AS (SELECT identity, max(observed_at) AS m FROM observations WHERE event_id % 3 = 0 GROUP BY 1) SELECT event_id FROM observations o LEFT JOIN l USING (identity) WHERE event_id % 3 = 1 AND (m IS NULL OR m < observed_at)")
+@query("join_ledger_asof", f"WITH {A.OBSERVATIONS}, l AS (SELECT identity, max(observed_at) AS m FROM observations WHERE event_id % 2 = 0 GROUP BY 1) SELECT event_id FROM observations o LEFT JOIN l USING (identity) WHERE event_id % 2 = 1 AND (m IS NULL OR m < observed_at)")
 def _(spark, d):
     o = A.observations(spark, d)
-    return H.not_committed(o.where("event_id % 3 = 1"), o.where("event_id % 3 = 0").select("identity", "observed_at")).select("event_id")
+    return H.not_committed(o.where("event_id % 2 = 1"), o.where("event_id % 2 = 0").select("identity", "observed_at")).select("event_id")
 
 
 @query("join_broadcast_rules", "SELECT s_suppkey, r_name AS rule FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey AND r_regionkey < 3")

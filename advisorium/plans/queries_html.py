@@ -1,4 +1,4 @@
-"""Queries over HTML pages; pages with tables are rendered from nations, regions and customers."""
+"""Queries over HTML pages; pages with tables are rendered from customers and their orders."""
 
 from __future__ import annotations
 
@@ -12,9 +12,9 @@ BASE = "https://base.example.org"
 
 
 def region_pages(spark, d):
-    """One page a region: a caption pair, a table with a row-spanned region cell, a column-spanned total row, and sections."""
-    n = table(spark, d, "nation").groupBy(C("n_regionkey").alias("page_id")).agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("v"))
-    r = table(spark, d, "region").select(C("r_regionkey").alias("page_id"), "r_name")
+    """One page a customer with orders: a caption pair, a table of the orders with a row-spanned customer cell, a column-spanned total row, and sections."""
+    n = table(spark, d, "orders").groupBy(C("o_custkey").alias("page_id")).agg(F.array_sort(F.collect_list(F.struct(C("o_orderkey").alias("n_nationkey"), C("o_orderpriority").alias("n_name")))).alias("v"))
+    r = table(spark, d, "customer").select(C("c_custkey").alias("page_id"), C("c_name").alias("r_name"))
     rows = F.transform("v", lambda x, i: F.concat(F.lit("<tr>"), F.when(i == 0, F.concat(F.lit('<td rowspan="'), F.size("v").cast("string"), F.lit('">'), C("r_name"), F.lit("</td>"))).otherwise(""), F.lit("<td> "), x.n_nationkey.cast("string"), F.lit("</td><td>"), x.n_name, F.lit(" &amp; co</td></tr>")))
     html = F.concat(
         F.lit("<html><head><title>Region "), C("r_name"), F.lit('</title></head><body><nav>menu</nav><script>x()</script><h1>Overview</h1><p>About <b>'), C("r_name"), F.lit("</b></p><h2>Details</h2><p>Code: R"), C("page_id").cast("string"),
@@ -24,17 +24,22 @@ def region_pages(spark, d):
     return r.join(n, "page_id").select("page_id", "r_name", html.alias("html"))
 
 
-_LONG = """n AS (SELECT n_regionkey AS page_id, n_nationkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i, count(*) OVER (PARTITION BY n_regionkey) AS c, r_name FROM nation JOIN region ON r_regionkey = n_regionkey),
+#: The names that the SQL below uses, over customers and orders.
+_PAGES = "nation AS (SELECT o_custkey AS n_regionkey, o_orderkey AS n_nationkey, o_orderpriority AS n_name FROM orders), region AS (SELECT c_custkey AS r_regionkey, c_name AS r_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders))"
+_LONG = _PAGES + """,
+    n AS (SELECT n_regionkey AS page_id, n_nationkey, n_name, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i, count(*) OVER (PARTITION BY n_regionkey) AS c, r_name FROM nation JOIN region ON r_regionkey = n_regionkey),
     body AS (SELECT page_id, i AS row_no, 0 AS col_no, r_name AS value FROM n UNION ALL SELECT page_id, i, 1, CAST(n_nationkey AS VARCHAR) FROM n UNION ALL SELECT page_id, i, 2, n_name || ' & co' FROM n),
     foot AS (SELECT DISTINCT page_id, c + 1 AS row_no, k AS col_no, CASE WHEN k < 2 THEN 'Total' ELSE CAST(c AS VARCHAR) END AS value FROM n, range(0, 3) AS t(k) UNION ALL SELECT DISTINCT page_id, c + 2, k, '' FROM n, range(0, 3) AS t(k)),
     head AS (SELECT r_regionkey AS page_id, 0 AS row_no, k AS col_no, (['Region', 'Nation Key', ''])[k + 1] AS value FROM region, range(0, 3) AS t(k)),
     long AS (SELECT * FROM head UNION ALL SELECT * FROM body UNION ALL SELECT * FROM foot)"""
 
 
-@query("html_text", """SELECT r_regionkey AS page_id, 'Overview' || chr(10) || 'About ' || r_name || chr(10) || 'Details' || chr(10) || 'Code: R' || r_regionkey || chr(10) || 'Next' || chr(10) || 'Steps' || chr(10) || 'Owner' || chr(10) || r_name AS body FROM region""")
+@query("html_text", f"""WITH {_PAGES}, t AS (SELECT n_regionkey AS page_id, string_agg(CASE WHEN i = 1 THEN r_name || chr(10) ELSE '' END || n_nationkey || chr(10) || n_name || ' & co', chr(10) ORDER BY i) AS body, count(*) AS c FROM
+    (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS i FROM nation JOIN region ON r_regionkey = n_regionkey) GROUP BY 1)
+    SELECT r_regionkey AS page_id, 'Region ' || r_name || chr(10) || 'Overview' || chr(10) || 'About ' || r_name || chr(10) || 'Details' || chr(10) || 'Code: R' || r_regionkey || chr(10) || 'Next' || chr(10) || 'Steps' || chr(10) || 'Owner' || chr(10) || r_name || chr(10) || 'Region' || chr(10) || 'Nation Key' || chr(10) || body || chr(10) || 'Total' || chr(10) || c AS body
+    FROM region JOIN t ON page_id = r_regionkey""")
 def _(spark, d):
-    p = region_pages(spark, d).select("page_id", F.regexp_replace(F.regexp_replace("html", "(?s)<table>.*</table>", ""), "(?s)<head>.*</head>", "").alias("html"))
-    return p.select("page_id", T.html_text("html").alias("body"))
+    return region_pages(spark, d).select("page_id", T.html_text("html").alias("body"))
 
 
 @query("html_meta", r"""SELECT page_id, nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '') AS title, nullif(regexp_extract(html, '(?i)<html[^>]+lang="([^"]*)"', 1), '') AS lang FROM pages""")
@@ -49,19 +54,19 @@ def _(spark, d):
     return T.html_links(table(spark, d, "pages"), BASE)
 
 
-@query("html_sections", """SELECT r_regionkey AS page_id, 'About ' || r_name || chr(10) || 'Details' || chr(10) || 'Code: R' || r_regionkey AS overview, 'Code: R' || r_regionkey AS details FROM region""")
+@query("html_sections", f"""WITH {_PAGES} SELECT r_regionkey AS page_id, 'About ' || r_name || chr(10) || 'Details' || chr(10) || 'Code: R' || r_regionkey AS overview, 'Code: R' || r_regionkey AS details FROM region""")
 def _(spark, d):
     m = T.section_map(T.html_sections("html"), {"overview": ["Summary", "Overview"], "details": ["details"], "gone": ["x"]})
     return region_pages(spark, d).select("page_id", m.alias("m")).select("page_id", C("m")["overview"].alias("overview"), C("m")["details"].alias("details"))
 
 
-@query("html_label_pairs", "SELECT r_regionkey AS page_id, 'R' || r_regionkey AS code, r_name AS owner, (SELECT CAST(count(*) AS VARCHAR) FROM nation WHERE n_regionkey = r_regionkey) AS total FROM region")
+@query("html_label_pairs", f"WITH {_PAGES} SELECT r_regionkey AS page_id, 'R' || r_regionkey AS code, r_name AS owner, (SELECT CAST(count(*) AS VARCHAR) FROM nation WHERE n_regionkey = r_regionkey) AS total FROM region")
 def _(spark, d):
     p = region_pages(spark, d).select("page_id", T.html_label_pairs("html").alias("p"))
     return p.select("page_id", T.pair_value(C("p"), ["Code"]).alias("code"), T.pair_value(C("p"), ["absent", "own"]).alias("owner"), T.pair_value(C("p"), ["total"]).alias("total"))
 
 
-@query("html_tables_grid", "SELECT r_regionkey AS page_id, 1 AS tables, CAST((SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) + 3 AS INTEGER) AS height, 3 AS width FROM region")
+@query("html_tables_grid", f"WITH {_PAGES} SELECT r_regionkey AS page_id, 1 AS tables, CAST((SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) + 3 AS INTEGER) AS height, 3 AS width FROM region")
 def _(spark, d):
     g = region_pages(spark, d).select("page_id", T.html_tables_grid("html").alias("g"))
     return g.select("page_id", F.size("g").alias("tables"), F.size(C("g")[0]).alias("height"), F.array_max(F.transform(C("g")[0], lambda r: F.size(r))).alias("width"))

@@ -51,6 +51,11 @@ def _(spark, d):
     return table(spark, d, "customer").select("c_custkey", N.path_get(doc, "info.segment").alias("segment"), N.path_first(doc, ["info.blank", "missing.x", "name"]).alias("first_of"), N.drop_keys(flat, "segment").alias("without"))
 
 
+@query("path_delete", "SELECT c_custkey, '{\"name\":\"' || c_name || '\",\"info\":{\"blank\":\" \"}}' AS doc FROM customer")
+def _(spark, d):
+    return table(spark, d, "customer").select("c_custkey", N.path_delete(_customer_doc(), "info.segment", "raw_html", "balance", "name.first", "gone.x").alias("doc"))
+
+
 @query("detail_clean", f"""WITH {A.ADV} SELECT k, '{{' || CASE WHEN k % 3 = 0 THEN '' ELSE '"ref":"R-' || k || '",' END || '"vendor":"v' || (k % 7) || '"}}' AS cleaned FROM adv""")
 def _(spark, d):
     from ..operators.documents import detail_clean

@@ -52,9 +52,9 @@ def _(spark, d):
     return J.bootstrap_mark(catalog, _plain(news(spark, d)).where("provider <> 'wiz'"), _t("2001-07-20")).select("provider", stamp(C("start")).alias("start"), "empty")
 
 
-@query("coverage_gap", f"WITH e AS (SELECT user_id % 40 AS provider, min(ts) AS until FROM events WHERE event_id % 50 = 3 GROUP BY 1), w AS (SELECT i AS provider, TIMESTAMP '2024-01-01' + to_hours(CAST(i AS INTEGER)) AS since FROM range(0, 40) AS t(i)) SELECT provider, {A.stamp_sql('since')} AS since, {A.stamp_sql('until')} AS until FROM w JOIN e USING (provider) WHERE until > since")
+@query("coverage_gap", f"WITH e AS (SELECT user_id % 40 AS provider, min(ts) AS until FROM events GROUP BY 1), w AS (SELECT i AS provider, TIMESTAMP '2024-01-01' + to_hours(CAST(i AS INTEGER)) AS since FROM range(0, 40) AS t(i)) SELECT provider, {A.stamp_sql('since')} AS since, {A.stamp_sql('until')} AS until FROM w JOIN e USING (provider) WHERE until > since")
 def _(spark, d):
-    feed = table(spark, d, "events").where("event_id % 50 = 3").select((C("user_id") % 40).alias("provider"), "ts")
+    feed = table(spark, d, "events").select((C("user_id") % 40).alias("provider"), "ts")
     wanted = spark.range(40).select(C("id").alias("provider"), (_t("2024-01-01") + F.make_dt_interval(F.lit(0), C("id").cast("int"))).alias("since"))
     return J.coverage_gap(feed, wanted, "provider", "ts").select("provider", stamp(C("since")).alias("since"), stamp(C("until")).alias("until"))
 
@@ -264,7 +264,7 @@ def _(spark, d):
 def _states(spark, d):
     k = C("p_partkey")
     return table(spark, d, "part").select(
-        k.alias("id"), F.when(k % 5 == 0, "nvd").otherwise("cve").alias("provider"), F.when(k % 3 == 0, "unclassified").when(k % 3 == 1, "classified").otherwise("error").alias("status"), F.when(k % 2 == 0, "v7").otherwise("v6").alias("seen_version")
+        k.alias("id"), F.when(k % 5 == 0, "nvd").otherwise("cve").alias("provider"), F.when(k % 3 == 0, "unclassified").when(k % 3 == 1, "classified").otherwise("failed").alias("status"), F.when(k % 2 == 0, "v7").otherwise("v6").alias("seen_version")
     )
 
 
@@ -273,18 +273,29 @@ def _(spark, d):
     return K.select_rows(_states(spark, d), "v7").groupBy("skip_reason").agg(F.count("*").alias("n"))
 
 
-@query("cls_shape", """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'classified' WHEN 1 THEN 'unclassified' WHEN 2 THEN 'error' WHEN 3 THEN 'queued' END AS status, CASE WHEN p_partkey % 5 = 0 THEN p_brand END AS vendor, CASE WHEN p_partkey % 5 = 1 THEN 'low' END AS reason,
-    CASE WHEN p_partkey % 5 = 2 THEN 'boom' END AS error, CASE WHEN p_partkey % 5 < 4 THEN 'tax1' END AS version, CASE WHEN p_partkey % 5 < 4 THEN 2 END AS classifier_version FROM part""")
+_S = "p_partkey % 5"
+
+
+@query("cls_shape", f"""SELECT p_partkey, CASE {_S} WHEN 0 THEN 'classified' WHEN 1 THEN 'unclassified' WHEN 2 THEN 'failed' WHEN 3 THEN 'queued' END AS status, CASE WHEN {_S} = 0 THEN p_brand END AS vendor, CASE WHEN {_S} = 0 THEN 'cpe:' || p_partkey END AS cpe, CASE WHEN {_S} < 2 THEN CAST(p_size AS DOUBLE) END AS confidence,
+    CASE WHEN {_S} < 4 THEN CAST(p_partkey % 3 AS INTEGER) END AS attempts, CASE WHEN {_S} = 1 THEN 'low' END AS reason, CASE WHEN {_S} IN (0, 2, 3) THEN 'boom' END AS error, CASE WHEN {_S} IN (0, 2, 3) AND p_partkey % 2 = 1 THEN '2024-01-01 00:00:00.000' END AS queued, CASE WHEN {_S} = 1 THEN '2024-01-01 16:00:00.000' END AS updated,
+    CASE WHEN {_S} = 1 THEN p_brand END AS c_vendor, CASE WHEN {_S} = 1 THEN p_type END AS c_product, CASE WHEN {_S} = 1 THEN 'cpe:' || p_partkey END AS c_cpe, CASE WHEN {_S} < 4 THEN 'tax1' END AS version, CASE WHEN {_S} < 4 THEN 2 END AS classifier_version FROM part""")
 def _(spark, d):
     k = C("p_partkey")
-    none = F.lit(None).cast("string")
-    cols = {"vendor": none, "best_vendor": C("p_brand"), "product": C("p_name"), "best_product": none, "dictionary_version": none, "taxonomy_version": F.lit("tax1"), "updated_at": none, "classified_at": none, "reason": F.lit("low"), "error": F.lit("boom")}
-    status = F.element_at(F.array(*[F.lit(s) for s in ("classified", "unclassified", "error", "queued", "odd")]), (k % 5 + 1).cast("int"))
-    return table(spark, d, "part").select("p_partkey", K.shape(status, cols).alias("s")).select("p_partkey", "s.status", "s.vendor", "s.reason", "s.error", C("s.dictionary_version").alias("version"), "s.classifier_version")
+    own = F.struct(F.lit(None).cast("string").alias("vendor"), C("p_type").alias("product"), F.lit("").alias("cpe"))
+    cols = {
+        "vendor": C("p_brand"), "best_vendor": C("p_brand"), "product": C("p_name"), "candidate": own, "taxonomy_version": F.lit("tax1"), "classified_at": F.lit("2024-01-02"), "reason": F.lit("low"), "error": F.lit("boom"),
+        "cpe": F.concat(F.lit("cpe:"), k.cast("string")), "confidence": C("p_size"), "attempts": k % 3, "queued_at": F.when(k % 2 == 0, "soon").otherwise("2024-01-01T00:00:00Z"),
+    }
+    status = F.element_at(F.array(*[F.lit(s) for s in ("classified", "unclassified", "failed", "queued", "odd")]), (k % 5 + 1).cast("int"))
+    made = table(spark, d, "part").select("p_partkey", K.shape(status, cols).alias("s"))
+    return made.select(
+        "p_partkey", "s.status", "s.vendor", "s.cpe", "s.confidence", "s.attempts", "s.reason", "s.error", stamp(C("s.queued_at")).alias("queued"), stamp(C("s.updated_at")).alias("updated"), C("s.candidate.vendor").alias("c_vendor"), C("s.candidate.product").alias("c_product"),
+        C("s.candidate.cpe").alias("c_cpe"), C("s.dictionary_version").alias("version"), "s.classifier_version",
+    )
 
 
 @query("reclassify", f"""WITH {_DICT}, a AS (SELECT p.id, CASE WHEN b IS NULL THEN 'unclassified' ELSE 'classified' END AS status, b[2] AS vendor, b[3] AS product FROM p LEFT JOIN best USING (id)),
-    c AS (SELECT id, CASE WHEN id % 3 = 1 THEN 'classified' WHEN id % 3 = 0 THEN 'unclassified' ELSE 'error' END AS status, CASE WHEN id % 3 = 1 THEN vendor END AS vendor, CASE WHEN id % 3 = 1 THEN product END AS product FROM p)
+    c AS (SELECT id, CASE WHEN id % 3 = 1 THEN 'classified' WHEN id % 3 = 0 THEN 'unclassified' ELSE 'failed' END AS status, CASE WHEN id % 3 = 1 THEN vendor END AS vendor, CASE WHEN id % 3 = 1 THEN product END AS product FROM p)
     SELECT count(*) AS scanned, count(*) FILTER (WHERE NOT (a.status = c.status AND a.vendor IS NOT DISTINCT FROM c.vendor AND a.product IS NOT DISTINCT FROM c.product)) AS updated,
     count(*) FILTER (WHERE a.status = c.status AND a.vendor IS NOT DISTINCT FROM c.vendor AND a.product IS NOT DISTINCT FROM c.product) AS unchanged, count(*) FILTER (WHERE a.status = 'classified') AS classified, count(*) FILTER (WHERE a.status = 'unclassified') AS unclassified, CAST(0 AS BIGINT) AS errors FROM a JOIN c USING (id)""")
 def _(spark, d):

@@ -166,10 +166,21 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", X.uri_redact(raw).alias("shown"))
 
 
-@query("page_blocked", "SELECT page_id, page_id % 5 = 0 AND page_id % 10 <> 0 AS blocked FROM pages")
+_MARKS = ["_WAF_", 'ID="RenderData"', "id='renderdata'", "sigchl", "Punish-Type", "__jsl_clearance", "jsl_clearance", "X-Via-JSL", "jiasule", "yunaq", "EO-Bot-JS-Token", "EOJSChallengeSDK", "gcaptcha.eo.gtimg.com", "Tencent Cloud EdgeOne"]
+_BARE = "replace(replace(lower(html), 'data:image', ''), '<table', '<tab')"
+_MARK_LIST = "[" + ", ".join("'" + m.replace("'", "''") + "'" for m in _MARKS) + "]"
+
+
+@query("page_blocked", f"""WITH p AS (SELECT page_id, {_BARE} || CASE WHEN page_id % 3 > 0 THEN '<p>' || ({_MARK_LIST})[page_id % 14 + 1] || '</p>' ELSE '' END || CASE WHEN page_id % 10 = 0 THEN '<TABLE></TABLE>' ELSE '' END ||
+    CASE page_id % 8 WHEN 0 THEN '<img src="DATA:image/png"><input TYPE="text">' WHEN 1 THEN '<img src="DATA:image/png">' ELSE '' END AS h FROM pages), g AS (SELECT page_id, h, contains(lower(h), 'data:image') AND (contains(h, '验证码') OR contains(lower(h), 'type="text"') OR contains(lower(h), 'type=' || chr(39) || 'text' || chr(39))) AS gate FROM p)
+    SELECT page_id, gate, NOT gate AND (page_id % 7 = 0 OR (len(list_filter({_MARK_LIST}, lambda m: contains(lower(h), lower(m)))) > 0 AND NOT contains(lower(h), '<table'))) AS blocked FROM g""")
 def _(spark, d):
-    html = F.concat(C("html"), F.when(C("page_id") % 5 == 0, "<p>Please solve the CAPTCHA</p>").otherwise(""), F.when(C("page_id") % 10 == 0, "<TABLE></TABLE>").otherwise(""))
-    return table(spark, d, "pages").select("page_id", X.page_blocked(html).alias("blocked"))
+    k, bare = C("page_id"), F.replace(F.replace(F.lower("html"), F.lit("data:image"), F.lit("")), F.lit("<table"), F.lit("<tab"))
+    mark = F.element_at(F.array(*[F.lit(m) for m in _MARKS]), (k % 14 + 1).cast("int"))
+    gate = F.when(k % 8 == 0, '<img src="DATA:image/png"><input TYPE="text">').when(k % 8 == 1, '<img src="DATA:image/png">').otherwise("")
+    html = F.concat(bare, F.when(k % 3 > 0, F.concat(F.lit("<p>"), mark, F.lit("</p>"))).otherwise(""), F.when(k % 10 == 0, "<TABLE></TABLE>").otherwise(""), gate)
+    headers = F.when(k % 7 == 0, F.create_map(F.lit("Punish-Type"), F.lit("1"))).otherwise(F.create_map(F.lit("Server"), F.lit("x")))
+    return table(spark, d, "pages").select("page_id", X.captcha_gate(html).alias("gate"), X.page_blocked(html, headers).alias("blocked"))
 
 
 @query("failure_transient", f"WITH {A.FAILURES} SELECT event_id, event_id % 7 IN (0, 2, 3, 4) AS transient FROM failures")

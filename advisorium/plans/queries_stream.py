@@ -63,8 +63,11 @@ def _(spark, d):
 def _(spark, d):
     f = A.failures(spark, d).withColumn("run", F.datediff(C("updated_at").cast("date"), F.lit("2024-01-01").cast("date")).cast("long")).withColumn("run_at", F.date_trunc("day", "updated_at"))
     cols = "provider string, run long, run_at timestamp_ntz, phase string, identity string, url string, error string"
-    path = landed(spark, d, f.select(*[c.split()[0] for c in cols.split(", ")]), "run_at", by="run")
-    return N.drain(N.alert_stream(N.read_files(spark, path, cols, 1), 48), "append")
+    names = [c.split()[0] for c in cols.split(", ")]
+    path = landed(spark, d, f.select(*names), "run_at", by="run")
+    ends = f.groupBy("provider").agg((F.max("run_at") + F.make_dt_interval(F.lit(365))).alias("run_at"))  # at the end every source says how far it is
+    ends.select("provider", F.lit(None).cast("long").alias("run"), "run_at", *[F.lit(None).cast("string").alias(c) for c in names[3:]]).coalesce(1).write.mode("append").parquet(path)
+    return N.drain(N.alert_stream(N.read_files(spark, path, cols, 1), 48, late="180 days"), "append")
 
 
 @query("stream_daily", "SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1")
@@ -85,8 +88,7 @@ def _(spark, d):
 
 @query("stream_retry", """WITH f AS (SELECT user_id, max(ts) FILTER (WHERE event_type = 'error') AS failed_at, max(ts) FILTER (WHERE event_type = 'view') AS ok, (SELECT max(ts) FROM events) AS newest FROM events GROUP BY 1) SELECT 'id' || user_id AS identity FROM f WHERE failed_at IS NOT NULL AND (ok IS NULL OR ok < failed_at) AND failed_at >= newest - INTERVAL 7 DAY""")
 def _(spark, d):
-    kind = "identity string, at timestamp_ntz"
-    waiting, fine = N.VersionedTable(spark, kind), N.VersionedTable(spark, kind)
+    store = N.VersionedTable(spark, N.RETRIES)
     e = _events(spark, d).select(F.concat(F.lit("id"), C("user_id").cast("string")).alias("identity"), C("ts").alias("at"), (C("event_type") == "error").alias("failed"), "event_type")
-    N.drain(e.where("event_type in ('error', 'view')"), "append", N.retry_sink(waiting, fine, 7))
-    return waiting.read().select("identity")
+    N.drain(e.where("event_type in ('error', 'view')"), "append", N.retry_sink(store, 7))
+    return N.waiting(store.read()).select("identity")

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -81,73 +82,114 @@ def done(query: StreamingQuery) -> None:
 
 
 class VersionedTable:
-    """A table whose versions lie in folders of their own; the newest one counts.  Writing the same batch again changes nothing."""
+    """A table whose versions lie in folders of their own.
 
-    def __init__(self, spark: SparkSession, schema: str):
-        self.spark, self.schema, self.root, self.number = spark, schema, shared_path(spark, "table"), 0
-        spark.createDataFrame([], schema).write.parquet(f"{self.root}/0")
+    A version counts once a row of the commit log names it, so a write that broke off is never read.
+    The log lies beside the versions: with the same ``root`` a restarted driver goes on where it was.
+    A batch that comes again, as after a restart, changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, schema: str, root: str | None = None):
+        self.spark, self.schema, self.root = spark, schema, root or shared_path(spark, "table")
+
+    def _last(self) -> tuple[int, int]:
+        """(version, batch) of the newest commit."""
+        log = self.spark.read.schema("version long, batch long").option("ignoreMissingFiles", "true")
+        try:
+            row = log.parquet(f"{self.root}/commits").agg(F.max(F.struct("version", "batch")).alias("top")).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0, -1
+        return (row.top.version, row.top.batch) if row.top else (0, -1)
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{self.number}")
+        version, _ = self._last()
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{version}") if version else self.spark.createDataFrame([], self.schema)
 
-    def swap(self, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{self.number + 1}")
-        self.number += 1
+    def swap(self, df: DataFrame, batch: int) -> None:
+        version, seen = self._last()
+        if batch > seen:
+            df.write.mode("overwrite").parquet(f"{self.root}/{version + 1}")
+            self.spark.range(1).select(F.lit(version + 1).cast("long").alias("version"), F.lit(batch).cast("long").alias("batch")).write.mode("append").parquet(f"{self.root}/commits")
 
 
 def upsert_sink(table: VersionedTable, key: str, t: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch: per key the newest observation wins against the batch and the table.
 
-    A batch that comes twice gives the same table; positions move only after the write.
+    The order of batches does not matter, and one that comes twice changes nothing.  Each batch
+    writes the table anew, so batches should be large beside it.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        both = table.read().unionByName(batch.select(*table.read().columns))
+        now = table.read()
+        both = now.unionByName(batch.select(*now.columns))
         rest = [c for c in both.columns if c not in (key, t)]
         best = both.groupBy(key).agg(F.max(F.struct(F.col(t), *[F.col(c) for c in rest])).alias("top"))
-        table.swap(best.select(key, "top.*").select(*both.columns))
+        table.swap(best.select(key, "top.*").select(*both.columns), number)
 
     return write
 
 
-def retry_sink(retries: VersionedTable, done_rows: VersionedTable, ttl_days: int) -> Callable[[DataFrame, int], None]:
-    """foreachBatch: failed rows wait in ``retries`` until a later success of the same identity or ``ttl_days`` after the newest row."""
+RETRIES = "identity string, failed_at timestamp_ntz, ok_at timestamp_ntz"
+
+
+def retry_sink(table: VersionedTable, ttl_days: int) -> Callable[[DataFrame, int], None]:
+    """foreachBatch over identity, at, failed: a RETRIES table of the last failure and the last success of each identity.
+
+    Both lie in one table and are committed together.  What is ``ttl_days`` older than the newest row
+    is forgotten, successes too, so the table does not grow for ever.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
-        failed = batch.where("failed").select(*retries.read().columns)
-        fine = batch.where("not failed").select(*done_rows.read().columns)
-        waiting = retries.read().unionByName(failed).groupBy("identity").agg(F.max("at").alias("at"))
-        ok = done_rows.read().unionByName(fine).groupBy("identity").agg(F.max("at").alias("at"))
-        newest = batch.agg(F.max("at").alias("newest"))
-        left = waiting.join(ok.select("identity", F.col("at").alias("ok_at")), "identity", "left").where("ok_at is null or ok_at < at")
-        left = left.crossJoin(F.broadcast(newest)).where(F.col("newest").isNull() | (F.col("at") >= F.col("newest") - F.make_dt_interval(F.lit(ttl_days))))
-        retries.swap(left.select("identity", "at"))
-        done_rows.swap(ok)
-        batch.unpersist()
+        new = batch.select("identity", F.when(F.col("failed"), F.col("at")).alias("failed_at"), F.when(~F.col("failed"), F.col("at")).alias("ok_at"))
+        both = table.read().unionByName(new).groupBy("identity").agg(F.max("failed_at").alias("failed_at"), F.max("ok_at").alias("ok_at"))
+        oldest = both.agg((F.max(F.greatest("failed_at", "ok_at")) - F.make_dt_interval(F.lit(ttl_days))).alias("oldest"))
+        kept = both.crossJoin(F.broadcast(oldest))  # one row
+        kept = kept.select("identity", *[F.when(F.col(c) >= F.col("oldest"), F.col(c)).alias(c) for c in ("failed_at", "ok_at")])
+        table.swap(kept.where("failed_at is not null or ok_at is not null"), number)
 
     return write
 
 
-ALERT_STATE = "keys array<string>, sent array<timestamp>"
+def waiting(retries: DataFrame) -> DataFrame:
+    """identity and failed_at of what failed and has not succeeded since."""
+    return retries.where("failed_at is not null and (ok_at is null or ok_at < failed_at)").select("identity", "failed_at")
+
+
+ALERT_STATE = "keys array<string>, sent array<timestamp>, runs array<long>, run_at array<timestamp>, run_keys array<string>"
 ALERT_OUT = "provider string, run long, fresh long, repeats long, alert boolean, kept long"
 
 
-def alert_stream(failures: DataFrame, repeat_hours: int) -> DataFrame:
+def alert_stream(failures: DataFrame, repeat_hours: int, late: str = "1 day") -> DataFrame:
     """failures(provider, run, run_at, phase, identity, url, error) -> one row per run.
 
-    State per provider is what was sent when; it is pruned by the same rule as in batch.  A batch
-    must hold whole runs, in order of time, as landed files of runs do.
+    Runs wait in the state of their provider until the watermark, ``late`` behind the newest run, has
+    passed them, and are then folded in order of time.  So the order in which files and batches
+    arrive does not matter within ``late``; state holds what was sent when and the waiting runs.  A
+    row without a run only moves the watermark, as a source that is idle or at its end sends it.
     """
 
+    def plain(values) -> list[dt.datetime]:
+        return [pd.Timestamp(v).to_pydatetime().replace(tzinfo=None) for v in values]
+
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        held = dict(zip(*state.get)) if state.exists else {}
-        held = {k: pd.Timestamp(v).to_pydatetime().replace(tzinfo=None) for k, v in held.items()}
-        pdf = pd.concat(list(batches))
-        pdf["run_at"] = pdf["run_at"].dt.tz_localize(None)
-        rows = fold_runs(held, pdf.drop_duplicates(["run", "key"]), repeat_hours)
-        state.update((list(held), [v.replace(tzinfo=dt.timezone.utc) for v in held.values()]))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in ALERT_OUT.split(", ")])
-
-    keyed = failures.select("provider", "run", F.col("run_at").cast("timestamp").alias("run_at"), failure_key().alias("key"))
-    return keyed.groupBy("provider").applyInPandasWithState(fold, ALERT_OUT, ALERT_STATE, "append", "NoTimeout")
+        keys, sent, runs, at, names = state.get if state.exists else ([], [], [], [], [])
+        held = dict(zip(keys, plain(sent)))
+        rows = [pd.DataFrame({"provider": key[0], "run": list(runs), "run_at": plain(at), "key": list(names)})]
+        if not state.hasTimedOut:
+            rows += [b.assign(run_at=b["run_at"].dt.tz_localize(None))[["provider", "run", "run_at", "key"]].dropna(subset=["run"]) for b in batches]
+        every = pd.concat([r for r in rows if len(r)] or rows[:1]).drop_duplicates(["run", "key"])
+        passed = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=max(0, state.getCurrentWatermarkMs()))
+        ready = pd.to_datetime(every["run_at"]) < passed
+        out = fold_runs(held, every[ready].astype({"run": "int64"}), repeat_hours) if ready.any() else []
+        wait = every[~ready]
+        utc = lambda values: [v.replace(tzinfo=dt.timezone.utc) for v in plain(values)]
+        state.update((list(held), utc(held.values()), [int(r) for r in wait["run"]], utc(wait["run_at"]), list(wait["key"])))
+        if len(wait):
+            first = int((min(plain(wait["run_at"])) - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+            state.setTimeoutTimestamp(max(first, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in ALERT_OUT.split(", ")])
+
+    keyed = failures.select("provider", "run", F.col("run_at").cast("timestamp").alias("run_at"), failure_key().alias("key")).withWatermark("run_at", late)
+    return keyed.groupBy("provider").applyInPandasWithState(fold, ALERT_OUT, ALERT_STATE, "append", "EventTimeTimeout")

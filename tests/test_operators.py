@@ -159,3 +159,93 @@ def test_product_tree_is_followed_to_its_end(spark):
     circle = spark.createDataFrame([("r", None, "x"), ("a", "r", "x"), ("b", "a", "x"), ("a", "b", "x")], "id string, parent string, name string")
     with pytest.raises(ValueError):
         product_tree(circle)
+
+
+@pytest.mark.parametrize("html,headers,gate,blocked", [
+    ("<script>var __jsl_clearance</script>", None, False, True), ("<SCRIPT src='//x/EOJSChallengeSDK.js'>", None, False, True), ('<textarea id="renderData">', None, False, True), ("<p>sigchl</p><TABLE>", None, False, False),
+    ("Access denied bug", None, False, False), ("solve the captcha", None, False, False), ('<img src="data:image/png;x"><input type="text"> _waf_', None, True, False), ("<img src=DATA:image/gif>验证码", None, True, False),
+    ("<img src=data:image/gif>", None, False, False), ("<table>", {"punish-type": "1"}, False, True), ("<p>", {"Punish-Type": ""}, False, False), ("Tencent Cloud EdgeOne", {}, False, True), (None, None, False, False),
+])
+def test_challenge_pages(spark, html, headers, gate, blocked):
+    row = spark.createDataFrame([(html, headers)], "h string, m map<string,string>").select(X.captcha_gate(C("h")).alias("gate"), X.page_blocked(C("h"), C("m")).alias("blocked")).first()
+    assert (row.gate, row.blocked) == (gate, blocked)
+
+
+def test_path_delete(spark):
+    f = lambda x: N.path_delete(x, "a.b", "c", "d.e.f")
+    assert one(spark, f, '{"a":{"b":1,"k":[{"b":2}]},"c":null,"d":{"e":5}}') == '{"a":{"k":[{"b":2}]},"d":{"e":5}}'
+    assert one(spark, f, '{"a":[1],"é":"x"}') == '{"a":[1],"é":"x"}' and one(spark, f, "no json") == "no json" and one(spark, f, None) is None
+
+
+def test_spanned_cell_moves_past_every_taken_column(spark):
+    html = "<table><tr><td>a</td><td rowspan=2>b</td><td>c</td></tr><tr><td colspan=2>d</td></tr><tr><td colspan=1000000000>e</td></tr></table>"
+    grid = one(spark, T.html_tables_grid, html)[0]
+    assert grid[0][:3] == ["a", "b", "c"] and grid[1][:4] == ["", "b", "d", "d"] and len(grid[0]) == 1000
+
+
+@pytest.mark.parametrize("status,want", [
+    ("classified", {"vendor": "v", "cpe": "c", "confidence": 0.5, "attempts": 2, "error": "e", "method": "m", "updated_at": None, "candidate": None}),
+    ("failed", {"vendor": None, "error": "e", "attempts": 2, "method": "m", "confidence": None, "queued_at": dt.datetime(2024, 1, 1, 16)}),
+    ("unclassified", {"vendor": None, "reason": "r", "error": None, "queued_at": None, "updated_at": dt.datetime(2024, 1, 2, 3), "method": None}), ("error", None), (None, None),
+])
+def test_stored_classification(spark, status, want):
+    from advisorium.operators import classify as K
+
+    cols = {"vendor": F.lit("v"), "best_vendor": F.lit("bv"), "cpe": F.lit("c"), "confidence": F.lit("0.5"), "attempts": F.lit(2), "error": F.lit("e"), "method": F.lit("m"), "reason": F.lit("r"), "queued_at": F.lit("2024-01-02"), "classified_at": F.lit("2024-01-02T03:00:00Z"), "taxonomy_version": F.lit("t")}
+    got = one(spark, lambda s: K.shape(s, cols), status)
+    if want is None:
+        assert got is None
+        return
+    assert {k: got[k] for k in want} == want and (got.status, got.dictionary_version, got.classifier_version) == (status, "t", 2)
+    assert (got.candidate is not None) == (status == "unclassified") and (got.candidate is None or (got.candidate.vendor, got.candidate.cpe) == ("bv", "c"))
+
+
+def test_closed_envelope(spark):
+    row = "'cve' AS provider, 'cve:1' AS _id, 2 AS schema_version, current_timestamp() AS observed_at, '{}' AS details, 'x' AS classification, CAST(NULL AS array<string>) AS cve_ids, 'High' AS severity"
+    more = "'' AS code, CAST(NULL AS string) AS title, 'gone' AS change_type, named_struct('provider', 'zz', 'url', '', 'detail_url', CAST(NULL AS string)) AS source, array('provider', 'extra') AS source_keys, 'error' AS classification_status, 'soon' AS published_at, '2024-01-02' AS updated_at"
+    df = spark.sql(f"SELECT {row}, {more}")
+    got = df.select(V.violations(C("provider"), {c: C(c) for c in df.columns}).alias("v")).first().v
+    assert got == ["no_code", "no_title", "change_type", "source_provider", "source_address", "source_field", "classification_status", "published_at_date"]
+    bare = spark.sql(f"SELECT {row}")
+    assert bare.select(V.violations(C("provider"), {c: C(c) for c in bare.columns}).alias("v")).first().v == []
+
+
+def test_tables_of_streams_survive_a_restart(spark, tmp_path):
+    from advisorium.streaming import stream as W
+
+    at = lambda n: dt.datetime(2024, 1, n)
+    kind = "k long, t timestamp_ntz, v string"
+    batch = lambda rows: spark.createDataFrame(rows, kind)
+    table = W.VersionedTable(spark, kind, str(tmp_path / "t"))
+    assert table.read().collect() == []
+    W.upsert_sink(table, "k", "t")(batch([(1, at(2), "b"), (2, at(1), "x")]), 0)
+    table = W.VersionedTable(spark, kind, str(tmp_path / "t"))  # a new driver
+    write = W.upsert_sink(table, "k", "t")
+    write(batch([(1, at(9), "again")]), 0)  # the batch before, handed out again
+    write(batch([(1, at(1), "late"), (3, at(1), "y")]), 1)
+    batch([(7, at(1), "torn")]).write.parquet(f"{tmp_path}/t/3")  # a write that broke off before its commit
+    assert sorted(map(tuple, table.read().collect())) == [(1, at(2), "b"), (2, at(1), "x"), (3, at(1), "y")]
+
+    retries = W.VersionedTable(spark, W.RETRIES, str(tmp_path / "r"))
+    write = W.retry_sink(retries, 7)
+    rows = lambda *x: spark.createDataFrame(list(x), "identity string, at timestamp_ntz, failed boolean")
+    write(rows(("a", at(3), False), ("old", at(1), True), ("b", at(2), True)), 0)
+    write(rows(("a", at(2), True), ("b", at(4), True), ("c", at(5), True)), 1)  # a's failure came late, behind its success
+    assert {r.identity for r in W.waiting(retries.read()).collect()} == {"old", "b", "c"}
+    write(rows(("c", at(9), False)), 2)
+    assert {r.identity for r in W.waiting(retries.read()).collect()} == {"b"} and retries.read().count() == 3
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
+def test_alerts_do_not_depend_on_the_order_of_files(spark, tmp_path, order):
+    from advisorium.streaming import stream as W
+
+    cols = "provider string, run long, run_at timestamp_ntz, phase string, identity string, url string, error string"
+    row = lambda run, day, who: ("p", run, dt.datetime(2024, 1, day), "x", who, "u", "e")
+    files = [[row(1, 1, "a")], [row(2, 2, "a"), row(2, 2, "b")], [row(3, 9, "a")]]
+    for k in (*order, None):
+        rows = files[k] if k is not None else [("p", None, dt.datetime(2025, 1, 1), None, None, None, None)]
+        spark.createDataFrame(rows, cols).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    got = W.drain(W.alert_stream(W.read_files(spark, str(tmp_path / "in"), cols, 1), 48, late="60 days"), "append")
+    want = M.alert_runs(spark.createDataFrame(sum(files, []), cols), 48)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 3

@@ -35,9 +35,9 @@ from .common import small_batches
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-CACHE_WORDS, CACHE_SEGMENTATIONS = 200_000, 350_000
+CACHE_WORDS, CACHE_SEGMENTATIONS = 350_000, 700_000
 LONG_WORD = 48  # longer runs, and words with more than 64 candidates, are merged one by one with a heap
-CHUNK_WORDS = 200_000
+CHUNK_WORDS = 300_000
 AGENDA, LATER = -1, -2  # in place of a word's segmentation without skips: none is kept, or it is merged when the word comes twice
 _U = np.uint64
 _MASK = 2**64 - 1
@@ -73,8 +73,10 @@ class Pieces:
         self.hashes, self.hash_ids = hashes[at], np.array([*self.ids.values()], np.int64)[at]
         if (self.hashes[1:] == self.hashes[:-1]).any():
             raise ValueError("two pieces share a hash")
-        self.maybe = np.zeros(1 << 19, bool)  # a quick test before the search
-        self.maybe[hashes >> _U(45)] = True
+        self.place = np.full(1 << 19, -1, np.int32)  # where to look for a hash; the few pieces whose place is taken are searched for
+        self.place[self.hashes >> _U(45)] = np.arange(len(self.hashes))
+        taken = np.bincount((self.hashes >> _U(45)).astype(np.int64), minlength=1 << 19) > 1
+        self.place[taken] = len(self.hashes)
         self.beside = np.zeros(1 << 20, bool)  # neighbours in some piece; others may be among them, which only means fewer cuts
         pairs = np.array(sorted({(ord(a), ord(b)) for name in self.ids for a, b in zip(name, name[1:])}), np.uint32).reshape(-1, 2)
         self.beside[_pair_hash(pairs[:, 0], pairs[:, 1])] = True
@@ -144,9 +146,11 @@ def _pieces_in(p: Pieces, words: list[str]) -> np.ndarray:
     table = np.full((len(words), width + 1, deep + 1), -1, np.int32)
     for d in range(1, deep + 1):
         h = prefix[:, d:] - prefix[:, :-d] * _U(pow(_BASE, d, 2**64))
-        w, i = np.nonzero(p.maybe[h >> _U(45)] & (np.arange(width + 1 - d) <= (size - d)[:, None]))
-        h = h[w, i]
-        at = np.minimum(np.searchsorted(p.hashes, h), len(p.hashes) - 1)
+        at = np.where(np.arange(width + 1 - d) <= (size - d)[:, None], p.place[h >> _U(45)], -1)
+        w, i = np.nonzero(at >= 0)
+        h, at = h[w, i], at[w, i]
+        search = np.flatnonzero(at == len(p.hashes))
+        at[search] = np.minimum(np.searchsorted(p.hashes, h[search]), len(p.hashes) - 1)
         hit = p.hashes[at] == h
         table[w[hit], i[hit], d] = p.hash_ids[at[hit]]
     return table
@@ -170,7 +174,7 @@ class Segmentations:
         self.chosen = array("Q")  # of a segmentation: the candidates that were merged
         self.base = array("q")  # of a word: the segmentation without skips, AGENDA or LATER
         self.first, self.first_char = array("q", [0]), array("q", [0])  # of a word: where its candidates and characters begin
-        self.spans, self.result = array("i"), array("i")  # of a candidate: its three borders, and the piece that it gives
+        self.spans, self.result, self.hash = array("i"), array("i"), array("Q")  # of a candidate: its three borders, the piece that it gives, the hash of the borders
         self.chars = array("i")  # of a word: the number of each character
         self.char_number: dict[str, int] = {}
         self.char_ids: list[list[int]] = []
@@ -218,6 +222,7 @@ class Segmentations:
             return
         self.spans.frombytes((i << 12 | i + a << 6 | i + d).astype(np.int32).tobytes())
         self.result.frombytes(result.astype(np.int32).tobytes())
+        self.hash.frombytes((i.astype(_U) * _U(_BORDERS[0]) + (i + a).astype(_U) * _U(_BORDERS[1]) + (i + d).astype(_U) * _U(_BORDERS[2])).tobytes())
         codes, at = np.unique(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
         chars = np.array([self._char(chr(c)) for c in codes.tolist()], np.int32)[at]
         number = self._append(words, count, chars, np.array([len(x) for x in words]))
@@ -241,9 +246,7 @@ class Segmentations:
     def masks(self, number: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
         """The candidates that each word skips under its key, as bits."""
         row, place, at = self._lists(self.first, number)
-        start, mid, end = _borders_of(np.frombuffer(self.spans, np.int32)[at])
-        hashes = start * _U(_BORDERS[0]) + mid * _U(_BORDERS[1]) + end * _U(_BORDERS[2])
-        hit = np.flatnonzero(_mixed(keys[row] ^ hashes) >> _U(11) < _U(_limit(dropout)))
+        hit = np.flatnonzero(_mixed(keys[row] ^ np.frombuffer(self.hash, _U)[at]) >> _U(11) < _U(_limit(dropout)))
         out = np.zeros(len(number), _U)
         np.bitwise_or.at(out, row[hit], _U(1) << place[hit].astype(_U))
         return out

@@ -2,7 +2,7 @@
 
 Calls and results are linked by a hash join on their identifier, ordered so that a call comes after
 every call whose result it uses, checked against the schema of their tool, and serialised as
-canonical JSON: keys sorted, no white space, nulls left out.
+canonical JSON: keys sorted, no white space, nulls left out, one spelling for each number.
 """
 
 from __future__ import annotations
@@ -17,9 +17,28 @@ ToolSchemas = dict[str, dict[str, tuple[str, bool]]]
 
 CALLS = "conv_id long, turn long, call_id string, name string, arguments map<string,string>, uses array<string>"
 RESULTS = "conv_id long, call_id string, content string"
-MAX_DEPTH = 1000
 
-_PATTERNS = {"integer": r"^-?(0|[1-9][0-9]*)$", "number": r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$", "boolean": "^(true|false)$"}
+_PATTERNS = {"integer": r"\A-?(0|[1-9][0-9]*)\z", "number": r"\A-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?\z", "boolean": r"\A(true|false)\z"}
+
+
+def fits(value: Column, kind: str) -> Column:
+    """Whether a text is a value of a type; numbers beyond a double are none."""
+    ok = value.rlike(_PATTERNS[kind])
+    return ok & (F.abs(value.try_cast("double")) < float("inf")) if kind == "number" else ok
+
+
+def canonical_value(value: Column, kind: str) -> Column:
+    """One spelling for each value: integers keep all digits, other numbers are doubles, plain from 0.0001 up to 10**16 and with an exponent beyond."""
+    if kind == "boolean":
+        return value
+    whole = F.regexp_replace(value, r"\A-0\z", "0")
+    if kind == "integer":
+        return whole
+    x = value.try_cast("double")
+    digits = F.regexp_replace(F.regexp_replace(x.try_cast("decimal(38,20)").cast("string"), r"\.?0+\z", ""), r"\A-0\z", "0")
+    short = F.regexp_replace(F.regexp_replace(F.lower(x.cast("string")), r"\.0e", "e"), r"e(?=[0-9])", "e+")
+    plain = (x == 0) | F.abs(x).between(1e-4, 1e16)
+    return F.when(value.rlike(_PATTERNS["integer"]), whole).when(x == 0, "0").when(plain, F.when(x == F.floor(x), x.try_cast("decimal(38,0)").cast("string")).otherwise(digits)).otherwise(short)
 
 
 def json_string(value: Column) -> Column:
@@ -40,29 +59,32 @@ def argument_errors(name: Column, arguments: Column, schemas: ToolSchemas) -> Co
             if required:
                 rules.append(F.when((name == tool) & value.isNull(), F.lit(f"missing:{field}")))
             if kind in _PATTERNS:
-                rules.append(F.when((name == tool) & value.isNotNull() & ~value.rlike(_PATTERNS[kind]), F.lit(f"type:{field}")))
+                rules.append(F.when((name == tool) & value.isNotNull() & ~fits(value, kind), F.lit(f"type:{field}")))
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*rules))))
 
 
 def canonical_arguments(name: Column, arguments: Column, schemas: ToolSchemas) -> Column:
     """Arguments as canonical JSON: sorted keys; values of a typed argument that pass its type stand bare, all others are strings."""
-    bare = [F.concat(F.lit(f"{t}\u0001{f}\u0001"), F.lit(_PATTERNS[k])) for t, fs in schemas.items() for f, (k, _) in fs.items() if k in _PATTERNS]
-    typed = F.array(*bare).cast("array<string>")
+    typed = {k: F.array(*[F.lit(f"{t}\u0001{f}") for t, fs in sorted(schemas.items()) for f, (kind, _) in sorted(fs.items()) if kind == k]).cast("array<string>") for k in _PATTERNS}
 
     def one(entry: Column) -> Column:
-        rule = F.get(F.filter(typed, lambda r: r.startswith(F.concat(name, F.lit("\u0001"), entry.key, F.lit("\u0001")))), F.lit(0))
-        fits = rule.isNotNull() & F.regexp_like(entry.value, F.element_at(F.split(rule, "\u0001"), 3))
-        return F.concat(json_string(entry.key), F.lit(":"), F.when(fits, entry.value).otherwise(json_string(entry.value)))
+        out = F.when(F.lit(False), F.lit(""))
+        for kind, names in typed.items():
+            own = F.coalesce(F.array_contains(names, F.concat(name, F.lit("\u0001"), entry.key)), F.lit(False))
+            out = out.when(own & fits(entry.value, kind), canonical_value(entry.value, kind))
+        return F.concat(json_string(entry.key), F.lit(":"), out.otherwise(json_string(entry.value)))
 
     entries = F.array_sort(F.filter(F.map_entries(F.coalesce(arguments, F.create_map().cast("map<string,string>"))), lambda e: e.value.isNotNull()))
     return F.concat(F.lit("{"), F.array_join(F.transform(entries, one), ","), F.lit("}"))
 
 
-def call_depths(calls: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def call_depths(calls: DataFrame) -> DataFrame:
     """calls(conv_id, call_id, uses) -> conv_id, call_id, depth: 0 without uses, else one more than the deepest call used.
 
-    Level by level: a call is placed in the round after its last dependency.  Uses of calls that do
-    not exist in the conversation do not count.  Calls in or behind a circle get no depth (null).
+    Chains of calls that use one other call each are followed by doubling: each round a pointer jumps
+    as far again, so their rounds grow with the logarithm of their length.  Calls that use several are
+    then placed level by level.  Uses of calls that do not exist in the conversation do not count.
+    Calls in or behind a circle get no depth (null).
     """
     keys = ["conv_id", "call_id"]
     nodes = calls.select(*keys).distinct()
@@ -71,20 +93,34 @@ def call_depths(calls: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         .join(nodes.select("conv_id", F.col("call_id").alias("use")), ["conv_id", "use"])
     )
     needs = written(needs.select(*keys, "use"), "needs")
-    waiting = needs.select(*keys).distinct()
-    ready = written(nodes.join(waiting, keys, "left_anti").withColumn("depth", F.lit(0)), "depth")
-    done, level = ready, 0
-    while not needs.isEmpty():
-        level += 1
-        if level > max_depth:
-            raise RuntimeError(f"calls are nested deeper than {max_depth}")
-        left = written(needs.join(ready.select("conv_id", F.col("call_id").alias("use")), ["conv_id", "use"], "left_anti").select(*keys, "use"), "needs")
-        free = needs.select(*keys).distinct().join(left.select(*keys).distinct(), keys, "left_anti")
-        ready = written(free.withColumn("depth", F.lit(level)), "depth")
+    if needs.isEmpty():
+        return nodes.withColumn("depth", F.lit(0))
+    counts = written(needs.groupBy(*keys).agg(F.count("*").alias("n"), F.min("use").alias("to")), "counts")
+    jump = written(counts.where("n = 1").select(*keys, "to", F.lit(1).alias("steps")), "jump")
+    longest = jump.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(int(longest).bit_length()):
+        far = jump.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("further"), F.col("steps").alias("more"))
+        moved = jump.join(far, ["conv_id", "to"], "left")
+        jump = written(moved.select(*keys, F.coalesce("further", "to").alias("to"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")), "jump")
+    ends = jump.join(counts.where("n = 1").select("conv_id", F.col("call_id").alias("to")), ["conv_id", "to"], "left_anti")  # the others run in a circle
+    chains = written(ends.select(*keys, "to", "steps"), "chains")
+
+    placed = written(nodes.join(counts, keys, "left_anti").withColumn("depth", F.lit(0)), "placed")
+    several = needs.join(counts.where("n > 1").select(*keys), keys, "left_semi")
+    along = chains.select("conv_id", F.col("call_id").alias("use"), "to", "steps")
+    single = counts.where("n = 1").select("conv_id", F.col("call_id").alias("use"), F.lit(True).alias("single"))
+    open_needs = several.join(along, ["conv_id", "use"], "left").join(single, ["conv_id", "use"], "left")
+    open_needs = written(open_needs.select(*keys, F.when(F.col("to").isNull() & F.col("single").isNull(), F.col("use")).otherwise(F.col("to")).alias("to"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps")), "open")
+    while not open_needs.isEmpty():
+        known = placed.select("conv_id", F.col("call_id").alias("to"), "depth")
+        ready = open_needs.join(known, ["conv_id", "to"], "left").groupBy(*keys).agg(F.count("*").alias("n"), F.count("depth").alias("there"), F.max(F.col("depth") + F.col("steps")).alias("depth"))
+        ready = written(ready.where("n = there").select(*keys, "depth"), "ready")
         if ready.isEmpty():
             break
-        done, needs = done.unionByName(ready), left
-    return nodes.join(done, keys, "left")
+        placed = written(placed.unionByName(ready), "placed")
+        open_needs = written(open_needs.join(ready.select(*keys), keys, "left_anti"), "open")
+    hung = chains.join(placed.select("conv_id", F.col("call_id").alias("to"), F.col("depth").alias("base")), ["conv_id", "to"]).select(*keys, (F.col("base") + F.col("steps")).alias("depth"))
+    return nodes.join(placed.unionByName(hung), keys, "left")
 
 
 def format_chat(messages: DataFrame, calls: DataFrame, results: DataFrame, schemas: ToolSchemas) -> DataFrame:

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from advisorium.llm.chat_tools import CALLS, RESULTS, format_chat
+from advisorium.llm.chat_tools import CALLS, RESULTS, call_depths, canonical_value, fits, format_chat
 from advisorium.llm.html_wrapper import align, content_paths, extract_main_text, infer_wrappers, main_text, page_tree
 
 PAGE = (
@@ -91,3 +91,56 @@ def test_calls_are_linked_ordered_and_checked(spark):
 def test_empty_tables(spark, n):
     m = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert format_chat(m, spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS), TOOLS).collect() == []
+
+
+@pytest.mark.parametrize("text,kind,want", [
+    ("5", "integer", "5"), ("-0", "integer", "0"), ("5\n", "integer", None), ("05", "integer", None), ("123456789012345678901234567890", "integer", "123456789012345678901234567890"),
+    ("1.50E2", "number", "150"), ("-0.0", "number", "0"), ("1e7", "number", "10000000"), ("12345678.90", "number", "12345678.9"), ("0.00010", "number", "0.0001"), ("1e-7", "number", "1e-7"), ("2.5e20", "number", "2.5e+20"),
+    ("1e999", "number", None), ("1.", "number", None), ("1.5\n", "number", None), ("0.1", "number", "0.1"), ("-3", "number", "-3"), ("true", "boolean", "true"), ("True", "boolean", None), ("false\n", "boolean", None),
+])
+def test_values_have_one_spelling(spark, text, kind, want):
+    from pyspark.sql import functions as F
+
+    row = spark.createDataFrame([(text,)], "x string").select(fits(F.col("x"), kind).alias("ok"), canonical_value(F.col("x"), kind).alias("v")).first()
+    assert bool(row.ok) == (want is not None) and (want is None or (row.v == want and json.loads(row.v) == json.loads(text)))
+
+
+def depths_by_hand(calls):
+    """Longest path by plain recursion over each conversation; None in or behind a circle."""
+    out = {}
+    for conv in {c for c, _, _ in calls}:
+        uses = {i: {u for u in us or [] if u in {j for c, j, _ in calls if c == conv}} for c, i, us in calls if c == conv}
+
+        def depth(i, seen):
+            if i in seen:
+                return None
+            found = [depth(u, seen | {i}) for u in uses[i]]
+            return None if None in found else 1 + max(found, default=-1)
+
+        out |= {(conv, i): depth(i, frozenset()) for i in uses}
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_depths_equal_plain_recursion(spark, seed):
+    import random
+
+    r = random.Random(seed)
+    calls = []
+    for conv in range(12):
+        for k in range(12):
+            count = r.choice([0, 1, 1, 1, 2, 3])
+            calls.append((conv, f"c{k}", [f"c{r.randrange(12 if r.random() < 0.12 else max(1, k))}" for _ in range(count)] + ["none"] * r.randrange(2)))
+    calls += [(99, f"d{k}", [f"d{k - 1}"] if k else None) for k in range(300)] + [(98, "a", ["a"])]
+    df = spark.createDataFrame(calls, "conv_id long, call_id string, uses array<string>")
+    got = {(x.conv_id, x.call_id): x.depth for x in call_depths(df).collect()}
+    small = [c for c in calls if c[0] != 99]
+    assert got == depths_by_hand(small) | {(99, f"d{k}"): k for k in range(300)}
+
+
+def test_chat_with_clashing_columns_and_long_texts(spark):
+    long = "x\u2028\"\\ " * 50_000
+    messages = spark.createDataFrame([(1, 0, "user", long, 5, "z"), (1, 0, "user", long, 5, "z")], "conv_id long, turn long, role string, text string, depth int, kind string")
+    calls = spark.createDataFrame([(1, 0, "c1", "say", {"text": long}, [], "q")], CALLS + ", json string")
+    rows = format_chat(messages, calls, spark.createDataFrame([], RESULTS), TOOLS).collect()
+    assert [json.loads(r.json) for r in sorted(rows, key=lambda r: r.kind)] == [{"arguments": {"text": long}, "id": "c1", "name": "say", "type": "tool_call"}, {"content": long, "role": "user"}]

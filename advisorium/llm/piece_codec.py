@@ -24,8 +24,9 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import Column
@@ -35,7 +36,7 @@ from .common import small_batches
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-CACHE_WORDS, CACHE_SEGMENTATIONS = 350_000, 700_000
+CACHE_WORDS, CACHE_SEGMENTATIONS = 200_000, 400_000
 LONG_WORD = 48  # longer runs, and words with more than 64 candidates, are merged one by one with a heap
 CHUNK_WORDS = 300_000
 AGENDA, LATER = -1, -2  # in place of a word's segmentation without skips: none is kept, or it is merged when the word comes twice
@@ -416,11 +417,14 @@ def encode_pieces(text: Column | str, key: Column | str, seed: int = 0, dropout:
 
     small_batches()
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         s = segmentations_of(model)
         for texts, owners in batches:
-            yield pd.Series(encode_texts(s, texts.tolist(), owners.tolist(), seed, dropout), dtype=object)
+            ids = encode_texts(s, texts.to_pylist(), owners.to_pylist(), seed, dropout)
+            ends = np.cumsum([0] + [0 if x is None else len(x) for x in ids]).astype(np.int32)
+            flat = np.concatenate([np.empty(0, "<i4"), *(x for x in ids if x is not None)])
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=pa.array([x is None for x in ids], pa.bool_()))
 
     return encode(text, key)
 
@@ -428,10 +432,18 @@ def encode_pieces(text: Column | str, key: Column | str, seed: int = 0, dropout:
 def decode_pieces(ids: Column | str, model: str = MODEL) -> Column:
     """The text of a piece column; null gives null."""
 
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        text = pieces_of(model).text.__getitem__
+    small_batches()
+
+    @F.arrow_udf("string")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        text = pieces_of(model).text
+        size = np.array([len(x) for x in text], np.int64)
         for rows in batches:
-            yield pd.Series([None if r is None else b"".join(map(text, r.tolist()))[1:].decode("utf-8", "surrogatepass") for r in rows], dtype=object)
+            flat = rows.flatten().to_numpy(zero_copy_only=False)  # null rows have no ids
+            count = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+            data = b"".join(map(text.__getitem__, flat.tolist()))
+            at = np.concatenate([[0], np.cumsum(size[flat])])[np.concatenate([[0], np.cumsum(count)])].tolist()
+            found = [data[lo + 1 : hi] if there else None for lo, hi, there in zip(at, at[1:], rows.is_valid().to_pylist())]
+            yield pa.array(found, pa.binary()).cast(pa.string())
 
     return decode(ids)

@@ -36,9 +36,9 @@ from .common import small_batches
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-CACHE_WORDS, CACHE_SEGMENTATIONS = 200_000, 400_000
+CACHE_WORDS, CACHE_SEGMENTATIONS = 100_000, 200_000
 LONG_WORD = 48  # longer runs, and words with more than 64 candidates, are merged one by one with a heap
-CHUNK_WORDS = 300_000
+CHUNK_WORDS = 80_000
 AGENDA, LATER = -1, -2  # in place of a word's segmentation without skips: none is kept, or it is merged when the word comes twice
 _U = np.uint64
 _MASK = 2**64 - 1

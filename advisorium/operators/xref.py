@@ -80,8 +80,8 @@ def text_matches(texts: DataFrame, terms: DataFrame) -> DataFrame:
 def nearest(queries: DataFrame, dictionary: DataFrame, threshold: float) -> DataFrame:
     """queries(id, v), dictionary(name, u) -> id, name, score of the most similar entry, name null below the threshold.
 
-    The dictionary goes to every task only where it was counted to be small; otherwise it meets the
-    queries in blocks.  Either way each query keeps one running best (max of a struct).
+    The dictionary goes to every task only where it was counted to be small; otherwise Spark
+    pairs the partitions of both sides, which costs their product.  Either way each query keeps one running best (max of a struct).
     """
     unit = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
     d = dictionary.withColumn("nu", unit(F.col("u")))

@@ -13,15 +13,18 @@ listed once; a segmentation is a function of the word and of the skipped candida
 been chosen, and that function is kept per task.  An occurrence first takes the segmentation without
 skips; if one of the merges in it is skipped by its own hash, that candidate is added to the skipped
 ones and the next segmentation looked up, until no chosen merge is skipped: the agenda would have
-chosen the same merges.
+chosen the same merges.  A word is kept from the second time that a task meets it; when the caches
+are full, what was not used lately goes.
 """
 
 from __future__ import annotations
 
 import heapq
 from array import array
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -38,7 +41,9 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 CACHE_WORDS, CACHE_SEGMENTATIONS = 100_000, 200_000
 LONG_WORD = 48  # longer runs, and words with more than 64 candidates, are merged one by one with a heap
-CHUNK_WORDS = 80_000
+CHUNK_WORDS = 200_000
+BLOCK_WORDS = 8_192  # words whose candidates lie in arrays at a time
+MET = 1 << 22  # bytes that tell which words were met before
 AGENDA, LATER = -1, -2  # in place of a word's segmentation without skips: none is kept, or it is merged when the word comes twice
 _U = np.uint64
 _MASK = 2**64 - 1
@@ -74,10 +79,12 @@ class Pieces:
         self.hashes, self.hash_ids = hashes[at], np.array([*self.ids.values()], np.int64)[at]
         if (self.hashes[1:] == self.hashes[:-1]).any():
             raise ValueError("two pieces share a hash")
-        self.place = np.full(1 << 19, -1, np.int32)  # where to look for a hash; the few pieces whose place is taken are searched for
-        self.place[self.hashes >> _U(45)] = np.arange(len(self.hashes))
-        taken = np.bincount((self.hashes >> _U(45)).astype(np.int64), minlength=1 << 19) > 1
-        self.place[taken] = len(self.hashes)
+        self.there = np.zeros(1 << 19, bool)  # whether some piece may have a hash with these upper bits
+        self.there[self.hashes >> _U(45)] = True
+        self.place = np.zeros(1 << 22, np.int32)  # where to look for a hash; the few pieces whose place is taken are searched for
+        self.place[self.hashes >> _U(42)] = np.arange(len(self.hashes))
+        place, times = np.unique(self.hashes >> _U(42), return_counts=True)
+        self.place[place[times > 1]] = len(self.hashes)
         self.beside = np.zeros(1 << 20, bool)  # neighbours in some piece; others may be among them, which only means fewer cuts
         pairs = np.array(sorted({(ord(a), ord(b)) for name in self.ids for a, b in zip(name, name[1:])}), np.uint32).reshape(-1, 2)
         self.beside[_pair_hash(pairs[:, 0], pairs[:, 1])] = True
@@ -146,13 +153,14 @@ def _pieces_in(p: Pieces, words: list[str]) -> np.ndarray:
     deep = min(width, p.longest)
     table = np.full((len(words), width + 1, deep + 1), -1, np.int32)
     for d in range(1, deep + 1):
-        h = prefix[:, d:] - prefix[:, :-d] * _U(pow(_BASE, d, 2**64))
-        at = np.where(np.arange(width + 1 - d) <= (size - d)[:, None], p.place[h >> _U(45)], -1)
-        w, i = np.nonzero(at >= 0)
-        h, at = h[w, i], at[w, i]
+        h = (prefix[:, d:] - prefix[:, :-d] * _U(pow(_BASE, d, 2**64))).ravel()
+        maybe = np.flatnonzero(p.there[h >> _U(45)])
+        h = h[maybe]
+        w, i = np.divmod(maybe, width + 1 - d)
+        at = p.place[h >> _U(42)]
         search = np.flatnonzero(at == len(p.hashes))
         at[search] = np.minimum(np.searchsorted(p.hashes, h[search]), len(p.hashes) - 1)
-        hit = p.hashes[at] == h
+        hit = (p.hashes[at] == h) & (i + d <= size[w])
         table[w[hit], i[hit], d] = p.hash_ids[at[hit]]
     return table
 
@@ -166,13 +174,12 @@ class Segmentations:
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.empty()
-
-    def empty(self) -> None:
-        self.number: dict[str, int] = {}  # of a word
+        self.met, self.met_count, self.turn = bytearray(MET), 0, 0
+        self.number: dict[str, int] = {}  # of a word, in the order of the numbers
         self.found: dict[int, int] = {}  # word number << 64 | skipped candidates -> segmentation number
-        self.ids: list[bytes] = []  # of a segmentation
-        self.chosen = array("Q")  # of a segmentation: the candidates that were merged
+        self.ids: list[bytes] = [b""]  # of a segmentation; the first one stands for none
+        self.chosen = array("Q", [0])  # of a segmentation: the candidates that were merged
+        self.used, self.word_used = array("q", [0]), array("q")  # of a segmentation and of a word: the chunk that used it last
         self.base = array("q")  # of a word: the segmentation without skips, AGENDA or LATER
         self.first, self.first_char = array("q", [0]), array("q", [0])  # of a word: where its candidates and characters begin
         self.spans, self.result, self.hash = array("i"), array("i"), array("Q")  # of a candidate: its three borders, the piece that it gives, the hash of the borders
@@ -180,6 +187,57 @@ class Segmentations:
         self.char_number: dict[str, int] = {}
         self.char_ids: list[list[int]] = []
 
+    def met_before(self, word: str) -> bool:
+        """Whether the word was met in an earlier chunk, or one that shares its place: this decides what is kept, not what comes out."""
+        at = hash(word) & MET - 1
+        if self.met[at]:
+            return True
+        if self.met_count > MET >> 2:
+            self.met, self.met_count = bytearray(MET), 0
+        self.met[at] = 1
+        self.met_count += 1
+        return False
+
+    def cut(self, words: int) -> None:
+        """Only the first ``words`` words stay."""
+        for w in list(self.number)[words:] if len(self.number) > words else ():
+            del self.number[w]
+        del self.spans[self.first[words] :], self.result[self.first[words] :], self.hash[self.first[words] :], self.chars[self.first_char[words] :]
+        del self.first[words + 1 :], self.first_char[words + 1 :], self.base[words:], self.word_used[words:]
+
+    def shrink(self) -> None:
+        """Where there are too many words or segmentations, those go that were used longest ago."""
+        if len(self.base) <= CACHE_WORDS and len(self.ids) <= CACHE_SEGMENTATIONS:
+            return
+        late = lambda used, most: used > np.partition(used, len(used) // 2)[len(used) // 2] if len(used) > most else np.ones(len(used), bool)
+        stays, held = late(np.frombuffer(self.word_used, np.int64), CACHE_WORDS), late(np.frombuffer(self.used, np.int64), CACHE_SEGMENTATIONS)
+        held = held.copy()
+        held[0] = True
+        number, words = np.flatnonzero(stays), list(self.number)
+        renamed = np.cumsum(stays) - 1
+        keys, segments = list(self.found), np.fromiter(self.found.values(), np.int64, len(self.found))
+        owner = np.array([k >> 64 for k in keys], np.int64)
+        there = np.flatnonzero(stays[owner] & held[segments])
+        held[:] = False
+        held[0] = held[segments[there]] = True
+        new = np.where(held, np.cumsum(held) - 1, LATER)
+        self.found = {int(w) << 64 | keys[k] & _MASK: n for w, k, n in zip(renamed[owner[there]].tolist(), there.tolist(), new[segments[there]].tolist())}
+        self.ids = [self.ids[k] for k in np.flatnonzero(held).tolist()]
+        self.chosen = array("Q", np.frombuffer(self.chosen, _U)[held].tobytes())
+        self.used = array("q", np.frombuffer(self.used, np.int64)[held].tobytes())
+        base = np.frombuffer(self.base, np.int64)[number]
+        self.base = array("q", np.where(base >= 0, new[base], base).tobytes())
+        self.word_used = array("q", np.frombuffer(self.word_used, np.int64)[number].tobytes())
+        at, char_at = self._lists(self.first, number)[2], self._lists(self.first_char, number)[2]
+        for name in ("first", "first_char"):
+            first = np.frombuffer(getattr(self, name), np.int64)
+            setattr(self, name, array("q", np.concatenate([[0], np.cumsum(first[number + 1] - first[number])]).astype(np.int64).tobytes()))
+        self.spans = array("i", np.frombuffer(self.spans, np.int32)[at].tobytes())
+        self.result = array("i", np.frombuffer(self.result, np.int32)[at].tobytes())
+        self.hash = array("Q", np.frombuffer(self.hash, _U)[at].tobytes())
+        self.chars = array("i", np.frombuffer(self.chars, np.int32)[char_at].tobytes())
+        self.number = {words[k]: n for n, k in enumerate(number.tolist())}
+
     def add(self, words: list[str]) -> None:
         """New words: all joins of two pieces to a piece, the best first, the leftmost on ties."""
         words = sorted(words, key=len)
@@ -193,6 +251,7 @@ class Segmentations:
         number = np.arange(len(self.base), len(self.base) + len(words))
         self.number.update(zip(words, number.tolist()))
         self.base.frombytes(np.full(len(words), AGENDA, np.int64).tobytes())
+        self.word_used.frombytes(np.full(len(words), self.turn, np.int64).tobytes())
         self.first.frombytes((self.first[-1] + np.cumsum(candidates)).tobytes())
         self.chars.frombytes(chars.tobytes())
         self.first_char.frombytes((self.first_char[-1] + np.cumsum(lengths)).tobytes())
@@ -215,12 +274,15 @@ class Segmentations:
         order = np.argsort(w << 40 | p.order[result] << 16 | i << 8 | a)
         w, i, a, d, result = (x[order] for x in (w, i, a, d, result))
         count = np.bincount(w, minlength=len(words))
-        if (count > 64).any():
-            keep = np.flatnonzero(count <= 64)
-            self._append([words[k] for k in np.flatnonzero(count > 64)], np.zeros(len(words) - len(keep), np.int64), np.empty(0, np.int32), np.zeros(len(words) - len(keep), np.int64))
-            if len(keep):
-                self._add([words[k] for k in keep])
-            return
+        few = count <= 64
+        if not few.all():
+            many = [words[k] for k in np.flatnonzero(~few)]
+            self._append(many, np.zeros(len(many), np.int64), np.empty(0, np.int32), np.zeros(len(many), np.int64))
+            stays = few[w]
+            w, i, a, d, result = (np.cumsum(few) - 1)[w[stays]], i[stays], a[stays], d[stays], result[stays]
+            words, count = [words[k] for k in np.flatnonzero(few)], count[few]
+            if not words:
+                return
         self.spans.frombytes((i << 12 | i + a << 6 | i + d).astype(np.int32).tobytes())
         self.result.frombytes(result.astype(np.int32).tobytes())
         self.hash.frombytes((i.astype(_U) * _U(_BORDERS[0]) + (i + a).astype(_U) * _U(_BORDERS[1]) + (i + d).astype(_U) * _U(_BORDERS[2])).tobytes())
@@ -246,6 +308,8 @@ class Segmentations:
 
     def masks(self, number: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
         """The candidates that each word skips under its key, as bits."""
+        if len(number) > BLOCK_WORDS:
+            return np.concatenate([self.masks(number[k : k + BLOCK_WORDS], keys[k : k + BLOCK_WORDS], dropout) for k in range(0, len(number), BLOCK_WORDS)])
         row, place, at = self._lists(self.first, number)
         hit = np.flatnonzero(_mixed(keys[row] ^ np.frombuffer(self.hash, _U)[at]) >> _U(11) < _U(_limit(dropout)))
         out = np.zeros(len(number), _U)
@@ -253,9 +317,23 @@ class Segmentations:
         return out
 
     def merge(self, number: np.ndarray, skip: np.ndarray) -> list[int]:
-        """New segmentations of words, the given candidates skipped.  In each step every word merges the first candidate of its list that is there."""
+        """The numbers of new segmentations of words, the given candidates skipped."""
+        coded, chosen = self.merged(number, skip)
+        numbers = list(range(len(self.ids), len(self.ids) + len(coded)))
+        self.ids += coded
+        self.chosen.frombytes(chosen.tobytes())
+        self.used.frombytes(np.full(len(coded), self.turn, np.int64).tobytes())
+        for w, k, n in zip(number.tolist(), skip.tolist(), numbers):
+            self.found[w << 64 | k] = n
+        return numbers
+
+    def merged(self, number: np.ndarray, skip: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """The ids of words, the given candidates skipped, and the merged candidates.  In each step every word merges the first candidate of its list that is there."""
         if not len(number):
-            return []
+            return [], np.zeros(0, _U)
+        if len(number) > BLOCK_WORDS:
+            parts = [self.merged(number[k : k + BLOCK_WORDS], skip[k : k + BLOCK_WORDS]) for k in range(0, len(number), BLOCK_WORDS)]
+            return [x for ids, _ in parts for x in ids], np.concatenate([chosen for _, chosen in parts])
         row, place, at = self._lists(self.first, number)
         i, m, j = _borders_of(np.frombuffer(self.spans, np.int32)[at])
         one = _U(1)
@@ -296,14 +374,7 @@ class Segmentations:
         order = np.argsort(rows * 1024 + cols)
         data = ids[order].astype("<i4").tobytes()
         ends = (np.cumsum(np.bincount(rows, minlength=len(number))) * 4).tolist()
-        numbers, lo = list(range(len(self.ids), len(self.ids) + len(number))), 0
-        for hi in ends:
-            self.ids.append(data[lo:hi])
-            lo = hi
-        self.chosen.frombytes(chosen.tobytes())
-        for key, n in zip(zip(number.tolist(), skip.tolist()), numbers):
-            self.found[key[0] << 64 | key[1]] = n
-        return numbers
+        return [data[lo:hi] for lo, hi in zip([0, *ends], ends)], chosen
 
 
 @lru_cache(maxsize=2)
@@ -340,10 +411,24 @@ def merge_by_agenda(p: Pieces, word: str, key: int, dropout: float) -> list[int]
 
 def segment_words(s: Segmentations, words: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
     """The ids of each word, as bytes, under its key."""
-    if len(s.base) > CACHE_WORDS or len(s.ids) > CACHE_SEGMENTATIONS:
-        s.empty()
-    s.add([w for w in dict.fromkeys(words) if w not in s.number])
-    number = np.fromiter(map(s.number.__getitem__, words), np.int64, len(words))
+    s.shrink()
+    s.turn += 1
+    number = np.fromiter(map(s.number.get, words, repeat(-1)), np.int64, len(words))
+    new = np.flatnonzero(number < 0).tolist()
+    times = Counter([words[k] for k in new])
+    again = {w for w, n in times.items() if s.met_before(w) or n > 1}
+    s.add([w for w in times if w in again])
+    kept = len(s.base)
+    s.add([w for w in times if w not in again])
+    number[new] = [s.number[words[k]] for k in new]
+    coded = _segmented(s, words, number, kept, keys, dropout)
+    s.cut(kept)
+    return coded
+
+
+def _segmented(s: Segmentations, words: list[str], number: np.ndarray, kept: int, keys: np.ndarray, dropout: float) -> list[bytes]:
+    """The ids of words that were added; those from number ``kept`` on occur once, and nothing of them is kept."""
+    np.frombuffer(s.word_used, np.int64)[number] = s.turn
     base = np.frombuffer(s.base, np.int64)
     mask, skip = s.masks(number, keys, dropout) if dropout > 0 else np.zeros(len(words), _U), np.zeros(len(words), _U)
     later = np.flatnonzero(base[number] == LATER)
@@ -352,20 +437,24 @@ def segment_words(s: Segmentations, words: list[str], keys: np.ndarray, dropout:
     base[again] = s.merge(again, np.zeros(len(again), _U))
     found = base[number]
     once = later[first[times == 1]]
+    passing, once = once[number[once] >= kept], once[number[once] < kept]
     found[once] = s.merge(number[once], mask[once])
-    if dropout > 0:
-        skip[once] = mask[once]
-        live = np.flatnonzero((mask != skip) & (found >= 0))
-        while len(live):
-            clash = mask[live] & np.frombuffer(s.chosen, _U)[found[live]]
-            live, clash = live[clash != 0], clash[clash != 0]
-            skip[live] |= clash
-            asked = [w << 64 | k for w, k in zip(number[live].tolist(), skip[live].tolist())]
-            if fresh := [k for k in dict.fromkeys(asked) if k not in s.found]:
-                s.merge(np.array([k >> 64 for k in fresh], np.int64), np.array([k & _MASK for k in fresh], _U))
-            found[live] = list(map(s.found.__getitem__, asked))
-    coded = list(map(s.ids.__getitem__, found.tolist()))
-    for i in np.flatnonzero(found < 0).tolist():
+    skip[once] = mask[once]
+    live = np.flatnonzero((mask != skip) & (found >= 0))
+    while len(live):
+        np.frombuffer(s.used, np.int64)[found[live]] = s.turn
+        clash = mask[live] & np.frombuffer(s.chosen, _U)[found[live]]
+        live, clash = live[clash != 0], clash[clash != 0]
+        skip[live] |= clash
+        asked = [w << 64 | k for w, k in zip(number[live].tolist(), skip[live].tolist())]
+        if fresh := [k for k in dict.fromkeys(asked) if k not in s.found]:
+            s.merge(np.array([k >> 64 for k in fresh], np.int64), np.array([k & _MASK for k in fresh], _U))
+        found[live] = list(map(s.found.__getitem__, asked))
+    np.frombuffer(s.used, np.int64)[found[found >= 0]] = s.turn
+    coded = list(map(s.ids.__getitem__, np.maximum(found, 0).tolist()))
+    for i, ids in zip(passing.tolist(), s.merged(number[passing], mask[passing])[0]):
+        coded[i] = ids
+    for i in np.flatnonzero(found == AGENDA).tolist():
         coded[i] = np.array(merge_by_agenda(s.pieces, words[i], int(keys[i]), dropout), "<i4").tobytes()
     return coded
 

@@ -508,12 +508,8 @@ def encode_pieces(text: Column | str, key: Column | str, seed: int = 0, dropout:
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        s = segmentations_of(model)
         for texts, owners in batches:
-            ids = encode_texts(s, texts.to_pylist(), owners.to_pylist(), seed, dropout)
-            ends = np.cumsum([0] + [0 if x is None else len(x) for x in ids]).astype(np.int32)
-            flat = np.concatenate([np.empty(0, "<i4"), *(x for x in ids if x is not None)])
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=pa.array([x is None for x in ids], pa.bool_()))
+            yield _encoded(model, texts, owners, seed, dropout)
 
     return encode(text, key)
 
@@ -525,14 +521,42 @@ def decode_pieces(ids: Column | str, model: str = MODEL) -> Column:
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        text = pieces_of(model).text
-        size = np.array([len(x) for x in text], np.int64)
         for rows in batches:
-            flat = rows.flatten().to_numpy(zero_copy_only=False)  # null rows have no ids
-            count = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
-            data = b"".join(map(text.__getitem__, flat.tolist()))
-            at = np.concatenate([[0], np.cumsum(size[flat])])[np.concatenate([[0], np.cumsum(count)])].tolist()
-            found = [data[lo + 1 : hi] if there else None for lo, hi, there in zip(at, at[1:], rows.is_valid().to_pylist())]
-            yield pa.array(found, pa.binary()).cast(pa.string())
+            yield _decoded(model, rows)
 
     return decode(ids)
+
+
+def encode_and_decode(text: Column | str, key: Column | str, seed: int = 0, dropout: float = 0.1, model: str = MODEL) -> Column:
+    """struct<ids, back>: the pieces as ``encode_pieces`` gives them and the text that ``decode_pieces`` makes of these, in one Python step.
+
+    Both functions in a row would take two Python workers a task, each with caches of its own.
+    """
+
+    small_batches()
+
+    @F.arrow_udf("struct<ids:array<int>,back:string>")
+    def both(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, owners in batches:
+            ids = _encoded(model, texts, owners, seed, dropout)
+            yield pa.StructArray.from_arrays([ids, _decoded(model, ids)], ["ids", "back"])
+
+    return both(text, key)
+
+
+def _encoded(model: str, texts: pa.Array, owners: pa.Array, seed: int, dropout: float) -> pa.ListArray:
+    ids = encode_texts(segmentations_of(model), texts.to_pylist(), owners.to_pylist(), seed, dropout)
+    ends = np.cumsum([0] + [0 if x is None else len(x) for x in ids]).astype(np.int32)
+    flat = np.concatenate([np.empty(0, "<i4"), *(x for x in ids if x is not None)])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=pa.array([x is None for x in ids], pa.bool_()))
+
+
+def _decoded(model: str, rows: pa.ListArray) -> pa.Array:
+    text = pieces_of(model).text
+    size = np.array([len(x) for x in text], np.int64)
+    flat = rows.flatten().to_numpy(zero_copy_only=False)  # null rows have no ids
+    count = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+    data = b"".join(map(text.__getitem__, flat.tolist()))
+    at = np.concatenate([[0], np.cumsum(size[flat])])[np.concatenate([[0], np.cumsum(count)])].tolist()
+    found = [data[lo + 1 : hi] if there else None for lo, hi, there in zip(at, at[1:], rows.is_valid().to_pylist())]
+    return pa.array(found, pa.binary()).cast(pa.string())

@@ -14,7 +14,7 @@ from .html_wrapper import extract_main_text
 from .language_id import fit_language_model, predict_language
 from .ngram_join import ngram_jaccard_groups
 from .packing import pack_documents
-from .piece_codec import decode_pieces, encode_pieces
+from .piece_codec import encode_and_decode
 from .quality import fit_quality_model, score_quality
 from .toxicity import fit_toxicity_model, score_toxicity
 from .vector_topk import exact_topk
@@ -52,10 +52,9 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = docs.withColumn("ids", encode_pieces("text", "doc_id", seed=1, dropout=0.1))
-    decoded = coded.withColumn("back", decode_pieces("ids"))
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), (F.col("back") == F.col("text")).alias("lossless")
+    coded = docs.withColumn("coded", encode_and_decode("text", "doc_id", seed=1, dropout=0.1))
+    return coded.select(
+        "doc_id", F.size("coded.ids").cast("long").alias("n_pieces"), F.xxhash64("coded.ids").alias("ids_hash"), (F.col("coded.back") == F.col("text")).alias("lossless")
     )
 
 

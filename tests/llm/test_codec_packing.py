@@ -85,6 +85,26 @@ def test_full_caches_are_emptied(monkeypatch):
     assert pc.encode_texts(CODEC, [text[:900], text, None, ""], [0, 1, 2, 3], 1, 0.2)[1].tolist() == want
 
 
+def test_what_is_kept_or_dropped_from_the_caches_changes_nothing(monkeypatch):
+    rng = random.Random(5)
+    syllables = ["an", "the", "tion", "er", "wor", "ld", "ñe", "日本", "12"]
+    texts = [" ".join("".join(rng.choices(syllables, k=rng.randint(1, 6))) for _ in range(400)) for _ in range(6)]
+    want = [encode(t, k, 2, 0.2) for k, t in enumerate(texts)]
+    for name, value in (("CHUNK_WORDS", 150), ("BLOCK_WORDS", 20), ("CACHE_WORDS", 200), ("CACHE_SEGMENTATIONS", 300)):
+        monkeypatch.setattr(pc, name, value)
+    small = pc.Segmentations(CODEC.pieces)
+    for _ in range(3):
+        assert [x.tolist() for x in pc.encode_texts(small, texts, range(6), 2, 0.2)] == want
+    assert len(small.base) < 1000 and len(small.number) == len(small.base) == len(small.word_used) == len(small.first) - 1
+
+
+def test_one_step_equals_encoding_then_decoding(spark):
+    df = spark.createDataFrame([(1, "two  words"), (2, None), (3, ""), (None, "日本 x")], "doc_id long, text string")
+    got = df.select("doc_id", "text", pc.encode_pieces("text", "doc_id", 1, 0.3).alias("ids"), pc.encode_and_decode("text", "doc_id", 1, 0.3).alias("both"))
+    rows = got.withColumn("back", pc.decode_pieces("ids")).collect()
+    assert len(rows) == 4 and all((r.both.ids, r.both.back) == (r.ids, r.back) and r.back == r.text for r in rows)
+
+
 def test_round_trip_and_dropout(spark):
     texts = ["", None, " ", "  two  spaces \n\t", "▁ and ▁▁", "héllo wörld 日本語 🎉", "x" * 5000, "the quick brown fox " * 300]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

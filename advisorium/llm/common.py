@@ -14,10 +14,12 @@ SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, a temporary one on a local master, an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     return _OWN_DIRS.setdefault(app, tempfile.mkdtemp(prefix="spark-"))
 

@@ -13,8 +13,10 @@ _OWN: dict[str, str] = {}
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path in the folder of ``spark.checkpoint.dir``, in a temporary one where that is unset."""
+    """A new path in the folder of ``spark.checkpoint.dir``; where that is unset, in a temporary one on a local master, an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = named.rstrip("/") if named else _OWN.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-"))
     return f"{root}/{label}-{uuid.uuid4().hex}"
 

@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from fractions import Fraction
+from typing import Protocol
 
 import numpy as np
 import pandas as pd
@@ -81,6 +82,12 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     return np.unique(total)
 
 
+class Plan(Protocol):
+    """Which keys a set of n-gram hashes has: sets that share one are candidates."""
+
+    def keys(self, s: np.ndarray) -> np.ndarray: ...
+
+
 class _Plan:
     """How a set of n n-grams gives keys at similarity ``t``."""
 
@@ -133,7 +140,7 @@ def _sketches(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return narrow, wide
 
 
-def _sets(batches: Iterator[pd.DataFrame], words: int, plan: _Plan) -> Iterator[pd.DataFrame]:
+def _sets(batches: Iterator[pd.DataFrame], words: int, plan: Plan) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for doc_id, text in zip(pdf["doc_id"].astype(object).where(pdf["doc_id"].notna(), None), pdf["text"]):
@@ -452,9 +459,13 @@ def ngram_jaccard_groups(docs: DataFrame, words: int = 3, threshold: tuple[int,
     Rows without a doc_id take part too; a group of nothing but such rows has null as its ids.  An
     empty table gives an empty result; columns other than doc_id and text are ignored.
     """
+    return jaccard_groups(docs, words, threshold, _Plan(Fraction(*threshold)), count_links)
+
+
+def jaccard_groups(docs: DataFrame, words: int, threshold: tuple[int, int], plan: Plan, count_links: bool) -> DataFrame:
+    """The groups of ``ngram_jaccard_groups`` for any plan of candidate keys: sets that share a key are compared, whatever the keys are."""
     small_batches()
     num, den = threshold
-    plan = _Plan(Fraction(num, den))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = written(
         docs.mapInPandas(lambda it: _sets(it, words, plan), "doc_id long, n long, sig long, keys array<long>, sketch array<long>, wide array<long>"), "sets"

@@ -12,10 +12,13 @@ from .common import fold
 from .exact_dedup import exact_dedup
 from .html_wrapper import extract_main_text
 from .language_id import fit_language_model, predict_language
+from .lexical_search import ranked_search
+from .minhash import minhash_groups
 from .ngram_join import ngram_jaccard_groups
 from .packing import pack_documents
 from .piece_codec import encode_and_decode
 from .quality import fit_quality_model, score_quality
+from .token_alignment import alignment_counts
 from .toxicity import fit_toxicity_model, score_toxicity
 from .vector_topk import exact_topk
 
@@ -112,6 +115,19 @@ def op10_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chat(conversations, calls, results, TOOLS)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = minhash_groups(_table(spark, sf_dir, "documents"), words=3, threshold=(85, 100))
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_counts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_topk": op2_exact_topk,
@@ -123,8 +139,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_chat_tools": op10_chat_tools,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_minhash_near_dedup": op12_minhash_near_dedup,
+    "op13_token_alignment": op13_token_alignment,
 }
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": """
         WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -138,4 +159,27 @@ ORACLE_SQL: dict[str, str] = {
         g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
         SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.text) AS text_sha256
         FROM t JOIN g ON t.text = g.text""",
+    "op11_ranked_search": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        l AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0), s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM l),
+        q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+        f AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+        i AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))) AS impact FROM p JOIN f USING (term) JOIN l USING (doc_id), s),
+        r AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY item_id, doc_id HAVING sum(impact) > 0),
+        o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r)
+        SELECT * FROM o WHERE rank <= 10""",
+    "op12_minhash_near_dedup": rf"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        g AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g
+              FROM w WHERE len(w) > 0),
+        c AS (SELECT min(doc_id) AS cls, g, len(g) AS n FROM g GROUP BY g), e AS (SELECT cls, n, unnest(g) AS gram FROM c),
+        k AS (SELECT a.cls AS a, b.cls AS b FROM e AS a JOIN e AS b ON a.gram = b.gram AND a.cls < b.cls AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+              GROUP BY a.cls, b.cls, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        both_ways AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
+        reach AS (SELECT cls AS id, cls AS to_id FROM c UNION SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.to_id = both_ways.a),
+        m AS (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id),
+        o AS (SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id
+              FROM documents AS d LEFT JOIN g ON d.doc_id = g.doc_id LEFT JOIN c ON g.g = c.g LEFT JOIN m ON c.cls = m.id)
+        SELECT *, doc_id = component_id AS kept FROM o""",
 }

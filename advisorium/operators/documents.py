@@ -6,11 +6,13 @@ import itertools
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import nested as N
 from ..functions import severity as S
 from ..functions import text as X
 from ..functions import times as D
+from ..functions.canonical import canonical_fields, canonical_text, quoted
 
 # Per provider the detail fields by role, in order of priority.
 ROLES = ("identity", "title", "cve", "severity", "published", "updated", "source", "volatile")
@@ -51,11 +53,11 @@ def role_fields(provider: Column, role: str) -> Column:
 def detail_clean(rows: DataFrame) -> Column:
     """Detail fields (map<string,string>) without raw, volatile and blank ones and without those that repeat the envelope.
 
-    Expects provider, code, title, cve_raw, severity_raw, published_raw, url, detail_url and details.
+    Expects provider, code, title, cve_raw, severity_raw, url, detail_url, details, and the parsed publication time as _published.
     """
     p = F.col("provider")
     roles = {r: role_fields(p, r) for r in ROLES}
-    same_time = lambda v: D.parse_hk(v).eqNullSafe(D.parse_hk(F.col("published_raw")))
+    same_time = lambda v: D.parse_hk(v).eqNullSafe(F.col("_published"))
 
     def repeats(k: Column, v: Column) -> Column:
         has = lambda role: F.array_contains(roles[role], k)
@@ -149,7 +151,8 @@ def build_document(rows: DataFrame) -> DataFrame:
     """
     provider, code = F.col("provider"), X.blank_to_null(F.col("code"))
     severity = S.severity_normalize(F.col("severity_raw"))
-    published = D.parse_hk(F.col("published_raw"))
+    published = F.col("_published")
+    rows = rows.withColumn("_published", D.parse_hk(F.col("published_raw")))  # read more than once, so it stays a column of its own
     error = F.when(~provider.isin(*REGISTERED) | provider.isNull(), "unknown_provider").when(code.isNull(), "empty_code").when(F.col("observed_at").isNull(), "no_observation")
     cves = X.collect_cves(F.array("cve_raw"))
     return rows.select(
@@ -180,18 +183,41 @@ def provider_infer(candidates: Column, known: list[str]) -> Column:
     return F.get(F.filter(F.transform(candidates, F.lower), lambda x: x.isin(*known)), F.lit(0))
 
 
-def content_payload(columns: list[str]) -> Column:
-    """The compared part of a document as text: fields by name, instants cut to milliseconds, the provider added.
+NOT_COMPARED = ("_id", "observed_at", "scraped_at", "source", "classification", "error")
 
-    Identifier, observation time, source and classification are not compared.
+
+def content_payload(schema: T.StructType) -> Column:
+    """The compared part of a document of this schema as canonical text: fields by name and type, and the provider of its source.
+
+    Identifier, observation time, source and classification are not compared.  Maps with the same
+    entries in another order are the same, lists in another order are not; a null field is the same as none.
     """
-    fields = sorted(c for c in columns if c not in ("_id", "observed_at", "source", "classification", "error"))
-    shown = [D.stamp(F.col(c)) if c.endswith("_at") else F.col(c).cast("string") for c in fields]
-    return F.concat_ws("|", *[F.concat(F.lit(f"{c}="), F.coalesce(s, F.lit("~"))) for c, s in zip(fields, shown)], F.concat(F.lit("provider="), F.col("source.provider")))
+    fields = [f for f in schema.fields if f.name not in NOT_COMPARED]
+    kinds = T.StructType([*fields, T.StructField("source_provider", T.StringType())])
+    return canonical_text(F.struct(*[F.col(f.name) for f in fields], F.col("source.provider").alias("source_provider")), kinds)
+
+
+def content_digest(schema: T.StructType) -> Column:
+    return F.sha2(content_payload(schema), 256)
 
 
-def content_digest(columns: list[str]) -> Column:
-    return F.sha2(content_payload(columns), 256)
+def json_content_payload(doc: Column) -> Column:
+    """The same for open documents as JSON text, where a null field differs from none; null where the text is no object."""
+    fields = canonical_fields(doc)
+    kept = F.map_filter(fields, lambda k, _: ~k.isin(*NOT_COMPARED))
+    entries = F.transform(F.map_entries(kept), lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["value"]))
+    provider = F.concat(F.lit('"source_provider":'), F.coalesce(quoted(F.get_json_object(doc, "$.source.provider")), F.lit("null")))
+    return F.concat(F.lit("{"), F.array_join(F.array_sort(F.concat(entries, F.array(provider))), ","), F.lit("}"))
+
+
+def documents_match(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """Documents of two tables by _id -> _id, same: false where the content differs or only one table has it.
+
+    Their schemas may differ, in the order of fields, in numeric types and in fields that are null throughout.
+    """
+    left = stored.select("_id", content_digest(stored.schema).alias("_a"))
+    right = batch.select("_id", content_digest(batch.schema).alias("_b"))
+    return left.join(right, "_id", "full").select("_id", F.col("_a").eqNullSafe(F.col("_b")).alias("same"))
 
 
 def upsert_classify(stored: DataFrame, batch: DataFrame, mode: str = "overwrite") -> DataFrame:

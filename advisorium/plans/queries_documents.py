@@ -65,23 +65,27 @@ def _(spark, d):
     return table(spark, d, "customer").select("c_custkey", O.provider_infer(own, O.REGISTERED).alias("provider"))
 
 
-_PAYLOAD = """'code=' || k || '|title=t' || (k % 9) || '|updated_at=' || strftime(edited, '%Y-%m-%d %H:%M:%S.000') || '|provider=' || provider"""
+_PAYLOAD = """'{"code":"' || k || '","details":{"aliases":["a' || k || '","b, c",null],"facts":{"empty":null,"k":' || (k % 7) || ',"size":' || (k % 4) || '.5}},"source_provider":"' || provider || '","title":"t' || (k % 9)
+    || '","updated_at":{"$date":"' || strftime(edited, '%Y-%m-%d %H:%M:%S.000') || '"}}'"""
 
 
 def _digest_rows(spark, d, shift=0):
-    """Small documents; in a later version some are changed, dropped or added, and some differ only in what isn't compared."""
+    """Small documents with a list and a map.  In a later version some are changed, dropped or added, and some differ only in what isn't compared: observation, address, order of map entries, kind of number."""
     k = C("k")
     rows = A.adv(spark, d)
     title = F.concat(F.lit("t"), (k % 9).cast("string"))
     if shift:
         rows = rows.where(k % 10 != 2)
         title = F.when(k % 10 == 0, "changed").otherwise(title)
+    facts = [(F.lit("k"), (k % 7).cast("double")), (F.lit("size"), (k % 4) + 0.5), (F.lit("empty"), F.lit(None).cast("double"))]
+    facts = F.create_map(*[x for pair in (reversed(facts) if shift else facts) for x in pair])
+    aliases = F.array(F.concat(F.lit("a"), k.cast("string")), F.lit("b, c"), F.lit(None).cast("string"))
     docs = rows.select(
         F.when((k % 10 == 3) & F.lit(bool(shift)), F.concat(F.lit("new:"), k.cast("string"))).otherwise(F.concat(F.lit("id:"), k.cast("string"))).alias("_id"), k.cast("string").alias("code"), title.alias("title"), C("edited").alias("updated_at"),
-        (C("observed_at") + F.make_dt_interval(F.lit(shift))).alias("observed_at"), F.struct(C("provider").alias("provider"), F.lit(f"u{shift}").alias("url")).alias("source"), k.alias("k"),
+        (C("observed_at") + F.make_dt_interval(F.lit(shift))).alias("observed_at"), F.struct(C("provider").alias("provider"), F.lit(f"u{shift}").alias("url")).alias("source"), F.struct(facts.alias("facts"), aliases.alias("aliases")).alias("details"), k.alias("k"),
     )
-    cols = ["_id", "code", "title", "updated_at", "observed_at", "source"]
-    return docs.withColumn("digest", O.content_digest(cols)).withColumn("payload", O.content_payload(cols)).withColumn("provider", C("source.provider"))
+    compared = docs.drop("k").schema
+    return docs.withColumn("digest", O.content_digest(compared)).withColumn("payload", O.content_payload(compared)).withColumn("provider", C("source.provider"))
 
 
 @query("content_payload", f"WITH {A.ADV} SELECT k, {_PAYLOAD} AS payload FROM adv")
@@ -100,6 +104,49 @@ def _(spark, d):
     return a.select("_id", "k", C("digest").alias("x")).join(b.select("_id", C("digest").alias("y")), "_id").select("k", C("x").eqNullSafe(C("y")).alias("same"))
 
 
+#: k % 12 -> what the later version of a document does to the text t, the list of two names and the map of two notes, and whether it is still the same.
+_EDITS = ["nothing", "entries in another order", "names in another order", "two names as one with a comma", "a name that is null", "the word null as a name", "a null title", "a separator in the title", "a quote moved between names", "half a millisecond", "a millisecond", "a note gone null"]
+_SAME = "k % 12 IN (0, 1, 9)"
+
+
+def _edited(spark, d, later):
+    """Documents whose later version differs only by what a comparison of printed values gets wrong."""
+    k, e = C("k"), C("k") % 12
+    edit = lambda n, new, old: F.when(F.lit(later) & (e == n), new).otherwise(old)
+    one, two, void = F.concat(F.lit("x"), k.cast("string")), F.lit("y"), F.lit(None).cast("string")
+    names = F.array(one, two)
+    for n, other in ((2, F.array(two, one)), (3, F.array(F.concat(one, F.lit(", "), two))), (4, F.array(one, void)), (5, F.array(one, F.lit("null"))), (8, F.array(F.concat(one, F.lit('","y')), F.lit("")))):
+        names = edit(n, other, names)
+    notes = F.create_map(F.lit("a"), one, F.lit("b"), two)
+    notes = edit(1, F.create_map(F.lit("b"), two, F.lit("a"), one), edit(11, F.create_map(F.lit("a"), one, F.lit("b"), void), notes))
+    title = edit(6, void, edit(7, F.lit('~|names=["x"]'), F.lit("~")))
+    at = C("edited") + F.expr("INTERVAL '0.1235' SECOND")
+    at = edit(9, at + F.expr("INTERVAL '0.0004' SECOND"), edit(10, at + F.expr("INTERVAL '0.001' SECOND"), at))
+    source = F.struct(C("provider").alias("provider"), F.lit(str(later)).alias("url"))
+    return A.adv(spark, d).select(k.cast("string").alias("_id"), title.alias("title"), names.alias("names"), notes.alias("notes"), at.alias("updated_at"), source.alias("source"))
+
+
+@query("documents_match_nested", f"WITH {A.ADV} SELECT CAST(k AS VARCHAR) AS _id, {_SAME} AS same FROM adv")
+def _(spark, d):
+    return O.documents_match(_edited(spark, d, False), _edited(spark, d, True))
+
+
+@query("upsert_nested", f"WITH {A.ADV} SELECT CASE WHEN {_SAME} THEN 'unchanged' ELSE 'overwrite' END AS action, count(*) AS n FROM adv GROUP BY 1")
+def _(spark, d):
+    shown = lambda rows: rows.withColumn("digest", O.content_digest(rows.schema)).withColumn("provider", C("source.provider")).withColumn("observed_at", C("updated_at")).withColumn("pos", F.lit(1))
+    return O.upsert_classify(shown(_edited(spark, d, False)), shown(_edited(spark, d, True))).groupBy("action").agg(F.count("*").alias("n"))
+
+
+@query("json_content_payload", f"""WITH {A.ADV} SELECT k, '{{"a":{{"c":' || CASE WHEN k % 5 = 0 THEN '"null"' ELSE 'null' END || ',"z":[1,"x, y"]}},"b":' || k || CASE WHEN k % 4 = 0 THEN ',"n":null' ELSE '' END || ',"source_provider":"nvd"}}' AS payload FROM adv""")
+def _(spark, d):
+    k = C("k")
+    doc = F.concat(
+        F.lit('{"b":'), k.cast("string"), F.when(k % 3 == 0, ".0").otherwise(""), F.lit(',"a":{"z":[1,"x, y"],"c":'), F.when(k % 5 == 0, '"null"').otherwise("null"), F.lit('},"source":{"provider":"nvd","url":"u"},"observed_at":"x"'),
+        F.when(k % 4 == 0, ',"n":null').otherwise(""), F.lit("}"),
+    )
+    return A.adv(spark, d).select("k", O.json_content_payload(doc).alias("payload"))
+
+
 def _classified(spark, d, mode="overwrite"):
     stored = _digest_rows(spark, d).withColumn("classification", F.concat(F.lit("c"), C("code")))
     batch = _digest_rows(spark, d, 1).withColumn("pos", C("k"))

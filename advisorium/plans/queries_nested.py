@@ -58,6 +58,7 @@ def _(spark, d):
 
 @query("detail_clean", f"""WITH {A.ADV} SELECT k, '{{' || CASE WHEN k % 3 = 0 THEN '' ELSE '"ref":"R-' || k || '",' END || '"vendor":"v' || (k % 7) || '"}}' AS cleaned FROM adv""")
 def _(spark, d):
+    from ..functions.times import parse_hk
     from ..operators.documents import detail_clean
 
     details = F.create_map(
@@ -65,7 +66,7 @@ def _(spark, d):
         F.lit("detail_url"), C("detail_url"), F.lit("vuln_status"), F.lit("x"), F.lit("raw_tables"), F.lit("y"), F.lit("ref"), F.when(C("k") % 3 == 0, " ").otherwise(F.concat(F.lit("R-"), C("k").cast("string"))),
         F.lit("vendor"), F.concat(F.lit("v"), (C("k") % 7).cast("string")),
     )
-    rows = A.adv(spark, d).withColumn("provider", F.lit("nvd")).withColumn("details", details)
+    rows = A.adv(spark, d).withColumn("provider", F.lit("nvd")).withColumn("details", details).withColumn("_published", parse_hk(C("published_raw")))
     return rows.select("k", detail_clean(rows).alias("m")).select("k", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("m")))).alias("cleaned"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlsplit
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -101,12 +103,41 @@ def url_extract(c: Column, anchors: Column | None = None) -> Column:
     return F.array_distinct(F.concat(anchors, found) if anchors is not None else found)
 
 
-def url_canonical(c: Column, base: str, hosts: list[str] | None = None) -> Column:
-    """Absolute https address without query, fragment and final slash; null off the host list."""
-    absolute = F.when(c.rlike("^https?://"), c).when(c.startswith("/"), F.concat(F.lit(base.rstrip("/")), c)).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), c))
-    bare = F.regexp_replace(F.regexp_replace(absolute, r"[?#].*$", ""), "/+$", "")
-    host = F.lower(F.regexp_extract(bare, r"^https?://([^/:]+)", 1))
-    return bare if hosts is None else F.when(host.isin(hosts), bare)
+def _without_dots(path: Column) -> Column:
+    """A path with its . and .. segments worked off; .. above the root is the root."""
+    last = F.regexp_extract(path, r"/(\.\.?)$", 1) != ""  # such a path ends in a slash
+    segments = F.filter(F.split(path, "/"), lambda x: x != ".")
+    step = lambda done, x: F.when(x != "..", F.concat(done, F.array(x))).when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+    kept = F.aggregate(F.slice(segments, 2, 1_000_000), F.array(F.lit("")), step)
+    worked = F.concat(F.array_join(kept, "/"), F.when(last | (F.size(kept) == 1), "/").otherwise(""))
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), worked).otherwise(path)
+
+
+def url_resolve(c: Column, base: str) -> Column:
+    """A reference as an absolute address, as RFC 3986 resolves it against ``base``: //host, /path, ../path, ?query and #fragment."""
+    parts = urlsplit(base)
+    origin, folder = f"{parts.scheme}://{parts.netloc}", parts.path.rpartition("/")[0] + "/"
+    here = origin + (parts.path or "/")
+    tail = F.regexp_extract(c, r"^[^?#]*(.*)$", 1)
+    joined = lambda path: F.concat(F.lit(origin), _without_dots(path), tail)
+    path = F.regexp_extract(c, r"^([^?#]*)", 1)
+    query = f"?{parts.query}" if parts.query else ""
+    return (
+        F.when(c.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), c).when(c.startswith("//"), F.concat(F.lit(f"{parts.scheme}:"), c)).when(c.startswith("/"), joined(path))
+        .when(c.startswith("?"), F.concat(F.lit(here), c)).when((c == "") | c.startswith("#"), F.concat(F.lit(here + query), c)).otherwise(joined(F.concat(F.lit(folder), path)))
+    )
+
+
+def url_canonical(c: Column, base: str, hosts: list[str] | None = None, paths: list[str] | None = None) -> Column:
+    """Absolute address without query, fragment and final slash; null off the host list, and where its path begins with none of ``paths``."""
+    bare = F.regexp_replace(F.regexp_replace(url_resolve(c, base), r"[?#].*$", ""), "/+$", "")
+    host, path = F.lower(F.regexp_extract(bare, r"^https?://([^/:]+)", 1)), F.regexp_extract(bare, r"^https?://[^/]*(.*)$", 1)
+    test = F.lit(True)
+    if hosts is not None:
+        test = test & host.isin(hosts)
+    if paths is not None:
+        test = test & F.array_contains(F.transform(F.array(*[F.lit(p) for p in paths]), lambda p: path.startswith(p)), True)
+    return bare if hosts is None and paths is None else F.when(test, bare)
 
 
 def url_param(c: Column, name: str) -> Column:

@@ -1,12 +1,15 @@
 """Landed HTML pages: visible text, sections, label pairs and tables.
 
-One parser walk per page runs in a pandas UDF; everything behind it is native.
+One parser walk per page runs in a pandas UDF; everything behind it is native.  Tables are also
+found in the texts of JSON payloads, however deep they lie.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +26,8 @@ MOST_COLUMNS = 1000  # the HTML standard's limit of a column span
 
 PAIRS = "array<struct<label:string,value:string>>"
 GRID = "array<array<array<string>>>"
+CELLS = "array<array<array<struct<text:string,head:boolean,link:string>>>>"
+Cell = tuple[str, int, int, bool, str | None]  # text, columns, rows, header, first link
 
 
 def _clean(x: str) -> str:
@@ -39,7 +44,7 @@ class _Page(HTMLParser):
         self.lines: list[str] = []
         self.heads: list[tuple[int, str, int]] = []  # level, title, first line behind it
         self.head: int | None = None
-        self.tables: list[list[list[tuple[str, int, int, bool]]]] = []
+        self.tables: list[list[list[Cell]]] = []
         self.open: list[dict] = []
         self.terms: list[tuple[str, str]] = []
         self.term: list[str] | None = None
@@ -70,7 +75,9 @@ class _Page(HTMLParser):
                     t["rows"].append([])
                 a = {k: v for k, v in attrs}
                 span = lambda k: int(v) if (v := (a.get(k) or "1").strip()).isdigit() else 1
-                t["cell"] = ([], max(1, span("colspan")), span("rowspan"), tag == "th")
+                t["cell"], t["link"] = ([], max(1, span("colspan")), span("rowspan"), tag == "th"), None
+            elif tag == "a" and t["cell"] and not t["link"]:
+                t["link"] = dict(attrs).get("href")
         if tag in ("dt", "dd"):
             self.term = []
 
@@ -78,7 +85,7 @@ class _Page(HTMLParser):
         t = self.open[-1]
         if t["cell"]:
             text, cols, rows, th = t["cell"]
-            t["rows"][-1].append((_clean("".join(text)), cols, rows, th))
+            t["rows"][-1].append((_clean(" ".join(text)), cols, rows, th, t["link"]))
             t["cell"] = None
 
     def handle_endtag(self, tag: str) -> None:
@@ -116,25 +123,46 @@ def _parse(html: str | None) -> _Page:
     page = _Page()
     page.feed(html or "")
     page.close()
+    while page.open:  # a table that nothing ends goes to the end of the page
+        page.handle_endtag("table")
     page._flush()
     return page
 
 
-def _grid(rows: list[list[tuple[str, int, int, bool]]]) -> list[list[str]]:
+def _cells(rows: list[list[Cell]]) -> list[list[tuple[str, bool, str | None]]]:
     """Spans filled in, short rows padded; a row span of 0 reaches the end, a cell goes to the first place where all of its columns are free."""
-    cells: dict[tuple[int, int], str] = {}
+    taken: list[dict[int, tuple[str, bool, str | None]]] = [{} for _ in rows]
     for r, row in enumerate(rows):
         c = 0
-        for text, cols, down, _ in row:
+        for text, cols, down, head, link in row:
             cols = min(cols, MOST_COLUMNS)
-            while any((r, c + x) in cells for x in range(cols)):
-                c += 1
-            for y in range(r, len(rows) if down == 0 else min(len(rows), r + down)):
-                for x in range(c, c + cols):
-                    cells.setdefault((y, x), text)
+            c = next(x for x in count(c) if taken[r].keys().isdisjoint(range(x, x + cols)))
+            for below in taken[r : None if down == 0 else r + down]:
+                below.update((x, (text, head, link)) for x in range(c, c + cols) if x not in below)
             c += cols
-    width = max((x for _, x in cells), default=-1) + 1
-    return [[cells.get((y, x), "") for x in range(width)] for y in range(len(rows))]
+    width = max((max(row, default=-1) for row in taken), default=-1) + 1
+    return [[row.get(x, ("", False, None)) for x in range(width)] for row in taken]
+
+
+def _grid(rows: list[list[Cell]]) -> list[list[str]]:
+    return [[text for text, *_ in row] for row in _cells(rows)]
+
+
+def _fragments(payload: str | None) -> list[str]:
+    """The texts of a JSON payload that hold a table, in document order; a payload that is no JSON is one text."""
+    if not payload or payload.lstrip()[:1] not in ("{", "[", '"'):
+        return [payload or ""]
+    try:
+        waiting, found = [json.loads(payload)], []
+    except (ValueError, RecursionError):
+        return [payload]
+    while waiting:
+        value = waiting.pop()
+        if isinstance(value, str) and "<table" in value.casefold():
+            found.append(value)
+        elif isinstance(value, (dict, list)):
+            waiting += reversed(list(value.values()) if isinstance(value, dict) else value)
+    return found
 
 
 def _pairs(page: _Page) -> list[tuple[str, str]]:
@@ -169,22 +197,27 @@ def _sections(page: _Page) -> list[tuple[str, str]]:
     return out
 
 
-def _udf(kind: str, f: Callable) -> Callable[[Column | str], Column]:
+def _udf(kind: str, f: Callable[[str | None], object]) -> Callable[[Column | str], Column]:
     def make(html: Column | str) -> Column:
         @F.pandas_udf(kind)
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for pages in batches:
-                yield pd.Series([f(_parse(h)) for h in pages], dtype=object)
+                yield pd.Series([f(h) for h in pages], dtype=object)
 
         return run(html)
 
     return make
 
 
-html_text = _udf("string", lambda p: "\n".join(p.lines))
-html_label_pairs = _udf(PAIRS, _pairs)
-html_sections = _udf("array<struct<title:string,text:string>>", _sections)
-html_tables_grid = _udf(GRID, lambda p: [_grid(t) for t in p.tables])
+def _of_tables(f: Callable[[list[list[Cell]]], list]) -> Callable[[str | None], list]:
+    return lambda payload: [f(t) for html in _fragments(payload) for t in _parse(html).tables]
+
+
+html_text = _udf("string", lambda html: "\n".join(_parse(html).lines))
+html_label_pairs = _udf(PAIRS, lambda html: _pairs(_parse(html)))
+html_sections = _udf("array<struct<title:string,text:string>>", lambda html: _sections(_parse(html)))
+html_tables_grid = _udf(GRID, _of_tables(_grid))
+html_tables_cells = _udf(CELLS, _of_tables(_cells))
 
 
 def pair_value(pairs: Column, labels: list[str]) -> Column:
@@ -238,14 +271,52 @@ def tables_long(pages: DataFrame) -> DataFrame:
     return r.select("page_id", "table_no", "row_no", F.posexplode("r").alias("col_no", "value"))
 
 
-def tables_records(long: DataFrame) -> DataFrame:
-    """page_id, table_no, row_no, record (map of header slug to value): the first row is the header, blank rows go, unnamed columns are column_n."""
-    names = long.where("row_no = 0").select("page_id", "table_no", "col_no", F.coalesce(F.nullif(key_slug(F.col("value")), F.lit("")), F.concat(F.lit("column_"), (F.col("col_no") + 1).cast("string"))).alias("name"))
-    w = Window.partitionBy("page_id", "table_no", "name").orderBy("col_no")
-    names = names.withColumn("_n", F.row_number().over(w)).withColumn("name", F.when(F.col("_n") > 1, F.concat_ws("_", "name", F.col("_n").cast("string"))).otherwise(F.col("name"))).drop("_n")
-    body = long.where("row_no > 0").join(names, ["page_id", "table_no", "col_no"])
-    rows = body.groupBy("page_id", "table_no", "row_no").agg(F.array_sort(F.collect_list(F.struct("name", "value"))).alias("v"), F.max(F.trim("value") != "").alias("filled"))
-    return rows.where("filled").select("page_id", "table_no", "row_no", F.map_from_entries("v").alias("record"))
+def _names(row: Column) -> Column:
+    """Keys of a header row: slugs, column_n where there is none, repeated ones numbered."""
+    slugs = F.transform(row, lambda c, i: F.coalesce(F.nullif(key_slug(c["text"]), F.lit("")), F.concat(F.lit("column_"), (i + 1).cast("string"))))
+
+    def numbered(names: Column) -> Column:
+        nth = lambda k, i: F.size(F.filter(F.slice(names, F.lit(1), i + 1), lambda x: x == k))
+        plain = F.transform(names, lambda k, i: F.when(nth(k, i) > 1, F.concat_ws("_", k, nth(k, i).cast("string"))).otherwise(k))
+        return F.when(F.size(F.array_distinct(names)) == F.size(names), names).otherwise(plain)
+
+    once = numbered(slugs)
+    return F.when(F.size(F.array_distinct(once)) == F.size(once), once).otherwise(F.transform(once, lambda k, i: F.concat(k, F.lit("_column_"), (i + 1).cast("string"))))
+
+
+def _header_rows(t: Column, known: list[str], first: bool) -> Column:
+    """Numbers of the header rows: rows whose filled cells are all header cells, else the first row with two known names, else the first row or none."""
+    filled = lambda r: F.filter(r, lambda c: c["text"] != "")
+    marked = lambda r: F.exists(r, lambda c: c["head"]) & F.forall(filled(r), lambda c: c["head"])
+    named = lambda r: F.size(F.array_intersect(F.transform(r, lambda c: F.lower(c["text"])), F.array(*[F.lit(k.lower()) for k in known]).cast("array<string>"))) >= 2
+    rows = lambda test: F.filter(F.transform(t, lambda r, i: F.when(test(r), i)), lambda i: i.isNotNull())
+    none = F.array().cast("array<int>")
+    by_name = F.slice(rows(named), 1, 1) if known else none
+    fallback = F.array(F.lit(0)) if first else none
+    return F.when(F.size(rows(marked)) > 0, rows(marked)).when(F.size(by_name) > 0, by_name).otherwise(fallback)
+
+
+def tables_records(pages: DataFrame, known: list[str] | None = None, first_row: bool = True, base: str = "") -> DataFrame:
+    """pages(page_id, html) -> page_id, table_no, row_no, record: a map of header key to text of every row below a header row.
+
+    A header row holds nothing but header cells; a table may have several, each for the rows below
+    it.  Without one the first row with two ``known`` names counts, else the first row, or with
+    ``first_row=False`` none, so that all keys are column_n.  Blank rows go, blank cells are null, a
+    cell's first link is kept as <key>_url, a rooted one behind ``base``.  One walk over each page in Python; rows
+    and headers never meet in a join.
+    """
+    t = pages.select("page_id", F.posexplode(html_tables_cells("html")).alias("table_no", "t")).withColumn("heads", _header_rows(F.col("t"), known or [], first_row))
+    t = t.withColumn("keys", F.transform("heads", lambda i: _names(F.get(F.col("t"), i)))).withColumn("plain", _names(F.transform(F.get(F.col("t"), F.lit(0)), lambda c: F.struct(F.lit("").alias("text")))))
+    above = lambda i: F.size(F.filter("heads", lambda h: h < i))
+    body = F.filter(F.transform("t", lambda r, i: F.struct(i.alias("row_no"), r.alias("cells"), above(i).alias("head"))), lambda x: ~F.array_contains("heads", x["row_no"]) & F.exists(x["cells"], lambda c: c["text"] != ""))
+    r = t.select("page_id", "table_no", "keys", "plain", F.explode(body).alias("r"))
+    keys = F.when(F.col("r.head") > 0, F.get(F.col("keys"), F.col("r.head") - 1)).otherwise(F.col("plain"))
+    r = r.select("page_id", "table_no", F.col("r.row_no").alias("row_no"), keys.alias("keys"), F.col("r.cells").alias("cells"))
+    link = lambda c: F.when(c["link"].startswith("/"), F.concat(F.lit(base), c["link"])).otherwise(c["link"])
+    pair = lambda k, v: F.struct(k.alias("key"), v.alias("value"))
+    texts = F.zip_with("keys", "cells", lambda k, c: pair(k, F.nullif(c["text"], F.lit(""))))
+    links = F.filter(F.zip_with("keys", "cells", lambda k, c: pair(F.concat(k, F.lit("_url")), link(c))), lambda e: e["value"].isNotNull() & ~F.array_contains("keys", e["key"]))
+    return r.select("page_id", "table_no", "row_no", F.map_from_entries(F.concat(texts, links)).alias("record"))
 
 
 def table_classify(records: DataFrame, kinds: dict[str, list[str]]) -> DataFrame:
@@ -288,8 +359,8 @@ def register_html_cells(spark) -> None:
     @F.udtf(returnType="table_no int, row_no int, col_no int, value string")
     class HtmlCells:
         def eval(self, html: str):
-            for t, rows in enumerate(_parse(html).tables):
-                for r, row in enumerate(_grid(rows)):
+            for t, grid in enumerate(_of_tables(_grid)(html)):
+                for r, row in enumerate(grid):
                     for c, value in enumerate(row):
                         yield t, r, c, value
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import html_listing as L
 from ..operators import html_tables as T
 from .registry import query, table
 
@@ -79,13 +80,49 @@ def _(spark, d):
 
 @query("html_tables_records", f"WITH {_LONG} SELECT page_id, CAST(row_no AS INTEGER) AS row_no, max(CASE WHEN col_no = 0 THEN value END) AS region, max(CASE WHEN col_no = 1 THEN value END) AS nation_key, max(CASE WHEN col_no = 2 THEN value END) AS third FROM long WHERE row_no > 0 GROUP BY 1, 2 HAVING max(value) <> ''")
 def _(spark, d):
-    r = T.tables_records(T.tables_long(region_pages(spark, d)))
+    r = T.tables_records(region_pages(spark, d))
     return r.select("page_id", "row_no", C("record")["region"].alias("region"), C("record")["nation_key"].alias("nation_key"), C("record")["column_3"].alias("third"))
 
 
+def _nested(spark, d):
+    """A JSON payload an order: tables in texts at several depths, in any case of the tag, and texts that hold none."""
+    k = C("o_orderkey").cast("string")
+    grid = lambda name: F.concat(F.lit(f"<p>x</p><TABLE class=\"t\"><tr><td>{name}"), k, F.lit("</td><td>\u00e9 &amp; y</td></tr></TABLE>"))
+    deep = F.struct(F.struct(F.array(F.lit("plain"), grid("c")).alias("z")).alias("y"), F.when(C("o_orderkey") % 3 == 0, F.concat(grid("d"), grid("e"))).alias("a"))
+    payload = F.struct(grid("b").alias("zz"), F.struct(deep.alias("content"), F.lit("No table here, only <tables").alias("title")).alias("data"), F.lit(7).alias("n"), F.lit(None).cast("string").alias("gone"))
+    html = F.when(C("o_orderkey") % 5 == 0, grid("h")).when(C("o_orderkey") % 5 == 1, '{"data": {"content": "<p>Plain detail</p>"}}').otherwise(F.to_json(payload))
+    return table(spark, d, "orders").select(C("o_orderkey").alias("page_id"), html.alias("html"))
+
+
+@query("html_tables_nested", """SELECT o_orderkey AS page_id, t.n - 1 AS table_no, t.name || o_orderkey || '|' || 'é & y' AS cells FROM orders, (VALUES ('h', 1), ('b', 1), ('c', 2), ('d', 3), ('e', 4)) AS t(name, n)
+    WHERE CASE WHEN o_orderkey % 5 = 0 THEN name = 'h' WHEN o_orderkey % 5 = 1 THEN false ELSE name IN ('b', 'c') OR name IN ('d', 'e') AND o_orderkey % 3 = 0 END""")
+def _(spark, d):
+    return _nested(spark, d).select("page_id", F.posexplode(T.html_tables_grid("html")).alias("table_no", "t")).select("page_id", "table_no", F.array_join(C("t")[0], "|").alias("cells"))
+
+
+def _fix_pages(spark, d):
+    """Tables with header cells, with two known names, with neither, and with two header rows; package cells hold links."""
+    k = C("o_orderkey")
+    row = lambda link, *cells: F.concat(F.lit("<tr><td>"), F.lit(link), *[x for c in cells for x in (c, F.lit("</td><td>"))][:-1], F.lit("</td></tr>"))
+    head = lambda tag, *names: F.lit("<tr>" + "".join(f"<{tag}>{n}</{tag}>" for n in names) + "</tr>")
+    body = row('<a href="/p/x">', F.concat(F.lit("pkg "), k.cast("string"), F.lit("</a>")), C("o_orderpriority"))
+    second = F.concat(head("th", "Product", "Product"), row("", F.lit("w"), F.lit("")))
+    shown = F.when(k % 4 == 0, F.concat(head("th", "Package", "Fixed in"), body)).when(k % 4 == 1, F.concat(head("td", " PACKAGE ", "Remediation"), body)).when(k % 4 == 2, body).otherwise(F.concat(head("th", "Package", ""), body, F.lit("<tr><td> </td></tr>"), second))
+    return table(spark, d, "orders").select(k.alias("page_id"), F.concat(F.lit("<table>"), shown, F.lit("</table>")).alias("html"))
+
+
+@query("html_table_headers", """WITH r AS (SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 4 = 2 THEN 0 ELSE 1 END AS row_no, CASE WHEN o_orderkey % 4 = 2 THEN 'column_1' ELSE 'package' END AS one,
+    CASE o_orderkey % 4 WHEN 0 THEN 'fixed_in' WHEN 1 THEN 'remediation' ELSE 'column_2' END AS two, 'pkg ' || o_orderkey AS a, o_orderpriority AS b FROM orders)
+    SELECT page_id, row_no, '{"' || one || '":"' || a || '","' || two || '":"' || b || '","' || one || '_url":"https://base.example.org/p/x"}' AS record FROM r
+    UNION ALL SELECT o_orderkey, 4, '{"product":"w","product_2":null}' FROM orders WHERE o_orderkey % 4 = 3""")
+def _(spark, d):
+    r = T.tables_records(_fix_pages(spark, d), known=["package", "remediation"], first_row=False, base=BASE)
+    return r.select("page_id", "row_no", F.to_json("record", {"ignoreNullFields": "false"}).alias("record"))
+
+
 @query("table_classify", f"WITH {_LONG} SELECT page_id, 'product' AS kind, count(*) AS n FROM (SELECT DISTINCT page_id, row_no FROM long WHERE row_no > 0 AND value <> '') GROUP BY 1")
 def _(spark, d):
-    r = T.tables_records(T.tables_long(region_pages(spark, d)))
+    r = T.tables_records(region_pages(spark, d))
     return T.table_classify(r, {"package": ["region", "package"], "product": ["nation_key", "region"], "cvss": ["region"]}).groupBy("page_id", "kind").agg(F.count("*").alias("n"))
 
 
@@ -97,6 +134,33 @@ def _(spark, d):
     return T.listing_cards(table(spark, d, "pages").select("page_id", F.concat("html", more).alias("html")), BASE)
 
 
+def _listing_pages(spark, d):
+    """A listing a customer with an entry for each order, in three layouts: table rows, whole-link cards, and headings with a line below; around it a menu, page links and a footer."""
+    k = C("o_orderkey")
+    key, day, level = k.cast("string"), F.date_format("o_orderdate", "yyyy-M-d"), F.element_at(F.array(F.lit("高危"), F.lit("Medium"), F.lit("low"), F.lit("n/a")), (k % 4 + 1).cast("int"))
+    href = F.concat(F.lit("/adv/show/ADV-"), key, F.lit("?from=list"))
+    rows = F.concat(F.lit('<tr><td><a href="'), href, F.lit('">Flaw '), key, F.lit("</a></td><td>"), level, F.lit("</td><td>1,"), F.lpad((k % 1000).cast("string"), 3, "0"), F.lit("</td><td>"), (k % 7).cast("string"), F.lit("</td><td>"), day, F.lit("</td></tr>"))
+    cards = F.concat(F.lit('<a class="card" href="'), href, F.lit('"><div class="card__title"><span class="cat-tag">Update</span>Flaw '), key, F.lit("</div><div>Release Date: "), day, F.lit("</div><div>Severity: "), level, F.lit("</div><div>"), (k % 7).cast("string"), F.lit("</div></a>"))
+    heads = F.concat(F.lit('<h3><a href="'), href, F.lit('">Flaw '), key, F.lit("</a></h3><p>"), day, F.lit(" by x</p>"))
+    c = C("o_custkey")
+    entry = F.when(c % 3 == 0, rows).when(c % 3 == 1, cards).otherwise(heads)
+    lists = table(spark, d, "orders").groupBy(c.alias("page_id")).agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), entry.alias("e")))).alias("v"))
+    inner = F.array_join(F.transform("v", lambda x: x.e), "\n")
+    c = C("page_id")
+    body = F.when(c % 3 == 0, F.concat(F.lit("<table><tr><th>Title</th><th>Level</th></tr>"), inner, F.lit("</table>"))).otherwise(F.concat(F.lit("<div>"), inner, F.lit("</div>")))
+    foot = F.when(c % 3 == 0, F.concat(F.lit("<p>共 <b>1,"), F.lpad((c % 1000).cast("string"), 3, "0"), F.lit("</b> 条</p>"))).when(c % 3 == 1, '<a href="?page=3">3</a> <a href="?page=12">12</a>').otherwise("Page 2 of 40")
+    return lists.select("page_id", F.concat(F.lit('<nav><ul><li><a href="/home">Home</a></li><li><a href="/adv/list">2020-01-01 High 5</a></li></ul></nav>'), body, foot, F.lit("<footer>99 high</footer>")).alias("html"))
+
+
+@query("listing_entries", """WITH e AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderdate AS t, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
+    SELECT c AS page_id, CAST(pos AS INTEGER) AS pos, 'ADV-' || k AS code, 'https://base.example.org/adv/show/ADV-' || k || '?from=list' AS href, 'Flaw ' || k AS title, strftime(t, '%Y-%m-%d') AS date,
+    CASE WHEN c % 3 < 2 THEN CASE k % 4 WHEN 0 THEN 'High' WHEN 1 THEN 'Medium' WHEN 2 THEN 'Low' END END AS severity, CASE c % 3 WHEN 0 THEN (1000 + k % 1000) || '|' || (k % 7) WHEN 1 THEN CAST(k % 7 AS VARCHAR) ELSE '' END AS counts,
+    CASE WHEN c % 3 = 0 THEN 1000 + c % 1000 END AS total_records, CAST(CASE c % 3 WHEN 0 THEN ceil((1000 + c % 1000) / n) WHEN 1 THEN 12 ELSE 40 END AS BIGINT) AS total_pages FROM e""")
+def _(spark, d):
+    found = L.listing_entries(_listing_pages(spark, d), r"/adv/show/(ADV-\d+)", BASE)
+    return found.withColumn("counts", F.array_join("counts", "|"))
+
+
 @query("timeline_rows", "SELECT user_id AS id, strftime(ts, '%Y-%m-%d') AS day, event_type AS event, count(*) AS n FROM events GROUP BY 1, 2, 3")
 def _(spark, d):
     line = F.concat(F.date_format("ts", "yyyy-M-d"), F.lit(": "), C("event_type"))

@@ -106,6 +106,21 @@ def _(spark, d):
     )
 
 
+_REFERENCES = [
+    ("/a/{k}", "https://h.example.org/a/{k}"), ("//cdn.example.org/{k}", "https://cdn.example.org/{k}"), ("../{k}/x", "https://h.example.org/p/{k}/x"), ("./{k}?q=..", "https://h.example.org/p/q/{k}?q=.."), ("../../../{k}", "https://h.example.org/{k}"),
+    ("?page={k}", "https://h.example.org/p/q/r?page={k}"), ("#f{k}", "https://h.example.org/p/q/r#f{k}"), ("http://o.example.org/{k}/../", "http://o.example.org/{k}/../"), ("{k}/y/..", "https://h.example.org/p/q/{k}/"), ("mailto:{k}@x", "mailto:{k}@x"),
+]
+
+
+@query("url_resolve", "SELECT page_id, CASE page_id % 10 " + " ".join(f"WHEN {n} THEN '{x.replace('{k}', chr(39) + ' || page_id || ' + chr(39))}'" for n, (_, x) in enumerate(_REFERENCES)) + " END AS address, page_id % 10 IN (2, 3, 8) AS below FROM pages")
+def _(spark, d):
+    k = C("page_id")
+    own = F.element_at(F.array(*[F.replace(F.lit(r), F.lit("{k}"), k.cast("string")) for r, _ in _REFERENCES]), (k % 10 + 1).cast("int"))
+    rows = table(spark, d, "pages").select("page_id", own.alias("r"))
+    base = "https://h.example.org/p/q/r"
+    return rows.select("page_id", X.url_resolve(C("r"), base).alias("address"), X.url_canonical(F.when(~C("r").rlike("^[?#]"), C("r")), base, ["h.example.org"], ["/p/"]).isNotNull().alias("below"))
+
+
 @query("url_param", r"SELECT page_id, TRY_CAST(nullif(regexp_extract(url, '[?&]page=(\d+)', 1), '') AS BIGINT) AS page, page_id + 7 AS last_page FROM pages")
 def _(spark, d):
     links = F.array(F.concat(F.lit("/l?Page="), C("page_id").cast("string")), F.concat(F.lit("/l?a=1&PAGE="), (C("page_id") + 7).cast("string"), F.lit("#x")), F.lit("/l?page=z"))

@@ -8,6 +8,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
+from ..functions.times import stamp
 from ..sources import landing as L
 from ..sources import payloads as P
 from . import adapters as A
@@ -125,9 +126,16 @@ def _rss(spark, d):
 
 
 @query("src_rss", """SELECT CAST(o_orderkey // 60 AS BIGINT) AS page, 'Fix <' || o_orderkey || '>' AS title, 'https://r.example.org/' || o_orderkey || '?a=1&b=2' AS link, o_orderpriority AS creator FROM orders
+    WHERE o_orderkey % 7 > 0 AND (o_orderkey // 60) % 10 NOT IN (3, 4, 5)""")
+def _(spark, d):
+    return P.rss_entries(_rss(spark, d)).select("page", "title", "link", "creator")
+
+
+@query("src_rss_capped", """SELECT CAST(o_orderkey // 60 AS BIGINT) AS page, 'https://r.example.org/' || o_orderkey || '?a=1&b=2' AS link FROM orders
     WHERE o_orderkey % 7 > 0 AND (o_orderkey // 60) % 10 NOT IN (3, 4, 5) AND o_orderkey % 60 < 50""")
 def _(spark, d):
-    return P.rss_entries(_rss(spark, d), cap=P.MAX_FEED_ITEMS).select("page", "title", "link", "creator")
+    """The publisher whose feed counts only its first 50 items: that limit is the feature."""
+    return P.rss_entries(_rss(spark, d), cap=P.MAX_FEED_ITEMS).select("page", "link")
 
 
 @query("rss_state", "SELECT DISTINCT CAST(o_orderkey // 60 AS BIGINT) AS page, CASE (o_orderkey // 60) % 10 WHEN 3 THEN 'no_channel' WHEN 4 THEN 'exhausted' WHEN 5 THEN 'no_links' ELSE 'ok' END AS state FROM orders")
@@ -179,6 +187,37 @@ def _(spark, d):
     return L.run_output(A.observations(spark, d).select("identity", "event_id"), A.failures(spark, d)).groupBy("identity").agg(F.count("*").alias("n"))
 
 
+_RUN = f"""{A.FAILURES}, failed AS (SELECT provider, identity, arg_max(error, (updated_at, error)) AS error, max(updated_at) AS updated_at FROM failures GROUP BY 1, 2),
+    records AS (SELECT 'p' || (user_id % 7) AS provider, 'id' || user_id AS identity, count(*) AS n FROM events GROUP BY 1, 2),
+    first AS (SELECT * FROM records QUALIFY row_number() OVER (PARTITION BY provider ORDER BY identity) <= 100),
+    selected AS (SELECT * FROM first WHERE (provider, identity) NOT IN (SELECT (provider, identity) FROM failed))"""
+
+
+def _run(spark, d):
+    """Records of seven providers, failures of six, and what three listings said."""
+    provider = F.concat(F.lit("p"), (C("user_id") % 7).cast("string"))
+    records = table(spark, d, "events").groupBy(provider.alias("provider"), F.concat(F.lit("id"), C("user_id").cast("string")).alias("identity")).agg(F.count("*").alias("n"), F.lit(0).alias("pos"))
+    listed = table(spark, d, "region").where("r_regionkey < 3").select(F.concat(F.lit("p"), C("r_regionkey").cast("string")).alias("provider"), (C("r_regionkey") * 5000).cast("long").alias("total"), F.lit("exhausted").alias("stop_reason"))
+    return L.run_report(records, A.failures(spark, d), listed, limit=100)
+
+
+@query("run_report", f"""WITH {_RUN}, names AS (SELECT provider FROM records UNION SELECT provider FROM failed)
+    SELECT provider, CAST(CASE provider WHEN 'p1' THEN 5000 WHEN 'p2' THEN 10000 ELSE coalesce((SELECT count(*) FROM records r WHERE r.provider = names.provider), 0) END AS BIGINT) AS total,
+    (SELECT count(*) FROM selected s WHERE s.provider = names.provider) AS result_count, (SELECT count(*) FROM failed f WHERE f.provider = names.provider) AS failed, 100 AS raw_limit, CASE WHEN provider IN ('p0', 'p1', 'p2') THEN 'exhausted' END AS stop_reason FROM names""")
+def _(spark, d):
+    return _run(spark, d)[0]
+
+
+@query("run_report_records", f"WITH {_RUN} SELECT provider, identity, n FROM selected")
+def _(spark, d):
+    return _run(spark, d)[1].select("provider", "identity", "n")
+
+
+@query("run_report_failures", f"WITH {_RUN} SELECT provider, identity, error, {A.stamp_sql('updated_at')} AS updated_at FROM failed")
+def _(spark, d):
+    return _run(spark, d)[2].select("provider", "identity", "error", stamp(C("updated_at")).alias("updated_at"))
+
+
 @query("sink_failure_log", f"WITH {A.FAILURES} SELECT event_id % 2 AS part, count(*) AS n, count(status_code) AS with_status, CAST(sum(length(error)) AS BIGINT) AS n_error FROM failures GROUP BY 1")
 def _(spark, d):
     path, rows = L.shared_path(spark, "failure-log"), A.failures(spark, d)

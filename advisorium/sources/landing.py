@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LANDING = "provider string, url string, page long, content_type string, body string, fetched_at timestamp_ntz"
@@ -49,6 +49,12 @@ def write_snapshot(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def last_failures(failures: DataFrame) -> DataFrame:
+    """The latest failure of each (provider, identity), ordered by both; equal times go by the larger error."""
+    last = failures.groupBy("provider", "identity").agg(F.max(F.struct("updated_at", "error", "phase", "url", "status_code")).alias("f"))
+    return last.select("provider", "identity", "f.phase", "f.url", "f.status_code", "f.error", "f.updated_at").orderBy("provider", "identity")
+
+
 def run_output(records: DataFrame, failures: DataFrame) -> DataFrame:
     """Selected records without failed ones, written as JSON lines and read back."""
     kept = records.join(failures.select("identity").distinct(), "identity", "left_anti")
@@ -57,6 +63,31 @@ def run_output(records: DataFrame, failures: DataFrame) -> DataFrame:
     return records.sparkSession.read.schema(kept.schema).json(path)
 
 
+def run_report(records: DataFrame, failures: DataFrame, listed: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(report, selected records, sorted failures) of a run.
+
+    records(provider, identity, pos, ...), failures as in ``last_failures``, listed(provider, total, stop_reason): what each
+    provider's listing said.  Of each provider the first ``limit`` records by position are selected,
+    and failed ones are then taken out of these.  The report has one row a provider: total (the listing's, else the
+    number of records), result_count, failed, raw_limit, stop_reason; providers that only failed are there too.
+    """
+    failed = last_failures(failures)
+    first = records
+    if limit is not None:
+        order = Window.partitionBy("provider").orderBy("pos", "identity")
+        first = records.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit).drop("_rank")
+    selected = first.join(failed.select("provider", "identity"), ["provider", "identity"], "left_anti")
+    seen, kept = records.groupBy("provider").agg(F.count("*").alias("_seen")), selected.groupBy("provider").agg(F.count("*").alias("_kept"))
+    lost = failed.groupBy("provider").agg(F.count("*").alias("_failed"))
+    whole = listed.groupBy("provider").agg(F.max("total").alias("_total"), F.max("stop_reason").alias("stop_reason"))
+    report = seen.join(kept, "provider", "full").join(lost, "provider", "full").join(whole, "provider", "full")
+    number = lambda c: F.coalesce(F.col(c), F.lit(0))
+    report = report.select(
+        "provider", F.coalesce(F.nullif(F.col("_total"), F.lit(0)), number("_seen")).alias("total"), number("_kept").alias("result_count"), number("_failed").alias("failed"), F.lit(limit).cast("int").alias("raw_limit"), "stop_reason"
+    )
+    return report, selected, failed
+
+
 def append_failure_log(failures: DataFrame, path: str) -> None:
     """JSON lines with fixed columns, appended."""
     failures.select("updated_at", "provider", "phase", "identity", "url", "status_code", "error").write.mode("append").json(path)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +11,7 @@ from ..functions import severity as S
 from ..functions import text as X
 from ..functions import times as D
 from ..functions.canonical import canonical_fields, canonical_text, quoted
+from ..sources.landing import write_snapshot
 
 # Per provider the detail fields by role, in order of priority.
 ROLES = ("identity", "title", "cve", "severity", "published", "updated", "source", "volatile")
@@ -103,17 +102,23 @@ def cvrf_explode(documents: DataFrame) -> DataFrame:
 
 
 def product_tree(nodes: DataFrame) -> DataFrame:
-    """nodes(id, parent, name) -> id, name, depth: level by level from the roots, as deep as the tree goes; a circle is an error."""
-    roots = nodes.where("parent is null").select("id", "name", F.lit(1).alias("depth"))
-    level, out, most = roots, roots, nodes.select("id").distinct().count()
-    for depth in itertools.count(2):
-        level = nodes.join(level.select(F.col("id").alias("parent")), "parent", "left_semi").select("id", "name", F.lit(depth).alias("depth"))
-        if level.isEmpty():
-            break
-        if depth > most:
-            raise ValueError("the nodes form a circle")
-        out = out.unionByName(level)
-    return out
+    """nodes(id, parent, name) -> id, name, depth: every node under a root, whose depth is 1.
+
+    Pointers are doubled: each round replaces a node's pointer by that of the node it points to, so
+    a tree of depth n takes log2(n) rounds, each a join of written tables.  Nodes whose
+    parents lead to a missing one are left out; nodes that lead into a circle are an error.
+    """
+    now = write_snapshot(nodes.select("id", "name", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 1).alias("depth"), F.lit(1).alias("steps")), "tree")
+    most, rounds = nodes.count(), 0
+    while not (rest := now.where("up is not null")).isEmpty():
+        if 2 ** rounds > 2 * most:  # more steps than nodes
+            names = ", ".join(str(r.id) for r in rest.select("id").limit(10).collect())
+            raise ValueError(f"the nodes form a circle: {names}")
+        to = now.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("steps").alias("_steps"))
+        j = rest.join(to, rest["up"] == to["_id"], "left")
+        moved = j.select("id", "name", F.col("_up").alias("up"), (F.col("_depth") + F.col("steps")).alias("depth"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"))
+        now, rounds = write_snapshot(now.where("up is null").unionByName(moved), "tree"), rounds + 1
+    return now.where("depth is not null").select("id", "name", "depth").distinct()
 
 
 def product_names_join(sets: DataFrame, names: DataFrame) -> DataFrame:

@@ -40,11 +40,27 @@ def catalog_counts(catalog: DataFrame, documents: DataFrame) -> DataFrame:
     return catalog.select("provider").distinct().join(counts, "provider", "left").select("provider", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def _second(t: str) -> Column:
+    """Whole seconds since 1970 of a time without a zone, whatever the session's zone is."""
+    day = F.datediff(F.col(t).cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return day * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+
 def covering_windows(rows: DataFrame, windows: DataFrame, key: str, t: str) -> DataFrame:
-    """rows x windows with since <= t < until: windows are laid on days, so the join has an equi-key."""
-    days = F.explode(F.sequence(F.col("since").cast("date"), F.col("until").cast("date")))
-    laid = windows.select("*", days.alias("_day"))
-    return rows.withColumn("_day", F.col(t).cast("date")).join(laid, [key, "_day"]).where((F.col(t) >= F.col("since")) & (F.col(t) < F.col("until"))).drop("_day")
+    """rows x windows with since <= t < until.
+
+    A window belongs to the class of its length, the next power of two of seconds, and touches at
+    most two cells of that size; a row looks into one cell of each class that there is.  So a window of ten
+    years is two rows like one of a minute, and the join has an equi-key.  Empty windows cover nothing.
+    """
+    length = F.length(F.bin(F.greatest(_second("until") - _second("since"), F.lit(1))))
+    classed = windows.where("since < until").withColumn("_class", length)
+    classes = sorted(r[0] for r in classed.select("_class").distinct().collect())  # at most 40
+    cells = F.array_distinct(F.array(F.call_function("shiftright", _second("since"), F.col("_class")), F.call_function("shiftright", _second("until"), F.col("_class"))))
+    laid = classed.withColumn("_cell", F.explode(cells))
+    looks = F.array(*[F.struct(F.lit(c).alias("_class"), F.shiftright(F.col("_second"), c).alias("_cell")) for c in classes or [0]])
+    asked = rows.withColumn("_second", _second(t)).withColumn("_look", F.explode(looks)).select(*rows.columns, "_look._class", "_look._cell")
+    return asked.join(laid, [key, "_class", "_cell"]).where((F.col(t) >= F.col("since")) & (F.col(t) < F.col("until"))).drop("_class", "_cell")
 
 
 def not_committed(page: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -53,46 +69,6 @@ def not_committed(page: DataFrame, ledger: DataFrame) -> DataFrame:
     return page.join(latest, "identity", "left").where("_committed is null or _committed < observed_at").drop("_committed")
 
 
-def _plain(text: str) -> Column:
-    """Lower-case letters and digits of any script and #, all else a space."""
-    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}#]+", " "))
-
-
-def text_matches(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """texts(id, text), terms(term) -> id, term, pos: dictionary terms that occur as whole words.
-
-    Texts and terms are made plain alike.  Word n-grams of every word count that a term has meet
-    terms in an equi-join; nothing compares every term with every text.
-    """
-    t = texts.select("id", F.split(_plain("text"), " ").alias("w"))
-    wanted = terms.select("term", _plain("term").alias("plain")).where("plain <> ''").distinct()
-    counts = sorted(r.n for r in wanted.select(F.size(F.split("plain", " ")).alias("n")).distinct().collect())
-
-    def grams_of(n: int) -> Column:
-        return F.transform("w", lambda _, i: F.struct(i.alias("pos"), F.array_join(F.slice("w", i + 1, F.lit(n)), " ").alias("plain")))
-
-    grams = [grams_of(n) for n in counts or [1]]
-    flat = t.select("id", F.explode(F.flatten(F.array(*grams))).alias("g")).select("id", "g.pos", "g.plain")
-    first = flat.groupBy("id", "plain").agg(F.min("pos").alias("pos"))
-    return first.join(wanted, "plain").select("term", "id", "pos")
-
-
-def nearest(queries: DataFrame, dictionary: DataFrame, threshold: float) -> DataFrame:
-    """queries(id, v), dictionary(name, u) -> id, name, score of the most similar entry, name null below the threshold.
-
-    The dictionary goes to every task only where it was counted to be small; otherwise Spark
-    pairs the partitions of both sides, which costs their product.  Either way each query keeps one running best (max of a struct).
-    """
-    unit = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
-    d = dictionary.withColumn("nu", unit(F.col("u")))
-    q = queries.withColumn("nv", unit(F.col("v")))
-    pairs = q.crossJoin(broadcast_if_small(d, 20_000))
-    dot = F.aggregate(F.zip_with("v", "u", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    score = F.round(dot / (F.col("nu") * F.col("nv")), 6)
-    best = pairs.groupBy("id").agg(F.max(F.struct(score.alias("score"), F.col("name"))).alias("b"))
-    return best.select("id", F.when(F.col("b.score") >= threshold, F.col("b.name")).alias("name"), F.col("b.name").alias("candidate"), F.col("b.score").alias("score"))
-
-
 def by_rules(rows: DataFrame, rules: DataFrame, key: str) -> DataFrame:
     """Rules of a bounded configuration table for all rows."""
     return rows.join(broadcast_if_small(rules, 10_000), key, "left")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import parse_hk, stamp
 from ..operators import documents as O
+from ..operators import matching as W
 from ..operators import select as G
 from ..operators import validate as M
 from ..operators import xref as H
@@ -496,6 +497,21 @@ def _(spark, d):
     return H.covering_windows(table(spark, d, "events").withColumn("win", C("user_id") % 24), w, "win", "ts").select("event_id", "win")
 
 
+_SPANS = "w AS (SELECT o_orderkey AS w, o_custkey % 24 AS key, TIMESTAMP '2024-01-01' + to_minutes(CAST(o_orderkey % 43200 AS INTEGER)) AS since, CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 720 ELSE 5256000 END AS minutes FROM orders WHERE o_orderpriority = '1-URGENT')"
+
+
+@query("join_window_lengths", f"WITH {_SPANS} SELECT event_id, count(*) AS n, CAST(sum(w) AS BIGINT) AS windows FROM events JOIN w ON ts >= since AND ts < since + to_minutes(CAST(minutes AS INTEGER)) AND user_id % 24 = key GROUP BY 1")
+def _(spark, d):
+    """Windows of a minute, of half a day and of ten years."""
+    k, base = C("o_orderkey"), F.lit("2024-01-01").cast("timestamp_ntz")
+    minutes = lambda m: F.make_dt_interval(F.lit(0), F.lit(0), m.cast("int"))
+    since = base + minutes(k % 43200)
+    length = F.when(k % 3 == 0, F.lit(1)).when(k % 3 == 1, F.lit(720)).otherwise(F.lit(5256000))
+    w = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(k.alias("w"), (C("o_custkey") % 24).alias("key"), since.alias("since"), (since + minutes(length)).alias("until"))
+    hit = H.covering_windows(table(spark, d, "events").withColumn("key", C("user_id") % 24), w, "key", "ts")
+    return hit.groupBy("event_id").agg(F.count("*").alias("n"), F.sum("w").alias("windows"))
+
+
 @query("join_ledger_asof", f"WITH {A.OBSERVATIONS}, l AS (SELECT identity, max(observed_at) AS m FROM observations WHERE event_id % 2 = 0 GROUP BY 1) SELECT event_id FROM observations o LEFT JOIN l USING (identity) WHERE event_id % 2 = 1 AND (m IS NULL OR m < observed_at)")
 def _(spark, d):
     o = A.observations(spark, d)
@@ -513,7 +529,7 @@ def _(spark, d):
 def _(spark, d):
     p = table(spark, d, "part")
     texts = p.select(C("p_partkey").alias("id"), F.concat(F.lit("About: "), F.upper("p_name"), F.lit(", and (red  widget)!")).alias("text"))
-    return H.text_matches(texts, p.select(C("p_name").alias("term"))).select("id", "term")
+    return W.text_matches(texts, p.select(C("p_name").alias("term"))).select("id", "term")
 
 
 _NEAR = """d AS (SELECT label, arg_min(embedding, vec_id) AS u FROM embeddings GROUP BY label), q AS (SELECT vec_id, label, embedding AS v FROM embeddings),
@@ -524,9 +540,33 @@ _NEAR = """d AS (SELECT label, arg_min(embedding, vec_id) AS u FROM embeddings G
 def _near(spark, d, threshold):
     e = table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     dictionary = e.groupBy("label").agg(F.min_by("v", "vec_id").alias("u")).select(C("label").alias("name"), "u")
-    return H.nearest(e.select(C("vec_id").alias("id"), "v"), dictionary, threshold)
+    return W.nearest(e.select(C("vec_id").alias("id"), "v"), dictionary, threshold)
 
 
 @query("join_nearest", f"WITH {_NEAR} SELECT id, CASE WHEN score >= 0.5 THEN candidate END AS name, round(score, 4) AS score FROM n")
 def _(spark, d):
     return _near(spark, d, 0.5).select("id", "name", F.round("score", 4).alias("score"))
+
+
+_LARGE = _NEAR.replace("SELECT label, arg_min(embedding, vec_id) AS u FROM embeddings GROUP BY label", "SELECT vec_id AS label, list_reverse(embedding) AS u FROM embeddings")
+
+
+@query("join_nearest_cells", f"WITH {_LARGE} SELECT id, candidate, round(score, 4) AS score FROM n")
+def _(spark, d):
+    """A dictionary of as many entries as there are vectors: each one read backwards."""
+    e = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    found = W.nearest_in_cells(e.select(C("vec_id").alias("id"), "v"), e.select(C("vec_id").alias("name"), F.reverse("v").alias("u")))
+    return found.select("id", "candidate", F.round("score", 4).alias("score"))
+
+
+_PLAIN = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{M}}\p{{N}}#]+', ' ', 'g'))"
+
+
+@query("join_text_passages", f"""WITH t AS (SELECT doc_id, ' ' || {_PLAIN.format('text')} || ' ' AS plain FROM documents), w AS (SELECT item_id, string_split({_PLAIN.format('text')}, ' ') AS w FROM benchmark),
+    terms AS (SELECT DISTINCT array_to_string(w[1:4], ' ') AS term FROM w UNION SELECT array_to_string(w[1:7], ' ') FROM w) SELECT doc_id AS id, term FROM t JOIN terms ON contains(plain, ' ' || term || ' ')""")
+def _(spark, d):
+    """Beginnings of benchmark passages in whole documents, by the way for dictionaries that no automaton holds."""
+    words = F.split(W.plain_words("text"), " ")
+    b = table(spark, d, "benchmark")
+    terms = b.select(F.array_join(F.slice(words, 1, 4), " ").alias("term")).unionByName(b.select(F.array_join(F.slice(words, 1, 7), " ").alias("term")))
+    return W.text_matches(table(spark, d, "documents").select(C("doc_id").alias("id"), "text"), terms, automaton_bytes=0).select("id", "term")

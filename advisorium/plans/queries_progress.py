@@ -306,3 +306,57 @@ def _(spark, d):
     own = C("p_partkey") % 3 == 1
     before = table(spark, d, "part").select(C("p_partkey").alias("id"), F.when(own, vendor).alias("vendor"), F.when(own, C("p_name")).alias("product")).join(_states(spark, d).select("id", "status"), "id")
     return K.reclassify_stats(before, after)
+
+
+def _run_records(spark, d):
+    """Parts as stored records: one in five of another provider, one in seven with a title that names nothing, a third already classified, another third unclassified by this dictionary or the last."""
+    k, vendor = C("p_partkey"), F.lower(F.replace("p_brand", F.lit("#"), F.lit(" ")))
+    records = _records(spark, d).withColumn("title", F.when(C("id") % 7 == 0, "Flaw").otherwise(C("title"))).withColumn("description", F.lit("none"))
+    old = table(spark, d, "part").select(k.alias("id"), F.when(k % 3 == 1, "classified").when(k % 3 == 0, "unclassified").alias("status"), vendor.alias("vendor"), "p_name", _cpe(k).alias("cpe"), F.when(k % 2 == 0, "v7").otherwise("v6").alias("version"), (k % 5).alias("m"))
+    stored = K.shape(C("status"), {"vendor": C("vendor"), "product": C("p_name"), "cpe": C("cpe"), "confidence": F.lit("1.0"), "method": F.lit("dictionary"), "reason": F.lit("dictionary miss"), "dictionary_version": C("version"), "updated_at": F.lit("2024-01-01"), "candidate": F.struct(*[F.lit("").alias(x) for x in ("vendor", "product", "cpe")])})
+    old = old.select("id", F.when(C("m") == 0, "nvd").otherwise("cve").alias("provider"), stored.alias("classification"))
+    return records.join(old, "id")
+
+
+def _run_vectors(spark, d):
+    """Two-dimensional vectors of parts and of dictionary entries."""
+    k = C("p_partkey")
+    p = table(spark, d, "part").select(k, "p_name", "p_brand", F.array(C("p_size").cast("double"), (k % 50 + 1).cast("double")).alias("v"))
+    entries = _dictionary(spark, d).select("cpe").join(p.where(k % 2 == 0).select(_cpe(k).alias("cpe"), k, "v"), "cpe").groupBy("cpe").agg(F.min_by("v", "p_partkey").alias("u"))
+    return p.select(k.alias("id"), "v"), entries
+
+
+def _run(spark, d, **options):
+    return K.reclassify(_run_records(spark, d), _dictionary(spark, d), "v7", F.lit("2024-02-01T00:00:00Z"), _run_vectors(spark, d), 0.9999, **options)
+
+
+_RUN = f"""{_DICT.split("hits AS")[0]}
+    r AS (SELECT p.*, p_size AS x, id % 50 + 1 AS y FROM p JOIN part ON p_partkey = id WHERE id % 5 > 0),
+    settled AS (SELECT r.id, CASE WHEN id % 3 = 0 AND f.cpe IS NOT NULL THEN 'vendor_product' WHEN id % 4 < 2 AND f.cpe IS NOT NULL THEN 'cpe' WHEN id % 7 > 0 AND t.m IS NOT NULL THEN 'text' END AS match_type, f.vendor AS fv, f.product AS fp, f.cpe AS fc, t.m
+      FROM r LEFT JOIN dict f ON f.vendor = r.vendor AND f.product = r.product LEFT JOIN (SELECT product, min((vendor, product, cpe)) AS m FROM dict GROUP BY product) t ON t.product = r.product),
+    e AS (SELECT dict.vendor, dict.product, dict.cpe, arg_min(p_size, p_partkey) AS x, arg_min(p_partkey % 50 + 1, p_partkey) AS y FROM dict JOIN part ON p_partkey % 2 = 0 AND {_VENDOR} = dict.vendor AND p_name = dict.product GROUP BY 1, 2, 3),
+    s AS (SELECT r.id, round((r.x * e.x + r.y * e.y) / (sqrt(r.x * r.x + r.y * r.y) * sqrt(e.x * e.x + e.y * e.y)), 6) AS score, e.vendor, e.product, e.cpe FROM r JOIN settled USING (id), e WHERE match_type IS NULL),
+    z AS (SELECT id, max((score, cpe, vendor, product)) AS b FROM s GROUP BY id),
+    done AS (SELECT id, coalesce(match_type, CASE WHEN b[1] >= 0.9999 THEN 'zero_shot' END) AS match_type, CASE WHEN match_type IN ('vendor_product', 'cpe') THEN fv WHEN match_type = 'text' THEN m[1] WHEN b[1] >= 0.9999 THEN b[3] END AS vendor,
+      CASE WHEN match_type IN ('vendor_product', 'cpe') THEN fp WHEN match_type = 'text' THEN m[2] WHEN b[1] >= 0.9999 THEN b[4] END AS product, CASE WHEN match_type IN ('vendor_product', 'cpe') THEN fc WHEN match_type = 'text' THEN m[3] WHEN b[1] >= 0.9999 THEN b[2] END AS cpe,
+      CASE WHEN match_type IS NULL AND b[1] < 0.9999 THEN b[2] END AS candidate, CASE WHEN match_type IS NULL THEN b[1] ELSE 1.0 END AS confidence FROM settled LEFT JOIN z USING (id)),
+    judged AS (SELECT done.*, id % 3 = 1 AND id % 2 = 0 AND match_type IN ('vendor_product', 'cpe', 'text') AND done.vendor = p.vendor AND done.cpe = CASE WHEN id % 2 = 0 THEN 'cpe:2.3:a:' ELSE 'cpe:/o:' END || replace(p.vendor, ' ', '_') || ':' || replace(p.product, ' ', '_') || CASE WHEN id % 2 = 0 THEN ':1.0:*' ELSE ':1.0' END AS same
+      FROM done JOIN p USING (id))"""
+
+
+@query("reclassify_rows", f"WITH {_RUN} SELECT id, match_type, CASE WHEN match_type IS NULL THEN 'unclassified' ELSE 'classified' END AS status, vendor, product, cpe, candidate, round(confidence, 4) AS confidence, CASE WHEN match_type IS NULL THEN 'confidence below threshold' END AS reason, NOT same AS changed FROM judged")
+def _(spark, d):
+    c = "classification."
+    return _run(spark, d).rows.select("id", "match_type", c + "status", c + "vendor", c + "product", c + "cpe", C(c + "candidate.cpe").alias("candidate"), F.round(c + "confidence", 4).alias("confidence"), c + "reason", "changed")
+
+
+@query("reclassify_incremental", f"""WITH {_RUN} SELECT count(*) AS scanned, count(*) FILTER (WHERE NOT same) AS updated, count(*) FILTER (WHERE same) AS unchanged, count(match_type) AS classified, count(*) FILTER (WHERE match_type IS NULL) AS unclassified, CAST(0 AS BIGINT) AS errors FROM judged
+    WHERE id % 6 > 0""")
+def _(spark, d):
+    return _run(spark, d, incremental=True).stats
+
+
+@query("reclassify_write", f"""WITH {_RUN}, j AS (SELECT p.id, CASE WHEN p.id % 5 = 0 OR same THEN CASE p.id % 3 WHEN 1 THEN 'classified' WHEN 0 THEN 'unclassified' END WHEN match_type IS NULL THEN 'unclassified' ELSE 'classified' END AS status FROM p LEFT JOIN judged USING (id))
+    SELECT coalesce(status, 'none') AS status, count(*) AS n FROM j GROUP BY 1""")
+def _(spark, d):
+    return K.with_classification(_run_records(spark, d), _run(spark, d)).groupBy(F.coalesce("classification.status", F.lit("none")).alias("status")).agg(F.count("*").alias("n"))

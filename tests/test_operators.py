@@ -142,7 +142,7 @@ def test_registry_warns_and_skips(caplog):
 
 
 def test_dictionary_terms_of_any_length_and_script(spark):
-    from advisorium.operators.xref import text_matches
+    from advisorium.operators.matching import text_matches
 
     texts = spark.createDataFrame([(1, "Flaw in Log4j-Core and ASP.NET"), (2, "the big red apache web server is Größe 4")], "id long, text string")
     terms = spark.createDataFrame([("log4j-core",), ("asp.net",), ("big red apache web server",), ("größe",), ("gr",), ("",)], "term string")

@@ -9,6 +9,7 @@ which puts that space before the text itself.  Both cut the same bytes.
   character all span the whole of it, B's byte-fallback pieces have empty spans but for the last.
   The ends of these tokens alone are refined with the lengths of the tokens' decoded bytes.
 * Where a token of A and one of B end at the same byte, a group ends.
+* Both cut before a single space inside text, so a text is aligned segment by segment, and segments met again are looked up.
 
 Pairs of tokens that share a group are links.  Their document counts are one partial aggregate; the
 most frequent pairs, at most ``HEAD_PAIRS``, are then looked up inside the tasks, all others meet
@@ -18,10 +19,13 @@ their counts in a join, whose keys are rare by construction.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -37,9 +41,13 @@ from .common import small_batches, written
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 HEAD_PAIRS = 1 << 19  # pairs whose counts every task holds: 17 bytes each
-CHUNK = 200_000  # characters that are tokenised at once
+CHUNK = 200_000  # characters whose results a task holds before it hands them on
+KEPT_SEGMENTS, KEPT_CHARS = 80_000, 40  # a worker keeps up to twice as many segments, no longer ones
+JOINED = 4000  # new segments that are encoded as one text
 WIDE = 4096  # token pairs of one group from which they are counted by distinct ids
 B_BITS = 32
+_CUT = re.compile(r"(?<=[^\W_]|[!-~]) (?=[^\W_]|[!-~])")
+_CLEAN = re.compile(r"(?:[^\W_]|[!-~])(?:.*(?:[^\W_]|[!-~]))?", re.S)
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -49,27 +57,26 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@dataclass(frozen=True)
-class Aligned:
-    """Ids of both tokenizers, and behind how many tokens of each the groups end."""
+class Segment(NamedTuple):
+    """The groups of a stretch of text and what follows from them."""
 
-    a: np.ndarray
-    b: np.ndarray
-    cuts_a: np.ndarray
-    cuts_b: np.ndarray
+    shown: str  # a1,a2|b1;a3|b2,b3
+    n_a: int
+    n_b: int
+    n_groups: int
+    pairs: tuple[int, ...]  # id of A << B_BITS | id of B, of every pair of tokens that share a group
+    wide: dict[int, int] | None  # the same for groups with more than WIDE pairs: how often each pair is there
 
 
-NOTHING = Aligned(*[np.empty(0, np.int64)] * 4)
-
-
-def _inside(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Tokens that end inside a character: the next one begins before their end."""
-    out = np.zeros(len(ends), bool)
-    out[:-1] = starts[1:] < ends[:-1]
-    return out
+class Aligner:
+    """Aligns texts segment by segment; segments seen lately are kept.
 
+    A segment ends before a single space between letters, digits or ASCII signs.  Both tokenizers cut there whatever stands
+    around it: byte-level pre-tokenisation joins a space to what follows it, and no piece of B holds
+    a space behind its first character.  Where either does not hold of the given files, texts are one
+    segment.  For the same reason the new segments of many texts are encoded as one text, with a space between them.
+    """
 
-class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.one, self.two = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.one.encode_special_tokens = True
@@ -77,34 +84,85 @@ class Aligner:
         self.bytes_a = [b""] * self.one.get_vocab_size()
         for token, at in self.one.get_vocab().items():
             self.bytes_a[at] = bytes(map(alphabet.__getitem__, token)) if alphabet.keys() >= set(token) else token.encode()
-        piece = self.two.id_to_piece
-        self.fallback = np.array([self.two.is_byte(i) for i in range(self.two.get_piece_size())])
-        self.bytes_b = [bytes([int(piece(i)[3:5], 16)]) if self.fallback[i] else piece(i).replace("▁", " ").encode() for i in range(len(self.fallback))]
-        self.length_a, self.length_b = (np.array([len(x) for x in table]) for table in (self.bytes_a, self.bytes_b))
-
-    def align(self, texts: list[str]) -> Iterator[Aligned]:
-        """One result a text; NOTHING for an empty text and where the bytes of either tokenizer are not those of the text behind a space."""
-        coded_a = self.one.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        for text, coded in zip(texts, coded_a):
-            pieces = self.two.encode(text, return_type="proto").pieces if text else []
-            spans_b = [(p.id, p.begin, p.end) for p in pieces]
-            yield self._joined((" " + text).encode(), coded.ids, coded.offsets, spans_b) if text else NOTHING
-
-    def _joined(self, raw: bytes, ids_a: list[int], offsets: list[tuple[int, int]], spans_b: list[tuple[int, int, int]]) -> Aligned:
-        flat = np.fromiter(chain.from_iterable(spans_b), np.int64, 3 * len(spans_b)).reshape(-1, 3)
-        a, b = np.array(ids_a, np.int64), flat[:, 0]
-        if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, b.tolist())) != raw:
-            return NOTHING
-        spans_a = np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets)).reshape(-1, 2)
+        names = [self.two.id_to_piece(i) for i in range(self.two.get_piece_size())]
+        self.fallback = np.array([self.two.is_byte(i) for i in range(len(names))])
+        self.bytes_b = [bytes([int(x[3:5], 16)]) if byte else x.replace("▁", " ").encode() for x, byte in zip(names, self.fallback)]
+        cut = json.loads(self.one.to_str())
+        plain = cut["normalizer"] is None and cut["pre_tokenizer"]["type"] == "ByteLevel" and cut["pre_tokenizer"]["use_regex"] and not cut["pre_tokenizer"]["add_prefix_space"]
+        self.splits = plain and not any("▁" in x[1:] and x.strip("▁") for x in names)
+        self.young: dict[str, Segment | None] = {}
+        self.old: dict[str, Segment | None] = {}
+
+    def align(self, texts: list[str]) -> list[list[Segment]]:
+        """The segments of each text; none for an empty one, and where the bytes of either tokenizer are not those of the text behind a space."""
+        parts = [(_CUT.split(t) if self.splits else [t]) if t else [] for t in texts]
+        known, new = {}, []
+        for part in set(chain.from_iterable(parts)):
+            if part in self.young:
+                known[part] = self.young[part]
+            elif part in self.old:
+                known[part] = self.young[part] = self.old[part]
+            else:
+                new.append(part)
+        clean = [x for x in new if self.splits and _CLEAN.fullmatch(x)]
+        for lo in range(0, len(clean), JOINED):
+            some = clean[lo : lo + JOINED]
+            known.update(zip(some, self._encoded(some) or [(self._encoded([x]) or [None])[0] for x in some]))
+        known.update((x, (self._encoded([x]) or [None])[0]) for x in new if x not in known)
+        self.young.update((x, known[x]) for x in new if len(x) <= KEPT_CHARS)
+        if len(self.young) >= KEPT_SEGMENTS:
+            self.young, self.old = {}, self.young
+        found = ([known[x] for x in text] for text in parts)
+        return [x if None not in x else [] for x in found]
+
+    def _encoded(self, parts: list[str]) -> list[Segment] | None:
+        """The segments of parts that are encoded as one text; None where a tokenizer does not give its bytes back."""
+        text = " ".join(parts)
+        raw, coded = (" " + text).encode(), self.one.encode(" " + text, add_special_tokens=False)
+        pieces = [(p.id, p.end) for p in self.two.encode(text, return_type="proto").pieces]
+        a, b = coded.ids, [i for i, _ in pieces]
+        bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
+        if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
+            return None
+        spans = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
         at = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)  # the first byte of each character
-        ends_a = np.append(at, len(raw))[spans_a[:, 1]]
-        ends_b = flat[:, 2] + 1  # the space before the text
-        if (odd := _inside(spans_a[:, 0], spans_a[:, 1])).any():
-            ends_a[odd] = self.length_a[a].cumsum()[odd]
+        ends_a, ends_b = np.append(at, len(raw))[spans[:, 1]], np.array([end for _, end in pieces]) + 1  # the space before the text
+        if (odd := np.append(spans[1:, 0] < spans[:-1, 1], False)).any():  # ends inside a character: the next one begins before
+            ends_a[odd] = np.cumsum([*map(len, bytes_a)])[odd]
         if (odd := self.fallback[b]).any():
-            ends_b[odd] = self.length_b[b].cumsum()[odd]
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        return Aligned(a, b, np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1)
+            ends_b[odd] = np.cumsum([*map(len, bytes_b)])[odd]
+        return _cut(a, b, ends_a.tolist(), ends_b.tolist(), accumulate(len(x.encode()) + 1 for x in parts))
+
+
+def _cut(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int], borders: Iterator[int]) -> list[Segment]:
+    """Groups end where both tokenizers do, segments at the borders."""
+    out, i, j, border = [], 0, 0, next(borders)
+    shown, pairs, wide, from_a, from_b = [], [], None, 0, 0
+    while i < len(a):
+        low_a, low_b, x, y = i, j, ends_a[i], ends_b[j]
+        while x != y:
+            if x < y:
+                i += 1
+                x = ends_a[i]
+            else:
+                j += 1
+                y = ends_b[j]
+        i, j = i + 1, j + 1
+        if i == low_a + 1 and j == low_b + 1:
+            shown.append(f"{a[low_a]}|{b[low_b]}")
+            pairs.append(a[low_a] << B_BITS | b[low_b])
+        else:
+            one, two = a[low_a:i], b[low_b:j]
+            shown.append(f"{','.join(map(str, one))}|{','.join(map(str, two))}")
+            if len(one) * len(two) > WIDE:
+                wide, m = wide or Counter(), Counter(two)
+                wide.update({p << B_BITS | q: n * k for p, n in Counter(one).items() for q, k in m.items()})
+            else:
+                pairs += [p << B_BITS | q for p in one for q in two]
+        if x == border:
+            out.append(Segment(";".join(shown), i - from_a, j - from_b, len(shown), tuple(pairs), wide))
+            shown, pairs, wide, from_a, from_b, border = [], [], None, i, j, next(borders, -1)
+    return out
 
 
 @lru_cache(maxsize=2)
@@ -112,41 +170,32 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-@lru_cache(maxsize=2)
-def _numerals(count: int) -> list[str]:
-    return [str(i) for i in range(count)]
-
-
-def groups_text(x: Aligned) -> str:
+def groups_text(segments: list[Segment]) -> str:
     """``a1,a2|b1;a3|b2,b3``: ids in order, groups apart by semicolons."""
-    names = _numerals(1 << 16)
-    a, b = ([names[i] if i < len(names) else str(i) for i in ids.tolist()] for ids in (x.a, x.b))
-    out, i, j = [], 0, 0
-    for end_a, end_b in zip(x.cuts_a.tolist(), x.cuts_b.tolist()):
-        out.append(f"{a[i] if end_a == i + 1 else ','.join(a[i:end_a])}|{b[j] if end_b == j + 1 else ','.join(b[j:end_b])}")
-        i, j = end_a, end_b
-    return ";".join(out)
-
-
-def links_of(x: Aligned) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (id of A << B_BITS | id of B) whose tokens share a group, and how many pairs of occurrences do."""
-    if not len(x.a):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    size_a, size_b = np.diff(x.cuts_a, prepend=0), np.diff(x.cuts_b, prepend=0)
-    high = x.a << B_BITS
-    wide = np.flatnonzero(size_a * size_b > WIDE)
-    group = np.repeat(np.arange(len(size_a)), size_a)
-    times = np.where(size_a * size_b > WIDE, 0, size_b)[group]
-    first = (x.cuts_b - size_b)[group]
-    place = np.arange(times.sum()) - np.repeat(times.cumsum() - times, times)
-    found = [np.repeat(high, times) | x.b[np.repeat(first, times) + place]]
-    counts = [np.ones(len(found[0]), np.int64)]
-    for g in wide.tolist():
-        (one, n), (two, m) = (np.unique(ids[end - size : end], return_counts=True) for ids, end, size in ((high, x.cuts_a[g], size_a[g]), (x.b, x.cuts_b[g], size_b[g])))
-        found.append((one[:, None] | two).ravel())
-        counts.append((n[:, None] * m).ravel())
-    pairs, at = np.unique(np.concatenate(found), return_inverse=True)
-    return pairs, np.bincount(at, np.concatenate(counts), len(pairs)).astype(np.int64)
+    return ";".join(x.shown for x in segments)
+
+
+def links_of(segments: list[Segment]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of a text and how many pairs of occurrences each stands for."""
+    pairs, times = np.unique(np.array([*chain.from_iterable([x.pairs for x in segments])], np.int64), return_counts=True)
+    wide = Counter()
+    for x in segments:
+        wide.update(x.wide or {})
+    if not wide:
+        return pairs, times
+    more = Counter(dict(zip(pairs.tolist(), times.tolist()))) + wide
+    return np.array(sorted(more), np.int64), np.array([more[p] for p in sorted(more)], np.int64)
+
+
+def ids_of(segments: list[Segment]) -> tuple[list[int], list[int], list[int], list[int]]:
+    """The ids of both tokenizers and behind how many of each the groups end."""
+    out = ([], [], [], [])
+    for one, _, two in [g.partition("|") for x in segments for g in x.shown.split(";")]:
+        out[0].extend(map(int, one.split(",")))
+        out[1].extend(map(int, two.split(",")))
+        out[2].append(len(out[0]))
+        out[3].append(len(out[1]))
+    return out
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
@@ -162,7 +211,7 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str]]]:
         yield first, texts
 
 
-def _lists(kind: pa.DataType, parts: list[np.ndarray]) -> pa.Array:
+def _lists(kind: pa.DataType, parts: list) -> pa.Array:
     ends = np.cumsum([0, *map(len, parts)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *parts]), kind))
 
@@ -179,8 +228,7 @@ def token_groups(docs: DataFrame, path_a: str = TOKENIZER_A, path_b: str = TOKEN
         own = aligner(path_a, path_b)
         for batch in batches:
             for first, texts in _chunks(batch):
-                done = list(own.align(texts))
-                columns = [_lists(pa.int32(), [getattr(x, k) for x in done]) for k in ("a", "b", "cuts_a", "cuts_b")]
+                columns = [_lists(pa.int32(), [*x]) for x in zip(*map(ids_of, own.align(texts)))]
                 yield pa.record_batch([batch["doc_id"].slice(first, len(texts)), *columns], names=["doc_id", "ids_a", "ids_b", "cuts_a", "cuts_b"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids_a array<int>, ids_b array<int>, cuts_a array<int>, cuts_b array<int>")
@@ -197,8 +245,8 @@ def _measured(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> It
             numbers, digests, pairs, times = [], [], [], []
             for x in own.align(texts):
                 found, count = links_of(x)
-                numbers.append((len(x.a), len(x.b), len(x.cuts_a), int(count.sum())))
-                digests.append(hashlib.sha256(groups_text(x).encode()).hexdigest() if len(x.a) else "")
+                numbers.append((sum([s.n_a for s in x]), sum([s.n_b for s in x]), sum([s.n_groups for s in x]), int(count.sum())))
+                digests.append(hashlib.sha256(groups_text(x).encode()).hexdigest() if x else "")
                 pairs.append(found)
                 times.append(count)
             rows = pa.array(np.arange(row, row + len(texts)))

@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import laid_out, running_max
+
 
 def interval_merge(windows: DataFrame, key: str) -> DataFrame:
-    """(key, since, until) with touching and overlapping intervals joined."""
-    w = Window.partitionBy(key).orderBy("since", "until")
-    reach = F.max("until").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = windows.where("since <= until").withColumn("_new", F.coalesce(F.col("since") > reach, F.lit(True)).cast("int"))
-    marked = marked.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(key, "_island").agg(F.min("since").alias("since"), F.max("until").alias("until")).drop("_island")
+    """(key, since, until) with touching and overlapping intervals joined; intervals that end before they begin are left out.
+
+    An interval begins an island if it begins behind all that the earlier ones of its key reach; it
+    belongs to the last island begun.  Both are running maxima over range partitions, so one key may fill many tasks.
+    """
+    order = ["since", "until"]
+    laid = laid_out(windows.where("since <= until").select(key, *order), key, order)
+    reach = running_max(laid, key, order, F.col("until"), "_reach", inclusive=False)
+    first = F.when(F.col("_reach").isNull() | (F.col("since") > F.col("_reach")), F.col("since"))
+    island = running_max(reach, key, order, first, "_island")
+    return island.groupBy(key, "_island").agg(F.max("until").alias("until")).select(key, F.col("_island").alias("since"), "until")
 
 
 def frontier_advance(windows: DataFrame, marks: DataFrame, key: str) -> DataFrame:

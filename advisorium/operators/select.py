@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,13 +32,25 @@ def delta_latest_in_window(log: DataFrame, since: Column, until: Column) -> Data
     return first_per_key(inside, ["cve"], [F.desc("fetch_time"), order, "pos"])
 
 
+def _before_stop(rows: DataFrame, feed: list[str], order: list[str], stop: Column) -> DataFrame:
+    """Rows of each feed that come before its first row with ``stop``; feeds without one stay whole.
+
+    Where a feed stops is one minimum, so no task holds a feed; rows with the order of the stopping row stop too.
+    """
+    place = F.struct(*order)
+    stops = rows.groupBy(*feed).agg(F.min(F.when(stop, place)).alias("_stop")).where("_stop is not null")
+    stops = stops.select(*[F.col(f).alias(f"_stop_{f}") for f in feed], "_stop")
+    same = functools.reduce(lambda a, b: a & b, [F.col(f).eqNullSafe(F.col(f"_stop_{f}")) for f in feed])
+    return rows.join(stops, same, "left").where(F.col("_stop").isNull() | (place < F.col("_stop"))).select(*rows.columns)
+
+
 def stop_after_known(rows: DataFrame, feed: list[str], order: list[str], known: str, seen_new_first: bool = True) -> DataFrame:
     """Rows before the first known one, which only stops the scan after something new if ``seen_new_first``."""
-    w = Window.partitionBy(*feed).orderBy(*order)
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    new_before = F.coalesce(F.max((~F.col(known)).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) == 1
-    stop = F.col(known) & (new_before if seen_new_first else F.lit(True))
-    return rows.withColumn("_stop", stop.cast("int")).withColumn("_stopped", F.max("_stop").over(back)).where("_stopped = 0").drop("_stop", "_stopped")
+    if not seen_new_first:
+        return _before_stop(rows, feed, order, F.col(known))
+    news = rows.groupBy(*feed).agg(F.min(F.when(~F.col(known), F.struct(*order))).alias("_new"))
+    keyed = rows.join(news, feed)
+    return _before_stop(keyed, feed, order, F.col(known) & (F.struct(*order) > F.col("_new"))).drop("_new")
 
 
 def stop_after_known_pages(rows: DataFrame, feed: list[str], known: str, pages: int = 2) -> DataFrame:
@@ -61,8 +75,7 @@ def stop_at_boundary(rows: DataFrame, feed: list[str], order: list[str], t: Colu
     """Rows before the first older one; a feed without order just skips older ones."""
     if not ordered:
         return rows.where(t >= since)
-    back = Window.partitionBy(*feed).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("_old", F.coalesce(t < since, F.lit(False)).cast("int")).withColumn("_stop", F.max("_old").over(back)).where("_stop = 0").drop("_old", "_stop")
+    return _before_stop(rows, feed, order, F.coalesce(t < since, F.lit(False)))
 
 
 def newest(rows: DataFrame, time: str, key: str, n: int) -> DataFrame:

@@ -54,8 +54,8 @@ def _(spark, d):
 
 @query("stream_upsert", f"SELECT user_id, {A.stamp_sql('max(ts)')} AS ts, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1")
 def _(spark, d):
-    store = N.VersionedTable(spark, "user_id long, ts timestamp_ntz, event_id long, value double")
-    N.drain(_events(spark, d), "append", N.upsert_sink(store, "user_id", "ts"))
+    store = N.upsert_log(spark, "user_id long, ts timestamp_ntz, event_id long, value double", "user_id", "ts")
+    N.drain(_events(spark, d), "append", N.log_sink(store))
     return store.read().select("user_id", stamp(C("ts")).alias("ts"), "value")
 
 
@@ -88,7 +88,18 @@ def _(spark, d):
 
 @query("stream_retry", """WITH f AS (SELECT user_id, max(ts) FILTER (WHERE event_type = 'error') AS failed_at, max(ts) FILTER (WHERE event_type = 'view') AS ok, (SELECT max(ts) FROM events) AS newest FROM events GROUP BY 1) SELECT 'id' || user_id AS identity FROM f WHERE failed_at IS NOT NULL AND (ok IS NULL OR ok < failed_at) AND failed_at >= newest - INTERVAL 7 DAY""")
 def _(spark, d):
-    store = N.VersionedTable(spark, N.RETRIES)
+    store = N.retry_log(spark, 7)
     e = _events(spark, d).select(F.concat(F.lit("id"), C("user_id").cast("string")).alias("identity"), C("ts").alias("at"), (C("event_type") == "error").alias("failed"), "event_type")
-    N.drain(e.where("event_type in ('error', 'view')"), "append", N.retry_sink(store, 7))
+    N.drain(N.retry_rows(e.where("event_type in ('error', 'view')")), "append", N.log_sink(store))
     return N.waiting(store.read()).select("identity")
+
+
+@query("stream_progress", f"SELECT event_type AS source, {A.stamp_sql('max(ts)')} AS until, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
+def _(spark, d):
+    """A table and, behind it, how far each source has been committed."""
+    rows = N.upsert_log(spark, "key string, ts timestamp_ntz, event_type string, user_id long", "key", "ts")
+    progress = N.progress_log(spark)
+    e = _events(spark, d).select(F.concat_ws("|", "event_type", C("user_id").cast("string")).alias("key"), "ts", "event_type", "user_id")
+    N.drain(e, "append", N.acknowledged(rows, progress, "event_type", "ts"))
+    users = rows.read().groupBy(C("event_type").alias("source")).agg(F.count_distinct("user_id").alias("users"))
+    return progress.read().join(users, "source").select("source", stamp(C("until")).alias("until"), "users")

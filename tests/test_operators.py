@@ -210,32 +210,6 @@ def test_closed_envelope(spark):
     assert bare.select(V.violations(C("provider"), {c: C(c) for c in bare.columns}).alias("v")).first().v == []
 
 
-def test_tables_of_streams_survive_a_restart(spark, tmp_path):
-    from advisorium.streaming import stream as W
-
-    at = lambda n: dt.datetime(2024, 1, n)
-    kind = "k long, t timestamp_ntz, v string"
-    batch = lambda rows: spark.createDataFrame(rows, kind)
-    table = W.VersionedTable(spark, kind, str(tmp_path / "t"))
-    assert table.read().collect() == []
-    W.upsert_sink(table, "k", "t")(batch([(1, at(2), "b"), (2, at(1), "x")]), 0)
-    table = W.VersionedTable(spark, kind, str(tmp_path / "t"))  # a new driver
-    write = W.upsert_sink(table, "k", "t")
-    write(batch([(1, at(9), "again")]), 0)  # the batch before, handed out again
-    write(batch([(1, at(1), "late"), (3, at(1), "y")]), 1)
-    batch([(7, at(1), "torn")]).write.parquet(f"{tmp_path}/t/3")  # a write that broke off before its commit
-    assert sorted(map(tuple, table.read().collect())) == [(1, at(2), "b"), (2, at(1), "x"), (3, at(1), "y")]
-
-    retries = W.VersionedTable(spark, W.RETRIES, str(tmp_path / "r"))
-    write = W.retry_sink(retries, 7)
-    rows = lambda *x: spark.createDataFrame(list(x), "identity string, at timestamp_ntz, failed boolean")
-    write(rows(("a", at(3), False), ("old", at(1), True), ("b", at(2), True)), 0)
-    write(rows(("a", at(2), True), ("b", at(4), True), ("c", at(5), True)), 1)  # a's failure came late, behind its success
-    assert {r.identity for r in W.waiting(retries.read()).collect()} == {"old", "b", "c"}
-    write(rows(("c", at(9), False)), 2)
-    assert {r.identity for r in W.waiting(retries.read()).collect()} == {"b"} and retries.read().count() == 3
-
-
 @pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
 def test_alerts_do_not_depend_on_the_order_of_files(spark, tmp_path, order):
     from advisorium.streaming import stream as W

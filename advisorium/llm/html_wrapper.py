@@ -41,20 +41,30 @@ FURNITURE_WORDS = frozenset(
 ROOT_TAGS = ("article", "main")
 ROOT_SHARE = 0.5  # an element is the article if it holds this share of the free text outside links
 CONSTANT_PAGES = 3  # pages from which a text that never differs is part of the template
+DEEPEST = 256  # elements within each other that are told apart
 LONG_TEXT = 200  # longer constants are held as digests
 P_ENDERS = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 SAME_ENDERS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+# A quote means something at the beginning of a value only.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 
 
 def scan(page: str) -> Iterator[tuple[str, str]]:
-    """('+', label), ('-', tag) and ('', text) in page order; raw elements and comments are left out, unclosed elements are closed."""
+    """('+', label), ('-', tag) and ('', text) in page order; raw elements and comments are left out, unclosed elements are closed.
+
+    What lies deeper than ``DEEPEST`` elements counts as part of the element at that depth; blocks there are still apart.
+    """
     at, stack = 0, []
+
+    def closed() -> tuple[str, str]:
+        tag = stack.pop()
+        return ("-", tag) if len(stack) < DEEPEST else ("", "" if tag in INLINE else " ")
+
     while at < len(page):
         m = _TOKEN.search(page, at)
         if m is None:
@@ -68,28 +78,26 @@ def scan(page: str) -> Iterator[tuple[str, str]]:
         tag = m[2].lower()
         if m[1]:
             if tag in stack:
-                while True:
-                    top = stack.pop()
-                    yield "-", top
-                    if top == tag:
-                        break
+                while stack[-1] != tag:
+                    yield closed()
+                yield closed()
             continue
         if tag in RAW:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
             continue
         while stack and (stack[-1] == "p" or (stack[-1] in INLINE and "p" in stack)) and tag in P_ENDERS:
-            yield "-", stack.pop()
+            yield closed()
         if stack and tag in SAME_ENDERS and stack[-1] in SAME_ENDERS[tag]:
-            yield "-", stack.pop()
+            yield closed()
         marks = " ".join(x for a in _ATTRIBUTE.findall(m[3]) for x in a if x).lower().split() if m[3] else []
-        yield "+", tag + "".join("." + w for w in sorted(set(marks)))
+        deep = len(stack) >= DEEPEST
+        yield ("", "" if tag in INLINE else " ") if deep else ("+", tag + "".join("." + w for w in sorted(set(marks))))
+        stack.append(tag)
         if tag in VOID or (m[3] or "").endswith("/"):
-            yield "-", tag
-        else:
-            stack.append(tag)
+            yield closed()
     while stack:
-        yield "-", stack.pop()
+        yield closed()
 
 
 @dataclass
@@ -129,7 +137,7 @@ def page_tree(page: str) -> Node:
         elif kind == "-":
             done = path.pop()
             done.children = fold_neighbours(done.children)
-        elif not value.isspace():
+        elif value and not value.isspace():
             value = " ".join(value.split())
             path[-1].children.append(Node("#", text=value if len(value) <= LONG_TEXT else "\0" + xxhash.xxh3_128_hexdigest(value.encode("utf-8", "surrogatepass")), chars=len(value)))
     root.children = fold_neighbours(root.children)
@@ -197,7 +205,8 @@ def path_choices(wrapper: Node) -> list[list[str]]:
 
     That is what lies under article, else under main, where they hold most of the free text, else
     under the element that does; then the same without that condition.  Free are slots and what
-    too few pages show to call it constant.  A constant counts only inside a block with free text.
+    too few pages show to call it constant.  Under article and main a constant counts as well, under another
+    element only inside a block with free text.
     """
     slots: list[tuple[tuple[str, ...], Node]] = []
 
@@ -221,14 +230,14 @@ def path_choices(wrapper: Node) -> list[list[str]]:
                 under[tag] += s.chars
     block = lambda p: p[: max((k + 1 for k, x in enumerate(p) if x.split(".")[0] not in INLINE), default=0)]
     varied = {block(p) for p, _ in free}
-    inside = lambda ok: sorted({"/".join(p) for p, _ in slots if ok(p) and block(p) in varied})
+    inside = lambda ok, every=True: sorted({"/".join(p) for p, _ in slots if ok(p) and (every or block(p) in varied)})
     total = weight.get((), 0)
     found = {tag: inside(lambda p, tag=tag: tag in tags(p)) for tag in ROOT_TAGS}
     choices = [found[tag] for tag in ROOT_TAGS if under[tag] >= ROOT_SHARE * total]
     if weight:
         blocks = [p for p in weight if not p or p[-1].split(".")[0] not in INLINE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li"}]
         root = max((p for p in blocks if weight[p] >= 0.6 * total), key=len, default=())
-        choices.append(inside(lambda p: p[: len(root)] == root))
+        choices.append(inside(lambda p: p[: len(root)] == root, every=False))
     choices += found.values()
     return [c for k, c in enumerate(choices) if c and c not in choices[:k]]
 

@@ -56,10 +56,18 @@ def test_host_with_several_templates(spark):
     assert texts_of(spark, [f"{teaser}<main><p>{w}</p></main>" for w in words]) == words
 
 
-def test_constants_inside_the_article_are_template(spark):
-    body = "<article><h1>T{0}</h1><div>Read our terms.</div><p>text {0} <i>by</i> a{0}</p>{1}</article>"
-    assert texts_of(spark, [body.format(i, "<section>Only here</section>" * (i % 2)) for i in range(8)]) == [f"T{i} text {i} by a{i}" for i in range(8)]
+def test_constants_inside_the_article_stay(spark):
+    body = "<article><h1>T{0}</h1><h2>Summary</h2><p>text {0} <i>by</i> a{0}</p><blockquote>Same words.</blockquote><div class=share>Share this</div>{1}</article>"
+    assert texts_of(spark, [body.format(i, "<section>Only here</section>" * (i % 2)) for i in range(8)]) == sorted(f"T{i} Summary text {i} by a{i} Same words." + " Only here" * (i % 2) for i in range(8))
     assert texts_of(spark, ["<article><h1>Same</h1><p>" + "copied " * 60 + "</p></article>"] * 4) == ["Same " + ("copied " * 60).strip()] * 4
+    plain = "<div class=x><p>Read our terms.</p></div><div class=story><p>text {0} " + "of many words " * 9 + "{0}</p></div>"
+    assert all(t.startswith("text") for t in texts_of(spark, [plain.format(i) for i in range(8)]))
+
+
+def test_quotes_inside_values_and_deep_pages(spark):
+    assert texts_of(spark, ["<article><p title=it's>one</p><p title=\"a>b\">two's</p></article>"]) == ["one two's"]
+    deep = "<article>" + "<div><b>" * 5000 + "deep</b> end</div>tail" + "</div>" * 10 + "</article>"
+    assert texts_of(spark, [deep]) == ["deep end tail"]
 
 
 TOOLS = {"add": {"a": ("integer", True), "b": ("integer", True)}, "say": {"text": ("string", True), "loud": ("boolean", False)}}

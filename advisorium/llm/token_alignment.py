@@ -18,6 +18,7 @@ their counts in a join, whose keys are rare by construction.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -42,10 +43,10 @@ TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 HEAD_PAIRS = 1 << 19  # pairs whose counts every task holds: 17 bytes each
 CHUNK = 200_000  # characters whose results a task holds before it hands them on
-KEPT_SEGMENTS, KEPT_CHARS = 80_000, 40  # a worker keeps up to twice as many segments, no longer ones
+KEPT_SEGMENTS, KEPT_CHARS = 300_000, 40  # a worker keeps up to twice as many segments, no longer ones
 JOINED = 4000  # new segments that are encoded as one text
 WIDE = 4096  # token pairs of one group from which they are counted by distinct ids
-B_BITS = 32
+B_BITS = 20  # ids of both tokenizers are below 2 ** B_BITS, the texts of one chunk below 2 ** 23
 _CUT = re.compile(r"(?<=[^\W_]|[!-~]) (?=[^\W_]|[!-~])")
 _CLEAN = re.compile(r"(?:[^\W_]|[!-~])(?:.*(?:[^\W_]|[!-~]))?", re.S)
 
@@ -90,11 +91,20 @@ class Aligner:
         cut = json.loads(self.one.to_str())
         plain = cut["normalizer"] is None and cut["pre_tokenizer"]["type"] == "ByteLevel" and cut["pre_tokenizer"]["use_regex"] and not cut["pre_tokenizer"]["add_prefix_space"]
         self.splits = plain and not any("▁" in x[1:] and x.strip("▁") for x in names)
+        if max(len(self.bytes_a), len(names)) > 1 << B_BITS:
+            raise ValueError(f"vocabularies of at most {1 << B_BITS} tokens")
         self.young: dict[str, Segment | None] = {}
         self.old: dict[str, Segment | None] = {}
 
     def align(self, texts: list[str]) -> list[list[Segment]]:
         """The segments of each text; none for an empty one, and where the bytes of either tokenizer are not those of the text behind a space."""
+        gc.disable()  # collections would walk all kept segments again and again
+        try:
+            return self._aligned(texts)
+        finally:
+            gc.enable()
+
+    def _aligned(self, texts: list[str]) -> list[list[Segment]]:
         parts = [(_CUT.split(t) if self.splits else [t]) if t else [] for t in texts]
         known, new = {}, []
         for part in set(chain.from_iterable(parts)):
@@ -175,16 +185,18 @@ def groups_text(segments: list[Segment]) -> str:
     return ";".join(x.shown for x in segments)
 
 
-def links_of(segments: list[Segment]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of a text and how many pairs of occurrences each stands for."""
-    pairs, times = np.unique(np.array([*chain.from_iterable([x.pairs for x in segments])], np.int64), return_counts=True)
-    wide = Counter()
-    for x in segments:
-        wide.update(x.wide or {})
-    if not wide:
-        return pairs, times
-    more = Counter(dict(zip(pairs.tolist(), times.tolist()))) + wide
-    return np.array(sorted(more), np.int64), np.array([more[p] for p in sorted(more)], np.int64)
+def links_of(texts: list[list[Segment]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text its distinct pairs and how many pairs of occurrences each stands for; all texts are counted in one sort."""
+    flat = np.fromiter(chain.from_iterable([x.pairs for text in texts for x in text]), np.int64)
+    owner = np.repeat(np.arange(len(texts)), [sum([len(x.pairs) for x in text]) for text in texts])
+    keys, times = np.unique(owner << 2 * B_BITS | flat, return_counts=True)
+    cuts = np.searchsorted(keys, np.arange(1, len(texts)) << 2 * B_BITS)
+    found = list(zip(np.split(keys & (1 << 2 * B_BITS) - 1, cuts), np.split(times, cuts)))
+    for k, text in enumerate(texts):
+        if any([x.wide for x in text]):
+            more = sum([x.wide for x in text if x.wide], Counter(dict(zip(found[k][0].tolist(), found[k][1].tolist()))))
+            found[k] = np.array(sorted(more), np.int64), np.array([more[p] for p in sorted(more)], np.int64)
+    return found
 
 
 def ids_of(segments: list[Segment]) -> tuple[list[int], list[int], list[int], list[int]]:
@@ -243,8 +255,8 @@ def _measured(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> It
     for batch in batches:
         for first, texts in _chunks(batch):
             numbers, digests, pairs, times = [], [], [], []
-            for x in own.align(texts):
-                found, count = links_of(x)
+            aligned = own.align(texts)
+            for x, (found, count) in zip(aligned, links_of(aligned)):
                 numbers.append((sum([s.n_a for s in x]), sum([s.n_b for s in x]), sum([s.n_groups for s in x]), int(count.sum())))
                 digests.append(hashlib.sha256(groups_text(x).encode()).hexdigest() if x else "")
                 pairs.append(found)

@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -8,7 +10,7 @@ def spark():
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g")
-        .config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-")).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -24,6 +24,14 @@ from pyspark.sql import functions as F
 from .common import labelled_sample, small_batches, written
 
 TOKEN = re.compile(r"\w+")
+
+
+def lowered(text: str) -> str:
+    """Lower case, character by character: a letter whose lower case is longer stays, so places in the text are the same."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+
+
 PREFIXES = (4, 5, 6)
 SAMPLE_ROWS = 20_000  # labelled documents that the model is fitted on, at most
 EVIDENCE = 20.0  # about one chance entry in 100,000 candidates
@@ -68,7 +76,7 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: tuple[Counter, Counter] = (Counter(), Counter())
     for pdf in batches:
         for text, toxic in zip(pdf["text"], pdf["toxic"]):
-            seen = set(TOKEN.findall(text.lower()))
+            seen = set(TOKEN.findall(lowered(text)))
             counts[int(toxic)].update({m for w in seen for m in _marks(w)})
     marks = list(counts[0].keys() | counts[1].keys())
     if marks:
@@ -115,7 +123,7 @@ def _lexicon(sample: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
 
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [sorted({number[m] for w in set(TOKEN.findall(x.lower())) for m in _marks(w) if m in number}) for x in pdf["text"]]
+            found = [sorted({number[m] for w in set(TOKEN.findall(lowered(x))) for m in _marks(w) if m in number}) for x in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "hits": found})
 
     docs = texts.where("toxic = 1").mapInPandas(hits, "doc_id long, hits array<int>").orderBy("doc_id").toPandas()  # bounded by the sample
@@ -127,7 +135,7 @@ def _runs(batches: Iterator[pd.DataFrame], lexicon: dict[str, int]) -> Iterator[
     for pdf in batches:
         rows = []
         for text, toxic in zip(pdf["text"], pdf["toxic"]):
-            x = [feature_of(lexicon, w) for w in TOKEN.findall(text.lower())]
+            x = [feature_of(lexicon, w) for w in TOKEN.findall(lowered(text))]
             for lo, hi in runs_of(x):
                 for at in range(lo, hi, RUN):
                     end = min(hi, at + RUN)
@@ -241,7 +249,7 @@ def _score(texts: pd.Series, model: ToxicityModel, words: set[str], heads: list[
     scores, found = [], []
     for text in texts:
         text = text or ""
-        tokens = TOKEN.findall(text.lower())
+        tokens = TOKEN.findall(lowered(text))
         hits = {w for w in set(tokens) if w in words or any(w[:k] in s and len(w) > k for k, s in heads)}
         score, spans = 0.0, []
         if hits:
@@ -253,9 +261,8 @@ def _score(texts: pd.Series, model: ToxicityModel, words: set[str], heads: list[
             marg, score = chain_marginals(model, at, [cache[tokens[i]] for i in at], len(tokens), known)
             score = min(1.0, max(0.0, score))
             if (marg >= model.threshold).any():
-                places = [m.span() for m in TOKEN.finditer(text)]
-                if len(places) == len(tokens):  # lower-casing kept the tokens apart in the same way
-                    spans = [(*places[i], float(p)) for i, p in zip(at, marg) if p >= model.threshold]
+                places = [m.span() for m in TOKEN.finditer(lowered(text))]
+                spans = [(*places[i], float(p)) for i, p in zip(at, marg) if p >= model.threshold]
         scores.append(score)
         found.append(spans)
     return pd.DataFrame({"score": scores, "spans": found})

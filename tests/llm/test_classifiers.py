@@ -70,6 +70,9 @@ def test_toxicity_held_out_and_spans(spark, toxic):
     edge = spark.createDataFrame([(1, None), (2, ""), (3, "ZZIDIOT"), (4, "a " * 30000 + "zzmoron")], "doc_id long, text string")
     scores = {r.doc_id: r.score for r in score_toxicity(edge, model).collect()}
     assert scores[1] == scores[2] == 0 and scores[3] > 0.5 and scores[4] > 0.5
+    longer = "İstanbul İİx zzmoron ẞ ΑΣ ZZIDIOT"  # lower case of the first letter is two characters
+    (row,) = score_toxicity(spark.createDataFrame([(1, longer)], "doc_id long, text string"), model).collect()
+    assert [longer[s.start : s.end] for s in row.spans] == ["zzmoron", "ZZIDIOT"]
 
 
 @pytest.mark.parametrize("x", [[0, 0, 3, 0, 1, 2, 0], [1, 2, 0, 3], [0, 2, 1], [3, 3, 1], [2]])

@@ -158,9 +158,10 @@ def _distinct(lists: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, k: in
 
 
 def _query_blocks(queries: DataFrame, limit: int) -> Iterator[list[Row]]:
-    """(item_id, text) rows in blocks of about ``limit`` terms.  Only one block is on the driver at a time."""
+    """(item_id, text) rows, one an item, in blocks of about ``limit`` terms.  Only one block is on the driver at a time."""
     block, size = [], 0
-    for row in queries.where("item_id is not null").toLocalIterator():
+    whole = queries.where("item_id is not null").groupBy("item_id").agg(F.array_join(F.collect_list("text"), " ").alias("text"))
+    for row in whole.toLocalIterator():
         block.append(row)
         size += len(set(terms_of(row.text)))
         if size >= limit:

@@ -11,7 +11,8 @@ from advisorium.llm.minhash import Banding, _pi, _sigma, bands_for, circulant_si
 def test_equals_brute_force(spark, words, limit, seed):
     rows = corpus(seed)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, component_id string, kept int")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in (found := minhash_groups(docs, words, limit).collect())}
+    found = minhash_groups(docs, words, limit).collect()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in found}
     assert got == brute(rows, words, *limit)
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 

@@ -111,12 +111,11 @@ def test_upsert_twice_is_upsert_once(spark):
         O.upsert_classify(stored, batch, "ask")
 
 
-def test_one_fresh_failure_marks_its_whole_run():
-    import pandas as pd
-
+def test_one_fresh_failure_marks_its_whole_run(spark):
     t = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
-    runs = pd.DataFrame([("p", 0, "a", t(0)), ("p", 1, "a", t(20)), ("p", 1, "b", t(20)), ("p", 2, "a", t(30)), ("p", 3, "a", t(45))], columns=["provider", "run", "key", "run_at"])
-    got = [(r[1], r[2], r[4]) for r in M.fold_runs({}, runs, 24)]
+    rows = [("p", 0, "a", t(0)), ("p", 1, "a", t(20)), ("p", 1, "b", t(20)), ("p", 2, "a", t(30)), ("p", 3, "a", t(45))]
+    runs = spark.createDataFrame([(p, run, at, "x", who, "u", "e") for p, run, who, at in rows], "provider string, run long, run_at timestamp_ntz, phase string, identity string, url string, error string")
+    got = [(r.run, r.fresh, r.alert) for r in M.alert_runs(runs, 24).orderBy("run").collect()]
     assert got == [(0, 1, True), (1, 1, True), (2, 0, False), (3, 1, True)]
 
 

@@ -146,6 +146,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: Linked sets and what they reach, with the share of common 3-word shingles in hundredths to be filled in.
+_LINKED = rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        g AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g
+              FROM w WHERE len(w) > 0),
+        c AS (SELECT min(doc_id) AS cls, g, len(g) AS n FROM g GROUP BY g), e AS (SELECT cls, n, unnest(g) AS gram FROM c),
+        k AS (SELECT a.cls AS a, b.cls AS b FROM e AS a JOIN e AS b ON a.gram = b.gram AND a.cls < b.cls AND 100 * least(a.n, b.n) >= {{share}} * greatest(a.n, b.n)
+              GROUP BY a.cls, b.cls, a.n, b.n HAVING 100 * count(*) >= {{share}} * (a.n + b.n - count(*))),
+        both_ways AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
+        reach AS (SELECT cls AS id, cls AS to_id FROM c UNION SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.to_id = both_ways.a),
+        m AS (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id),"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_topk": """
         WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -169,17 +180,15 @@ ORACLE_SQL: dict[str, str] = {
         r AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY item_id, doc_id HAVING sum(impact) > 0),
         o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r)
         SELECT * FROM o WHERE rank <= 10""",
-    "op12_minhash_near_dedup": rf"""
-        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-        g AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g
-              FROM w WHERE len(w) > 0),
-        c AS (SELECT min(doc_id) AS cls, g, len(g) AS n FROM g GROUP BY g), e AS (SELECT cls, n, unnest(g) AS gram FROM c),
-        k AS (SELECT a.cls AS a, b.cls AS b FROM e AS a JOIN e AS b ON a.gram = b.gram AND a.cls < b.cls AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
-              GROUP BY a.cls, b.cls, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
-        both_ways AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
-        reach AS (SELECT cls AS id, cls AS to_id FROM c UNION SELECT reach.id, both_ways.b FROM reach JOIN both_ways ON reach.to_id = both_ways.a),
-        m AS (SELECT id, min(to_id) AS component_id FROM reach GROUP BY id),
+    "op12_minhash_near_dedup": _LINKED.format(share=85)
+    + """
         o AS (SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id
               FROM documents AS d LEFT JOIN g ON d.doc_id = g.doc_id LEFT JOIN c ON g.g = c.g LEFT JOIN m ON c.cls = m.id)
         SELECT *, doc_id = component_id AS kept FROM o""",
+    "op1_ngram_jaccard_join": _LINKED.format(share=90)
+    + """
+        size AS (SELECT c.cls, count(*) AS docs FROM g JOIN c ON g.g = c.g GROUP BY c.cls),
+        deg AS (SELECT s.cls, s.docs - 1 + coalesce(sum(t.docs), 0) AS n_links FROM size AS s LEFT JOIN both_ways AS w ON w.a = s.cls LEFT JOIN size AS t ON t.cls = w.b GROUP BY s.cls, s.docs)
+        SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id, coalesce(c.cls, d.doc_id) AS class_id, CAST(coalesce(deg.n_links, 0) AS BIGINT) AS n_links
+        FROM documents AS d LEFT JOIN g ON d.doc_id = g.doc_id LEFT JOIN c ON g.g = c.g LEFT JOIN m ON c.cls = m.id LEFT JOIN deg ON deg.cls = c.cls""",
 }

@@ -508,8 +508,8 @@ def _(spark, d):
     since = base + minutes(k % 43200)
     length = F.when(k % 3 == 0, F.lit(1)).when(k % 3 == 1, F.lit(720)).otherwise(F.lit(5256000))
     w = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(k.alias("w"), (C("o_custkey") % 24).alias("key"), since.alias("since"), (since + minutes(length)).alias("until"))
-    hit = H.covering_windows(table(spark, d, "events").withColumn("key", C("user_id") % 24), w, "key", "ts")
-    return hit.groupBy("event_id").agg(F.count("*").alias("n"), F.sum("w").alias("windows"))
+    hit = H.covering_totals(table(spark, d, "events").select("event_id", "ts", (C("user_id") % 24).alias("key")), w, "key", "ts", "w")
+    return hit.groupBy("event_id").agg(F.sum("n").alias("n"), F.sum("total").alias("windows"))
 
 
 @query("join_ledger_asof", f"WITH {A.OBSERVATIONS}, l AS (SELECT identity, max(observed_at) AS m FROM observations WHERE event_id % 2 = 0 GROUP BY 1) SELECT event_id FROM observations o LEFT JOIN l USING (identity) WHERE event_id % 2 = 1 AND (m IS NULL OR m < observed_at)")

@@ -1,8 +1,10 @@
 """Document quality from preference pairs: a Bradley-Terry model over text statistics.
 
-Every good labelled document is preferred to every bad one; pairs are drawn from a bounded sample
-by a seeded generator.  The chance that a beats b is the logistic function of w . (f(a) - f(b)).
-The threshold is the quantile of the sample's scores at the share of bad documents.
+Every good labelled document is preferred to every bad one, and all of these pairs count.  The chance
+that a beats b is the logistic function of w . (f(a) - f(b)), so a pair depends on two scores:
+each Newton step sums all labelled rows by class and score, to 1/32, and weighs the sums against each other.
+All sums are of whole numbers and so the same in any order.  The threshold is the exact
+quantile of all labelled scores at the share of bad documents.
 """
 
 from __future__ import annotations
@@ -15,11 +17,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, small_batches
+from .common import BROADCAST_IDS, small_batches, written
 
-SAMPLE_ROWS = 20_000
-PAIRS = 60_000
-SEED = 7
+ROUNDS = 15  # most Newton steps
+RIDGE = 1e-3
+ONE = 1 << 16  # features and weights as whole numbers
+BIN = 27  # bits of a score within a bin: 1/32 of ONE * ONE
+BINS = 1024  # on either side of 0
 FEATURES = [
     "symbols", "upper", "digits", "marks", "pipes", "letters", "repeats", "distinct", "word_length", "lines", "log_words",
     "tagged_words", "top_word",
@@ -63,38 +67,138 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip((raw - self.threshold) / self.spread, -30, 30)))
 
 
-def fit_pairs(features: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = SEED, rounds: int = 300) -> QualityModel:
-    mean, scale = features.mean(axis=0), features.std(axis=0) + 1e-9
-    z = np.clip((features - mean) / scale, -8, 8)
-    rng = np.random.default_rng(seed)
-    a, b = np.flatnonzero(good == 1), np.flatnonzero(good == 0)
-    if not len(a) or not len(b):
-        return QualityModel(mean, scale, np.zeros(features.shape[1]), -1.0 if len(a) or not len(b) else 1.0, 1.0)
-    diff = z[rng.choice(a, pairs)] - z[rng.choice(b, pairs)]
-    weights, grads = np.zeros(z.shape[1]), np.full(z.shape[1], 1e-9)
-    for _ in range(rounds):  # logistic loss on feature differences, a little ridge
-        slope = diff.T @ (1 / (1 + np.exp(np.clip(diff @ weights, -30, 30)))) / pairs - 1e-3 * weights
-        grads += slope**2
-        weights += 0.3 * slope / np.sqrt(grads)
-    raw = z @ weights
-    order, bad = np.sort(raw), len(b)
-    threshold = (order[bad - 1] + order[min(bad, len(order) - 1)]) / 2  # the quantile at the share of bad documents
-    return QualityModel(mean, scale, weights, float(threshold), float(max(raw.std() / 8, 1e-6)))
-
-
-def fit_quality_model(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> QualityModel:
-    """docs(doc_id, text), labels(doc_id, quality): fitted on the features of at most ``sample_rows`` labelled rows."""
+def labelled_features(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """f, quality of every labelled document, written; of several labels of a document the larger one counts."""
+    rows = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max(F.col("quality").cast("int")).alias("quality"))
+    rows = F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+    small_batches()
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "f": [text_features(t) for t in pdf["text"]], "quality": pdf["quality"]})
-
-    rows = labelled_sample(docs, labels, "quality", sample_rows).mapInPandas(measure, "doc_id long, f array<double>, quality int")
-    got = rows.toPandas().sort_values("doc_id")  # bounded: sample_rows rows of a few numbers
-    features = np.stack(got["f"].to_numpy()) if len(got) else np.zeros((0, len(FEATURES)))
-    if not len(got):
-        return QualityModel(np.zeros(len(FEATURES)), np.ones(len(FEATURES)), np.zeros(len(FEATURES)), -1.0, 1.0)
-    return fit_pairs(features, got["quality"].to_numpy())
+            yield pd.DataFrame({"f": [text_features(t) for t in pdf["text"]], "quality": pdf["quality"]})
+
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(rows, "doc_id")
+    return written(texts.select("text", "quality").mapInPandas(measure, "f array<double>, quality int"), "quality-features")
+
+
+def _whole(f: pd.Series, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.rint(np.clip((np.stack(f.to_numpy()) - mean) / scale, -8, 8) * ONE).astype(np.int64)
+
+
+def _sums(rows: DataFrame, width: int, name: str) -> list:
+    return [F.sum(F.col(name)[k].cast("decimal(20,0)")).alias(f"s{k}") for k in range(width)]
+
+
+def _by_score(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each class: the bins that have rows, their numbers of rows, and their sums of features.  At most 2 * BINS rows a class reach the driver."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                z = _whole(pdf["f"], mean, scale)
+                key = pdf["quality"].to_numpy() * (4 * BINS) + np.clip((z @ weights) >> BIN, -BINS, BINS - 1) + BINS
+                found, place = np.unique(key, return_inverse=True)
+                total = np.zeros((len(found), z.shape[1]), np.int64)
+                np.add.at(total, place, z)
+                yield pd.DataFrame({"key": found, "n": np.bincount(place, minlength=len(found)), "s": list(total)})
+
+    sums = rows.mapInPandas(run, "key long, n long, s array<long>").groupBy("key").agg(F.sum("n").alias("n"), *_sums(rows, len(mean), "s")).orderBy("key").collect()
+    out = {}
+    for label in (0, 1):
+        mine = [r for r in sums if r.key // (4 * BINS) == label]
+        out[label] = (np.array([r.key % (4 * BINS) - BINS for r in mine]), np.array([float(r.n) for r in mine]), np.array([[float(x) for x in r[2:]] for r in mine]) / ONE)
+    return out
+
+
+def _weighed(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray, heights: np.ndarray) -> np.ndarray:
+    """The sum of heights[class, bin] * z z' over all rows."""
+    width = len(mean)
+    upper = np.triu_indices(width)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                z = _whole(pdf["f"], mean, scale)
+                h = heights[pdf["quality"].to_numpy(), np.clip((z @ weights) >> BIN, -BINS, BINS - 1) + BINS]
+                x = z / ONE
+                yield pd.DataFrame({"s": [np.rint(h[:, None] * x[:, upper[0]] * x[:, upper[1]] * (1 << 30)).astype(np.int64).sum(axis=0)]})
+
+    got = rows.mapInPandas(run, "s array<long>").agg(*_sums(rows, len(upper[0]), "s")).first()
+    out = np.zeros((width, width))
+    out[upper] = [float(x) / (1 << 30) for x in got]
+    return out + out.T - np.diag(out.diagonal())
+
+
+def _newton(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, n: dict[int, int]) -> np.ndarray:
+    """Whole-number weights (times ONE) that the ridge-penalised mean loss over all pairs asks for."""
+    w = np.zeros(len(mean))
+    for _ in range(ROUNDS):
+        whole = np.rint(w * ONE).astype(np.int64)
+        of = _by_score(rows, mean, scale, whole)
+        (low, n0, s0), (high, n1, s1) = of[0], of[1]
+        lost = 1 / (1 + np.exp(np.clip((high[:, None] - low[None, :]) / 32, -30, 30)))  # the chance that the good one loses
+        bend = lost * (1 - lost)
+        pairs = float(n[0]) * n[1]
+        slope = (s1.T @ (lost @ n0) - s0.T @ (lost.T @ n1)) / pairs - RIDGE * w
+        heights = np.zeros((2, 2 * BINS))
+        heights[1, high + BINS], heights[0, low + BINS] = bend @ n0 / n[0], bend.T @ n1 / n[1]
+        heights[1] /= n[1]
+        heights[0] /= n[0]
+        heights *= min(n.values())  # so that whole numbers keep their digits
+        cross = s1.T @ bend @ s0 / pairs
+        curve = _weighed(rows, mean, scale, whole, heights) / min(n.values()) - cross - cross.T + RIDGE * np.eye(len(w))
+        step = np.linalg.solve(curve, slope)
+        step *= min(1.0, 3 / max(1e-12, float(np.abs(step).max())))
+        w = w + step
+        if np.abs(step).max() < 1e-3:
+            break
+    return np.rint(w * ONE).astype(np.int64)
+
+
+def nth_smallest(values: DataFrame, name: str, n: int) -> int:
+    """The value of rank ``n``, from 0, of a column of whole numbers: each pass counts 4,096 equal steps and goes on in the one that holds the rank."""
+    low, high = values.agg(F.min(name), F.max(name)).first()
+    while low < high:
+        step = (high - low) // 4096 + 1
+        inside = values.where(F.col(name).between(low, high)).groupBy(F.expr(f"({name} - {low}L) div {step}L").alias("b")).count()
+        for b, rows in sorted((r.b, r["count"]) for r in inside.collect()):  # at most 4,096
+            if n < rows:
+                low, high = low + b * step, min(high, low + (b + 1) * step - 1)
+                break
+            n -= rows
+    return low
+
+
+def fit_quality_model(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """docs(doc_id, text), labels(doc_id, quality): fitted on all labelled rows."""
+    width = len(FEATURES)
+    rows = labelled_features(docs, labels)
+    n = {0: 0, 1: 0} | {r.quality: r["count"] for r in rows.groupBy("quality").count().collect()}
+    none = np.zeros(width)
+    if not n[0] + n[1]:
+        return QualityModel(none, np.ones(width), none, -1.0, 1.0)
+    whole = lambda k: F.round(F.col("f")[k] * (1 << 20)).cast("decimal(18,0)")
+    total = rows.agg(*[F.sum(whole(k)) for k in range(width)], *[F.sum(whole(k) * whole(k)) for k in range(width)]).first()
+    count = n[0] + n[1]
+    mean = np.array([float(x) for x in total[:width]]) / count / (1 << 20)
+    scale = np.sqrt(np.maximum(0.0, np.array([float(x * count - y * y) for x, y in zip(map(int, total[width:]), map(int, total[:width]))]))) / count / (1 << 20) + 1e-9
+    if not n[0] or not n[1]:
+        return QualityModel(mean, scale, none, -1.0 if n[1] else 1.0, 1.0)
+    weights = _newton(rows, mean, scale, n)
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                yield pd.DataFrame({"raw": _whole(pdf["f"], mean, scale) @ weights})
+
+    raw = written(rows.mapInPandas(scored, "raw long"), "quality-scores")
+    below = nth_smallest(raw, "raw", n[0] - 1)
+    above = nth_smallest(raw, "raw", n[0])
+    one = float(ONE) * ONE
+    exact = F.col("raw").cast("decimal(19,0)")
+    s, squares = (int(x) for x in raw.agg(F.sum(exact), F.sum(exact * exact)).first())
+    spread = float(max(0, squares * count - s * s)) ** 0.5 / count / one / 8
+    return QualityModel(mean, scale, weights / ONE, (below + above) / 2 / one, max(spread, 1e-6))
 
 
 def quality_of(text: Column | str, model: QualityModel) -> Column:

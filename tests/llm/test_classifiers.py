@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from advisorium.llm.language_id import bind, fit_language_model, predict_language, trigrams
-from advisorium.llm.quality import fit_quality_model, score_quality, text_features
+from advisorium.llm.quality import FEATURES, RIDGE, fit_quality_model, nth_smallest, score_quality, text_features
 from advisorium.llm.toxicity import chain_marginals, fit_toxicity_model, score_toxicity
 
 LETTERS = {"aa": "abcdefgh", "bb": "ghijklmn", "cc": "nopqrst"}
@@ -206,3 +206,26 @@ def test_quality_held_out_and_edges(spark):
     edge = spark.createDataFrame([(1, None), (2, ""), (3, " \n"), (4, "x" * 200000)], "doc_id long, text string")
     assert all(0 <= x.score <= 1 for x in score_quality(edge, model).collect())
     assert not text_features(None).any()
+
+
+def test_quality_learns_from_every_labelled_row_and_every_pair(spark):
+    """The slope over all pairs, taken one by one, is zero at the fitted weights; the threshold is the quantile of all rows."""
+    r = random.Random(8)
+    docs = [(i, words(r, "abcdefgh", r.choice([5, 40])) + ("$$ | X" * r.randrange(4) if i % 3 == 0 or i % 10 == 1 else "")) for i in range(240)]
+    labels = [(i, int(i % 3 > 0)) for i, _ in docs]
+    model = fit_quality_model(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    f, good = np.stack([text_features(t) for _, t in docs]), np.array([q for _, q in labels])
+    assert np.allclose(model.mean, f.mean(axis=0), atol=1e-5) and np.allclose(model.scale, f.std(axis=0), atol=1e-4)
+    z = np.clip((f - model.mean) / model.scale, -8, 8)
+    diff = (z[good == 1][:, None] - z[good == 0][None, :]).reshape(-1, len(FEATURES))
+    slope = (diff / (1 + np.exp(np.clip(diff @ model.weights, -30, 30)))[:, None]).mean(axis=0) - RIDGE * model.weights
+    assert np.abs(slope).max() < 2e-3
+    order = np.sort(z @ model.weights)
+    assert abs(model.threshold - (order[79] + order[80]) / 2) < 1e-2
+
+
+@pytest.mark.parametrize("values", [[5], [3, 3, 3, 9], [-(2**50), 0, 7, 2**50], list(range(0, 90_000, 9))])
+def test_ranks_of_whole_numbers(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "raw long")
+    for n in {0, len(values) // 2, len(values) - 1}:
+        assert nth_smallest(df, "raw", n) == sorted(values)[n]

@@ -85,10 +85,6 @@ def _whole(f: pd.Series, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return np.rint(np.clip((np.stack(f.to_numpy()) - mean) / scale, -8, 8) * ONE).astype(np.int64)
 
 
-def _sums(rows: DataFrame, width: int, name: str) -> list:
-    return [F.sum(F.col(name)[k].cast("decimal(20,0)")).alias(f"s{k}") for k in range(width)]
-
-
 def _by_score(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Of each class: the bins that have rows, their numbers of rows, and their sums of features.  At most 2 * BINS rows a class reach the driver."""
 
@@ -102,7 +98,8 @@ def _by_score(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, weights: np.
                 np.add.at(total, place, z)
                 yield pd.DataFrame({"key": found, "n": np.bincount(place, minlength=len(found)), "s": list(total)})
 
-    sums = rows.mapInPandas(run, "key long, n long, s array<long>").groupBy("key").agg(F.sum("n").alias("n"), *_sums(rows, len(mean), "s")).orderBy("key").collect()
+    parts = rows.mapInPandas(run, "key long, n long, s array<long>").groupBy("key")
+    sums = sorted(parts.agg(F.sum("n").alias("n"), *[F.sum(F.col("s")[k]).alias(f"s{k}") for k in range(len(mean))]).collect(), key=lambda r: r.key)
     out = {}
     for label in (0, 1):
         mine = [r for r in sums if r.key // (4 * BINS) == label]
@@ -116,14 +113,17 @@ def _weighed(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, weights: np.n
     upper = np.triu_indices(width)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(upper[0]), np.int64)
         for pdf in batches:
             if len(pdf):
                 z = _whole(pdf["f"], mean, scale)
                 h = heights[pdf["quality"].to_numpy(), np.clip((z @ weights) >> BIN, -BINS, BINS - 1) + BINS]
                 x = z / ONE
-                yield pd.DataFrame({"s": [np.rint(h[:, None] * x[:, upper[0]] * x[:, upper[1]] * (1 << 30)).astype(np.int64).sum(axis=0)]})
+                total += np.rint(h[:, None] * x[:, upper[0]] * x[:, upper[1]] * (1 << 30)).astype(np.int64).sum(axis=0)
+        yield pd.DataFrame({"s": [total]})
 
-    got = rows.mapInPandas(run, "s array<long>").agg(*_sums(rows, len(upper[0]), "s")).first()
+    tasks = rows.mapInPandas(run, "s array<long>").collect()  # one row a task
+    got = [sum(r.s[k] for r in tasks) for k in range(len(upper[0]))]
     out = np.zeros((width, width))
     out[upper] = [float(x) / (1 << 30) for x in got]
     return out + out.T - np.diag(out.diagonal())

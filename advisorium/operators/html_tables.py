@@ -1,6 +1,6 @@
 """Landed HTML pages: visible text, sections, label pairs and tables.
 
-One parser walk per page runs in a pandas UDF; everything behind it is native.  Tables are also
+One parser walk per page runs in an Arrow UDF; everything behind it is native.  Tables are also
 found in the texts of JSON payloads, however deep they lie.
 """
 
@@ -8,25 +8,34 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
-from html.parser import HTMLParser
 from itertools import count
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import key_slug, text_clean, url_canonical
+from .html_walk import Walk
 
 # Element groups.
 SKIPPED = frozenset("script style nav template noscript".split())
 BLOCKS = frozenset("address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main ol p pre section table tbody td tfoot th thead tr ul".split())
+HEADINGS = frozenset(f"h{k}" for k in range(10))
+SEEN = SKIPPED | BLOCKS | HEADINGS | {"a"}  # no other tag changes anything
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 LABEL_CHARS = 16
 MOST_COLUMNS = 1000  # the HTML standard's limit of a column span
 
 PAIRS = "array<struct<label:string,value:string>>"
+SECTIONS = "array<struct<title:string,text:string>>"
 GRID = "array<array<array<string>>>"
 CELLS = "array<array<array<struct<text:string,head:boolean,link:string>>>>"
+_TEXT = pa.string()
+ARROW = {
+    "string": _TEXT, PAIRS: pa.list_(pa.struct([("label", _TEXT), ("value", _TEXT)])), GRID: pa.list_(pa.list_(pa.list_(_TEXT))), SECTIONS: pa.list_(pa.struct([("title", _TEXT), ("text", _TEXT)])),
+    CELLS: pa.list_(pa.list_(pa.list_(pa.struct([("text", _TEXT), ("head", pa.bool_()), ("link", _TEXT)])))),
+}
+WALKED = 256  # pages whose Python objects a worker holds at a time
 Cell = tuple[str, int, int, bool, str | None]  # text, columns, rows, header, first link
 
 
@@ -34,11 +43,11 @@ def _clean(x: str) -> str:
     return " ".join(x.replace("﻿", " ").split())
 
 
-class _Page(HTMLParser):
+class _Page(Walk):
     """Lines of visible text, headings with what follows, label pairs, and tables with spans."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
+        super().__init__()
         self.skip = 0
         self.line: list[str] = []
         self.lines: list[str] = []
@@ -50,17 +59,21 @@ class _Page(HTMLParser):
         self.term: list[str] | None = None
 
     def _flush(self) -> None:
+        if not self.line:
+            return
         text = _clean("".join(self.line))
         if text:
             self.lines.append(text)
         self.line = []
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in SEEN:
+            return
         if tag in SKIPPED:
             self.skip += 1
         if tag in BLOCKS:
             self._flush()
-        if len(tag) == 2 and tag[0] == "h" and tag[1].isdigit():
+        if tag in HEADINGS:
             self.head = int(tag[1])
         if tag == "table":
             self.open.append({"rows": [], "cell": None})
@@ -73,9 +86,13 @@ class _Page(HTMLParser):
                 self._end_cell()
                 if not t["rows"]:
                     t["rows"].append([])
-                a = {k: v for k, v in attrs}
-                span = lambda k: int(v) if (v := (a.get(k) or "1").strip()).isdigit() else 1
-                t["cell"], t["link"] = ([], max(1, span("colspan")), span("rowspan"), tag == "th"), None
+                if attrs:
+                    a = dict(attrs)
+                    span = lambda k: int(v) if (v := (a.get(k) or "1").strip()).isdigit() else 1
+                    t["cell"] = ([], max(1, span("colspan")), span("rowspan"), tag == "th")
+                else:
+                    t["cell"] = ([], 1, 1, tag == "th")
+                t["link"] = None
             elif tag == "a" and t["cell"] and not t["link"]:
                 t["link"] = dict(attrs).get("href")
         if tag in ("dt", "dd"):
@@ -89,9 +106,11 @@ class _Page(HTMLParser):
             t["cell"] = None
 
     def handle_endtag(self, tag: str) -> None:
+        if tag not in SEEN:
+            return
         if tag in SKIPPED and self.skip:
             self.skip -= 1
-        if len(tag) == 2 and tag[0] == "h" and tag[1].isdigit() and self.head is not None:
+        if tag in HEADINGS and self.head is not None:
             title = _clean("".join(self.line))
             self.line = []
             self.lines.append(title)
@@ -136,12 +155,22 @@ def _cells(rows: list[list[Cell]]) -> list[list[tuple[str, bool, str | None]]]:
         c = 0
         for text, cols, down, head, link in row:
             cols = min(cols, MOST_COLUMNS)
-            c = next(x for x in count(c) if taken[r].keys().isdisjoint(range(x, x + cols)))
+            here = taken[r]
+            if cols == 1:
+                while c in here:
+                    c += 1
+                if down == 1:
+                    here[c] = (text, head, link)
+                    c += 1
+                    continue
+            else:
+                c = next(x for x in count(c) if here.keys().isdisjoint(range(x, x + cols)))
             for below in taken[r : None if down == 0 else r + down]:
                 below.update((x, (text, head, link)) for x in range(c, c + cols) if x not in below)
             c += cols
     width = max((max(row, default=-1) for row in taken), default=-1) + 1
-    return [[row.get(x, ("", False, None)) for x in range(width)] for row in taken]
+    places, blank = range(width), ("", False, None)
+    return [[row.get(x, blank) for x in places] for row in taken]
 
 
 def _grid(rows: list[list[Cell]]) -> list[list[str]]:
@@ -197,12 +226,18 @@ def _sections(page: _Page) -> list[tuple[str, str]]:
     return out
 
 
+def walked(pages: pa.Array, f: Callable[[str | None], object], kind: pa.DataType) -> pa.Array:
+    """``f`` of each page, ``WALKED`` pages at a time, so that a worker holds the Python objects of these only."""
+    parts = [pa.array([f(h) for h in pages.slice(at, WALKED).to_pylist()], kind) for at in range(0, len(pages), WALKED)]
+    return pa.concat_arrays(parts or [pa.array([], kind)])
+
+
 def _udf(kind: str, f: Callable[[str | None], object]) -> Callable[[Column | str], Column]:
     def make(html: Column | str) -> Column:
-        @F.pandas_udf(kind)
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf(kind)
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for pages in batches:
-                yield pd.Series([f(h) for h in pages], dtype=object)
+                yield walked(pages, f, ARROW[kind])
 
         return run(html)
 
@@ -215,7 +250,7 @@ def _of_tables(f: Callable[[list[list[Cell]]], list]) -> Callable[[str | None],
 
 html_text = _udf("string", lambda html: "\n".join(_parse(html).lines))
 html_label_pairs = _udf(PAIRS, lambda html: _pairs(_parse(html)))
-html_sections = _udf("array<struct<title:string,text:string>>", lambda html: _sections(_parse(html)))
+html_sections = _udf(SECTIONS, lambda html: _sections(_parse(html)))
 html_tables_grid = _udf(GRID, _of_tables(_grid))
 html_tables_cells = _udf(CELLS, _of_tables(_cells))
 

@@ -14,7 +14,7 @@ BASE = "https://base.example.org"
 
 def region_pages(spark, d):
     """One page a customer with orders: a caption pair, a table of the orders with a row-spanned customer cell, a column-spanned total row, and sections."""
-    n = table(spark, d, "orders").groupBy(C("o_custkey").alias("page_id")).agg(F.array_sort(F.collect_list(F.struct(C("o_orderkey").alias("n_nationkey"), C("o_orderpriority").alias("n_name")))).alias("v"))
+    n = table(spark, d, "orders").groupBy(C("o_custkey").alias("page_id")).agg(F.sort_array(F.collect_list(F.struct(C("o_orderkey").alias("n_nationkey"), C("o_orderpriority").alias("n_name")))).alias("v"))
     r = table(spark, d, "customer").select(C("c_custkey").alias("page_id"), C("c_name").alias("r_name"))
     rows = F.transform("v", lambda x, i: F.concat(F.lit("<tr>"), F.when(i == 0, F.concat(F.lit('<td rowspan="'), F.size("v").cast("string"), F.lit('">'), C("r_name"), F.lit("</td>"))).otherwise(""), F.lit("<td> "), x.n_nationkey.cast("string"), F.lit("</td><td>"), x.n_name, F.lit(" &amp; co</td></tr>")))
     html = F.concat(
@@ -144,7 +144,7 @@ def _listing_pages(spark, d):
     heads = F.concat(F.lit('<h3><a href="'), href, F.lit('">Flaw '), key, F.lit("</a></h3><p>"), day, F.lit(" by x</p>"))
     c = C("o_custkey")
     entry = F.when(c % 3 == 0, rows).when(c % 3 == 1, cards).otherwise(heads)
-    lists = table(spark, d, "orders").groupBy(c.alias("page_id")).agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), entry.alias("e")))).alias("v"))
+    lists = table(spark, d, "orders").groupBy(c.alias("page_id")).agg(F.sort_array(F.collect_list(F.struct(k.alias("k"), entry.alias("e")))).alias("v"))
     inner = F.array_join(F.transform("v", lambda x: x.e), "\n")
     c = C("page_id")
     body = F.when(c % 3 == 0, F.concat(F.lit("<table><tr><th>Title</th><th>Level</th></tr>"), inner, F.lit("</table>"))).otherwise(F.concat(F.lit("<div>"), inner, F.lit("</div>")))

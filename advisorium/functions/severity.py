@@ -14,6 +14,8 @@ ALIASES = {
 }
 LEVELS = list(ALIASES)
 _LEVEL_OF = {word: level for level, words in ALIASES.items() for word in words}
+#: Every text with a level begins like this; some that do have none.
+LEVEL_WORDS = "(?i)^ *(?:" + "|".join(_LEVEL_OF) + ")"
 
 
 def severity_normalize(c: Column) -> Column:

@@ -1,6 +1,8 @@
 """Tables in nested payloads, header rows, listing cards and addresses: literal cases."""
 
 import json
+import random
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +92,55 @@ def test_references_resolve_as_the_standard_says(spark, text):
 def test_path_list(spark, address, kept):
     got = spark.createDataFrame([(address,)], "r string").select(X.url_canonical(F.col("r"), "https://h.org/a/b/c", ["h.org"], ["/adv/"])).first()[0]
     assert (got is not None) == kept
+
+
+ODD = ["<a", "&", "a &amp; b", "&lt", "</ td>", "<TD ROWSPAN=2>", "<td colspan='2'>", '<a href="/d/1?x&amp;y">', "</a>", "<script>a<b></ script>c</script>", "<style>x</style>", "<title>a<b></title>", "<!-- <td> -->", "<br/>", "<th\n>", "x: y", "<dt>", "<dd>", "</table>", "<table>", "<tr>", "<h2>", "</h2>", "< b", "<?p?>", "</>", '<i a="b>c">', "<p class='title'>"]
+
+
+def test_the_short_way_reads_as_the_full_parser():
+    class Full(T._Page):
+        feed = HTMLParser.feed
+
+    draw = random.Random(1)
+    for _ in range(2000):
+        html = "".join(draw.choice(ODD) for _ in range(draw.randint(0, 40)))
+        pages = [T._Page(), Full()]
+        for page in pages:
+            page.feed(html)
+            page.close()
+        one, two = ({k: v for k, v in vars(p).items() if k in ("line", "lines", "heads", "tables", "open", "terms", "skip")} for p in pages)
+        assert one == two, html
+
+
+def test_plain_markup_does_not_reach_the_full_parser(monkeypatch):
+    monkeypatch.setattr(HTMLParser, "parse_starttag", lambda *a: pytest.fail("full parser"))
+    html = '<div class="x">' + '<table><tr><td rowspan="2">a &amp; b</td><td><a href="/d/1?a&amp;b">One</a></td></tr></table>' * 3 + "</div>"
+    assert T._of_tables(T._grid)(html) == [[["a & b", "One"]]] * 3
+    assert L._cards(html, L.re.compile("/d/"))[1][0][:2] == ("/d/1?a&b", "One")
+
+
+def test_a_worker_holds_few_walked_pages_at_a_time():
+    held = [0, 0]
+
+    class Live(str):
+        def __init__(self, *_):
+            held[0] += 1
+            held[1] = max(held)
+
+        def __del__(self):
+            held[0] -= 1
+
+    assert len(T.walked(T.pa.array(["x"] * 2000), Live, T.pa.string())) == 2000
+    assert held[1] <= T.WALKED + 1
+
+
+def test_siblings_of_a_listing_are_looked_through_once(monkeypatch):
+    calls, starts = [], L._starts
+    monkeypatch.setattr(L, "_starts", lambda around: calls.append(1) or starts(around))
+    html = "".join(f'<h3><a href="/d/{k}">Flaw {k}</a></h3><p>low</p>' for k in range(500))
+    assert [x[1:] for x in L._cards(html, L.re.compile("/d/"))[1]] == [(f"Flaw {k}", [f"Flaw {k}", "low"]) for k in range(500)] and len(calls) == 1
+
+
+def test_a_label_hides_only_its_own_text():
+    html = "<ul><li><a href='/d/1'><span class='tag'>5</span><b>5</b></a><i>x</i></li><li><a href='/d/2'>b</a></li></ul>"
+    assert L._cards(html, L.re.compile("/d/"))[1][0] == ("/d/1", "5", ["5", "5", "x"])

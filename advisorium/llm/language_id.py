@@ -70,7 +70,7 @@ def bind(grams: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
         symbols, at = np.unique(grams >> shift & (1 << _BITS) - 1, return_inverse=True)
         if len(symbols):
             out *= np.roll(np.stack([letter_vector(s, dimensions, seed) for s in symbols.tolist()]), turn, axis=1)[at]
-    return out.astype(np.float32)
+    return out
 
 
 @dataclass(frozen=True)
@@ -125,9 +125,9 @@ def _predict(texts: pd.Series, model: LanguageModel, vectors: np.ndarray) -> pd.
             at = np.minimum(np.searchsorted(model.known, grams), len(model.known) - 1)
             there = model.known[at] == grams
             n = n.astype(np.float32)
-            total = n[there] @ vectors[at[there]]
+            total = n[there] @ vectors[at[there]].astype(np.float32)
             if not there.all():
-                total = total + n[~there] @ bind(grams[~there], model.dimensions, model.seed)
+                total = total + n[~there] @ bind(grams[~there], model.dimensions, model.seed).astype(np.float32)
             cosine = model.prototypes @ total / max(float(np.linalg.norm(total)), 1e-12)
             best = int(np.argmax(cosine))
             lang, score = model.langs[best], float(min(1.0, max(0.0, cosine[best])))

@@ -46,14 +46,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col(f"{name}.score") < TOXIC_FROM).select(*docs.columns)
 
 
+def _ids_are_unique(docs: DataFrame) -> bool:
+    return docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty()
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays, null counting as empty and a missing doc_id as the smallest.
 
-    Rows are dropped by id and text together, so texts that share a doc_id are each kept; of rows
-    that repeat both, one stays.
+    Where doc_ids are missing or shared, rows are dropped by id and text together, so texts that
+    share a doc_id are each kept; of rows that repeat both, one stays.  Else ids suffice and the
+    texts stay where they are.
     """
     sha = free_name(docs, "_sha")
     judged = written(exact_dedup(docs, keep="max").select("doc_id", F.col("text_sha256").alias(sha), "kept"), "judged")
+    if _ids_are_unique(docs):
+        return by_ids(docs, judged.where("not kept"), "left_anti").select(*docs.columns)
     keyed = docs.withColumn(sha, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     same = lambda other: keyed["doc_id"].eqNullSafe(other["doc_id"]) & (keyed[sha] == other[sha])
     dropped = judged.where("not kept").select("doc_id", sha).distinct()
@@ -73,7 +80,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     numbered and compared as rows, so no row goes for another one's text.
     """
     options = dict(words=5, threshold=(80, 100), count_links=False)
-    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+    if _ids_are_unique(docs):
         groups = ngram_jaccard_groups(docs, **options)
         dropped = written(groups.where("doc_id <> component_id").select("doc_id"), "dropped")
         return by_ids(docs, dropped, "left_anti").select(*docs.columns)

@@ -98,3 +98,20 @@ def test_rows_are_dropped_as_rows(spark, tables):
     left = [(r.doc_id, r.text) for r in near.collect()]
     assert len(left) == 5 and {t for _, t in left if t and len(t) < 9} == {"a b", "c d", "e f"} and sum(i == 3 for i, _ in left) == 1
     assert cp.keep_known_language(spark, docs, path).columns == docs.columns and cp.drop_toxic(spark, docs, path).columns == docs.columns and cp.pack(spark, docs, path).where("start = 0").count() == len(rows)
+
+
+def test_exact_copies_go_by_id_where_ids_are_unique(spark, tmp_path, monkeypatch):
+    calls, by_ids = [], cp.by_ids
+    monkeypatch.setattr(cp, "by_ids", lambda *a: calls.append(a[2]) or by_ids(*a))
+    rows = [(1, "a"), (2, "a"), (3, None), (4, ""), (5, "b"), (6, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, cp.drop_exact_copies(spark, docs, "").collect())) == [(4, ""), (5, "b"), (6, "a")] and calls == ["left_anti"]
+    shared = spark.createDataFrame([*rows, (6, "c"), (None, "b")], "doc_id long, text string")
+    assert sorted(map(tuple, cp.drop_exact_copies(spark, shared, "").collect())) == [(4, ""), (5, "b"), (6, "a"), (6, "c")] and calls == ["left_anti"]
+
+
+def test_letter_products_take_a_byte_a_dimension():
+    from advisorium.llm.language_id import bind, trigrams
+
+    grams = trigrams("some text")
+    assert bind(grams, 64, 1).nbytes == 64 * len(grams)

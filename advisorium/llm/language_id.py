@@ -170,10 +170,13 @@ def similarity_floors(docs: DataFrame, model: LanguageModel, quantile: float = R
     That is ``share`` of a low quantile of the similarity of all learned texts of that length, so
     hardly a text of a learned language falls below it.  Short texts are less like their language
     than long ones, hence a floor for each length.  At most 32 numbers reach the driver.
+    Texts without a language are left out inside the aggregate: as a filter Spark would predict each
+    text twice, in two Python workers a task.
     """
     learned = docs.where("lang is not null and text is not null").select(length_class("text").alias("k"), language_of("text", model).alias("p"))
-    rows = learned.where("p.lang_pred <> 'und'").groupBy("k").agg(F.percentile_approx("p.score", quantile, 10_000).alias("low")).collect()
-    return {r.k: share * r.low for r in rows}
+    score = F.when(F.col("p.lang_pred") != "und", F.col("p.score"))
+    rows = learned.groupBy("k").agg(F.percentile_approx(score, quantile, 10_000).alias("low")).collect()
+    return {r.k: share * r.low for r in rows if r.low is not None}
 
 
 def resembles_a_language(text: Column | str, prediction: Column, floors: dict[int, float]) -> Column:

@@ -190,6 +190,17 @@ def test_floors_keep_learned_languages_and_reject_noise(spark):
     assert {(x.want, x.ok) for x in got.collect()} == {(1, True), (0, False)}
 
 
+def test_floors_predict_each_text_once(spark, monkeypatch):
+    """Two predictions in a row would hold two Python workers a task."""
+    from advisorium.llm.language_id import similarity_floors
+
+    docs = spark.createDataFrame([(1, "one two three", "en"), (2, "1 2", "en"), (3, "1234567", "en")], "doc_id long, text string, lang string")
+    model, plans, collect = fit_language_model(docs), [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    assert similarity_floors(docs, model).keys() == {3}  # texts of classes 1 and 2 have no letter
+    assert [p.count("ArrowEvalPython") for p in plans] == [1]
+
+
 def test_quality_held_out_and_edges(spark):
     r = random.Random(4)
     docs, labels = [], []

@@ -25,7 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -65,7 +65,7 @@ class Segment(NamedTuple):
     n_a: int
     n_b: int
     n_groups: int
-    pairs: tuple[int, ...]  # id of A << B_BITS | id of B, of every pair of tokens that share a group
+    pairs: bytes  # id of A << B_BITS | id of B, of every pair of tokens that share a group, 8 bytes each
     wide: dict[int, int] | None  # the same for groups with more than WIDE pairs: how often each pair is there
 
 
@@ -93,6 +93,7 @@ class Aligner:
         self.splits = plain and not any("▁" in x[1:] and x.strip("▁") for x in names)
         if max(len(self.bytes_a), len(names)) > 1 << B_BITS:
             raise ValueError(f"vocabularies of at most {1 << B_BITS} tokens")
+        self.shown = pa.concat_arrays([_written(len(self.bytes_a), ",", "|"), _written(len(names), ",", ";")])
         self.young: dict[str, Segment | None] = {}
         self.old: dict[str, Segment | None] = {}
 
@@ -129,50 +130,61 @@ class Aligner:
         """The segments of parts that are encoded as one text; None where a tokenizer does not give its bytes back."""
         text = " ".join(parts)
         raw, coded = (" " + text).encode(), self.one.encode(" " + text, add_special_tokens=False)
-        pieces = [(p.id, p.end) for p in self.two.encode(text, return_type="proto").pieces]
-        a, b = coded.ids, [i for i, _ in pieces]
-        bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
+        pieces = self.two.encode(text, return_type="proto").pieces
+        a, b = coded.ids, [p.id for p in pieces]
+        bytes_a, bytes_b = [*map(self.bytes_a.__getitem__, a)], [*map(self.bytes_b.__getitem__, b)]
         if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
             return None
         spans = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
         at = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)  # the first byte of each character
-        ends_a, ends_b = np.append(at, len(raw))[spans[:, 1]], np.array([end for _, end in pieces]) + 1  # the space before the text
+        ends_a, ends_b = np.append(at, len(raw))[spans[:, 1]], np.array([p.end for p in pieces]) + 1  # the space before the text
         if (odd := np.append(spans[1:, 0] < spans[:-1, 1], False)).any():  # ends inside a character: the next one begins before
             ends_a[odd] = np.cumsum([*map(len, bytes_a)])[odd]
+        a, b = np.array(a), np.array(b)
         if (odd := self.fallback[b]).any():
             ends_b[odd] = np.cumsum([*map(len, bytes_b)])[odd]
-        return _cut(a, b, ends_a.tolist(), ends_b.tolist(), accumulate(len(x.encode()) + 1 for x in parts))
-
-
-def _cut(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int], borders: Iterator[int]) -> list[Segment]:
-    """Groups end where both tokenizers do, segments at the borders."""
-    out, i, j, border = [], 0, 0, next(borders)
-    shown, pairs, wide, from_a, from_b = [], [], None, 0, 0
-    while i < len(a):
-        low_a, low_b, x, y = i, j, ends_a[i], ends_b[j]
-        while x != y:
-            if x < y:
-                i += 1
-                x = ends_a[i]
-            else:
-                j += 1
-                y = ends_b[j]
-        i, j = i + 1, j + 1
-        if i == low_a + 1 and j == low_b + 1:
-            shown.append(f"{a[low_a]}|{b[low_b]}")
-            pairs.append(a[low_a] << B_BITS | b[low_b])
-        else:
-            one, two = a[low_a:i], b[low_b:j]
-            shown.append(f"{','.join(map(str, one))}|{','.join(map(str, two))}")
-            if len(one) * len(two) > WIDE:
-                wide, m = wide or Counter(), Counter(two)
-                wide.update({p << B_BITS | q: n * k for p, n in Counter(one).items() for q, k in m.items()})
-            else:
-                pairs += [p << B_BITS | q for p in one for q in two]
-        if x == border:
-            out.append(Segment(";".join(shown), i - from_a, j - from_b, len(shown), tuple(pairs), wide))
-            shown, pairs, wide, from_a, from_b, border = [], [], None, i, j, next(borders, -1)
-    return out
+        return _cut(a, b, ends_a, ends_b, np.cumsum([len(x) + 1 if x.isascii() else len(x.encode()) + 1 for x in parts]), self.shown, len(self.bytes_a))
+
+
+def _places(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each run of so many."""
+    ends = np.cumsum(many)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + many, many)
+
+
+def _cut(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, borders: np.ndarray, shown: pa.Array, ids_a: int) -> list[Segment]:
+    """Groups end where both tokenizers do, segments at the borders.  ``shown`` has what ``_written`` gives for the ``ids_a`` ids of A, then for those of B."""
+    common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    stop_a, stop_b = np.searchsorted(ends_a, common) + 1, np.searchsorted(ends_b, common) + 1
+    n_a, n_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
+    first_a, first_b = stop_a - n_a, stop_b - n_b
+    last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    last_a[stop_a - 1] = last_b[stop_b - 1] = 1
+    order = np.empty(len(a) + len(b), np.int64)  # the tokens of both in the order in which they are written
+    order[np.arange(len(a)) + np.repeat(first_b, n_a)] = 2 * a + last_a
+    order[np.arange(len(b)) + np.repeat(stop_a, n_b)] = 2 * b + last_b + 2 * ids_a
+    text = shown.take(pa.array(order))
+    data, at = text.buffers()[2].to_pybytes().decode("ascii"), np.frombuffer(text.buffers()[1], np.int32)
+    many = np.where(n_a * n_b > WIDE, 0, n_a * n_b)
+    inside, by = _places(np.zeros(len(many), np.int64), many), np.repeat(n_b, many)
+    pairs = (a[np.repeat(first_a, many) + inside // by] << B_BITS | b[np.repeat(first_b, many) + inside % by]).tobytes()
+    ends = np.searchsorted(common, borders) + 1
+    wide: dict[int, Counter] = {}
+    for g in np.flatnonzero(n_a * n_b > WIDE).tolist():
+        one, two = (Counter(x[k - n : k].tolist()) for x, k, n in ((a, stop_a[g], n_a[g]), (b, stop_b[g], n_b[g])))
+        wide.setdefault(int(np.searchsorted(ends, g, side="right")), Counter()).update({p << B_BITS | q: n * k for p, n in one.items() for q, k in two.items()})
+    to_a, to_b, paired = stop_a[ends - 1], stop_b[ends - 1], 8 * np.cumsum(many)[ends - 1]
+    sizes = zip(np.diff(to_a, prepend=0).tolist(), np.diff(to_b, prepend=0).tolist(), np.diff(ends, prepend=0).tolist())
+    written, paired = [0, *at[to_a + to_b].tolist()], [0, *paired.tolist()]
+    return [
+        Segment(data[lo : hi - 1], *size, pairs[x:y], wide.get(k))
+        for k, (lo, hi, size, x, y) in enumerate(zip(written, written[1:], sizes, paired, paired[1:]))
+    ]
+
+
+def _written(size: int, within: str, behind: str) -> pa.Array:
+    """How each id is written within its side of a group and at the end of it, two entries an id."""
+    return pa.array([f"{i}{sign}" for i in range(size) for sign in (within, behind)])
 
 
 @lru_cache(maxsize=2)
@@ -187,8 +199,9 @@ def groups_text(segments: list[Segment]) -> str:
 
 def links_of(texts: list[list[Segment]]) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each text its distinct pairs and how many pairs of occurrences each stands for; all texts are counted in one sort."""
-    flat = np.fromiter(chain.from_iterable([x.pairs for text in texts for x in text]), np.int64)
-    owner = np.repeat(np.arange(len(texts)), [sum([len(x.pairs) for x in text]) for text in texts])
+    joined = [b"".join([x.pairs for x in text]) for text in texts]
+    flat = np.frombuffer(b"".join(joined), np.int64)
+    owner = np.repeat(np.arange(len(texts)), [len(x) // 8 for x in joined])
     keys, times = np.unique(owner << 2 * B_BITS | flat, return_counts=True)
     cuts = np.searchsorted(keys, np.arange(1, len(texts)) << 2 * B_BITS)
     found = list(zip(np.split(keys & (1 << 2 * B_BITS) - 1, cuts), np.split(times, cuts)))

@@ -126,3 +126,13 @@ def test_head_holds_the_most_frequent_pairs_and_no_more(spark, most):
 
 def test_empty_table(spark):
     assert m.alignment_counts(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_kept_pairs_take_eight_bytes_each():
+    """The segments of many texts are cut with arrays; what a worker keeps of one holds no number objects."""
+    texts = ["The quick brown fox, and the fox.", "ñandú 好吗 x", "ab" * 300]
+    for text, found in zip(texts, m.aligner(m.TOKENIZER_A, m.TOKENIZER_B).align(texts)):
+        pairs = Counter(a << m.B_BITS | b for one, two in groups(text) for a in one for b in two)
+        assert m.groups_text(found) == shown(groups(text)) and {type(x.pairs) for x in found} == {bytes}
+        (keys, times), = m.links_of([found])
+        assert dict(zip(keys.tolist(), times.tolist())) == pairs and (sum(x.n_a for x in found), sum(x.n_b for x in found)) == tuple(sum(map(len, side)) for side in zip(*groups(text)))

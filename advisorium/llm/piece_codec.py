@@ -69,6 +69,7 @@ class Pieces:
                 name = name.replace(SPACE, " ")
                 self.ids[name] = i
                 self.text.append(name.encode())
+        self.spelling = pa.array(self.text, pa.large_binary())
         order = sorted(range(len(names)), key=lambda i: (-scores[i], i))
         self.order = np.empty(len(names), np.int64)  # the place of each piece in the order of merging
         self.order[order] = np.arange(len(names))
@@ -176,7 +177,7 @@ class Segmentations:
         self.pieces = pieces
         self.met, self.met_count, self.turn = bytearray(MET), 0, 0
         self.number: dict[str, int] = {}  # of a word, in the order of the numbers
-        self.found: dict[int, int] = {}  # word number << 64 | skipped candidates -> segmentation number
+        self.found: dict[tuple[int, int], int] = {}  # (word number, skipped candidates) -> segmentation number
         self.ids: list[bytes] = [b""]  # of a segmentation; the first one stands for none
         self.chosen = array("Q", [0])  # of a segmentation: the candidates that were merged
         self.used, self.word_used = array("q", [0]), array("q")  # of a segmentation and of a word: the chunk that used it last
@@ -216,12 +217,12 @@ class Segmentations:
         number, words = np.flatnonzero(stays), list(self.number)
         renamed = np.cumsum(stays) - 1
         keys, segments = list(self.found), np.fromiter(self.found.values(), np.int64, len(self.found))
-        owner = np.array([k >> 64 for k in keys], np.int64)
+        owner = np.array([w for w, _ in keys], np.int64)
         there = np.flatnonzero(stays[owner] & held[segments])
         held[:] = False
         held[0] = held[segments[there]] = True
         new = np.where(held, np.cumsum(held) - 1, LATER)
-        self.found = {int(w) << 64 | keys[k] & _MASK: n for w, k, n in zip(renamed[owner[there]].tolist(), there.tolist(), new[segments[there]].tolist())}
+        self.found = {(w, keys[k][1]): n for w, k, n in zip(renamed[owner[there]].tolist(), there.tolist(), new[segments[there]].tolist())}
         self.ids = [self.ids[k] for k in np.flatnonzero(held).tolist()]
         self.chosen = array("Q", np.frombuffer(self.chosen, _U)[held].tobytes())
         self.used = array("q", np.frombuffer(self.used, np.int64)[held].tobytes())
@@ -323,8 +324,7 @@ class Segmentations:
         self.ids += coded
         self.chosen.frombytes(chosen.tobytes())
         self.used.frombytes(np.full(len(coded), self.turn, np.int64).tobytes())
-        for w, k, n in zip(number.tolist(), skip.tolist(), numbers):
-            self.found[w << 64 | k] = n
+        self.found.update(zip(zip(number.tolist(), skip.tolist()), numbers))
         return numbers
 
     def merged(self, number: np.ndarray, skip: np.ndarray) -> tuple[list[bytes], np.ndarray]:
@@ -446,10 +446,12 @@ def _segmented(s: Segmentations, words: list[str], number: np.ndarray, kept: int
         clash = mask[live] & np.frombuffer(s.chosen, _U)[found[live]]
         live, clash = live[clash != 0], clash[clash != 0]
         skip[live] |= clash
-        asked = [w << 64 | k for w, k in zip(number[live].tolist(), skip[live].tolist())]
-        if fresh := [k for k in dict.fromkeys(asked) if k not in s.found]:
-            s.merge(np.array([k >> 64 for k in fresh], np.int64), np.array([k & _MASK for k in fresh], _U))
-        found[live] = list(map(s.found.__getitem__, asked))
+        asked = [*zip(number[live].tolist(), skip[live].tolist())]
+        known = [*map(s.found.get, asked)]
+        if fresh := {k for k, n in zip(asked, known) if n is None}:
+            s.merge(np.array([w for w, _ in fresh], np.int64), np.array([k for _, k in fresh], _U))
+            known = [*map(s.found.__getitem__, asked)]
+        found[live] = known
     np.frombuffer(s.used, np.int64)[found[found >= 0]] = s.turn
     coded = list(map(s.ids.__getitem__, np.maximum(found, 0).tolist()))
     for i, ids in zip(passing.tolist(), s.merged(number[passing], mask[passing])[0]):
@@ -552,11 +554,10 @@ def _encoded(model: str, texts: pa.Array, owners: pa.Array, seed: int, dropout:
 
 
 def _decoded(model: str, rows: pa.ListArray) -> pa.Array:
-    text = pieces_of(model).text
-    size = np.array([len(x) for x in text], np.int64)
-    flat = rows.flatten().to_numpy(zero_copy_only=False)  # null rows have no ids
+    flat = rows.flatten()  # null rows have no ids
     count = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
-    data = b"".join(map(text.__getitem__, flat.tolist()))
-    at = np.concatenate([[0], np.cumsum(size[flat])])[np.concatenate([[0], np.cumsum(count)])].tolist()
+    spelled = pieces_of(model).spelling.take(flat)
+    ends, data = np.frombuffer(spelled.buffers()[1], np.int64, len(flat) + 1), memoryview(spelled.buffers()[2] or b"")
+    at = ends[np.concatenate([[0], np.cumsum(count)])].tolist()
     found = [data[lo + 1 : hi] if there else None for lo, hi, there in zip(at, at[1:], rows.is_valid().to_pylist())]
     return pa.array(found, pa.binary()).cast(pa.string())

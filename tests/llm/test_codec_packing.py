@@ -203,3 +203,19 @@ def test_codec_with_repeated_rows_clashing_names_and_no_rows(spark):
     rows = df.select("doc_id", "text", pc.encode_pieces("text", "doc_id", 1, 0.3).alias("coded")).collect()
     assert rows[0] == rows[1] and rows[2].coded and rows[3].coded is None
     assert df.limit(0).select(pc.encode_pieces("text", "doc_id")).collect() == []
+
+
+def test_decoding_makes_no_object_of_an_id():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from advisorium.llm.piece_codec import MODEL, _decoded, _encoded
+
+    texts = pa.array(["The quick brown fox " * 20_000, None, "", "好 x"])
+    ids = _encoded(MODEL, texts, pa.array([1, 2, 3, 4]), 1, 0.1)
+    tracemalloc.start()
+    assert _decoded(MODEL, ids).equals(texts) and _decoded(MODEL, ids.slice(1)).equals(texts.slice(1))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8 * len(ids.flatten())

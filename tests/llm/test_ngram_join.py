@@ -179,3 +179,13 @@ def test_very_long_text(spark):
     rows = [(1, " ".join(w)), (2, " ".join(w[:-900])), (3, " ".join(w[:30_000]))]
     got = {x.doc_id: x.component_id for x in ngram_jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_components_take_no_round_to_see_that_they_are_done(spark, monkeypatch):
+    from advisorium.llm import components
+
+    rounds, written = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, label: rounds.append(label) or written(df, label))
+    found = lambda edges: dict(map(tuple, components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert found([(1, 2), (3, 1), (1, 2), (7, 7), (5, 9)]) == {1: 1, 2: 1, 3: 1, 5: 5, 9: 5} and rounds == ["edges"]
+    assert found([(k, k + 1) for k in range(20)] + [(40, 30), (40, 35)]) == {k: 0 for k in range(21)} | {k: 30 for k in (30, 35, 40)}

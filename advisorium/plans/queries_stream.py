@@ -83,7 +83,9 @@ def _(spark, d):
 @query("stream_sessions", """WITH a AS (SELECT user_id, ts, CASE WHEN epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts)) <= 21600 THEN 0 ELSE 1 END AS new FROM events),
     b AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s FROM a) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM b GROUP BY user_id, s""")
 def _(spark, d):
-    return N.drain(N.sessions(_events(spark, d), "user_id", "ts", "6 hours", late="60 days"), "complete")
+    log = N.session_log(spark, "user_id long", F.make_dt_interval(hours=F.lit(6)))
+    N.drain(N.session_rows(_events(spark, d), "user_id", "ts"), "append", N.log_sink(log))
+    return log.read().select("user_id", F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
 
 
 @query("stream_retry", """WITH f AS (SELECT user_id, max(ts) FILTER (WHERE event_type = 'error') AS failed_at, max(ts) FILTER (WHERE event_type = 'view') AS ok, (SELECT max(ts) FROM events) AS newest FROM events GROUP BY 1) SELECT 'id' || user_id AS identity FROM f WHERE failed_at IS NOT NULL AND (ok IS NULL OR ok < failed_at) AND failed_at >= newest - INTERVAL 7 DAY""")

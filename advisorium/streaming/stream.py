@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -142,6 +142,29 @@ def upsert_log(spark: SparkSession, schema: str, key: str, t: str, root: str | N
     return ChangeLog(spark, schema, lambda rows: latest_of(rows, key, t), root, least)
 
 
+def session_log(spark: SparkSession, key: str, gap: Column, root: str | None = None, least: int = 100_000) -> ChangeLog:
+    """Sessions as rows (key, start, last, n): what lies within ``gap`` of a row of the same key is in its session, however late it comes.
+
+    ``key`` is a name with its type.  Each batch writes its own sessions, the view joins those that meet; no state is
+    read and no session is written again by the batches that follow, save when the log is compacted.
+    """
+    name = key.split()[0]
+
+    def collapse(rows: DataFrame) -> DataFrame:
+        before = Window.partitionBy(name).orderBy("start", "last")
+        reach = rows.withColumn("reach", F.max("last").over(before.rowsBetween(Window.unboundedPreceding, -1)))
+        first = F.when(F.col("reach").isNull() | (F.col("start") > F.col("reach") + gap), 1).otherwise(0)
+        marked = reach.withColumn("session", F.sum(first).over(before.rowsBetween(Window.unboundedPreceding, 0)))
+        return marked.groupBy(name, "session").agg(F.min("start").alias("start"), F.max("last").alias("last"), F.sum("n").alias("n")).drop("session")
+
+    return ChangeLog(spark, f"{key}, start timestamp_ntz, last timestamp_ntz, n long", collapse, root, least)
+
+
+def session_rows(rows: DataFrame, key: str, t: str) -> DataFrame:
+    """Each row with a time as a session of its own, for ``session_log``."""
+    return rows.where(F.col(t).isNotNull()).select(key, F.col(t).alias("start"), F.col(t).alias("last"), F.lit(1).cast("long").alias("n"))
+
+
 def log_sink(log: ChangeLog) -> Callable[[DataFrame, int], None]:
     """foreachBatch: each batch, collapsed, is appended to the log."""
     names = [f.name for f in log.spark.createDataFrame([], log.schema).schema]

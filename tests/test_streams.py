@@ -125,3 +125,12 @@ def test_crashes_have_a_key_of_their_own(spark):
     failures = M.crash_failures(crashes)
     assert failures.select(M.failure_key()).first()[0] == "cve|EXCEPTION|||RuntimeError: mongo down" and failures.agg(F.max(F.length("error"))).first()[0] == M.ERROR_CHARS
     assert [(r.run, r.alert) for r in M.alert_runs(failures, 24).orderBy("run").collect()] == [(1, True), (2, False), (3, True), (4, False)]
+
+
+def test_sessions_keep_no_state_and_meet_across_batches(spark, tmp_path):
+    at = lambda h, m=0: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h, minutes=m)
+    log = W.session_log(spark, "user_id long", F.make_dt_interval(hours=F.lit(6)), str(tmp_path / "log"), least=3)
+    batches = [[(1, at(12)), (1, at(0)), (2, at(0)), (None, at(1))], [(1, at(18, 1)), (2, None), (None, at(2))], [(1, at(6)), (1, at(6))]]  # the last one comes late and joins two
+    for number, rows in enumerate(batches):
+        W.log_sink(log)(W.session_rows(spark.createDataFrame(rows, "user_id long, ts timestamp_ntz"), "user_id", "ts"), number)
+    assert sorted(map(tuple, log.read().collect()), key=str) == sorted([(1, at(0), at(12), 4), (1, at(18, 1), at(18, 1), 1), (2, at(0), at(0), 1), (None, at(1), at(2), 2)], key=str)

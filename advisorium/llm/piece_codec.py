@@ -8,20 +8,16 @@ can be repeated anywhere, and each occurrence of a word has its own.  White spac
 a word start, unknown characters become byte pieces, nothing is normalised: decoding gives back
 every text exactly.
 
-Speed comes from what does not depend on the key.  The candidates of a word, at most 64 here, are
-listed once; a segmentation is a function of the word and of the skipped candidates that would have
-been chosen, and that function is kept per task.  An occurrence first takes the segmentation without
-skips; if one of the merges in it is skipped by its own hash, that candidate is added to the skipped
-ones and the next segmentation looked up, until no chosen merge is skipped: the agenda would have
-chosen the same merges.  A word is kept from the second time that a task meets it; when the caches
-are full, what was not used lately goes.
+Speed comes from what does not depend on the key.  The segmentation of a word without skips and the
+merges that lead to it are kept per task.  An occurrence whose key skips none of these merges has that
+segmentation, as the agenda would have chosen the same merges; only the others are merged anew under
+their own key, in arrays of many words that take one merge each at a time.  A word is kept from the
+second time that a task meets it; when there are too many, what was not used lately goes.
 """
 
 from __future__ import annotations
 
 import heapq
-from array import array
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import repeat
@@ -39,15 +35,16 @@ from .common import small_batches
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
-CACHE_WORDS, CACHE_SEGMENTATIONS = 100_000, 200_000
-LONG_WORD = 48  # longer runs, and words with more than 64 candidates, are merged one by one with a heap
-CHUNK_WORDS = 200_000
-BLOCK_WORDS = 8_192  # words whose candidates lie in arrays at a time
+CACHE_WORDS, CACHE_SEGMENTATIONS = 200_000, 4_000_000  # kept words; ids and merges of these, taken together
+LONG_WORD = 48  # longer runs are merged one by one with a heap
+CHUNK_WORDS = 1 << 19  # words that are worked on at a time; texts are put together until they have more characters
+BLOCK_WORDS = 8_192  # words that are merged in arrays at a time
 MET = 1 << 22  # bytes that tell which words were met before
-AGENDA, LATER = -1, -2  # in place of a word's segmentation without skips: none is kept, or it is merged when the word comes twice
+PAIR_BITS = 20
+LAST = 2**31 - 1  # in the order of merging, after all pieces
 _U = np.uint64
 _MASK = 2**64 - 1
-_BASE = 0x5851F42D4C957F2D
+_ODD = _U(0x5851F42D4C957F2D)
 _BORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
@@ -74,22 +71,38 @@ class Pieces:
         self.order = np.empty(len(names), np.int64)  # the place of each piece in the order of merging
         self.order[order] = np.arange(len(names))
         self.rank = {name: int(self.order[i]) for name, i in self.ids.items()}
-        self.longest = max(map(len, self.ids), default=1)
-        hashes = np.array([_hash_of(name) for name in self.ids], _U)
-        at = np.argsort(hashes)
-        self.hashes, self.hash_ids = hashes[at], np.array([*self.ids.values()], np.int64)[at]
-        if (self.hashes[1:] == self.hashes[:-1]).any():
-            raise ValueError("two pieces share a hash")
-        self.there = np.zeros(1 << 19, bool)  # whether some piece may have a hash with these upper bits
-        self.there[self.hashes >> _U(45)] = True
-        self.place = np.zeros(1 << 22, np.int32)  # where to look for a hash; the few pieces whose place is taken are searched for
-        self.place[self.hashes >> _U(42)] = np.arange(len(self.hashes))
-        place, times = np.unique(self.hashes >> _U(42), return_counts=True)
-        self.place[place[times > 1]] = len(self.hashes)
+        self.by_order = np.array(order, _U)
+        self.none = len(names)  # in place of the piece of a character that has none
+        self.of_char = np.full(0x110000, self.none, np.int32)
+        for name, i in self.ids.items():
+            if len(name) == 1:
+                self.of_char[ord(name)] = i
+        joins = [(self.ids.get(name[:k], -1), self.ids.get(name[k:], -1), r) for name, r in self.rank.items() for k in range(1, len(name))]
+        left, right, rank = np.array([x for x in joins if x[0] >= 0 and x[1] >= 0], np.int64).reshape(-1, 3).T
+        keys = left.astype(_U) * _U(self.none + 1) + right.astype(_U)
+        slot = keys * _ODD >> _U(64 - PAIR_BITS)
+        at = np.argsort(slot)
+        self.in_slot = int(np.bincount(slot.astype(np.int64)).max()) if len(slot) else 0
+        self.pairs = np.concatenate([keys[at], np.full(self.in_slot + 1, _MASK, _U)])  # pairs of pieces whose join is a piece, by their slots
+        self.pair_rank = np.concatenate([rank[at], np.full(self.in_slot + 1, LAST)]).astype(np.int32)
+        self.place = np.full(1 << PAIR_BITS, len(keys), np.int32)  # of a slot: where its pairs begin
+        self.place[slot[at][::-1]] = np.arange(len(keys))[::-1]
         self.beside = np.zeros(1 << 20, bool)  # neighbours in some piece; others may be among them, which only means fewer cuts
         pairs = np.array(sorted({(ord(a), ord(b)) for name in self.ids for a, b in zip(name, name[1:])}), np.uint32).reshape(-1, 2)
         self.beside[_pair_hash(pairs[:, 0], pairs[:, 1])] = True
 
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The place in the order of merging of the joins of two pieces, LAST where a join is no piece."""
+        key = left * _U(self.none + 1) + right
+        at = self.place[key * _ODD >> _U(64 - PAIR_BITS)]
+        out = np.where(self.pairs[at] == key, self.pair_rank[at], np.int32(LAST))
+        rest = np.flatnonzero((out == LAST) & (at < len(self.pairs) - self.in_slot - 1))
+        for step in range(1, self.in_slot):
+            further = at[rest] + step
+            hit = self.pairs[further] == key[rest]
+            out[rest[hit]] = self.pair_rank[further[hit]]
+        return out
+
     def spelled(self, text: str) -> list[int]:
         """The piece of a text, or the bytes of a character that has none."""
         i = self.ids.get(text)
@@ -136,246 +149,129 @@ def _pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)) >> np.uint32(12)
 
 
-def _hash_of(text: str) -> int:
-    h = 0
-    for c in text:
-        h = (h * _BASE + ord(c) + 1) & _MASK
-    return h
-
-
-def _pieces_in(p: Pieces, words: list[str]) -> np.ndarray:
-    """table[word, start, length]: the piece that stands there, -1 where none does."""
-    size, width = np.array([len(w) for w in words]), max(map(len, words))
-    codes = np.zeros((len(words), width), _U)
-    codes[np.arange(width) < size[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-    prefix = np.zeros((len(words), width + 1), _U)
-    for k in range(width):
-        prefix[:, k + 1] = prefix[:, k] * _U(_BASE) + codes[:, k] + _U(1)
-    deep = min(width, p.longest)
-    table = np.full((len(words), width + 1, deep + 1), -1, np.int32)
-    for d in range(1, deep + 1):
-        h = (prefix[:, d:] - prefix[:, :-d] * _U(pow(_BASE, d, 2**64))).ravel()
-        maybe = np.flatnonzero(p.there[h >> _U(45)])
-        h = h[maybe]
-        w, i = np.divmod(maybe, width + 1 - d)
-        at = p.place[h >> _U(42)]
-        search = np.flatnonzero(at == len(p.hashes))
-        at[search] = np.minimum(np.searchsorted(p.hashes, h[search]), len(p.hashes) - 1)
-        hit = (p.hashes[at] == h) & (i + d <= size[w])
-        table[w[hit], i[hit], d] = p.hash_ids[at[hit]]
-    return table
-
-
-def _borders_of(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return (spans >> 12).astype(_U), (spans >> 6 & 63).astype(_U), (spans & 63).astype(_U)
+def _ramp(count: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """start[k], start[k] + 1 and so on, count[k] numbers for each k."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def merge_in_arrays(p: Pieces, codes: np.ndarray, start: np.ndarray, size: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, ...]:
+    """Words of one block: the number of ids of each, all ids, the number of merges of each, the hashes of the merges' borders in order."""
+    n, wide, limit = len(size), int(size.max()) + 1, _U(_limit(dropout))  # the last column holds no piece, so nothing joins across
+    column = np.arange(wide)
+    inside = column < size[:, None]
+    at = np.where(inside, start[:, None] + column, start[:, None])
+    ids = np.where(inside, p.of_char[codes[at]], p.none).astype(_U).ravel()
+    after, before, stands = np.arange(1, n * wide + 1), np.arange(-1, n * wide - 1), inside.ravel()
+    rank = np.full(n * wide, LAST, np.int32)
+    by_word = rank.reshape(n, wide)
+
+    def look(left: np.ndarray, right: np.ndarray, row: np.ndarray) -> None:
+        found = p.joined(ids[left], ids[right])
+        if dropout > 0:
+            hit = np.flatnonzero(found != LAST)
+            lo, mid, end, of = left[hit], right[hit], after[right[hit]], row[hit]
+            found[hit[_mixed(keys[of] ^ borders(of * wide, lo, mid, end)) >> _U(11) < limit]] = LAST
+        rank[left] = found
+
+    def borders(zero: np.ndarray, lo: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (lo - zero).astype(_U) * _U(_BORDERS[0]) + (mid - zero).astype(_U) * _U(_BORDERS[1]) + (end - zero).astype(_U) * _U(_BORDERS[2])
+
+    left = np.flatnonzero(stands[:-1] & stands[1:])
+    look(left, left + 1, left // wide)
+    live, rows, hashes = np.arange(n), [np.empty(0, np.int64)], [np.empty(0, _U)]
+    while len(live):
+        lo = live * wide + by_word[live].argmin(axis=1)
+        best = rank[lo]
+        going = best != LAST
+        live, lo, best = live[going], lo[going], best[going]
+        mid = after[lo]
+        end = after[mid]
+        rows.append(live)
+        hashes.append(borders(live * wide, lo, mid, end))
+        ids[lo], ids[mid] = p.by_order[best], p.none
+        rank[mid], stands[mid], after[lo], before[end] = LAST, False, end, lo
+        look(np.concatenate([before[lo], lo]), np.concatenate([lo, end]), np.concatenate([live, live]))
+    row, merges = np.concatenate(rows), np.concatenate(hashes)
+    found = np.flatnonzero(stands)
+    pieces, of = ids[found].astype(np.int32), found // wide
+    bare = np.flatnonzero(pieces == p.none)
+    if len(bare):
+        chars, kind = np.unique(codes[at.ravel()[found[bare]]], return_inverse=True)
+        spelled = [p.spelled(chr(c)) for c in chars.tolist()]
+        long = np.array([len(x) for x in spelled])
+        many = np.ones(len(pieces), np.int64)
+        many[bare] = long[kind]
+        pieces, of = np.repeat(pieces, many), np.repeat(of, many)
+        pieces[_ramp(long[kind], (np.cumsum(many) - many)[bare])] = np.array([i for x in spelled for i in x], np.int32)[_ramp(long[kind], (np.cumsum(long) - long)[kind])]
+    return np.bincount(of, minlength=n), pieces, np.bincount(row, minlength=n), merges[np.argsort(row, kind="stable")]
+
+
+def merge_words(p: Pieces, codes: np.ndarray, start: np.ndarray, size: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, ...]:
+    """The order in which words are worked off, by size, and in that order what ``merge_in_arrays`` gives."""
+    order = np.argsort(size, kind="stable")
+    blocks = [order[k : k + BLOCK_WORDS] for k in range(0, len(order), BLOCK_WORDS)]
+    parts = [merge_in_arrays(p, codes, start[b], size[b], keys[b], dropout) for b in blocks]
+    none = np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, _U)
+    return order, *(np.concatenate(x) for x in zip(none, *parts))
 
 
 class Segmentations:
-    """The candidates of each word met, and the segmentation of each word and set of skipped candidates that was asked for."""
+    """The words met twice, with their segmentations without skips and the merges that lead to these."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.met, self.met_count, self.turn = bytearray(MET), 0, 0
-        self.number: dict[str, int] = {}  # of a word, in the order of the numbers
-        self.found: dict[tuple[int, int], int] = {}  # (word number, skipped candidates) -> segmentation number
-        self.ids: list[bytes] = [b""]  # of a segmentation; the first one stands for none
-        self.chosen = array("Q", [0])  # of a segmentation: the candidates that were merged
-        self.used, self.word_used = array("q", [0]), array("q")  # of a segmentation and of a word: the chunk that used it last
-        self.base = array("q")  # of a word: the segmentation without skips, AGENDA or LATER
-        self.first, self.first_char = array("q", [0]), array("q", [0])  # of a word: where its candidates and characters begin
-        self.spans, self.result, self.hash = array("i"), array("i"), array("Q")  # of a candidate: its three borders, the piece that it gives, the hash of the borders
-        self.chars = array("i")  # of a word: the number of each character
-        self.char_number: dict[str, int] = {}
-        self.char_ids: list[list[int]] = []
-
-    def met_before(self, word: str) -> bool:
-        """Whether the word was met in an earlier chunk, or one that shares its place: this decides what is kept, not what comes out."""
-        at = hash(word) & MET - 1
-        if self.met[at]:
-            return True
+        self.met, self.met_count, self.turn = np.zeros(MET, bool), 0, 0
+        self.number: dict[bytes, int] = {}  # of a word, its characters as UTF-32, in the order of the numbers
+        self.base, self.many, self.word_used = (np.zeros(0, np.int64) for _ in range(3))  # of a word: where its ids begin, how many these are, the chunk that used it last
+        self.ids = np.zeros(0, np.int32)
+        self.first, self.merges = np.zeros(1, np.int64), np.zeros(0, _U)  # where the merges of a word begin; the hashes of their borders
+
+    def met_before(self, words: list[bytes]) -> np.ndarray:
+        """Whether each word was met in an earlier chunk, or one that shares its place: this decides what is kept, not what comes out."""
         if self.met_count > MET >> 2:
-            self.met, self.met_count = bytearray(MET), 0
-        self.met[at] = 1
-        self.met_count += 1
-        return False
-
-    def cut(self, words: int) -> None:
-        """Only the first ``words`` words stay."""
-        for w in list(self.number)[words:] if len(self.number) > words else ():
-            del self.number[w]
-        del self.spans[self.first[words] :], self.result[self.first[words] :], self.hash[self.first[words] :], self.chars[self.first_char[words] :]
-        del self.first[words + 1 :], self.first_char[words + 1 :], self.base[words:], self.word_used[words:]
+            self.met, self.met_count = np.zeros(MET, bool), 0
+        at = np.fromiter(map(hash, words), np.int64, len(words)) & MET - 1
+        before = self.met[at]
+        self.met[at] = True
+        self.met_count += int((~before).sum())
+        return before
 
     def shrink(self) -> None:
-        """Where there are too many words or segmentations, those go that were used longest ago."""
-        if len(self.base) <= CACHE_WORDS and len(self.ids) <= CACHE_SEGMENTATIONS:
+        """Where there are too many words, or these are too long, those go that were used longest ago."""
+        if len(self.base) <= CACHE_WORDS and len(self.ids) + len(self.merges) <= CACHE_SEGMENTATIONS:
             return
-        late = lambda used, most: used > np.partition(used, len(used) // 2)[len(used) // 2] if len(used) > most else np.ones(len(used), bool)
-        stays, held = late(np.frombuffer(self.word_used, np.int64), CACHE_WORDS), late(np.frombuffer(self.used, np.int64), CACHE_SEGMENTATIONS)
-        held = held.copy()
-        held[0] = True
-        number, words = np.flatnonzero(stays), list(self.number)
-        renamed = np.cumsum(stays) - 1
-        keys, segments = list(self.found), np.fromiter(self.found.values(), np.int64, len(self.found))
-        owner = np.array([w for w, _ in keys], np.int64)
-        there = np.flatnonzero(stays[owner] & held[segments])
-        held[:] = False
-        held[0] = held[segments[there]] = True
-        new = np.where(held, np.cumsum(held) - 1, LATER)
-        self.found = {(w, keys[k][1]): n for w, k, n in zip(renamed[owner[there]].tolist(), there.tolist(), new[segments[there]].tolist())}
-        self.ids = [self.ids[k] for k in np.flatnonzero(held).tolist()]
-        self.chosen = array("Q", np.frombuffer(self.chosen, _U)[held].tobytes())
-        self.used = array("q", np.frombuffer(self.used, np.int64)[held].tobytes())
-        base = np.frombuffer(self.base, np.int64)[number]
-        self.base = array("q", np.where(base >= 0, new[base], base).tobytes())
-        self.word_used = array("q", np.frombuffer(self.word_used, np.int64)[number].tobytes())
-        at, char_at = self._lists(self.first, number)[2], self._lists(self.first_char, number)[2]
-        for name in ("first", "first_char"):
-            first = np.frombuffer(getattr(self, name), np.int64)
-            setattr(self, name, array("q", np.concatenate([[0], np.cumsum(first[number + 1] - first[number])]).astype(np.int64).tobytes()))
-        self.spans = array("i", np.frombuffer(self.spans, np.int32)[at].tobytes())
-        self.result = array("i", np.frombuffer(self.result, np.int32)[at].tobytes())
-        self.hash = array("Q", np.frombuffer(self.hash, _U)[at].tobytes())
-        self.chars = array("i", np.frombuffer(self.chars, np.int32)[char_at].tobytes())
-        self.number = {words[k]: n for n, k in enumerate(number.tolist())}
-
-    def add(self, words: list[str]) -> None:
-        """New words: all joins of two pieces to a piece, the best first, the leftmost on ties."""
-        words = sorted(words, key=len)
-        short = [w for w in words if len(w) <= LONG_WORD]
-        for lo in range(0, len(short), 4096):
-            self._add(short[lo : lo + 4096])
-        self._append(words[len(short) :], np.zeros(len(words) - len(short), np.int64), np.empty(0, np.int32), np.zeros(len(words) - len(short), np.int64))
-
-    def _append(self, words: list[str], candidates: np.ndarray, chars: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Numbers for words with so many candidates and characters each, which stand in the columns already or in ``chars``."""
-        number = np.arange(len(self.base), len(self.base) + len(words))
-        self.number.update(zip(words, number.tolist()))
-        self.base.frombytes(np.full(len(words), AGENDA, np.int64).tobytes())
-        self.word_used.frombytes(np.full(len(words), self.turn, np.int64).tobytes())
-        self.first.frombytes((self.first[-1] + np.cumsum(candidates)).tobytes())
-        self.chars.frombytes(chars.tobytes())
-        self.first_char.frombytes((self.first_char[-1] + np.cumsum(lengths)).tobytes())
-        return number
-
-    def _add(self, words: list[str]) -> None:
-        p, table = self.pieces, _pieces_in(self.pieces, words)
-        deep, flat = table.shape[2], table.ravel()
-        spot = np.flatnonzero(flat >= 0)  # where a piece stands: word, start and length in one number
-        spot = spot[spot % deep > 1]
-        length, parts = spot % deep, []
-        for a in range(1, deep - 1):
-            spot, length = (x[length > a] for x in (spot, length))
-            left, right = spot - length + a, spot + a * deep - a
-            ok = (flat[left] >= 0) & (flat[right] >= 0)
-            parts.append(np.stack([spot[ok], np.full(int(ok.sum()), a)]))
-        spot, a = np.concatenate(parts, axis=1) if parts else np.empty((2, 0), np.int64)
-        result, d, start = flat[spot].astype(np.int64), spot % deep, spot // deep
-        w, i = np.divmod(start, table.shape[1])
-        order = np.argsort(w << 40 | p.order[result] << 16 | i << 8 | a)
-        w, i, a, d, result = (x[order] for x in (w, i, a, d, result))
-        count = np.bincount(w, minlength=len(words))
-        few = count <= 64
-        if not few.all():
-            many = [words[k] for k in np.flatnonzero(~few)]
-            self._append(many, np.zeros(len(many), np.int64), np.empty(0, np.int32), np.zeros(len(many), np.int64))
-            stays = few[w]
-            w, i, a, d, result = (np.cumsum(few) - 1)[w[stays]], i[stays], a[stays], d[stays], result[stays]
-            words, count = [words[k] for k in np.flatnonzero(few)], count[few]
-            if not words:
-                return
-        self.spans.frombytes((i << 12 | i + a << 6 | i + d).astype(np.int32).tobytes())
-        self.result.frombytes(result.astype(np.int32).tobytes())
-        self.hash.frombytes((i.astype(_U) * _U(_BORDERS[0]) + (i + a).astype(_U) * _U(_BORDERS[1]) + (i + d).astype(_U) * _U(_BORDERS[2])).tobytes())
-        codes, at = np.unique(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32), return_inverse=True)
-        chars = np.array([self._char(chr(c)) for c in codes.tolist()], np.int32)[at]
-        number = self._append(words, count, chars, np.array([len(x) for x in words]))
-        np.frombuffer(self.base, np.int64)[number[0] :] = LATER
-
-    def _char(self, c: str) -> int:
-        n = self.char_number.get(c)
-        if n is None:
-            n = self.char_number[c] = len(self.char_ids)
-            self.char_ids.append(self.pieces.spelled(c))
-        return n
-
-    def _lists(self, first: array, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, place in its list, place in the column) of all entries of the given words."""
-        first = np.frombuffer(first, np.int64)
-        many = first[number + 1] - first[number]
-        row = np.repeat(np.arange(len(number)), many)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-        return row, place, first[number][row] + place
-
-    def masks(self, number: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
-        """The candidates that each word skips under its key, as bits."""
-        if len(number) > BLOCK_WORDS:
-            return np.concatenate([self.masks(number[k : k + BLOCK_WORDS], keys[k : k + BLOCK_WORDS], dropout) for k in range(0, len(number), BLOCK_WORDS)])
-        row, place, at = self._lists(self.first, number)
-        hit = np.flatnonzero(_mixed(keys[row] ^ np.frombuffer(self.hash, _U)[at]) >> _U(11) < _U(_limit(dropout)))
-        out = np.zeros(len(number), _U)
-        np.bitwise_or.at(out, row[hit], _U(1) << place[hit].astype(_U))
+        stays = np.flatnonzero(self.word_used > np.partition(self.word_used, len(self.base) // 2)[len(self.base) // 2])
+        words, many = list(self.number), self.first[stays + 1] - self.first[stays]
+        self.number = {words[k]: n for n, k in enumerate(stays.tolist())}
+        self.merges, self.first = self.merges[_ramp(many, self.first[stays])], np.concatenate([[0], np.cumsum(many)])
+        self.ids, self.many, self.word_used = self.ids[_ramp(self.many[stays], self.base[stays])], self.many[stays], self.word_used[stays]
+        self.base = np.cumsum(self.many) - self.many
+
+    def add(self, words: list[bytes]) -> None:
+        size = np.array([len(w) // 4 for w in words], np.int64)
+        codes = np.frombuffer(b"".join(words), np.uint32)
+        order, many, ids, merged, merges = merge_words(self.pieces, codes, np.cumsum(size) - size, size, np.zeros(len(words), _U), 0.0)
+        self.number.update((words[k], n) for n, k in enumerate(order.tolist(), len(self.base)))
+        self.base = np.concatenate([self.base, len(self.ids) + np.cumsum(many) - many])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(merged)])
+        self.many, self.ids, self.merges = np.concatenate([self.many, many]), np.concatenate([self.ids, ids]), np.concatenate([self.merges, merges])
+        self.word_used = np.concatenate([self.word_used, np.full(len(words), self.turn)])
+
+    def unskipped(self, number: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
+        """Whether a word's key skips none of the merges of its segmentation without skips."""
+        out = np.ones(len(number), bool)
+        for k in range(0, len(number) if dropout > 0 else 0, BLOCK_WORDS):
+            part, key = number[k : k + BLOCK_WORDS], keys[k : k + BLOCK_WORDS]
+            many = self.first[part + 1] - self.first[part]
+            skips = _mixed(np.repeat(key, many) ^ self.merges[_ramp(many, self.first[part])]) >> _U(11) < _U(_limit(dropout))
+            out[k + np.repeat(np.arange(len(part)), many)[skips]] = False
         return out
 
-    def merge(self, number: np.ndarray, skip: np.ndarray) -> list[int]:
-        """The numbers of new segmentations of words, the given candidates skipped."""
-        coded, chosen = self.merged(number, skip)
-        numbers = list(range(len(self.ids), len(self.ids) + len(coded)))
-        self.ids += coded
-        self.chosen.frombytes(chosen.tobytes())
-        self.used.frombytes(np.full(len(coded), self.turn, np.int64).tobytes())
-        self.found.update(zip(zip(number.tolist(), skip.tolist()), numbers))
-        return numbers
-
-    def merged(self, number: np.ndarray, skip: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-        """The ids of words, the given candidates skipped, and the merged candidates.  In each step every word merges the first candidate of its list that is there."""
-        if not len(number):
-            return [], np.zeros(0, _U)
-        if len(number) > BLOCK_WORDS:
-            parts = [self.merged(number[k : k + BLOCK_WORDS], skip[k : k + BLOCK_WORDS]) for k in range(0, len(number), BLOCK_WORDS)]
-            return [x for ids, _ in parts for x in ids], np.concatenate([chosen for _, chosen in parts])
-        row, place, at = self._lists(self.first, number)
-        i, m, j = _borders_of(np.frombuffer(self.spans, np.int32)[at])
-        one = _U(1)
-        mid, window = one << m, (_U(2) << j) - (one << i)
-        pattern = one << i | mid | one << j
-        bit = _U(1) << place.astype(_U)
-        lengths = np.frombuffer(self.first_char, np.int64)
-        size = (lengths[number + 1] - lengths[number]).astype(_U)
-        borders, chosen = (_U(2) << size) - _U(1), np.zeros(len(number), _U)
-        merged = []
-        live = np.flatnonzero(skip[row] & bit == 0)
-        while len(live):
-            held = borders[row[live]]
-            there = live[held & window[live] == pattern[live]]
-            owner = row[there]
-            best = there[np.concatenate([[True], owner[1:] != owner[:-1]])] if len(there) else there
-            if not len(best):
-                break
-            merged.append(best)
-            borders[row[best]] ^= mid[best]
-            chosen[row[best]] |= bit[best]
-            live = live[borders[row[live]] & pattern[live] == pattern[live]]  # a border never comes back
-        best = np.concatenate(merged) if merged else np.empty(0, np.int64)
-        ends = pattern[best] ^ mid[best]
-        best = best[borders[row[best]] & window[best] == ends]
-        r1, c1, id1 = row[best], i[best].astype(np.int64), np.frombuffer(self.result, np.int32)[at[best]]
-        r2, c2, at2 = self._lists(self.first_char, number)
-        pair = _U(3) << c2.astype(_U)
-        single = np.flatnonzero(borders[r2] & pair == pair)
-        r2, c2, chars = r2[single], c2[single], np.frombuffer(self.chars, np.int32)[at2[single]]
-        many = np.array([len(x) for x in self.char_ids], np.int64)
-        flat = np.array([x for ids in self.char_ids for x in ids], np.int64)
-        start = (np.cumsum(many) - many)[chars] if len(many) else chars
-        count = many[chars] if len(many) else chars
-        again = np.repeat(np.arange(len(chars)), count)
-        inside = np.arange(len(again)) - np.repeat(np.cumsum(count) - count, count)
-        rows, cols, ids = np.concatenate([r1, r2[again]]), np.concatenate([c1 * 8, c2[again] * 8 + inside]), np.concatenate([id1, flat[start[again] + inside]])
-        order = np.argsort(rows * 1024 + cols)
-        data = ids[order].astype("<i4").tobytes()
-        ends = (np.cumsum(np.bincount(rows, minlength=len(number))) * 4).tolist()
-        return [data[lo:hi] for lo, hi in zip([0, *ends], ends)], chosen
-
 
 @lru_cache(maxsize=2)
 def segmentations_of(path: str) -> Segmentations:
@@ -411,91 +307,93 @@ def merge_by_agenda(p: Pieces, word: str, key: int, dropout: float) -> list[int]
 
 def segment_words(s: Segmentations, words: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
     """The ids of each word, as bytes, under its key."""
+    many, ids = _segmented(s, _codes("".join(words)), np.cumsum([0, *map(len, words)]), keys, dropout)
+    ends = np.cumsum(many).tolist()
+    return [ids[lo:hi].tobytes() for lo, hi in zip([0, *ends], ends)]
+
+
+def _segmented(s: Segmentations, codes: np.ndarray, ends: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """The number of ids of each word and all ids; words lie between ``ends``, the first of which is 0."""
     s.shrink()
     s.turn += 1
-    number = np.fromiter(map(s.number.get, words, repeat(-1)), np.int64, len(words))
-    new = np.flatnonzero(number < 0).tolist()
-    times = Counter([words[k] for k in new])
-    again = {w for w, n in times.items() if s.met_before(w) or n > 1}
-    s.add([w for w in times if w in again])
-    kept = len(s.base)
-    s.add([w for w in times if w not in again])
-    number[new] = [s.number[words[k]] for k in new]
-    coded = _segmented(s, words, number, kept, keys, dropout)
-    s.cut(kept)
-    return coded
-
-
-def _segmented(s: Segmentations, words: list[str], number: np.ndarray, kept: int, keys: np.ndarray, dropout: float) -> list[bytes]:
-    """The ids of words that were added; those from number ``kept`` on occur once, and nothing of them is kept."""
-    np.frombuffer(s.word_used, np.int64)[number] = s.turn
-    base = np.frombuffer(s.base, np.int64)
-    mask, skip = s.masks(number, keys, dropout) if dropout > 0 else np.zeros(len(words), _U), np.zeros(len(words), _U)
-    later = np.flatnonzero(base[number] == LATER)
-    fresh, first, times = np.unique(number[later], return_index=True, return_counts=True)
-    again = fresh[times > 1]
-    base[again] = s.merge(again, np.zeros(len(again), _U))
-    found = base[number]
-    once = later[first[times == 1]]
-    passing, once = once[number[once] >= kept], once[number[once] < kept]
-    found[once] = s.merge(number[once], mask[once])
-    skip[once] = mask[once]
-    live = np.flatnonzero((mask != skip) & (found >= 0))
-    while len(live):
-        np.frombuffer(s.used, np.int64)[found[live]] = s.turn
-        clash = mask[live] & np.frombuffer(s.chosen, _U)[found[live]]
-        live, clash = live[clash != 0], clash[clash != 0]
-        skip[live] |= clash
-        asked = [*zip(number[live].tolist(), skip[live].tolist())]
-        known = [*map(s.found.get, asked)]
-        if fresh := {k for k, n in zip(asked, known) if n is None}:
-            s.merge(np.array([w for w, _ in fresh], np.int64), np.array([k for _, k in fresh], _U))
-            known = [*map(s.found.__getitem__, asked)]
-        found[live] = known
-    np.frombuffer(s.used, np.int64)[found[found >= 0]] = s.turn
-    coded = list(map(s.ids.__getitem__, np.maximum(found, 0).tolist()))
-    for i, ids in zip(passing.tolist(), s.merged(number[passing], mask[passing])[0]):
-        coded[i] = ids
-    for i in np.flatnonzero(found == AGENDA).tolist():
-        coded[i] = np.array(merge_by_agenda(s.pieces, words[i], int(keys[i]), dropout), "<i4").tobytes()
-    return coded
+    start, size = ends[:-1], np.diff(ends)
+    spelled = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends * 4), pa.py_buffer(codes)]).dictionary_encode()
+    index, ends_of = spelled.indices.to_numpy(), np.frombuffer(spelled.dictionary.buffers()[1], np.int64, len(spelled.dictionary) + 1)
+    data, at = (spelled.dictionary.buffers()[2] or pa.py_buffer(b"")).to_pybytes(), ends_of.tolist()
+    words = [data[lo:hi] for lo, hi in zip(at, at[1:])]
+    number, short = np.fromiter(map(s.number.get, words, repeat(-1)), np.int64, len(words)), np.diff(ends_of) <= LONG_WORD * 4
+    new = np.flatnonzero((number < 0) & short)
+    new = new[(np.bincount(index, minlength=len(words))[new] > 1) | s.met_before([words[k] for k in new.tolist()])]
+    added = [words[k] for k in new.tolist()]
+    s.add(added)
+    number[new] = [s.number[w] for w in added]
+    s.word_used[number[number >= 0]] = s.turn
+    of, short = number[index], short[index]
+    kept = np.flatnonzero(of >= 0)
+    kept = kept[s.unskipped(of[kept], keys[kept], dropout)]
+    alone = short.copy()
+    alone[kept] = False
+    alone = np.flatnonzero(alone)
+    order, many, ids, _, _ = merge_words(s.pieces, codes, start[alone], size[alone], keys[alone], dropout)
+    heap = np.flatnonzero(~short).tolist()
+    by_heap = [merge_by_agenda(s.pieces, codes[start[i] : ends[i + 1]].tobytes().decode("utf-32-le", "surrogatepass"), int(keys[i]), dropout) for i in heap]
+    count = np.zeros(len(size), np.int64)
+    count[kept], count[alone[order]], count[heap] = s.many[of[kept]], many, [len(x) for x in by_heap]
+    out, at = np.empty(int(count.sum()), np.int32), np.cumsum(count) - count
+    out[_ramp(count[kept], at[kept])] = s.ids[_ramp(count[kept], s.base[of[kept]])]
+    out[_ramp(many, at[alone[order]])] = ids
+    for i, x in zip(heap, by_heap):
+        out[at[i] : at[i] + len(x)] = x
+    return count, out
 
 
 def encode_texts(s: Segmentations, texts: Sequence[str | None], owners: Sequence[object], seed: int, dropout: float) -> list[np.ndarray | None]:
     """The piece ids of each text."""
     out: list[np.ndarray | None] = []
-    held: list[list[str] | None] = []
-    keys: list[np.ndarray] = []
+    chunk: list[tuple[str | None, object]] = []
 
     def flush() -> None:
-        words = [w for d in held if d for w in d]
-        coded = segment_words(s, words, np.concatenate([np.empty(0, _U), *keys]), dropout)
-        at = 0
-        for d in held:
-            out.append(None if d is None else np.frombuffer(b"".join(coded[at : at + len(d)]), "<i4"))
-            at += len(d or ())
-        held.clear()
-        keys.clear()
-
+        size = np.array([len(t) + 1 if t else 0 for t, _ in chunk], np.int64)
+        codes, text_ends = _codes("".join(" " + t for t, _ in chunk if t)), np.cumsum(size)
+        ends = _word_ends(s.pieces, codes, text_ends)
+        words = np.searchsorted(ends, text_ends) - np.searchsorted(ends, text_ends - size)
+        keys = [word_keys(seed, owner, n) for (_, owner), n in zip(chunk, words.tolist())]
+        key, parts = np.concatenate([np.empty(0, _U), *keys]), [(np.empty(0, np.int64), np.empty(0, np.int32))]
+        for k in range(0, len(key), CHUNK_WORDS):
+            part = ends[k : k + CHUNK_WORDS + 1]
+            parts.append(_segmented(s, codes[part[0] : part[-1]], part - part[0], key[k : k + CHUNK_WORDS], dropout))
+        count, ids = (np.concatenate(x) for x in zip(*parts))
+        at = np.concatenate([[0], np.cumsum(count)])[np.concatenate([[0], np.cumsum(words)])].tolist()
+        out.extend(None if t is None else ids[lo:hi] for (t, _), lo, hi in zip(chunk, at, at[1:]))
+        chunk.clear()
+
+    held = 0
     for text, owner in zip(texts, owners):
-        words = None if text is None else split_words(s.pieces, text)
-        held.append(words)
-        keys.append(word_keys(seed, owner, len(words or ())))
-        if sum(map(len, keys)) > CHUNK_WORDS:
+        chunk.append((text, owner))
+        held += len(text or "")
+        if held > CHUNK_WORDS:
             flush()
+            held = 0
     flush()
     return out
 
 
+def _word_ends(p: Pieces, codes: np.ndarray, text_ends: np.ndarray) -> np.ndarray:
+    """0 and the ends of all words: where a text ends, where a run of spaces begins and where no piece has the two characters beside each other."""
+    left, right = codes[:-1], codes[1:]
+    ends = np.zeros(len(codes) + 1, bool)
+    ends[1:-1] = ~p.beside[_pair_hash(left, right)] | ((right == 32) & (left != 32))
+    ends[0] = ends[text_ends] = True
+    return np.flatnonzero(ends)
+
+
 def split_words(p: Pieces, text: str) -> list[str]:
     """The text, with a space before it, cut where a run of spaces begins and where no piece has the two characters beside each other: no join reaches across."""
     if not text:
         return []
     text = " " + text
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    left, right = points[:-1], points[1:]
-    cuts = (np.flatnonzero(~p.beside[_pair_hash(left, right)] | ((right == 32) & (left != 32))) + 1).tolist()
-    return [text[i:j] for i, j in zip([0, *cuts], [*cuts, len(text)])]
+    ends = _word_ends(p, _codes(text), np.array([len(text)])).tolist()
+    return [text[i:j] for i, j in zip(ends, ends[1:])]
 
 
 def encode_pieces(text: Column | str, key: Column | str, seed: int = 0, dropout: float = 0.1, model: str = MODEL) -> Column:

@@ -98,6 +98,34 @@ def test_what_is_kept_or_dropped_from_the_caches_changes_nothing(monkeypatch):
     assert len(small.base) < 1000 and len(small.number) == len(small.base) == len(small.word_used) == len(small.first) - 1
 
 
+def test_only_chosen_merges_are_hashed(monkeypatch):
+    hashed, mixed = [], pc._mixed
+    monkeypatch.setattr(pc, "_mixed", lambda x: hashed.append(x.size) or mixed(x))
+    text, (word,) = "standing " * 2000, set(pc.split_words(CODEC.pieces, "standing"))
+    ids = pc.encode_texts(pc.Segmentations(CODEC.pieces), [text], [1], 1, 0.01)[0].tolist()
+    taken = sum(hashed)
+    assert ids == agenda(text, 1, 1, 0.01)
+    names = CODEC.pieces.ids
+    spans = [(i, m, j) for i in range(len(word)) for j in range(i + 2, len(word) + 1) for m in range(i + 1, j)]
+    candidates = sum(word[i:j] in names and word[i:m] in names and word[m:j] in names for i, m, j in spans)
+    assert taken < 2000 * candidates
+
+
+def test_words_with_many_candidates_are_merged_in_arrays(monkeypatch):
+    text = "internationalinternationalinternation " * 20 + "interinterestingstandingthethe"
+    want = {d: agenda(text, 3, 1, d) for d in (0.0, 0.1, 0.6)}
+    monkeypatch.setattr(pc, "merge_by_agenda", None)
+    for dropout, ids in want.items():
+        assert encode(text, 3, 1, dropout) == ids
+
+
+def test_nothing_to_segment():
+    fresh = pc.Segmentations(CODEC.pieces)
+    assert pc.encode_texts(fresh, [], [], 1, 0.1) == []
+    assert [x if x is None else x.tolist() for x in pc.encode_texts(fresh, [None, "", None], [1, 2, 3], 1, 0.1)] == [None, [], None]
+    assert pc.segment_words(fresh, [], np.zeros(0, np.uint64), 0.1) == []
+
+
 def test_one_step_equals_encoding_then_decoding(spark):
     df = spark.createDataFrame([(1, "two  words"), (2, None), (3, ""), (None, "日本 x")], "doc_id long, text string")
     got = df.select("doc_id", "text", pc.encode_pieces("text", "doc_id", 1, 0.3).alias("ids"), pc.encode_and_decode("text", "doc_id", 1, 0.3).alias("both"))
